@@ -45,11 +45,19 @@ def ordered_scan(
     lag: Mapping[str, str | Column] | None = None,
     lead: Mapping[str, str | Column] | None = None,
     cumsum: Mapping[str, str | Column] | None = None,
+    ffill: Mapping[str, str | Column] | None = None,
+    bfill: Mapping[str, str | Column] | None = None,
     hot: HotKeys | None | str = AUTO,
 ) -> DataFrame:
-    """Add ordered columns: ``index`` is 0-based; the mappings are new name -> source."""
+    """Add ordered columns: ``index`` is 0-based; the mappings are new name -> source.
+
+    ``ffill`` is the last non-null value up to and including the row, ``bfill``
+    the next non-null value after it (taken in reverse order, so that it too is
+    one running pass).
+    """
     keys, order = list(keys), list(order)
     lag, lead, cumsum = dict(lag or {}), dict(lead or {}), dict(cumsum or {})
+    ffill, bfill = dict(ffill or {}), dict(bfill or {})
     hot = resolve_hot(df, keys, order[0], hot)
 
     def as_col(c):
@@ -61,6 +69,9 @@ def ordered_scan(
         added |= {n: F.lead(as_col(c)).over(w) for n, c in lead.items()}
         run = w.rowsBetween(W.unboundedPreceding, 0)
         added |= {n: F.sum(as_col(c)).over(run) for n, c in cumsum.items()}
+        added |= {n: F.last(as_col(c), True).over(run) for n, c in ffill.items()}
+        back = W.partitionBy(*keys).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, -1)
+        added |= {n: F.last(as_col(c), True).over(back) for n, c in bfill.items()}
         if index:
             added[index] = (F.row_number().over(w) - 1).cast("long")
         return df.withColumns(added)
@@ -73,13 +84,19 @@ def ordered_scan(
     local |= {f"__lag_{n}": F.lag(as_col(c)).over(w) for n, c in lag.items()}
     local |= {f"__lead_{n}": F.lead(as_col(c)).over(w) for n, c in lead.items()}
     local |= {f"__sum_{n}": F.sum(as_col(c)).over(run) for n, c in cumsum.items()}
+    local |= {f"__ff_{n}": F.last(as_col(c), True).over(run) for n, c in ffill.items()}
+    back = W.partitionBy(*group).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, -1)
+    local |= {f"__bf_{n}": F.last(as_col(c), True).over(back) for n, c in bfill.items()}
 
     by = F.struct(*order)
     aggs = [F.count(F.lit(1)).alias("__cnt")]
     aggs += [F.max_by(F.struct(as_col(c).alias("v")), by).alias(f"__last_{n}") for n, c in lag.items()]
     aggs += [F.min_by(F.struct(as_col(c).alias("v")), by).alias(f"__first_{n}") for n, c in lead.items()]
     aggs += [F.sum(as_col(c)).alias(f"__tot_{n}") for n, c in cumsum.items()]
+    aggs += [F.max_by(as_col(c), F.when(as_col(c).isNotNull(), by)).alias(f"__end_{n}") for n, c in ffill.items()]
+    aggs += [F.min_by(as_col(c), F.when(as_col(c).isNotNull(), by)).alias(f"__beg_{n}") for n, c in bfill.items()]
     wk = W.partitionBy(*keys).orderBy(BLOCK)
+    after = W.partitionBy(*keys).orderBy(F.desc(BLOCK)).rowsBetween(W.unboundedPreceding, -1)
     before = wk.rowsBetween(W.unboundedPreceding, -1)
     carry = blocked.groupBy(*group).agg(*aggs).select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(group)],
@@ -88,6 +105,8 @@ def ordered_scan(
         *[F.lag(f"__last_{n}").over(wk)["v"].alias(f"__cl_{n}") for n in lag],
         *[F.lead(f"__first_{n}").over(wk)["v"].alias(f"__cf_{n}") for n in lead],
         *[F.sum(f"__tot_{n}").over(before).alias(f"__cs_{n}") for n in cumsum],
+        *[F.last(f"__end_{n}", True).over(before).alias(f"__cff_{n}") for n in ffill],
+        *[F.last(f"__beg_{n}", True).over(after).alias(f"__cbf_{n}") for n in bfill],
     )
     main = blocked.withColumns(local)
     cond = F.lit(True)
@@ -107,11 +126,26 @@ def ordered_scan(
         )
         for n in cumsum
     }
+    final |= {n: F.coalesce(f"__ff_{n}", f"__cff_{n}") for n in ffill}
+    final |= {n: F.coalesce(f"__bf_{n}", f"__cbf_{n}") for n in bfill}
     if index:
         final[index] = F.col("__rn") - 1 + F.col("__off")
     return out.withColumns(final).select(*df.columns, *final)
 
 
+GROUP_LIMIT = 1000  # Spark prunes row_number() <= n before the shuffle up to this n
+
+
+def first_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, hot: HotKeys | None | str = AUTO
+) -> DataFrame:
+    """The first n rows per key.  Small n is pruned in the map tasks, so hot keys do no harm."""
+    if n <= GROUP_LIMIT:
+        w = W.partitionBy(*keys).orderBy(*order)
+        return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+    return ordered_scan(df, keys, order, index="__rn", hot=hot).where(F.col("__rn") < n).drop("__rn")
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
