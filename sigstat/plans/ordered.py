@@ -47,17 +47,18 @@ def ordered_scan(
     cumsum: Mapping[str, str | Column] | None = None,
     ffill: Mapping[str, str | Column] | None = None,
     bfill: Mapping[str, str | Column] | None = None,
+    cummin_back: Mapping[str, str | Column] | None = None,
     hot: HotKeys | None | str = AUTO,
 ) -> DataFrame:
     """Add ordered columns: ``index`` is 0-based; the mappings are new name -> source.
 
     ``ffill`` is the last non-null value up to and including the row, ``bfill``
     the next non-null value after it (taken in reverse order, so that it too is
-    one running pass).
+    one running pass).  ``cummin_back`` is the minimum from the row to the end.
     """
     keys, order = list(keys), list(order)
     lag, lead, cumsum = dict(lag or {}), dict(lead or {}), dict(cumsum or {})
-    ffill, bfill = dict(ffill or {}), dict(bfill or {})
+    ffill, bfill, cummin_back = dict(ffill or {}), dict(bfill or {}), dict(cummin_back or {})
     hot = resolve_hot(df, keys, order[0], hot)
 
     def as_col(c):
@@ -72,6 +73,8 @@ def ordered_scan(
         added |= {n: F.last(as_col(c), True).over(run) for n, c in ffill.items()}
         back = W.partitionBy(*keys).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, -1)
         added |= {n: F.last(as_col(c), True).over(back) for n, c in bfill.items()}
+        tail = W.partitionBy(*keys).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, 0)
+        added |= {n: F.min(as_col(c)).over(tail) for n, c in cummin_back.items()}
         if index:
             added[index] = (F.row_number().over(w) - 1).cast("long")
         return df.withColumns(added)
@@ -87,6 +90,8 @@ def ordered_scan(
     local |= {f"__ff_{n}": F.last(as_col(c), True).over(run) for n, c in ffill.items()}
     back = W.partitionBy(*group).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, -1)
     local |= {f"__bf_{n}": F.last(as_col(c), True).over(back) for n, c in bfill.items()}
+    tail = W.partitionBy(*group).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, 0)
+    local |= {f"__mb_{n}": F.min(as_col(c)).over(tail) for n, c in cummin_back.items()}
 
     by = F.struct(*order)
     aggs = [F.count(F.lit(1)).alias("__cnt")]
@@ -95,6 +100,7 @@ def ordered_scan(
     aggs += [F.sum(as_col(c)).alias(f"__tot_{n}") for n, c in cumsum.items()]
     aggs += [F.max_by(as_col(c), F.when(as_col(c).isNotNull(), by)).alias(f"__end_{n}") for n, c in ffill.items()]
     aggs += [F.min_by(as_col(c), F.when(as_col(c).isNotNull(), by)).alias(f"__beg_{n}") for n, c in bfill.items()]
+    aggs += [F.min(as_col(c)).alias(f"__low_{n}") for n, c in cummin_back.items()]
     wk = W.partitionBy(*keys).orderBy(BLOCK)
     after = W.partitionBy(*keys).orderBy(F.desc(BLOCK)).rowsBetween(W.unboundedPreceding, -1)
     before = wk.rowsBetween(W.unboundedPreceding, -1)
@@ -107,6 +113,7 @@ def ordered_scan(
         *[F.sum(f"__tot_{n}").over(before).alias(f"__cs_{n}") for n in cumsum],
         *[F.last(f"__end_{n}", True).over(before).alias(f"__cff_{n}") for n in ffill],
         *[F.last(f"__beg_{n}", True).over(after).alias(f"__cbf_{n}") for n in bfill],
+        *[F.min(f"__low_{n}").over(after).alias(f"__cmb_{n}") for n in cummin_back],
     )
     main = blocked.withColumns(local)
     cond = F.lit(True)
@@ -128,6 +135,7 @@ def ordered_scan(
     }
     final |= {n: F.coalesce(f"__ff_{n}", f"__cff_{n}") for n in ffill}
     final |= {n: F.coalesce(f"__bf_{n}", f"__cbf_{n}") for n in bfill}
+    final |= {n: F.least(f"__mb_{n}", f"__cmb_{n}") for n in cummin_back}
     if index:
         final[index] = F.col("__rn") - 1 + F.col("__off")
     return out.withColumns(final).select(*df.columns, *final)
