@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _TINY = 1e-300
 
@@ -137,7 +138,7 @@ def signed_rank_exact(w: float, n: int) -> float:
 
 
 def _elementwise(func):
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def run(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
         return pd.Series([
             None if pd.isna(x) or pd.isna(y) or pd.isna(z) else func(float(x), float(y), float(z))

@@ -142,14 +142,17 @@ def permutation_test(
 
 
 # fixed values: montage order of the 32-channel cap
-CANONICAL_32 = ("Fp1", "AF3", "F3", "F7", "FC5", "FC1", "C3", "T7", "CP5", "CP1", "P3", "P7", "PO3", "O1", "Oz", "Pz",
-                "Fp2", "AF4", "Fz", "F4", "F8", "FC6", "FC2", "Cz", "C4", "T8", "CP6", "CP2", "P4", "P8", "PO4", "O2")
+CANONICAL_32 = (
+    "Fp1", "AF3", "F3", "F7", "FC5", "FC1", "C3", "T7",
+    "CP5", "CP1", "P3", "P7", "PO3", "O1", "Oz", "Pz",
+    "P4", "P8", "PO4", "O2", "T8", "CP2", "CP6", "C4",
+    "FC2", "FC6", "F4", "F8", "AF4", "Fp2", "Fz", "Cz",
+)
 
 
 def order_channels(channels: Sequence[str]) -> list[str]:
-    """Montage order when all its channels are present, else the given order."""
-    have = set(channels)
-    return list(CANONICAL_32) if have.issuperset(CANONICAL_32) else list(channels)
+    """The channels of the montage in its order; all given channels when none is of it."""
+    return [c for c in CANONICAL_32 if c in set(channels)] or list(channels)
 
 
 @operator("loso_window_dataset", inputs=("epochs", "labels"))
@@ -173,19 +176,19 @@ def loso_window_dataset(
     ``study`` labels are ``rating >= threshold`` of the trial named by the condition;
     ``pilot`` labels are 1 for conditions containing POS, 0 for NEG (POS first);
     ``auto`` is study when one of the first five conditions contains ``trial_``.
-    Windows without a label go.  The optional band-pass runs per window, and only
+    Windows without any label go, a target a window has no label for is null.  The optional band-pass runs per window, and only
     when its upper edge lies below half the rate.
     """
     if mode == "auto":
         few = [r[0] for r in epochs.select("condition").distinct().orderBy("condition").limit(5).collect()]
-        mode = "study" if any("trial_" in str(c) for c in few) else "pilot"
+        mode = "study" if any("trial_" in str(c).lower() for c in few) else "pilot"
     used = order_channels(channels)
     wins = segment_windows_samples(epochs.select(*keys, *EPOCH, time, *used), keys, sfreq, window_sec, step_sec, "epoch_id", time, hot)
     if mode == "study":
         lab = labels.select(
             *[k for k in keys if k in labels.columns], F.col("trial_id").cast("string").alias("condition"),
             *[(F.col(t) >= float(threshold)).cast("int").alias(f"y_{t}") for t in targets],
-        ).dropna(subset=[f"y_{t}" for t in targets])
+        ).dropna(how="all", subset=[f"y_{t}" for t in targets])
         out = wins.join(lab, [*[k for k in keys if k in labels.columns], "condition"])
     elif mode == "pilot":
         up = F.upper("condition")
