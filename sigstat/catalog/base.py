@@ -80,7 +80,7 @@ def intervals(spark, folder) -> DataFrame:
 
 INTERVALS = f"""intervals AS (
   SELECT participant_id, CASE WHEN k % 2 = 0 THEN 'A' ELSE 'B' END AS condition, k // 2 AS ordinal,
-         {FIRST} + k * {3 * DAY} AS start, {FIRST} + (k + 1) * {3 * DAY} AS stop
+         {FIRST}e0 + k * {3 * DAY} AS start, {FIRST}e0 + (k + 1) * {3 * DAY} AS stop
   FROM (SELECT DISTINCT user_id AS participant_id FROM events), (SELECT unnest(range(10)) AS k))"""
 
 

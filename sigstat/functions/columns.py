@@ -42,3 +42,8 @@ def total(cols: Sequence[Column]) -> Column:
     for c in cols[1:]:
         out = out + c
     return out
+
+
+def field(array, name: str) -> Column:
+    """One field of an array of structs, as an array."""
+    return F.transform(array, lambda s: s[name])

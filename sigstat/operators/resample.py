@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import is_numeric
+from ..functions.columns import field, is_numeric
 from ..functions.dist import normal_cdf, normal_quantile
 from ..plans.ordered import attach
 from ..registry import operator
@@ -86,7 +86,7 @@ def resample(
     many = many.groupBy(*group).agg(
         F.first("n").alias("n"), F.first("mean").alias("mean"), F.first("skew").alias("skew"),
         F.sort_array(F.collect_list(F.struct("__r", "sw", "swx", "swxx"))).alias("__all"),
-    ).select(*keep, *[F.transform("__all", lambda s, c=c: s[c]).alias(c) for c in ("sw", "swx", "swxx")])
+    ).select(*keep, *[field("__all", c).alias(c) for c in ("sw", "swx", "swxx")])
     return single.unionByName(many)
 
 

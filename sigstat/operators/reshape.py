@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import is_numeric
+from ..functions.columns import field, is_numeric
 from ..registry import operator
 
 
@@ -259,6 +259,6 @@ def stack_conditions(
     return stacked.select(
         *keys,
         F.transform("__all", lambda s: s["c"].cast("string")).alias("labels"),
-        *[F.transform("__all", lambda s, c=c: s[c]).alias(c) for c in lists],
+        *[field("__all", c).alias(c) for c in lists],
         *[F.lit(v).alias(k) for k, v in (constants or {}).items()],
     )

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import EPOCH, total
+from ..functions.columns import EPOCH, field, total
 from ..plans.ordered import AUTO, attach, ordered_scan
 from ..registry import operator
 from .segment import indexed
@@ -81,7 +81,7 @@ def gather(rows: DataFrame, group: Sequence[str], pos: str, channels: Sequence[s
     cells = F.struct(F.col(pos).alias("p"), *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(channels)])
     arr = rows.groupBy(*group).agg(F.sort_array(F.collect_list(cells)).alias("__all"))
     per = [
-        F.struct(F.lit(c).alias("channel"), F.transform("__all", lambda s, i=i: s[f"c{i}"]).alias("samples"))
+        F.struct(F.lit(c).alias("channel"), field("__all", f"c{i}").alias("samples"))
         for i, c in enumerate(channels)
     ]
     return arr.select(*group, F.inline(F.array(*per)))

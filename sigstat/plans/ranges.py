@@ -39,10 +39,8 @@ def interval_join(
         intervals.where(F.col(stop) >= F.col(start))
         .withColumn("__b", F.explode(F.sequence(F.floor(F.col(start) / b), F.floor(F.col(stop) / b))))
     )
-    cond = (left["__b"] == right["__b"]) & (left[at] >= right[start]) & (left[at] <= right[stop])
+    right = right.withColumnsRenamed({c: f"__r_{c}" for c in [*keys, "__b"]})
+    cond = (F.col("__b") == F.col("__r___b")) & F.col(at).between(F.col(start), F.col(stop))
     for k in keys:
-        cond = cond & (left[k] == right[k])
-    out = left.join(right, cond, "inner")
-    for k in [*keys, "__b"]:
-        out = out.drop(right[k])
-    return out.drop("__b")
+        cond = cond & (F.col(k) == F.col(f"__r_{k}"))
+    return left.join(right, cond, "inner").drop("__b", *[f"__r_{c}" for c in [*keys, "__b"]])

@@ -34,19 +34,24 @@ def read_csv(
     return df
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
-    """One row per line: ``doc_id`` (file), ``line_no``, ``lines``; split on ``\\n`` only.
+def read_lines(
+    spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8", numbered: bool = True
+) -> DataFrame:
+    """One row per line, split on ``\\n`` only: ``doc_id`` (file), ``line_no``, ``lines``.
 
-    The trailing empty line is kept.  ``wholetext`` reads a file as one value, so
-    a single file must stay below Spark's 2 GB value limit; line numbers need it.
+    Line numbers and the empty line after a final line end need a file as one value,
+    of 2 GB at most.  ``numbered=False`` reads large UTF-8 files in splits instead.
     """
-    if encoding.upper().replace("_", "-") in ("UTF-8", "UTF8"):
-        files = spark.read.option("wholetext", True).text(path)
-        body = F.col("value")
-    else:
-        files = spark.read.format("binaryFile").load(path)
-        body = F.decode("content", encoding)
     doc = F.col("_metadata.file_path")
+    utf8 = encoding.upper().replace("_", "-") in ("UTF-8", "UTF8")
+    if not numbered:
+        if not utf8:
+            raise ValueError("splits need UTF-8")
+        return spark.read.text(path, lineSep="\n").select(doc.alias("doc_id"), F.col("value").alias("lines"))
+    if utf8:
+        files, body = spark.read.text(path, wholetext=True), F.col("value")
+    else:
+        files, body = spark.read.format("binaryFile").load(path), F.decode("content", encoding)
     return files.select(doc.alias("doc_id"), F.posexplode(F.split(body, "\n", -1)).alias("line_no", "lines")).select(
         "doc_id", F.col("line_no").cast("long"), "lines"
     )
