@@ -1,6 +1,6 @@
 """Registered queries and their SQL twins."""
 
-from . import reshaping, rowstats, segments, selection, sources, spectra, summaries, testing  # noqa: F401
+from . import modelling, reshaping, rowstats, segments, selection, sources, spectra, streams, summaries, testing, trees  # noqa: F401
 from .base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

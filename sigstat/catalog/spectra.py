@@ -76,21 +76,23 @@ def spectrum_relational(spark, folder):
     return rounded(mean_spectrum(waves(spark, folder), K, ["x", "y"], {"both": ["x", "y"], "square": ["y"]}, method="relational"), 8)
 
 
-@query("coherence", rsql(f"""
-WITH {WAVES}, seg AS (SELECT epoch_id, s, seq - s * 8 AS pos, x, y FROM waves, (SELECT unnest(range(7)) AS s) WHERE seq >= s * 8 AND seq < s * 8 + 16),
+_CROSS = f"""WITH {WAVES}, seg AS (SELECT epoch_id, s, seq - s * 8 AS pos, x, y FROM waves, (SELECT unnest(range(7)) AS s) WHERE seq >= s * 8 AND seq < s * 8 + 16),
 d AS (SELECT epoch_id, s, pos, (x - avg(x) OVER w) * (0.5 - 0.5 * cos(2 * pi() * pos / 16)) AS x, (y - avg(y) OVER w) * (0.5 - 0.5 * cos(2 * pi() * pos / 16)) AS y FROM seg WINDOW w AS (PARTITION BY epoch_id, s)),
 f AS (SELECT epoch_id, s, k, sum(x * cos(2 * pi() * ((k * pos) % 16) / 16)) AS xr, -sum(x * sin(2 * pi() * ((k * pos) % 16) / 16)) AS xi,
   sum(y * cos(2 * pi() * ((k * pos) % 16) / 16)) AS yr, -sum(y * sin(2 * pi() * ((k * pos) % 16) / 16)) AS yi FROM d, (SELECT unnest(range(1, 5)) AS k) GROUP BY ALL)
-SELECT epoch_id, 'x-y' AS pair, avg(v) AS value FROM (SELECT epoch_id, k, sqrt(pow(avg(xr * yr + xi * yi), 2) + pow(avg(xi * yr - xr * yi), 2)) / sqrt(avg(xr * xr + xi * xi) * avg(yr * yr + yi * yi)) AS v FROM f GROUP BY ALL)
-GROUP BY epoch_id""", "value"))
+SELECT epoch_id, 'x-y' AS pair, avg(v) AS value FROM (SELECT epoch_id, k, {{}} AS v FROM f GROUP BY ALL) GROUP BY epoch_id"""
+_COH = "sqrt(pow(avg(xr * yr + xi * yi), 2) + pow(avg(xi * yr - xr * yi), 2)) / sqrt(avg(xr * xr + xi * xi) * avg(yr * yr + yi * yi))"
+_WPLI = "abs(avg(xi * yr - xr * yi)) / avg(abs(xi * yr - xr * yi))"
+
+
+@query("coherence", rsql(_CROSS.format(_COH), "value"))
 def coherent(spark, folder):
-    w = waves(spark, folder)
-    return rounded(coherence(w, ["epoch_id"], ["x", "y"], 64.0, 0.25, 0.125, 1.0, 16.0))
+    return rounded(coherence(waves(spark, folder), ["epoch_id"], ["x", "y"], 64.0, 0.25, 0.125, 1.0, 16.0))
 
 
-@query("coherence_wpli")
+@query("coherence_wpli", rsql(_CROSS.format(_WPLI), "value"))
 def wpli(spark, folder):
-    return coherence(waves(spark, folder), ["epoch_id"], ["x", "y"], 64.0, 0.25, 0.125, 1.0, 16.0, "wpli")
+    return rounded(coherence(waves(spark, folder), ["epoch_id"], ["x", "y"], 64.0, 0.25, 0.125, 1.0, 16.0, "wpli"))
 
 
 @query("channel_covariance", rsql("""
@@ -162,9 +164,9 @@ def _phase_table(spark, folder, channel, name, every=1):
 
 @query("plv_from_phases", rsql(f"""
 WITH {WAVES}, b AS (SELECT *, lead(y) OVER (PARTITION BY participant_id, epoch_id ORDER BY seq) AS ny FROM waves WHERE seq % 2 = 0),
-j AS (SELECT a.participant_id, a.condition, a.epoch_id, a.x * 3.0 AS pa, a.seq * 31.0 / 63.0 AS at, b.y * 3.0 AS p0, coalesce(b.ny, b.y) * 3.0 AS p1, floor(a.seq * 31.0 / 63.0) AS jx
+j AS (SELECT a.participant_id, a.condition, a.epoch_id, a.x * 3.0 AS pa, a.seq * 31.0 / 63.0 AS pos, b.y * 3.0 AS p0, coalesce(b.ny, b.y) * 3.0 AS p1, floor(a.seq * 31.0 / 63.0) AS jx
   FROM waves a JOIN b ON a.participant_id = b.participant_id AND a.epoch_id = b.epoch_id AND b.seq // 2 = CAST(floor(a.seq * 31.0 / 63.0) AS BIGINT)),
-d AS (SELECT participant_id, condition, epoch_id, pa - (p0 + (at - jx) * (p1 - p0)) AS d FROM j)
+d AS (SELECT participant_id, condition, epoch_id, pa - (p0 + (pos - jx) * (p1 - p0)) AS d FROM j)
 SELECT participant_id, condition, epoch_id, 'x-y' AS pair, sqrt(pow(avg(cos(d)), 2) + pow(avg(sin(d)), 2)) AS value FROM d GROUP BY ALL""", "value"))
 def from_phases(spark, folder):
     return rounded(plv_from_phases(_phase_table(spark, folder, "x", "x"), _phase_table(spark, folder, "y", "y", 2).drop("time"), K))

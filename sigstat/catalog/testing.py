@@ -96,16 +96,16 @@ def stars(spark, folder):
 
 
 @query("effect_size_eta", rsql(f"""WITH {means_sql()}, c AS (SELECT channel, condition, count(*) AS n, avg(value) AS m, var_pop(value) * count(*) AS ss FROM obs GROUP BY ALL), g AS (SELECT channel, avg(value) AS g FROM obs GROUP BY channel)
-SELECT channel, 'eta_squared' AS metric, 'all' AS condition_a, 'all' AS condition_b, sum(n * pow(m - g, 2)) / (sum(n * pow(m - g, 2)) + sum(ss)) AS value, CAST(NULL AS DOUBLE) AS ci_low, CAST(NULL AS DOUBLE) AS ci_high FROM c JOIN g USING (channel) GROUP BY channel""", "value", 3))
+SELECT channel, 'eta_squared' AS metric, 'all' AS condition_a, 'all' AS condition_b, sum(n * pow(m - g, 2)) / (sum(n * pow(m - g, 2)) + sum(ss)) AS value, CAST(NULL AS DOUBLE) AS ci_low, CAST(NULL AS DOUBLE) AS ci_high FROM c JOIN g USING (channel) GROUP BY channel""", "value", 4))
 def eta(spark, folder):
-    return rounded(effect_size(trials(spark, folder), "eta_sq"), 3)
+    return rounded(effect_size(trials(spark, folder), "eta_sq"), 4)
 
 
-@query("effect_size_d", rsql(f"WITH {means_sql(AB)}, {_S} SELECT channel, 'cohens_d' AS metric, 'F' AS condition_a, 'O' AS condition_b, (ma - mb) / sqrt((va + vb) / 2) AS value, true AS inside FROM s", "value", 3))
+@query("effect_size_d", rsql(f"WITH {means_sql(AB)}, {_S} SELECT channel, 'cohens_d' AS metric, 'F' AS condition_a, 'O' AS condition_b, (ma - mb) / sqrt((va + vb) / 2) AS value, true AS inside FROM s", "value", 4))
 def cohens_d(spark, folder):
     """The drawn limits have no SQL twin; that they enclose the estimate does."""
     out = effect_size(trials(spark, folder, AB))
-    return rounded(out.withColumn("inside", F.col("value").between(F.col("ci_low"), F.col("ci_high"))).drop("ci_low", "ci_high"), 3)
+    return rounded(out.withColumn("inside", F.col("value").between(F.col("ci_low"), F.col("ci_high"))).drop("ci_low", "ci_high"), 4)
 
 
 def _boot(method):

@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 from ..functions.columns import EPOCH
 from ..functions.filters import analytic_phase, butterworth, zero_phase
 from ..plans.asof import asof_join
-from ..plans.ordered import AUTO, ordered_scan
+from ..plans.ordered import AUTO, attach, once, ordered_scan
 from ..registry import operator
+from ..session import materialise
 
 
 @operator("analytic_phases")
@@ -25,9 +26,8 @@ def analytic_phases(
     band: tuple[float, float] | None,
     sfreq: float,
     time: str = "time",
-    hot=AUTO,
 ) -> DataFrame:
-    """Band-pass (order 4, zero phase) and Hilbert phase: ``channel, idx, n, time, phase``.
+    """Band-pass (order 4, zero phase) and Hilbert phase: ``channel, idx, n, time, phase, next``.
 
     The Hilbert transform needs an epoch as a whole; groups are single channels of
     single epochs, whose length is the epoch's duration times the rate.
@@ -43,15 +43,37 @@ def analytic_phases(
         x = pdf["__x"].to_numpy(dtype=float)
         if zpk is not None and len(x) > 1:
             x = zero_phase(x, zpk, pad)
-        return pdf[[*group, time]].assign(idx=np.arange(len(x)), n=len(x), phase=analytic_phase(x))
+        phase = analytic_phase(x)
+        return pdf[[*group, time]].assign(idx=np.arange(len(x)), n=len(x), phase=phase, next=np.append(phase[1:], phase[-1:]))
 
     schema = T.StructType(
         [T.StructField(c, long.schema[c].dataType) for c in [*group, time]]
-        + [T.StructField("idx", T.LongType()), T.StructField("n", T.LongType()), T.StructField("phase", T.DoubleType())]
+        + [T.StructField("idx", T.LongType()), T.StructField("n", T.LongType()), T.StructField("phase", T.DoubleType()),
+           T.StructField("next", T.DoubleType())]
     )
     return long.groupBy(*group).applyInPandas(run, schema)
 
 
+def _on_grid(phases: DataFrame, group: Sequence[str], length: DataFrame, tag: str) -> DataFrame:
+    """Phases interpolated linearly to ``__N`` samples; a stream of that length passes as it is.
+
+    Each sample covers the grid points from its own position up to the next one's, so
+    nothing but the epoch's length is joined.
+    """
+    rows = attach(phases, length, group, "inner")
+    i, m, n = F.col("idx"), F.col("n"), F.col("__N")
+    ratio = (n - 1) / (m - 1)
+    lo = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.ceil(i * ratio - 1e-9))
+    hi = F.when(i >= m - 1, n - 1).otherwise(F.ceil((i + 1) * ratio - 1e-9) - 1)
+    same = (m == n) | (m == 1)
+    lo, hi = F.when(same, i).otherwise(lo), F.when(m == n, i).when(m == 1, n - 1).otherwise(hi)
+    none = F.array().cast("array<bigint>")
+    rows = rows.withColumn("__j", F.explode(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(none)))
+    frac = F.when(same, F.lit(0.0)).otherwise(F.col("__j") / ratio - i)
+    phase = F.col("phase") + frac * (F.coalesce("next", "phase") - F.col("phase"))
+    return rows.select(*group, F.col("channel").alias(f"channel_{tag}"), "__j", phase.alias(f"__p{tag}"))
+
+
 @operator("plv_from_phases", inputs=("a", "b"))
 def plv_from_phases(a: DataFrame, b: DataFrame, keys: Sequence[str], hot=AUTO) -> DataFrame:
     """|mean exp(i difference)| per epoch and pair of channels from two phase tables.
@@ -61,28 +83,15 @@ def plv_from_phases(a: DataFrame, b: DataFrame, keys: Sequence[str], hot=AUTO) -
     """
     group = [*keys, *EPOCH]
 
-    def prepared(df, tag):
-        scan = ordered_scan(df, [*group, "channel"], ["idx"], lead={"next": "phase"}, hot=hot)
-        return scan.select(
-            *group, *[F.col(c).alias(f"{c}_{tag}") for c in ("channel", "idx", "n", "phase", "next")]
-        )
-
-    def paired(short, long, s, l):
-        j, n = F.col(f"idx_{l}"), F.col(f"n_{l}")
-        # lengths of the short side are per epoch and channel; they join first as one row each
-        size = short.groupBy(*group, f"channel_{s}").agg(F.max(f"n_{s}").alias("__m"))
-        rows = long.join(size, group)
-        rows = rows.where((F.col("__m") < n) if s == "b" else (F.col("__m") <= n))
-        at = F.when(n > 1, j * (F.col("__m") - 1) / (n - 1)).otherwise(F.lit(0.0))
-        rows = rows.withColumn("__at", at).withColumn("__j", F.floor("__at"))
-        hit = short.drop(f"n_{s}").withColumnRenamed(f"idx_{s}", "__j")
-        rows = rows.join(hit, [*group, f"channel_{s}", "__j"])
-        frac = F.col("__at") - F.col("__j")
-        phase = F.col(f"phase_{s}") + frac * (F.coalesce(f"next_{s}", f"phase_{s}") - F.col(f"phase_{s}"))
-        return rows.select(*group, "channel_a", "channel_b", (phase - F.col(f"phase_{l}")).alias("__d"))
-
-    left, right = prepared(a, "a"), prepared(b, "b")
-    both = paired(left, right, "a", "b").unionByName(paired(right, left, "b", "a"))
+    def prepared(df):
+        if "next" in df.columns:
+            return df
+        return ordered_scan(df, [*group, "channel"], ["idx"], lead={"next": "phase"}, hot=hot)
+
+    first = [df.where("idx = 0").select(*group, "n") for df in (a, b)]
+    length = first[0].unionByName(first[1]).groupBy(*group).agg(F.max("n").alias("__N"))
+    left, right = _on_grid(prepared(a), group, length, "a"), _on_grid(prepared(b), group, length, "b")
+    both = left.join(right, [*group, "__j"]).withColumn("__d", F.col("__pa") - F.col("__pb"))
     c, s = F.avg(F.cos("__d")), F.avg(F.sin("__d"))
     return both.groupBy(*group, F.concat_ws("-", "channel_a", "channel_b").alias("pair")).agg(
         F.sqrt(c * c + s * s).alias("value")
@@ -91,10 +100,13 @@ def plv_from_phases(a: DataFrame, b: DataFrame, keys: Sequence[str], hot=AUTO) -
 
 @operator("plv", inputs=("a", "b"))
 def plv(a, b, keys, channels_a, channels_b, band_a, band_b, sfreq_a: float, sfreq_b: float, time: str = "time", hot=AUTO) -> DataFrame:
-    """Phase-locking value of the channels of two continuous streams per epoch."""
-    pa = analytic_phases(a, keys, channels_a, band_a, sfreq_a, time, hot)
-    pb = analytic_phases(b, keys, channels_b, band_b, sfreq_b, time, hot)
-    return plv_from_phases(pa.drop(time), pb.drop(time), keys, hot)
+    """Phase-locking value of the channels of two continuous streams per epoch.
+
+    Phases are written once to the shared folder, as the join reads them twice.
+    """
+    pa = materialise(analytic_phases(a, keys, channels_a, band_a, sfreq_a, time), "phases")
+    pb = materialise(analytic_phases(b, keys, channels_b, band_b, sfreq_b, time), "phases")
+    return plv_from_phases(pa, pb, keys, hot)
 
 
 @operator("plv_events", inputs=("phases", "events"))
@@ -113,6 +125,8 @@ def plv_events(
     gap); before the first and from the last event on it is 0 and counts too.
     """
     group = [*keys, *EPOCH]
+    if once(events, group, hot) is None and once(phases, group, hot) is None:
+        hot = None
     base = events.select(*group, F.col(event_time).cast("double").alias("__et"))
     numbered = ordered_scan(base, group, ["__et"], index="__n0", hot=hot).withColumn("__no", F.col("__n0") + 1)
     # the last of equal times carries the count of events up to that time

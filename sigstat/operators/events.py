@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.patterns import glob_to_regex
 from ..plans.asof import asof_join
-from ..plans.ordered import AUTO, attach, ordered_scan
+from ..plans.ordered import AUTO, attach, once, ordered_scan
 from ..registry import operator
 
 
@@ -31,6 +31,7 @@ def extract_event_pairs(nodes: DataFrame, patterns: Sequence[str], hot=AUTO) ->
     next structural sibling that holds a trigger.  The condition is the first matching
     pattern without ``*``, in capitals.
     """
+    hot = once(nodes, ["doc_id", "parent_id"], hot)
     trig = F.contains(F.lower("entry"), F.lit("trigger")) & F.col("value").rlike(r"^\d+$")
     leaf = ~F.col("is_structural")
     sib = ["doc_id", "parent_id"]
@@ -108,6 +109,8 @@ def align_events(pairs: DataFrame, triggers: DataFrame, keys: Sequence[str], str
     with a conflict are resolved in sequence, one (key, trigger) at a time.
     """
     keys = list(keys)
+    if once(pairs, keys, hot) is None and once(triggers, keys, hot) is None:
+        hot = None
     trig = F.col("trigger").cast("double").cast("long").cast("string")
     need = pairs.select(*keys, "ordinal", "condition", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("start_trigger").alias("trigger"), F.col("start_onset").alias("onset")),

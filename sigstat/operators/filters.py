@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.filters import butterworth, settling, zero_phase
 from ..plans.halo import BLK, CORE, halo_blocks
-from ..plans.ordered import AUTO, ordered_scan
+from ..plans.ordered import AUTO, once, ordered_scan
 from ..registry import operator
 from .segment import indexed
 
@@ -149,7 +149,8 @@ def suppress_near(peaks: DataFrame, keys: Sequence[str], distance: int, halo: in
             return out.loc[pdf[CORE].to_numpy() & (keep | ~sure), [*names, "__sure"]]
 
         got = rows.groupBy(*keys, BLK).applyInPandas(run, schema)
-        largest = numbered.agg(F.max("__n")).first()[0] or 0
+        largest = peaks.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        # a series of one block has no open border
         if largest <= max(BLOCK, halo) or got.where(~F.col("__sure")).isEmpty():
             return got.drop("__sure")
         halo *= 8
@@ -173,6 +174,7 @@ def detect_peaks(
     only the higher peak stays.  ``peak_sample`` counts inside the group.
     """
     keys, order = list(keys), list(order or [time])
+    hot = once(df, keys, hot)
     peaks = _maxima(df, keys, signal, order, hot)
     if height is not None:
         peaks = peaks.where(F.col("__height") >= float(height))
@@ -202,6 +204,7 @@ def detect_r_peaks(
     higher stays.
     """
     keys, order = list(keys), list(order or [time])
+    hot = once(df, keys, hot)
     short, long = max(1, int(round(0.1 * sfreq))), max(1, int(round(0.75 * sfreq)))
     rows = indexed(df.select(*dict.fromkeys([*keys, *order, time, signal])), keys, order, hot)
     # both means look at most ``reach`` samples to each side: blocks with that overlap are exact

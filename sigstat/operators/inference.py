@@ -243,16 +243,16 @@ def anova_oneway(
         F.count(F.lit(1)).cast("double").alias("__n"), F.avg("__v").alias("__m"), (F.var_pop("__v") * F.count(F.lit(1))).alias("__ss")
     )
     grand = cell.groupBy(*group).agg(
-        F.sum("__n").alias("__N"), (F.sum(F.col("__n") * F.col("__m")) / F.sum("__n")).alias("__g")
+        F.sum("__n").alias("__tot"), (F.sum(F.col("__n") * F.col("__m")) / F.sum("__n")).alias("__g")
     )
     d = F.col("__m") - F.col("__g")
     tot = attach(cell, grand, group, "inner").groupBy(*group).agg(
-        F.sum(F.col("__n") * d * d).alias("__ssb"), F.sum("__ss").alias("__ssw"), F.max("__N").alias("__N"),
+        F.sum(F.col("__n") * d * d).alias("__ssb"), F.sum("__ss").alias("__ssw"), F.max("__tot").alias("__tot"),
         F.count(F.lit(1)).alias("__k"), F.min("__n").alias("__least"),
     )
     if strict and not tot.where("__least < 2 or __ssb + __ssw = 0").isEmpty():
         raise ValueError("a level has fewer than two rows, or a variable does not vary")
-    df1, df2 = F.col("__k") - 1, (F.col("__N") - F.col("__k")).cast("long")
+    df1, df2 = F.col("__k") - 1, (F.col("__tot") - F.col("__k")).cast("long")
     out = tot.select(
         *group, F.lit(between).alias("factor"),
         ((F.col("__ssb") / df1) / (F.col("__ssw") / df2)).alias("F"), df1.cast("long").alias("df1"), df2.alias("df2"),

@@ -200,8 +200,7 @@ def full_segments(index: Column, count: Column, length: int, step: int) -> Colum
 
 def indexed(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot=AUTO) -> DataFrame:
     """Sample number ``__i`` inside a series and its length ``__n``."""
-    scan = ordered_scan(df, keys, order, index="__i", hot=hot)
-    return attach(scan, df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), list(keys), "inner")
+    return ordered_scan(df, keys, order, index="__i", size="__n", hot=hot)
 
 
 @operator("segment_fixed")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import missing
-from ..plans.ordered import AUTO, attach, exact_quantiles, ordered_scan
+from ..plans.ordered import AUTO, attach, exact_quantiles, once, ordered_scan
 from ..registry import operator
 
 
@@ -113,6 +113,7 @@ def infer_sfreq(
         step = both.select(*keys, (F.col("__b")[time] - F.col("__a")[time]).alias("__step"))
         fallback = 128.0
     elif rule == "median":
+        hot = once(df, keys, hot)
         scan = ordered_scan(df.select(*keys, time), keys, [time], lag={"__p": time}, hot=hot)
         diffs = scan.select(*keys, (F.col(time) - F.col("__p")).alias("__d"))
         med = exact_quantiles(diffs, keys, "__d", {"__step": 0.5}, hot=hot)

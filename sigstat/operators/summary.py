@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import EPOCH, infer_channels, total
-from ..plans.ordered import AUTO, attach, exact_quantiles, ordered_scan
+from ..plans.ordered import AUTO, attach, exact_quantiles, once, ordered_scan
 from ..registry import operator
 
 
@@ -186,6 +186,7 @@ def interval_metrics(
         raise ValueError("give time_col, or sfreq with order")
     src, scale = (time_col, 1000.0) if time_col else (event_col, 1000.0 / float(sfreq))
     base = df.select(*dict.fromkeys([*keys, *along, src]))
+    hot = once(base, keys, hot)
     one = ordered_scan(base, keys, along, lag={"__p": src}, hot=hot)
     one = one.withColumn("__iv", (F.col(src) - F.col("__p")) * scale)
     two = ordered_scan(one, keys, along, lag={"__q": "__iv"}, hot=hot)

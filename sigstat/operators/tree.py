@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.patterns import glob_to_regex
 from ..plans.asof import asof_join
-from ..plans.ordered import AUTO, attach, ordered_scan
+from ..plans.ordered import AUTO, attach, once, ordered_scan
 from ..registry import operator
 
 NODE = ("doc_id", "node_id", "parent_id", "level", "seq", "ordinal", "entry", "value", "is_structural", "subtree_end")
@@ -70,6 +70,7 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
     that jumps by more than one leaves its node detached: it is not in the result,
     and what follows goes to the node that was open.
     """
+    hot = once(entries, ["doc_id"], hot)
     marker = F.col("key").eqNullSafe(F.lit(depth_key)) & F.col("value").rlike(r"^\d+$")
     base = entries.select("doc_id", *order, "key", "value").withColumn("__level", F.when(marker, F.col("value").cast("int")))
     base = ordered_scan(base, ["doc_id"], list(order), index="__i", hot=hot).drop(*order)
@@ -203,6 +204,7 @@ def reparent_by_onset(nodes: DataFrame, deepest: int | None = None, hot=AUTO) ->
     before its own, or to the first parent.  Leaves come first.  All levels are joined in
     one as-of pass, keyed by level.
     """
+    hot = once(nodes, ["doc_id"], hot)
     deepest = deepest if deepest is not None else nodes.where("is_structural").agg(F.max("level")).first()[0] or 0
     on = node_onsets(nodes, hot)
     flags = on.groupBy("doc_id", "level").agg(F.count_if(F.col("onset").isNull()).alias("__bad"))
@@ -247,6 +249,7 @@ def structural_children(nodes: DataFrame, of: DataFrame) -> DataFrame:
 @operator("select_branches")
 def select_branches(nodes: DataFrame, selectors: Sequence[str], hot=AUTO) -> DataFrame:
     """Branches by ``key: glob``; each further selector looks at the children of what matched."""
+    hot = once(nodes, ["doc_id"], hot)
     current = nodes.where("is_structural").select(*NODE)
     for i, text in enumerate(selectors):
         key, glob = (s.strip() for s in text.split(":", 1))
@@ -294,6 +297,7 @@ def questionnaire(
     nodes below the selection that have the value.  Empty values count but do not enter
     the mean; one value has no deviation.  ``across`` pools the documents.
     """
+    hot = once(nodes, ["doc_id"], hot)
     picked = select_branches(nodes, selectors, hot) if selectors else nodes.where("is_structural").select(*NODE)
     want = [k for k in (data, position, label_field, x) if k]
     props = node_property(nodes, list(dict.fromkeys(want)), hot)

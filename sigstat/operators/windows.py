@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import total
-from ..plans.ordered import AUTO, attach, exact_quantiles, first_rows, ordered_scan
+from ..plans.ordered import AUTO, attach, exact_quantiles, first_rows, once, ordered_scan
 from ..registry import operator
 from .select import match_channels
 
@@ -122,6 +122,7 @@ def tddr(
     summed again from the first value; series with s below 1e-10 stay as they are.
     """
     keys = list(keys)
+    hot = once(df, keys, hot)
     x = F.col(value)
     steps = ordered_scan(df, keys, order, lag={"__p": value}, hot=hot).withColumn(
         "__d", F.coalesce(x - F.col("__p"), F.lit(0.0))

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .skew import BLOCK, HotKeys, find_hot_keys, with_blocks
+from . import skew
+from .skew import BLOCK, HotKeys, find_hot_keys, largest_group, with_blocks
 
 AUTO = "auto"
 
@@ -33,7 +34,18 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
 
 
 def resolve_hot(df: DataFrame, keys: Sequence[str], order: str, hot) -> HotKeys | None:
-    return find_hot_keys(df, keys, order) if hot == AUTO else hot
+    return find_hot_keys(df, keys, order, min_rows=skew.MIN_HOT_ROWS) if hot == AUTO else hot
+
+
+def once(df: DataFrame, keys: Sequence[str], hot):
+    """One check for operators of several passes: None where no group is large.
+
+    Passes over rows derived from ``df``, by the same or finer keys, then need no
+    check of their own; where a group is large each pass finds its own cuts.
+    """
+    if hot != AUTO:
+        return hot
+    return None if largest_group(df, keys)[1] <= skew.MIN_HOT_ROWS else AUTO
 
 
 def ordered_scan(
@@ -42,6 +54,7 @@ def ordered_scan(
     order: Sequence[str],
     *,
     index: str | None = None,
+    size: str | None = None,
     lag: Mapping[str, str | Column] | None = None,
     lead: Mapping[str, str | Column] | None = None,
     cumsum: Mapping[str, str | Column] | None = None,
@@ -50,7 +63,7 @@ def ordered_scan(
     cummin_back: Mapping[str, str | Column] | None = None,
     hot: HotKeys | None | str = AUTO,
 ) -> DataFrame:
-    """Add ordered columns: ``index`` is 0-based; the mappings are new name -> source.
+    """Add ordered columns: ``index`` is 0-based, ``size`` the rows of the key; the mappings are new name -> source.
 
     ``ffill`` is the last non-null value up to and including the row, ``bfill``
     the next non-null value after it (taken in reverse order, so that it too is
@@ -77,6 +90,8 @@ def ordered_scan(
         added |= {n: F.min(as_col(c)).over(tail) for n, c in cummin_back.items()}
         if index:
             added[index] = (F.row_number().over(w) - 1).cast("long")
+        if size:
+            added[size] = F.count(F.lit(1)).over(W.partitionBy(*keys))
         return df.withColumns(added)
 
     blocked = with_blocks(df, hot, order[0])
@@ -108,6 +123,7 @@ def ordered_scan(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(group)],
         "__cnt",
         F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"),
+        F.sum("__cnt").over(W.partitionBy(*keys)).alias("__all"),
         *[F.lag(f"__last_{n}").over(wk)["v"].alias(f"__cl_{n}") for n in lag],
         *[F.lead(f"__first_{n}").over(wk)["v"].alias(f"__cf_{n}") for n in lead],
         *[F.sum(f"__tot_{n}").over(before).alias(f"__cs_{n}") for n in cumsum],
@@ -138,6 +154,8 @@ def ordered_scan(
     final |= {n: F.least(f"__mb_{n}", f"__cmb_{n}") for n in cummin_back}
     if index:
         final[index] = F.col("__rn") - 1 + F.col("__off")
+    if size:
+        final[size] = F.col("__all")
     return out.withColumns(final).select(*df.columns, *final)
 
 

@@ -44,6 +44,13 @@ def axis(df: DataFrame, name: str) -> Column:
     return col.cast("double")
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows in all and in the largest group: a scan of the key columns only."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
+    return total or 0, largest or 0
+
+
 def find_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
@@ -52,13 +59,11 @@ def find_hot_keys(
     min_rows: int = MIN_HOT_ROWS,
 ) -> HotKeys | None:
     """The keys that need cutting, or None where no group passes ``min_rows``."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
-    if largest is None or largest <= min_rows:
-        return None
+    total, largest = largest_group(df, keys)
     limit = max(min_rows, total // splits)
     if largest <= limit:
         return None
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     rows = tuple(tuple(r) for r in counts.where(F.col("__n") > limit).select(*keys).collect())
     hot = HotKeys(tuple(keys), rows, ())
     probs = [i / splits for i in range(1, splits)]
