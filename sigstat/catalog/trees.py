@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.tree import build_tree, node_onsets, node_property, questionnaire, reparent_by_onset, select_branches, split_entries
+from ..session import materialise
 from .base import query, rounded, rsql, table
 
 
@@ -39,7 +40,7 @@ def _entries(spark, folder):
 
 
 def nodes(spark, folder):
-    return build_tree(_entries(spark, folder), "Level", ["cust", "ord", "k"])
+    return materialise(build_tree(_entries(spark, folder), "Level", ["cust", "ord", "k"]), "nodes")
 
 
 NODES = """ent AS (

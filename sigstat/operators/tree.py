@@ -18,6 +18,7 @@ from ..functions.patterns import glob_to_regex
 from ..plans.asof import asof_join
 from ..plans.ordered import AUTO, attach, once, ordered_scan
 from ..registry import operator
+from ..session import materialise
 
 NODE = ("doc_id", "node_id", "parent_id", "level", "seq", "ordinal", "entry", "value", "is_structural", "subtree_end")
 WIDEST = 32  # deepest level handled by columns; deeper documents take the stack
@@ -73,7 +74,8 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
     hot = once(entries, ["doc_id"], hot)
     marker = F.col("key").eqNullSafe(F.lit(depth_key)) & F.col("value").rlike(r"^\d+$")
     base = entries.select("doc_id", *order, "key", "value").withColumn("__level", F.when(marker, F.col("value").cast("int")))
-    base = ordered_scan(base, ["doc_id"], list(order), index="__i", hot=hot).drop(*order)
+    # numbered once and written: everything below reads it several times
+    base = materialise(ordered_scan(base, ["doc_id"], list(order), index="__i", hot=hot).drop(*order), "entries")
 
     marks = base.where("__level is not null").select("doc_id", "__i", "__level")
     seen = ordered_scan(marks, ["doc_id"], ["__i"], lag={"__was": "__level"}, hot=hot)
@@ -105,7 +107,8 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
         bfill={f"__nx{d}": F.when(F.col("__depth") <= d, F.col("__node")) for d in levels},
         hot=hot,
     )
-    last = rows.groupBy("doc_id").agg(
+    scan = materialise(scan, "marked")
+    last = scan.groupBy("doc_id").agg(
         F.max("seq").alias("__last"), F.bool_or((F.col("__c") == 0) & F.col("key").eqNullSafe(F.lit(depth_key))).alias("__has")
     )
     scan = attach(scan, last, ["doc_id"], "inner")
@@ -211,7 +214,8 @@ def reparent_by_onset(nodes: DataFrame, deepest: int | None = None, hot=AUTO) ->
     parents = flags.select("doc_id", (F.col("level") + 1).alias("level"), F.col("__bad").alias("__pbad"))
     rows = on.join(flags, ["doc_id", "level"]).join(parents, ["doc_id", "level"], "left")
     move = (F.col("level") >= 2) & (F.col("__bad") == 0) & (F.col("__pbad") == 0)
-    rows = rows.withColumn("__move", F.coalesce(move, F.lit(False)))
+    rows = materialise(rows.withColumn("__move", F.coalesce(move, F.lit(False))), "onsets")
+    on = rows.select("doc_id", "node_id", "level", "seq", "onset")
     targets = on.where("onset is not null").select(
         "doc_id", (F.col("level") + 1).alias("level"), F.col("onset").alias("__pt"), F.col("seq").alias("__ps"), F.col("node_id").alias("__pid")
     )
@@ -225,7 +229,7 @@ def reparent_by_onset(nodes: DataFrame, deepest: int | None = None, hot=AUTO) ->
     leaves = nodes.where(~F.col("is_structural")).select(*cols, F.lit(None).cast("double").alias("__k"))
     both = leaves.unionByName(placed).withColumn("__s", F.col("is_structural").cast("int"))
     ordered = ordered_scan(both, ["doc_id", "parent_id"], ["__s", "__k", "seq"], index="ordinal", hot=hot)
-    return renumber(ordered.drop("__s", "__k"), deepest, hot)
+    return renumber(materialise(ordered.drop("__s", "__k"), "placed"), deepest, hot)
 
 
 @operator("node_property")
@@ -332,13 +336,11 @@ def questionnaire(
             got = hit.groupBy(*group, "pos").agg(*stats)
             frame = target.select(*group).distinct().select("*", F.posexplode(F.array(*[F.lit(v) for v in labels])).alias("pos", "x"))
             frame = frame.withColumn("pos", F.col("pos") + 1)
+            got = got.withColumnsRenamed({g: f"__{g}" for g in [*group, "pos"]})
             cond = F.lit(True)
             for g in [*group, "pos"]:
-                cond = cond & frame[g].eqNullSafe(got[g])
-            out = frame.join(got, cond, "left")
-            for g in [*group, "pos"]:
-                out = out.drop(got[g])
-            return out.select(*group, "pos", "x", "mean", "sd", F.coalesce("count", F.lit(0)).alias("count"))
+                cond = cond & F.col(g).eqNullSafe(F.col(f"__{g}"))
+            return frame.join(got, cond, "left").select(*group, "pos", "x", "mean", "sd", F.coalesce("count", F.lit(0)).alias("count"))
         name = F.min_by(F.nullif(F.col(f"prop_{label_field}"), F.lit("")), F.when(F.col(f"prop_{label_field}") != "", F.struct("doc_id", "seq")))
         got = target.groupBy(*group, "pos").agg(name.alias("x"), *stats)
         return got.where("x is not null")
