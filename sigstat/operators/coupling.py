@@ -16,6 +16,7 @@ from ..plans.asof import asof_join
 from ..plans.ordered import AUTO, attach, once, ordered_scan
 from ..registry import operator
 from ..session import materialise
+from .spectral import gather
 
 
 @operator("analytic_phases")
@@ -32,26 +33,29 @@ def analytic_phases(
     The Hilbert transform needs an epoch as a whole; groups are single channels of
     single epochs, whose length is the epoch's duration times the rate.
     """
-    group = [*keys, *EPOCH, "channel"]
-    long = epochs.select(*keys, *EPOCH, time, *channels).unpivot([*keys, *EPOCH, time], list(channels), "channel", "__x")
+    group = [*keys, *EPOCH]
+    rows = epochs.select(*group, F.col(time), *channels)
     zpk = butterworth(4, band[0], band[1], sfreq) if band else None
     # fixed value: the usual padding of a forward-backward pass, three times the nine coefficients
     pad = 27
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time, kind="stable")
-        x = pdf["__x"].to_numpy(dtype=float)
-        if zpk is not None and len(x) > 1:
-            x = zero_phase(x, zpk, pad)
-        phase = analytic_phase(x)
-        return pdf[[*group, time]].assign(idx=np.arange(len(x)), n=len(x), phase=phase, next=np.append(phase[1:], phase[-1:]))
-
-    schema = T.StructType(
-        [T.StructField(c, long.schema[c].dataType) for c in [*group, time]]
-        + [T.StructField("idx", T.LongType()), T.StructField("n", T.LongType()), T.StructField("phase", T.DoubleType()),
-           T.StructField("next", T.DoubleType())]
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def phase(samples: pd.Series) -> pd.Series:
+        out = []
+        for s in samples:
+            x = np.asarray(s, dtype=float)
+            out.append(analytic_phase(zero_phase(x, zpk, pad) if zpk is not None and len(x) > 1 else x))
+        return pd.Series(out)
+
+    arrays = gather(rows, group, time, channels, position="__time")
+    arrays = arrays.select(*group, "channel", "__time", phase("samples").alias("__phase"))
+    n = F.size("__phase").cast("long")
+    after = F.concat(F.slice("__phase", F.lit(2), F.greatest(F.size("__phase") - 1, F.lit(0))), F.slice("__phase", -1, 1))
+    cells = F.arrays_zip(F.col("__time").alias("t"), F.col("__phase").alias("p"), after.alias("q"))
+    return arrays.select(*group, "channel", n.alias("n"), F.posexplode(cells).alias("idx", "__c")).select(
+        *group, F.col("__c.t").alias(time), "channel", F.col("idx").cast("long").alias("idx"), "n",
+        F.col("__c.p").alias("phase"), F.col("__c.q").alias("next"),
     )
-    return long.groupBy(*group).applyInPandas(run, schema)
 
 
 def _on_grid(phases: DataFrame, group: Sequence[str], length: DataFrame, tag: str) -> DataFrame:

@@ -14,6 +14,7 @@ from ..functions.patterns import glob_to_regex
 from ..plans.asof import asof_join
 from ..plans.ordered import AUTO, attach, once, ordered_scan
 from ..registry import operator
+from ..session import materialise
 
 
 def _onset_leaf():
@@ -132,8 +133,23 @@ def align_events(pairs: DataFrame, triggers: DataFrame, keys: Sequence[str], str
     near = asof_join(need, rec, unit, "__want", "time", ["time"], "__lo", "__hi", hot)
     lo, hi, w = F.col("__lo.time"), F.col("__hi.time"), F.col("__want")
     best = F.when(lo.isNotNull() & (hi.isNull() | (w - lo <= hi - w)), lo).otherwise(hi)
-    near = near.withColumn("__t", best).drop("__lo", "__hi")
+    near = materialise(near.withColumn("__t", best).drop("__lo", "__hi"), "nearest")
     clash = near.where("__t is not null").groupBy(*unit, "__t").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*unit).distinct()
+    found = near if clash.isEmpty() else _settle(near, rec, clash, unit)
+    out = _place(found, need, rec, keys, hot)
+    times = out.groupBy(*keys, "condition", "ordinal").agg(
+        F.max(F.when(F.col("side") == 0, F.col("__t"))).alias("start"), F.max(F.when(F.col("side") == 1, F.col("__t"))).alias("stop")
+    )
+    if strict:
+        if not times.where("start is null or stop is null or start = 0 or stop = 0").isEmpty():
+            raise ValueError("an event could not be aligned")
+        if not out.groupBy(*keys, "__t").count().where("count > 1").isEmpty():
+            raise ValueError("two events share a recorder time")
+    return times
+
+
+def _settle(near: DataFrame, rec: DataFrame, clash: DataFrame, unit: Sequence[str]) -> DataFrame:
+    """Resolve the triggers whose onsets want the same time, in the order of the events."""
     clear = near.join(clash, unit, "left_anti")
     tangled = near.join(clash, unit, "left_semi").drop("__t")
     pool = rec.join(clash, unit, "left_semi")
@@ -147,27 +163,23 @@ def align_events(pairs: DataFrame, triggers: DataFrame, keys: Sequence[str], str
         settle, T.StructType([*names, T.StructField("__t", T.DoubleType())])
     )
     solved = solved.withColumn("__t", F.nanvl("__t", F.lit(None).cast("double")))
-    found = clear.select(*solved.columns).unionByName(solved)
+    return clear.select(*solved.columns).unionByName(solved)
+
 
-    # without a time of its own: local offset at the nearest trigger of any kind
+def _place(found: DataFrame, need: DataFrame, rec: DataFrame, keys: Sequence[str], hot) -> DataFrame:
+    """Onsets without a time of their own: local offset at the nearest trigger of any kind."""
+    lost = found.where("__t is null")
+    if lost.isEmpty():
+        return found
+    unit, w = [*keys, "trigger"], F.col("__want")
     onsets = need.groupBy(*unit).agg(
         F.coalesce(
             F.min_by("onset", F.when(F.col("side") == 0, F.col("ordinal"))), F.min_by("onset", F.when(F.col("side") == 1, F.col("ordinal")))
         ).alias("__tree")
     )
     anchors = rec.join(onsets, unit).select(*keys, "time", "trigger", "__tree")
-    lost = found.where("__t is null")
     placed = asof_join(lost, anchors, keys, "__want", "time", ["time", "trigger", "__tree"], "__lo", "__hi", hot)
     lo, hi = F.col("__lo"), F.col("__hi")
     nearest = F.when(lo.isNotNull() & (hi.isNull() | (w - lo["time"] <= hi["time"] - w)), lo).otherwise(hi)
     placed = placed.withColumn("__n", nearest).withColumn("__t", F.col("onset") - (F.col("__n.__tree") - F.col("__n.time")))
-    times = found.where("__t is not null").unionByName(placed.select(*found.columns))
-    out = times.groupBy(*keys, "condition", "ordinal").agg(
-        F.max(F.when(F.col("side") == 0, F.col("__t"))).alias("start"), F.max(F.when(F.col("side") == 1, F.col("__t"))).alias("stop")
-    )
-    if strict:
-        if not out.where("start is null or stop is null or start = 0 or stop = 0").isEmpty():
-            raise ValueError("an event could not be aligned")
-        if not times.groupBy(*keys, "__t").count().where("count > 1").isEmpty():
-            raise ValueError("two events share a recorder time")
-    return out
+    return found.where("__t is not null").unionByName(placed.select(*found.columns))

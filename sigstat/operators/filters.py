@@ -43,18 +43,24 @@ def apply_zero_phase(df: DataFrame, keys: Sequence[str], value: str, order: Sequ
     halo = settling(zpk[1]) + pad
     block = max(block, 2 * halo)
     rows = halo_blocks(indexed(df, keys, order, hot), "__i", "__n", block, halo)
+    names = [c for c in df.columns if c not in keys]
+    last = F.col("__i") == F.col("__n") - 1
+    cells = F.sort_array(F.collect_list(F.struct("__i", CORE, *names)))
+    arrays = rows.groupBy(*keys, BLK).agg(
+        cells.alias("__cells"), F.bool_or(F.col("__i") == 0).alias("__first"), F.bool_or(last).alias("__last")
+    )
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__i", kind="stable")
-        x = pdf[value].to_numpy(dtype=float)
-        ends = pdf["__i"].iloc[0] == 0, pdf["__i"].iloc[-1] == pdf["__n"].iloc[0] - 1
-        pdf = pdf.assign(**{value: zero_phase(x, zpk, pad, *map(bool, ends)) if len(x) > 1 else x})
-        return pdf.loc[pdf[CORE], names]
-
-    names = list(df.columns)
-    rows = rows.withColumn(value, F.col(value).cast("double"))
-    schema = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in names])
-    return rows.groupBy(*keys, BLK).applyInPandas(run, schema)
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def run(x: pd.Series, first: pd.Series, last: pd.Series) -> pd.Series:
+        out = []
+        for s, a, b in zip(x, first, last):
+            v = np.asarray(s, dtype=float)
+            out.append(zero_phase(v, zpk, pad, bool(a), bool(b)) if len(v) > 1 else v)
+        return pd.Series(out)
+
+    done = run(F.transform("__cells", lambda s: s[value].cast("double")), "__first", "__last")
+    flat = arrays.select(*keys, F.inline(F.arrays_zip(F.col("__cells").alias("c"), done.alias("y")))).where(F.col(f"c.{CORE}"))
+    return flat.select(*[F.col("y").alias(c) if c == value else F.col(c) if c in keys else F.col("c")[c].alias(c) for c in df.columns])
 
 
 @operator("filter_signal")

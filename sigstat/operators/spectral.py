@@ -76,15 +76,19 @@ def _transform(x: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"re": [g.real for g in got], "im": [g.imag for g in got]})
 
 
-def gather(rows: DataFrame, group: Sequence[str], pos: str, channels: Sequence[str]) -> DataFrame:
-    """One row per (group, channel) with the samples as an array in order of position."""
+def gather(rows: DataFrame, group: Sequence[str], pos: str, channels: Sequence[str], position: str | None = None) -> DataFrame:
+    """One row per (group, channel) with the samples as an array in order of position.
+
+    ``position`` names a column for the array of positions.
+    """
     cells = F.struct(F.col(pos).alias("p"), *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(channels)])
     arr = rows.groupBy(*group).agg(F.sort_array(F.collect_list(cells)).alias("__all"))
     per = [
         F.struct(F.lit(c).alias("channel"), field("__all", f"c{i}").alias("samples"))
         for i, c in enumerate(channels)
     ]
-    return arr.select(*group, F.inline(F.array(*per)))
+    extra = [field("__all", "p").alias(position)] if position else []
+    return arr.select(*group, *extra, F.inline(F.array(*per)))
 
 
 def _first_epoch(epochs: DataFrame, keys: Sequence[str], time: str, per_epoch: DataFrame) -> DataFrame:
