@@ -44,6 +44,11 @@ def total(cols: Sequence[Column]) -> Column:
     return out
 
 
+def ratio(a, b) -> Column:
+    """a / b, null where b is 0 (a plain division raises under ANSI rules)."""
+    return F.try_divide(a, b)
+
+
 def field(array, name: str) -> Column:
     """One field of an array of structs, as an array."""
     return F.transform(array, lambda s: s[name])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import EPOCH
+from ..functions.columns import EPOCH, ratio
 from ..functions.filters import analytic_phase, butterworth, zero_phase
 from ..plans.asof import asof_join
 from ..plans.ordered import AUTO, attach, once, ordered_scan
@@ -66,14 +66,14 @@ def _on_grid(phases: DataFrame, group: Sequence[str], length: DataFrame, tag: st
     """
     rows = attach(phases, length, group, "inner")
     i, m, n = F.col("idx"), F.col("n"), F.col("__N")
-    ratio = (n - 1) / (m - 1)
-    lo = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.ceil(i * ratio - 1e-9))
-    hi = F.when(i >= m - 1, n - 1).otherwise(F.ceil((i + 1) * ratio - 1e-9) - 1)
+    stretch = ratio(n - 1, m - 1)
+    lo = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.ceil(i * stretch - 1e-9))
+    hi = F.when(i >= m - 1, n - 1).otherwise(F.ceil((i + 1) * stretch - 1e-9) - 1)
     same = (m == n) | (m == 1)
     lo, hi = F.when(same, i).otherwise(lo), F.when(m == n, i).when(m == 1, n - 1).otherwise(hi)
     none = F.array().cast("array<bigint>")
     rows = rows.withColumn("__j", F.explode(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(none)))
-    frac = F.when(same, F.lit(0.0)).otherwise(F.col("__j") / ratio - i)
+    frac = F.when(same, F.lit(0.0)).otherwise(F.col("__j") / stretch - i)
     phase = F.col("phase") + frac * (F.coalesce("next", "phase") - F.col("phase"))
     return rows.select(*group, F.col("channel").alias(f"channel_{tag}"), "__j", phase.alias(f"__p{tag}"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import EPOCH, infer_channels, is_numeric, missing
+from ..functions.columns import EPOCH, infer_channels, is_numeric, missing, ratio
 from ..functions.dist import (
     p_chi2, p_fisher, p_mann_whitney_exact, p_normal, p_signed_rank_exact, p_student,
 )
@@ -100,17 +100,17 @@ def ttest(
     if kind == "paired":
         d = F.col("__a") - F.col("__b")
         pairs = _paired(df, keys, list(by), cols, a, b, pair_key, hot).groupBy(*group).agg(
-            F.count(d).alias("np"), (F.avg(d) / (F.stddev_samp(d) / F.sqrt(F.count(d)))).alias("__t")
+            F.count(d).alias("np"), ratio(F.avg(d) * F.sqrt(F.count(d)), F.stddev_samp(d)).alias("__t")
         )
         stat = stat.join(pairs, group).withColumn("__df", F.col("np") - 1.0)
     elif kind == "welch" or not equal_var:
-        sa, sb = va / na, vb / nb
-        stat = stat.withColumn("__t", diff / F.sqrt(sa + sb)).withColumn(
-            "__df", (sa + sb) * (sa + sb) / (sa * sa / (na - 1) + sb * sb / (nb - 1))
+        sa, sb = ratio(va, na), ratio(vb, nb)
+        stat = stat.withColumn("__t", ratio(diff, F.sqrt(sa + sb))).withColumn(
+            "__df", ratio((sa + sb) * (sa + sb), ratio(sa * sa, na - 1) + ratio(sb * sb, nb - 1))
         )
     elif kind == "independent":
-        pooled = ((na - 1) * va + (nb - 1) * vb) / (na + nb - 2)
-        stat = stat.withColumn("__t", diff / F.sqrt(pooled * (1 / na + 1 / nb))).withColumn("__df", na + nb - 2)
+        pooled = ratio((na - 1) * va + (nb - 1) * vb, na + nb - 2)
+        stat = stat.withColumn("__t", ratio(diff, F.sqrt(pooled * (ratio(F.lit(1.0), na) + ratio(F.lit(1.0), nb))))).withColumn("__df", na + nb - 2)
     else:
         raise ValueError(f"unknown kind {kind!r}")
     out = stat.withColumn("__p", p_student(F.col("__t"), F.col("__df")))
@@ -163,8 +163,8 @@ def mann_whitney(
     n = n1 + n2
     s = s.withColumn("__stat", F.col("__r") - n1 * (n1 + 1) / 2)
     upper = F.greatest(F.col("__stat"), n1 * n2 - F.col("__stat"))
-    sd = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("__ties") / (n * (n - 1))))
-    z = F.greatest((upper - n1 * n2 / 2 - 0.5) / sd, F.lit(0.0))
+    sd = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.coalesce(ratio(F.col("__ties"), n * (n - 1)), F.lit(0.0))))
+    z = F.greatest(F.coalesce(ratio(upper - n1 * n2 / 2 - 0.5, sd), F.lit(0.0)), F.lit(0.0))
     exact = (F.least(n1, n2) <= 8) & (F.col("__ties") == 0)
     s = s.withColumn("__pe", p_mann_whitney_exact(F.when(exact, F.col("__stat")), n1, n2)).withColumn("__pn", p_normal(z))
     return _rank_table(s.withColumn("__p", F.coalesce("__pe", "__pn")), group, "Mann-Whitney U", a, b, digits)
@@ -200,7 +200,7 @@ def wilcoxon(
     sd = F.sqrt((n * (n + 1) * (2 * n + 1) - 0.5 * F.col("__ties")) / 24.0)
     exact = (n <= 50) & (F.col("__ties") == 0) & (F.col("__zeros") == 0)
     s = s.withColumn("__pe", p_signed_rank_exact(F.when(exact, F.col("__stat")), n)).withColumn(
-        "__pn", p_normal((F.col("__stat") - n * (n + 1) / 4) / sd)
+        "__pn", p_normal(ratio(F.col("__stat") - n * (n + 1) / 4, sd))
     )
     return _rank_table(s.withColumn("__p", F.coalesce("__pe", "__pn")), group, "Wilcoxon Signed-Rank", a, b, digits)
 
@@ -225,7 +225,7 @@ def kruskal(
         F.sum(F.col("__r") * F.col("__r") / F.col("__m")).alias("__q"), F.count(F.lit(1)).alias("__k")
     ).join(tot, group)
     n = F.col("__n")
-    h = (12.0 / (n * (n + 1)) * F.col("__q") - 3 * (n + 1)) / (1 - F.col("__ties") / (n * n * n - n))
+    h = ratio(12.0 / (n * (n + 1)) * F.col("__q") - 3 * (n + 1), 1 - ratio(F.col("__ties"), n * n * n - n))
     s = s.withColumn("__stat", h)
     s = s.withColumn("__p", p_chi2(F.col("__stat"), F.col("__k") - 1))
     return _rank_table(s, group, "Kruskal-Wallis H", "all", "all", digits)
@@ -255,8 +255,8 @@ def anova_oneway(
     df1, df2 = F.col("__k") - 1, (F.col("__tot") - F.col("__k")).cast("long")
     out = tot.select(
         *group, F.lit(between).alias("factor"),
-        ((F.col("__ssb") / df1) / (F.col("__ssw") / df2)).alias("F"), df1.cast("long").alias("df1"), df2.alias("df2"),
-        (F.col("__ssb") / (F.col("__ssb") + F.col("__ssw"))).alias("eta_sq"),
+        ratio(F.col("__ssb") * df2, F.col("__ssw") * df1).alias("F"), df1.cast("long").alias("df1"), df2.alias("df2"),
+        ratio(F.col("__ssb"), F.col("__ssb") + F.col("__ssw")).alias("eta_sq"),
     )
     out = out.withColumn("p", p_fisher(F.col("F"), F.col("df1"), F.col("df2")))
     if apply_fdr:
@@ -437,7 +437,7 @@ def kendall(df: DataFrame, x: str, y: str, strip: int = STRIP) -> DataFrame:
     one = attach(attach(one, tie("x"), []), tie("y"), [])
     n0 = n * (n - 1) / 2.0
     den = F.sqrt((F.lit(n0) - F.col("tx")) * (F.lit(n0) - F.col("ty")))
-    return one.select(((F.col("s") + s_cells) / den).alias("tau"))
+    return one.select(ratio(F.col("s") + s_cells, den).alias("tau"))
 
 
 @operator("correlation_matrix")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import EPOCH, infer_channels, is_numeric, missing, total
+from ..functions.columns import EPOCH, infer_channels, is_numeric, missing, ratio, total
 from ..functions.dist import p_student
 from ..plans.ordered import attach
 from ..registry import operator
@@ -41,7 +41,7 @@ def ols_cell_means(
         (F.sum("__n") - F.count(F.lit(1))).cast("double").alias("__df"), F.sum("__ss").alias("__ssr")
     )
     out = attach(cell, fit, group, "inner")
-    out = out.withColumn("se", F.sqrt(F.col("__ssr") / F.col("__df") / F.col("__n"))).withColumn("tvalue", F.col("beta") / F.col("se"))
+    out = out.withColumn("se", F.sqrt(ratio(F.col("__ssr"), F.col("__df") * F.col("__n")))).withColumn("tvalue", ratio(F.col("beta"), F.col("se")))
     return out.select(
         *group, "condition", "beta", "tvalue", p_student(F.col("tvalue"), F.col("__df")).alias("pvalue"), "se",
         F.col("__df").alias("df"),
@@ -85,8 +85,8 @@ def _linreg(long: DataFrame, group: Sequence[str], x: str, y: str, order: Sequen
         F.avg("__y").alias("value_mean"),
     ).where("n_observations >= 3")
     dof = F.col("n_observations") - 2
-    s = s.withColumn("slope_se", F.sqrt(F.greatest(1 - F.col("__r2"), F.lit(0.0)) * F.col("__syy") / F.col("__sxx") / dof))
-    s = s.withColumn("p_value", p_student(F.col("slope") / F.col("slope_se"), dof))
+    s = s.withColumn("slope_se", F.sqrt(ratio(F.greatest(1 - F.col("__r2"), F.lit(0.0)) * F.col("__syy"), F.col("__sxx") * dof)))
+    s = s.withColumn("p_value", F.when(F.col("slope_se") == 0, F.lit(0.0)).otherwise(p_student(ratio(F.col("slope"), F.col("slope_se")), dof)))
     first, last = F.col("__a.__y"), F.col("__z.__y")
     r = F.round if rounded else (lambda c, n: F.col(c) if isinstance(c, str) else c)
     return s.select(
@@ -175,7 +175,7 @@ def ridge(
     dev = F.col("__y") - F.col("__ym")
     return rows.agg(
         F.count(F.lit(1)).alias("n_samples"), F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"),
-        (1 - F.sum(err * err) / F.sum(dev * dev)).alias("r2"), F.first("__b").alias("__b"),
+        (1 - ratio(F.sum(err * err), F.sum(dev * dev))).alias("r2"), F.first("__b").alias("__b"),
     ).select(
         F.lit(target).alias("target"), "n_samples", F.lit(p).alias("n_features"), "rmse", "mae", "r2",
         F.lit(",".join(use)).alias("features_used"), F.col("__b")[0].alias("intercept"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import EPOCH
+from ..functions.columns import EPOCH, ratio
 from ..plans.ordered import AUTO, attach, ordered_scan
 from ..plans.ranges import interval_join
 from ..registry import operator
@@ -123,7 +123,7 @@ def epoch_fixed_length(
             .when(emax > n, (t / fs - float(rec_start)) * fs)
             .otherwise(t)
         )
-        unit = F.when(emax > n * 0.1, in_samples).when(emax / F.col("__last") > 10, t * fs / 1000.0).otherwise(t * fs)
+        unit = F.when(emax > n * 0.1, in_samples).when(ratio(emax, F.col("__last")) > 10, t * fs / 1000.0).otherwise(t * fs)
         return unit.cast("long")
 
     info = info.withColumn("__len", sample(F.col("__lead.stop")) - sample(F.col("__lead.start")))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import EPOCH, field, total
+from ..functions.columns import EPOCH, field, ratio, total
 from ..plans.ordered import AUTO, attach, ordered_scan
 from ..registry import operator
 from .segment import indexed
@@ -97,7 +97,7 @@ def _first_epoch(epochs: DataFrame, keys: Sequence[str], time: str, per_epoch: D
         *keys, F.struct(*EPOCH).alias("__o"), F.struct("__t0", "__t1", "__n").alias("__v")
     )
     got = info.groupBy(*keys).agg(F.min_by("__v", "__o").alias("__v"))
-    return got.select(*keys, (1.0 / (F.col("__v.__t1") - F.col("__v.__t0"))).alias("__fs"), F.col("__v.__n").alias("__n1"))
+    return got.select(*keys, ratio(F.lit(1.0), F.col("__v.__t1") - F.col("__v.__t0")).alias("__fs"), F.col("__v.__n").alias("__n1"))
 
 
 def _with_rate(rows: DataFrame, keys, group, time, sfreq, default_rate: float) -> DataFrame:
@@ -119,7 +119,7 @@ def _with_rate(rows: DataFrame, keys, group, time, sfreq, default_rate: float) -
 def _segments(rows: DataFrame, nperseg: Column) -> DataFrame:
     """Half-overlapping full segments: adds ``__seg`` and ``__pos``."""
     rows = rows.withColumn("__np", nperseg.cast("long"))
-    step = F.col("__np") - F.floor(F.col("__np") / 2)
+    step = F.greatest(F.col("__np") - F.floor(F.col("__np") / 2), F.lit(1).cast("long"))
     last = F.floor((F.col("__n") - F.col("__np")) / step)
     lo = F.greatest(F.lit(0).cast("long"), F.ceil((F.col("__i") - F.col("__np") + 1) / step))
     hi = F.least(last, F.floor(F.col("__i") / step))
@@ -243,7 +243,7 @@ def band_power_summary(power: DataFrame, by: Sequence[str] = (), unit: str | Non
     keys = [c for c in power.columns if c not in {"channel", "region", "band", "power", *EPOCH}]
     epoch = power.groupBy(*keys, *EPOCH, *rest, "band").agg(F.avg("power").alias("v"))
     return epoch.groupBy(*by, "condition", *rest, "band").agg(
-        F.avg("v").alias("mean"), (F.stddev_pop("v") / F.sqrt(F.count("v"))).alias("sem"), F.count("v").alias("n")
+        F.avg("v").alias("mean"), ratio(F.stddev_pop("v"), F.sqrt(F.count("v"))).alias("sem"), F.count("v").alias("n")
     )
 
 
@@ -341,9 +341,9 @@ def coherence(
     rows = wide.select(*keys, "__k", F.inline(F.array(*cells)))
     cr, ci = F.avg("cr"), F.avg("ci")
     value = {
-        "coh": F.sqrt(cr * cr + ci * ci) / F.sqrt(F.avg("xx") * F.avg("yy")),
+        "coh": ratio(F.sqrt(cr * cr + ci * ci), F.sqrt(F.avg("xx") * F.avg("yy"))),
         "pli": F.abs(F.avg(F.signum("ci"))),
-        "wpli": F.abs(ci) / F.avg(F.abs("ci")),
+        "wpli": ratio(F.abs(ci), F.avg(F.abs("ci"))),
     }.get(method)
     if value is None:
         raise ValueError(f"unknown method {method!r}")
@@ -398,5 +398,5 @@ def pca_variance(
     all_ = F.aggregate("__e", F.lit(0.0), lambda a, x: a + x)
     rows = parts.select(*keys, "__e", all_.alias("__all"), F.posexplode("__e").alias("component", "variance"))
     before = F.aggregate(F.slice("__e", F.lit(1), F.col("component")), F.lit(0.0), lambda a, x: a + x)
-    kept = F.col("component") < int(n_components) if n_components >= 1 else before / F.col("__all") < float(n_components)
-    return rows.where(kept).select(*keys, "component", "variance", (F.col("variance") / F.col("__all")).alias("share"))
+    kept = F.col("component") < int(n_components) if n_components >= 1 else ratio(before, F.col("__all")) < float(n_components)
+    return rows.where(kept).select(*keys, "component", "variance", ratio(F.col("variance"), F.col("__all")).alias("share"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import EPOCH, infer_channels, total
+from ..functions.columns import EPOCH, infer_channels, ratio, total
 from ..plans.ordered import AUTO, attach, exact_quantiles, once, ordered_scan
 from ..registry import operator
 
@@ -314,7 +314,7 @@ def region_group_means(df: DataFrame, keys: Sequence[str], by: Sequence[str] = (
     wide = region_epoch_means(df, keys, **options)
     names = [c for c in wide.columns if c not in {*keys, *EPOCH}]
     obs = wide.unpivot([*keys, *EPOCH], names, "group", "value")
-    sem = F.coalesce(F.stddev_samp("value") / F.sqrt(F.count("value")), F.lit(0.0))
+    sem = F.coalesce(ratio(F.stddev_samp("value"), F.sqrt(F.count("value"))), F.lit(0.0))
     return obs.groupBy(*by, "condition", "group").agg(
         F.avg("value").alias("mean"), sem.alias("sem"), F.count("value").alias("n")
     )
@@ -343,7 +343,7 @@ def waveform_average(
     point = [*by, "condition"]
     mean = rel.groupBy(*point, "relative_time").agg(
         F.avg(signal).alias("mean_signal"),
-        (F.stddev_samp(signal) / F.sqrt(F.count(signal))).alias("sem_signal"),
+        ratio(F.stddev_samp(signal), F.sqrt(F.count(signal))).alias("sem_signal"),
     )
     scan = ordered_scan(mean, point, ["relative_time"], index="__i", hot=hot)
     return scan.where(F.col("__i") % downsample == 0).drop("__i")

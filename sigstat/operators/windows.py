@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import total
+from ..functions.columns import ratio, total
 from ..plans.ordered import AUTO, attach, exact_quantiles, first_rows, once, ordered_scan
 from ..registry import operator
 from .select import match_channels
@@ -132,8 +132,8 @@ def tddr(
     steps = attach(steps, mid, keys, "inner").withColumn("__a", F.abs(F.col("__d") - F.col("__med")))
     mad = exact_quantiles(steps, keys, "__a", {"__mad": 0.5}, hot=hot)
     rows = attach(steps, mad, keys, "inner").withColumn("__sigma", F.col("__mad") / 1.4826)
-    ratio = F.col("__d") / (4.685 * F.col("__sigma"))
-    rows = rows.withColumn("__w", F.col("__d") / F.pow(1.0 + ratio * ratio, 2))
+    scaled = ratio(F.col("__d"), 4.685 * F.col("__sigma"))
+    rows = rows.withColumn("__w", F.col("__d") / F.pow(1.0 + scaled * scaled, 2))
     rows = ordered_scan(rows, keys, order, cumsum={"__c": "__w"}, hot=hot)
     new = F.when(F.col("__sigma") < 1e-10, x).otherwise(F.col("__c") + F.col("__x0"))
     return rows.select(*[new.alias(value) if c == value else F.col(c) for c in df.columns])

@@ -55,10 +55,11 @@ def find_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    splits: int = SPLITS,
-    min_rows: int = MIN_HOT_ROWS,
+    splits: int | None = None,
+    min_rows: int | None = None,
 ) -> HotKeys | None:
     """The keys that need cutting, or None where no group passes ``min_rows``."""
+    splits, min_rows = splits or SPLITS, min_rows or MIN_HOT_ROWS
     total, largest = largest_group(df, keys)
     limit = max(min_rows, total // splits)
     if largest <= limit:
