@@ -18,7 +18,7 @@ from ..functions.columns import EPOCH, infer_channels, is_numeric, missing, rati
 from ..functions.dist import (
     p_chi2, p_fisher, p_mann_whitney_exact, p_normal, p_signed_rank_exact, p_student,
 )
-from ..plans.ordered import AUTO, attach, mid_ranks, ordered_scan
+from ..plans.ordered import AUTO, attach, mid_ranks, once, ordered_scan
 from ..registry import operator
 from .resample import resample
 from .summary import epoch_means, long_epoch_means
@@ -233,7 +233,7 @@ def kruskal(
 
 @operator("anova_oneway")
 def anova_oneway(
-    df: DataFrame, dvs: Sequence[str], between: str, apply_fdr: bool = False, by: Sequence[str] = (), strict: bool = False, hot=AUTO
+    df: DataFrame, dvs: Sequence[str], between: str, apply_fdr: bool = False, by: Sequence[str] = (), strict: bool = False
 ) -> DataFrame:
     """One-way analysis of variance on rows: F, degrees of freedom, p, eta squared, stars."""
     rows = df.where(F.col(between).isNotNull()).select(*by, between, *[F.col(c).cast("double").alias(c) for c in dvs])
@@ -260,7 +260,8 @@ def anova_oneway(
     )
     out = out.withColumn("p", p_fisher(F.col("F"), F.col("df1"), F.col("df2")))
     if apply_fdr:
-        out = fdr_bh(out, "p", by, hot=hot)
+        # one row per variable and split: a group has as many rows as there are variables
+        out = fdr_bh(out, "p", by, hot=None)
     return out.withColumn("sig", significance_stars(F.col("p")))
 
 
@@ -268,6 +269,7 @@ def anova_oneway(
 def fdr_bh(df: DataFrame, p_col: str = "p", by: Sequence[str] = (), out: str | None = None, strict: bool = False, hot=AUTO) -> DataFrame:
     """Benjamini-Hochberg adjusted p values in place (or as ``out``); null p values stay null."""
     by = list(by)
+    hot = once(df, by, hot)
     counts = df.where(F.col(p_col).isNotNull()).groupBy(*by, F.col(p_col).alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
     scan = ordered_scan(counts, by, ["__p"], cumsum={"__rank": "__c"}, hot=hot)
     m = counts.groupBy(*by).agg(F.sum("__c").alias("__m"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import field, is_numeric
+from ..plans.ordered import attach
 from ..registry import operator
 
 
@@ -180,9 +181,9 @@ def overlay_series(
     )
     entry = F.struct("__g", "__pts")
     rows = series.groupBy(indicator).agg(F.collect_list(entry).alias("__have"))
-    # the group list is the result's own length per row; it is joined as one row
+    # the group list is as long as every row of the result
     all_groups = groups.agg(F.sort_array(F.collect_list(F.struct("__g", "__label"))).alias("__groups"))
-    both = rows.withColumn("__one", F.lit(1)).join(all_groups.withColumn("__one", F.lit(1)), "__one")
+    both = attach(rows, all_groups, [])
     have = F.map_from_entries("__have")
     empty = F.array().cast(T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])))
     pts = F.transform("__groups", lambda g: F.coalesce(F.try_element_at(have, g["__g"]), empty))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import EPOCH, field, ratio, total
-from ..plans.ordered import AUTO, attach, ordered_scan
+from ..plans.ordered import AUTO, attach, once
 from ..registry import operator
 from .segment import indexed
 
@@ -107,10 +107,7 @@ def _with_rate(rows: DataFrame, keys, group, time, sfreq, default_rate: float) -
         F.min(F.when(F.col("__i") == 1, F.col(time))).alias("__t1"),
         F.count(F.lit(1)).alias("__n"),
     )
-    if keys:
-        info = _first_epoch(rows, keys, time, per_epoch)
-    else:
-        info = _first_epoch(rows, [], time, per_epoch)
+    info = _first_epoch(rows, keys, time, per_epoch)
     fs = F.lit(float(sfreq)) if sfreq is not None else F.coalesce("__fs", F.lit(default_rate))
     info = info.withColumn("__fs", fs)
     return attach(rows, info, list(keys), "inner")
@@ -257,16 +254,20 @@ def mean_spectrum(
     by: Sequence[str] = (),
     sfreq: float | None = None,
     time: str = "time",
-    method: str = "fft",
+    method: str = "auto",
     hot=AUTO,
 ) -> DataFrame:
     """Mean and standard error over epochs of the periodogram of the mean channel.
 
     Channels (of a region) are averaged first, then |FFT|^2 / (n rate) with all bins
     but the first and last doubled, for 1 <= f <= max_freq; one epoch has error 0.
-    ``method='relational'`` serves epochs too long for one task.
+    Epochs are transformed as arrays; where one is too long for that (checked), or with
+    ``method='relational'``, the sums are taken in SQL.
     """
     group = [*keys, *EPOCH]
+    hot = once(epochs, group, hot)
+    if method == "auto":
+        method = "fft" if hot is None else "relational"
     parts = {n: [c for c in r if c in channels] for n, r in regions.items()} if regions else {"all": list(channels)}
     parts = {n: r for n, r in parts.items() if r}
     mixed = epochs.select(*group, time, *[(total([F.col(c) for c in r]) / len(r)).alias(f"__r{i}") for i, r in enumerate(parts.values())])

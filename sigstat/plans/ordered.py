@@ -25,12 +25,12 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
 
     No broadcast hint: the table grows with the number of keys.  Adaptive
     execution broadcasts it where its measured size allows, and splits a skewed
-    key of a sort-merge join.
+    key of a sort-merge join.  Without keys the one row is a scalar subquery.
     """
     if keys:
         return df.join(stats, list(keys), how)
-    one = stats.withColumn("__one", F.lit(1))
-    return df.withColumn("__one", F.lit(1)).join(F.broadcast(one), "__one", how).drop("__one")
+    row = stats.select(F.struct(*stats.columns)).scalar()
+    return df.select("*", *[row[c].alias(c) for c in stats.columns])
 
 
 def resolve_hot(df: DataFrame, keys: Sequence[str], order: str, hot) -> HotKeys | None:
