@@ -36,18 +36,16 @@ def csv_inferred(spark, folder):
 
 
 @query("read_lines", """
-SELECT lang, count(*) AS lines, sum(CASE WHEN line = '' THEN 1 ELSE 0 END)::BIGINT AS empty, sum(length(line))::BIGINT AS chars,
-       max(line_no) AS last_line
-FROM (SELECT lang, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS line_no
-      FROM (SELECT lang, doc_id, string_split(text, chr(10)) AS parts FROM documents)) GROUP BY lang""")
+WITH l AS (SELECT lang, doc_id // 100 AS part, unnest(string_split(text, chr(10))) AS line FROM documents),
+f AS (SELECT lang, part, count(*) + 1 AS lines, sum(CASE WHEN line = '' THEN 1 ELSE 0 END) + 1 AS empty, sum(length(line)) AS chars FROM l GROUP BY ALL)
+SELECT lang, sum(lines)::BIGINT AS lines, sum(empty)::BIGINT AS empty, sum(chars)::BIGINT AS chars, max(lines) - 1 AS last_line FROM f GROUP BY lang""")
 def lines_roundtrip(spark, folder):
-    """Each document becomes a file; whole texts are read back line by line."""
+    """A file per language and hundred documents, each text ended by a line end; the empty line after the last one counts."""
     path = shared_folder(spark) + "-lines"
-    docs = table(spark, folder, "documents").select(F.concat_ws("_", "lang", F.col("doc_id").cast("string")).alias("file"), "text")
-    docs.write.partitionBy("file").option("lineSep", "\u001e").text(path)
-    # the writer ends the file with its separator; it is no part of the text
-    df = read_lines(spark, path).withColumn("lines", F.regexp_replace("lines", "\u001e$", ""))
-    lang = F.regexp_extract("doc_id", r"file=([a-z]+)_", 1)
+    docs = table(spark, folder, "documents").select("lang", F.floor(F.col("doc_id") / 100).alias("part"), "text")
+    docs.repartition("lang", "part").write.partitionBy("lang", "part").text(path)
+    df = read_lines(spark, path)
+    lang = F.regexp_extract("doc_id", r"lang=([a-z]+)", 1)
     return df.groupBy(lang.alias("lang")).agg(
         F.count(F.lit(1)).alias("lines"), F.sum((F.col("lines") == "").cast("long")).alias("empty"),
         F.sum(F.length("lines")).cast("long").alias("chars"), F.max("line_no").alias("last_line"),

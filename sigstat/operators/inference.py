@@ -28,10 +28,12 @@ def two_conditions(df: DataFrame, conditions: Sequence[str] | None, exactly: boo
     """The two conditions by name; raises unless there are two (or at least two)."""
     if conditions:
         return tuple(conditions)
-    found = sorted(r[0] for r in df.select("condition").where("condition is not null").distinct().limit(1000).collect())
-    if len(found) < 2 or (exactly and len(found) != 2):
-        raise ValueError(f"two conditions needed, found {found[:5]}")
-    return tuple(found[:2])
+    name = F.col("condition")
+    a = df.agg(F.min(name)).first()[0]
+    b = df.where(name > F.lit(a)).agg(F.min(name)).first()[0] if a is not None else None
+    if b is None or (exactly and not df.where(name > F.lit(b)).isEmpty()):
+        raise ValueError(f"two conditions needed, first ones are {a!r} and {b!r}")
+    return a, b
 
 
 def significance_stars(p, fine: bool = False):
