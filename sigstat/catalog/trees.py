@@ -135,19 +135,19 @@ _ORD = """o AS (SELECT c_nationkey AS doc_id, c_mktsegment AS condition, CAST(su
 WITH {_ORD}, g AS (SELECT DISTINCT doc_id, condition FROM o WHERE condition IN ('BUILDING', 'MACHINERY')), l AS (SELECT CAST(unnest(range(1, 5)) AS INTEGER) AS pos, unnest({_LABELS}) AS x),
 gl AS (SELECT * FROM g, l)
 SELECT gl.doc_id, gl.condition, gl.pos, x, avg(v) AS mean, stddev_samp(v) AS sd, count(v) AS count
-FROM gl LEFT JOIN o ON gl.doc_id = o.doc_id AND gl.condition = o.condition AND gl.pos = o.pos GROUP BY ALL""", "mean, sd", 4))
+FROM gl LEFT JOIN o ON gl.doc_id = o.doc_id AND gl.condition = o.condition AND gl.pos = o.pos GROUP BY ALL""", "mean, sd", 6))
 def quest_labels(spark, folder):
-    return rounded(questionnaire(nodes(spark, folder), "Price", "Pos", _LABELS, conditions=["BUILD*", "MACHINERY"]).replace("BUILD", "BUILDING", "condition"), 4)
+    return rounded(questionnaire(nodes(spark, folder), "Price", "Pos", _LABELS, conditions=["BUILD*", "MACHINERY"]).replace("BUILD", "BUILDING", "condition"), 6)
 
 
-@query("questionnaire_dynamic", rsql(f"WITH {_ORD} SELECT 'MACHINERY' AS condition, pos, min(pri) AS x, avg(v) AS mean, stddev_samp(v) AS sd, count(v) AS count FROM o WHERE condition = 'MACHINERY' GROUP BY pos", "mean, sd", 4))
+@query("questionnaire_dynamic", rsql(f"WITH {_ORD} SELECT 'MACHINERY' AS condition, pos, min(pri) AS x, avg(v) AS mean, stddev_samp(v) AS sd, count(v) AS count FROM o WHERE condition = 'MACHINERY' GROUP BY pos", "mean, sd", 6))
 def quest_dynamic(spark, folder):
-    return rounded(questionnaire(nodes(spark, folder), "Price", "Pos", label_field="Priority", conditions=["MACHINERY"], across=True), 4)
+    return rounded(questionnaire(nodes(spark, folder), "Price", "Pos", label_field="Priority", conditions=["MACHINERY"], across=True), 6)
 
 
-@query("questionnaire_axis", rsql(f"WITH {_ORD} SELECT doc_id, CAST(NULL AS VARCHAR) AS condition, pos, CAST(pos AS VARCHAR) AS x, avg(v) AS mean, stddev_samp(v) AS sd, count(v) AS count FROM o GROUP BY ALL", "mean, sd", 4))
+@query("questionnaire_axis", rsql(f"WITH {_ORD} SELECT doc_id, CAST(NULL AS VARCHAR) AS condition, pos, CAST(pos AS VARCHAR) AS x, avg(v) AS mean, stddev_samp(v) AS sd, count(v) AS count FROM o GROUP BY ALL", "mean, sd", 6))
 def quest_axis(spark, folder):
-    return rounded(questionnaire(nodes(spark, folder), "Price", x="Pos"), 4)
+    return rounded(questionnaire(nodes(spark, folder), "Price", x="Pos"), 6)
 
 
 @query("questionnaire_selected", f"""

@@ -81,16 +81,20 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
     seen = ordered_scan(marks, ["doc_id"], ["__i"], lag={"__was": "__level"}, hot=hot)
     odd = F.col("__level") > F.coalesce("__was", F.lit(0)) + 1
     odd = odd | (F.col("__level") < 1) | (F.col("__level") > WIDEST)
-    irregular = seen.groupBy("doc_id").agg(F.bool_or(odd).alias("__odd"))
-    flagged = attach(marks, irregular, ["doc_id"], "inner")
-    # only the markers of irregular documents meet a task as a group: a stack is sequential
-    stack = flagged.where("__odd").drop("__odd").groupBy("doc_id").applyInPandas(
-        _stack_depths, f"doc_id {entries.schema['doc_id'].dataType.simpleString()}, __i long, __depth int"
-    )
-    depths = flagged.where("not __odd").select("doc_id", "__i", F.col("__level").alias("__depth")).unionByName(stack)
-    deepest = depths.agg(F.max("__depth")).first()[0] or 0
-
-    rows = base.join(depths, ["doc_id", "__i"], "left")
+    any_odd, deepest = seen.agg(F.bool_or(odd), F.max("__level")).first()
+    if not any_odd:
+        rows, deepest = base.withColumn("__depth", F.col("__level")), deepest or 0
+    else:
+        irregular = seen.groupBy("doc_id").agg(F.bool_or(odd).alias("__odd"))
+        flagged = attach(marks, irregular, ["doc_id"], "inner")
+        # only the markers of irregular documents meet a task as a group: a stack is sequential
+        stack = flagged.where("__odd").drop("__odd").groupBy("doc_id").applyInPandas(
+            _stack_depths, f"doc_id {entries.schema['doc_id'].dataType.simpleString()}, __i long, __depth int"
+        )
+        regular = flagged.where("not __odd").select("doc_id", "__i", F.col("__level").alias("__depth"))
+        depths = materialise(regular.unionByName(stack), "depths")
+        deepest = depths.agg(F.max("__depth")).first()[0] or 0
+        rows = base.join(depths, ["doc_id", "__i"], "left")
     # a detached marker takes its own leaf with it
     rows = rows.where(F.col("__level").isNull() | F.col("__depth").isNotNull())
     rows = ordered_scan(
