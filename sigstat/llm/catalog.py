@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sigstat.llm import bpe, exact_dedup
+from sigstat.llm import bpe, exact_dedup, simhash
 
-QUERIES = {f.__name__: f for f in (bpe.op2_byte_bpe, exact_dedup.op4_exact_dedup)}
+QUERIES = {f.__name__: f for f in (bpe.op2_byte_bpe, exact_dedup.op4_exact_dedup, simhash.op8_simhash)}
 
 SQL = {"op4_exact_dedup": exact_dedup.SQL}
