@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a task handles at once (one longer document is taken alone).
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 
 def pieces(batches, column: str, limit: int = PIECE) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,9 @@ EMPTY = np.uint64(2**64 - 1)
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128)
 LONG = WIDTHS[-1]
 #: Rows of a matrix, and distinct pre-tokens that a worker remembers (then it starts anew).
-ROWS, MEMO = 16384, 400_000
+ROWS, MEMO = 16384, 250_000
+#: Id lists decoded at a time.
+ID_LISTS = 200
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -284,8 +286,8 @@ def decode(docs: DataFrame, ids: str = "ids", out: str = "decoded", ranks: str |
     def run(batches):
         own = codec(raw)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part = batch.slice(begin, 1000)
+            for begin in range(0, batch.num_rows, ID_LISTS):
+                part = batch.slice(begin, ID_LISTS)
                 lists = column(part, ids)
                 flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 lengths = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
