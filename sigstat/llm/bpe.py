@@ -237,7 +237,8 @@ class Codec:
 
     def counts(self, words: list[str]) -> np.ndarray:
         """Number of ids of each pre-token."""
-        return self.length[self.codes(words)]
+        codes = self.codes(words)
+        return self.length[codes]
 
     # ---- decoding
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sigstat.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from sigstat.llm import bpe, exact_dedup, mixing, simhash, token_counts, toxicity
 
-QUERIES = {f.__name__: f for f in (bpe.op2_byte_bpe, exact_dedup.op4_exact_dedup, simhash.op8_simhash, mixing.op10_mixing, toxicity.op5_toxicity)}
+QUERIES = {f.__name__: f for f in (bpe.op2_byte_bpe, exact_dedup.op4_exact_dedup, simhash.op8_simhash, mixing.op10_mixing, toxicity.op5_toxicity, token_counts.op1_token_counts)}
 
 SQL = {"op4_exact_dedup": exact_dedup.SQL, "op10_mixing": mixing.SQL}
