@@ -42,12 +42,20 @@ def slots(key: Column, bits: int) -> list[Column]:
 
 def repeated(keys: DataFrame, key: str, bits: int) -> DataFrame:
     """Bitmap of the slots that more than one key hit: at most bits / 32768 rows of 4 KB."""
-    counts = keys.select(F.explode(F.array(slots(F.col(key), bits))).alias("slot")).groupBy("slot").count()
-    return (
-        counts.filter("count > 1")
-        .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
-    )
+    return _bitmap(_hit(keys, key, bits).groupBy("slot").count().filter("count > 1"))
+
+
+def present(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """Bitmap of the slots that any key hit, of the same size: a plain Bloom filter."""
+    return _bitmap(_hit(keys, key, bits))
+
+
+def _hit(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    return keys.select(F.explode(F.array(slots(F.col(key), bits))).alias("slot"))
+
+
+def _bitmap(hit: DataFrame) -> DataFrame:
+    return hit.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
 
 
 def probed(df: DataFrame, key: str, bitmap: DataFrame, bits: int, out: str) -> DataFrame:
