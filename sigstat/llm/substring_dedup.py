@@ -2,12 +2,14 @@
 
 A paragraph ends at a line end, and at those sentence ends whose last word has an odd CRC-32, about every second one: the cut
 depends on the text around it alone, so a passage falls into the same paragraphs wherever it stands. Paragraphs of fewer than
-``LEAST`` words are no passages. A paragraph is known by the XXH64 of its words (A-Z in lower case); its five-word shingles
+``LEAST`` words don't count. A paragraph is known by the XXH64 of its words (A-Z in lower case); its five-word shingles
 have ``HASHES`` MinHash values in the bands that reach ``RECALL`` at the threshold.
 
 Equal paragraphs are one node. Bands of different nodes join on their keys; blocks of colliding nodes are compared by exact
-Jaccard on their whole shingle sets, and linked nodes form components. A component that spans two or more documents is a
-repeated passage: its first occurrence (by doc_id, then place) stays, the others are to be removed. Bloom bitmaps of fixed
+Jaccard on their whole shingle sets, and linked nodes form components, of which those count that span two or more documents.
+In a document, such paragraphs that follow each other within ``GAP`` characters are a passage; passages of ``PASSAGE`` words
+or more count, shorter ones (a license line) stay. Of a component's occurrences that are left the first (by doc_id, then
+place) stays, the others are to be removed; what is left in one document alone is no repeat. Bloom bitmaps of fixed
 size keep paragraphs that can't matter out of the later shuffles.
 
 Null and empty texts have no paragraphs. Rows without doc_id count as one document. Places are code points.
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,8 +34,9 @@ from sigstat.llm.exact_dedup import filter_bits, present, probed
 from sigstat.llm.fingerprints import LIKE, bands, factors, verified
 from sigstat.llm.simhash import shingle_hashes
 
-LEAST, WORDS, HASHES = 12, 5, 10
-END = re.compile(r"(\S*[.!?])(?=\s|\Z)|\n")
+LEAST, WORDS, HASHES = 6, 5, 10
+PASSAGE, GAP = 20, 60
+END = re.compile(r"(\S*[^\s.!?][.!?])(?=\s|\Z)|\n")
 #: Paragraphs whose keys a task remembers to have sent.
 SEEN = 1 << 19
 
@@ -99,18 +103,18 @@ def _keyed(docs: DataFrame, text: str, threshold: float) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, start, length and id of every paragraph."""
+    """doc_id, start, length, words and id of every paragraph."""
 
     def run(batches):
         for part in pieces(batches, text):
-            found = [[(a, n, node(w)) for a, n, w in paragraphs(x)] for x in texts(part, text)]
+            found = [[(a, n, w.count(b" ") + 1, node(w)) for a, n, w in paragraphs(x)] for x in texts(part, text)]
             rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
             flat = [x for f in found for x in f]
-            start, length = (pa.array([x[k] for x in flat], pa.int64()) for k in (0, 1))
-            ids = pa.array(np.array([x[2] for x in flat], np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([column(part, doc_id).take(pa.array(rows)), start, length, ids], ["doc_id", "start", "length", "id"])
+            numbers = [pa.array([x[k] for x in flat], pa.int64()) for k in range(3)]
+            ids = pa.array(np.array([x[3] for x in flat], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([column(part, doc_id).take(pa.array(rows)), *numbers, ids], ["doc_id", "start", "length", "words", "id"])
 
-    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc_id]}, start long, length long, id long")
+    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc_id]}, start long, length long, words long, id long")
 
 
 def _sets(docs: DataFrame, text: str, bitmap: DataFrame, bits: int) -> DataFrame:
@@ -143,10 +147,9 @@ def links(docs: DataFrame, text: str = "text", threshold: float = LIKE) -> DataF
 
 
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = LIKE) -> DataFrame:
-    """Every occurrence of a passage that two or more documents have.
+    """Every paragraph of a passage that two or more documents have.
 
-    doc_id, start, length; class_doc_id and class_start of the first occurrence; copies; n_docs_at_least two by definition;
-    removed.
+    doc_id, start, length, words; class_doc_id and class_start of the first occurrence; copies; removed.
     """
     all_ = written(occurrences(docs, doc_id, text))
     label = components(links(docs, text, threshold)).withColumnRenamed("node", "id")
@@ -158,11 +161,16 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     named = cut(linked.select("id", "label").join(across, "label").select("id", "label").unionByName(alone))
     bits = filter_bits(named.count())
     near = probed(all_, "id", cut(present(named, "id", bits)), bits, "may").filter("may").drop("may")
-    found = written(near.join(named, "id").drop("id"))
-    firsts = found.groupBy("label").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("copies"))
+    order = W.partitionBy("doc_id").orderBy("start")
+    joined = F.col("start") - F.lag(F.col("start") + F.col("length")).over(order) <= GAP
+    runs = near.join(named, "id").drop("id").withColumn("run", F.when(joined, 0).otherwise(1)).withColumn("run", F.sum("run").over(order))
+    found = written(runs.withColumn("all", F.sum("words").over(W.partitionBy("doc_id", "run"))).filter(F.col("all") >= PASSAGE).drop("run", "all"))
+    item = F.struct("doc_id", "start")
+    firsts = found.groupBy("label").agg(F.min(item).alias("first"), F.max(doc).alias("last"), F.count("*").alias("copies"))
+    firsts = firsts.filter(~F.struct("first.doc_id").eqNullSafe(F.col("last")))
     return found.join(firsts, "label").select(
-        "doc_id", "start", "length", F.col("first.doc_id").alias("class_doc_id"), F.col("first.start").alias("class_start"), "copies",
-        (~F.struct("doc_id", "start").eqNullSafe(F.col("first"))).alias("removed"),
+        "doc_id", "start", "length", "words", F.col("first.doc_id").alias("class_doc_id"), F.col("first.start").alias("class_start"), "copies",
+        (~item.eqNullSafe(F.col("first"))).alias("removed"),
     )
 
 
