@@ -36,7 +36,7 @@ from sigstat.llm.simhash import shingle_hashes
 
 LEAST, WORDS, HASHES = 6, 5, 10
 PASSAGE, GAP = 20, 60
-END = re.compile(r"(\S*[^\s.!?][.!?])(?=\s|\Z)|\n")
+END = re.compile(r"(?<!\S)(\S*[^\s.!?][.!?])(?=\s|\Z)|\n")
 #: Paragraphs whose keys a task remembers to have sent.
 SEEN = 1 << 19
 
