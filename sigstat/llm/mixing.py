@@ -38,8 +38,8 @@ def surface_topic(text: Column) -> Column:
     """A topic by the look of a text: figures (any digit), lines (a line break in 250 characters), prose."""
     body = F.coalesce(text, F.lit(""))
     size = F.length(body)
-    less = lambda chars: size - F.length(F.translate(body, chars, ""))
-    return F.when(less("0123456789") > 0, "figures").when(less("\n") * 250 > size, "lines").otherwise("prose")
+    breaks = size - F.length(F.replace(body, F.lit("\n"), F.lit("")))
+    return F.when(body.rlike("[0-9]"), "figures").when(breaks * 250 > size, "lines").otherwise("prose")
 
 
 def fit(cells: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
