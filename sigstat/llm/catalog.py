@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sigstat.llm import bpe, exact_dedup, fingerprints, mixing, quality, simhash, substring_dedup, token_counts, toxicity
+from sigstat.llm import bpe, exact_dedup, fingerprints, mixing, quality, simhash, substring_dedup, token_counts, toxicity, warc
 
-QUERIES = {f.__name__: f for f in (bpe.op2_byte_bpe, exact_dedup.op4_exact_dedup, simhash.op8_simhash, mixing.op10_mixing, toxicity.op5_toxicity, token_counts.op1_token_counts, fingerprints.op6_fingerprints, substring_dedup.op3_substring_dedup, quality.op7_quality)}
+QUERIES = {f.__name__: f for f in (bpe.op2_byte_bpe, exact_dedup.op4_exact_dedup, simhash.op8_simhash, mixing.op10_mixing, toxicity.op5_toxicity, token_counts.op1_token_counts, fingerprints.op6_fingerprints, substring_dedup.op3_substring_dedup, quality.op7_quality, warc.op9_warc_revisits)}
 
-SQL = {"op4_exact_dedup": exact_dedup.SQL, "op10_mixing": mixing.SQL}
+SQL = {"op4_exact_dedup": exact_dedup.SQL, "op10_mixing": mixing.SQL, "op9_warc_revisits": warc.SQL}
