@@ -13,6 +13,8 @@ is an empty one and a null replacement is empty. The columns of ``TREE`` replace
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -69,8 +71,8 @@ class Tree:
                 node += 1
         return node - self.size, base
 
-    def edit(self, start: int, stop: int, new: str, own: Codec) -> int:
-        """Replace characters; returns how many pre-tokens were encoded."""
+    def edit(self, start: int, stop: int, new: str) -> tuple[list[str], Callable[[np.ndarray], None]]:
+        """Replace characters: the pre-tokens to encode again, and what takes their counts and updates the tree."""
         total = self.chars[1]
         start = max(min(start, total), 0)
         stop = max(min(stop, total), start)
@@ -92,7 +94,8 @@ class Tree:
             at_end = last == len(self.parts) - 1
             begins = np.cumsum(sizes) - sizes + len(region) - len(old)  # old boundaries, where they are now
             behind = starts[(starts >= start - off + len(new)) & (starts > 0) & (starts + 2 <= len(region))]
-            same = behind[np.isin(behind, begins[begins >= start - off + len(new)])]
+            at = np.minimum(np.searchsorted(begins, behind), max(len(begins) - 1, 0))
+            same = behind[begins[at] == behind] if len(begins) else behind[:0]
             if len(same) or at_end:
                 break
             last += 1
@@ -102,19 +105,20 @@ class Tree:
         rest = int(np.searchsorted(begins, until)) if len(same) else len(sizes)
         bounds = starts[starts <= until]
         words = [region[a:b] for a, b in zip(bounds.tolist(), bounds.tolist()[1:])]
-        made = own.counts(words) if words else np.zeros(0, np.int64)
-        part = (
-            text[: off - base] + region,
-            np.concatenate((lengths[:keep], np.diff(bounds), sizes[rest:])),
-            np.concatenate((counts[:keep], made, np.concatenate(old_counts)[rest:])),
-        )
-        for k in range(first + 1, last + 1):
-            self.put(k, ("", part[1][:0], part[2][:0]))
-        self.put(first, part)
-        if len(part[1]) > 8 * FAN:
-            whole = Tree(self.text(), self.lengths(), self.counts())
-            self.build(whole.parts)
-        return len(words)
+
+        def settle(made: np.ndarray) -> None:
+            part = (
+                text[: off - base] + region,
+                np.concatenate((lengths[:keep], np.diff(bounds), sizes[rest:])),
+                np.concatenate((counts[:keep], made, np.concatenate(old_counts)[rest:])),
+            )
+            for k in range(first + 1, last + 1):
+                self.put(k, ("", part[1][:0], part[2][:0]))
+            self.put(first, part)
+            if len(part[1]) > 8 * FAN:
+                self.build(Tree(self.text(), self.lengths(), self.counts()).parts)
+
+        return words, settle
 
     def text(self) -> str:
         return "".join(p[0] for p in self.parts)
@@ -126,6 +130,20 @@ class Tree:
         return np.concatenate([p[2] for p in self.parts])
 
 
+def apply(trees: list[Tree], edits: list[list], own: Codec) -> list[int]:
+    """Apply each tree's edits in order; the next edits of all trees are encoded together. Pre-tokens encoded for each."""
+    encoded = [0] * len(trees)
+    for step in range(max(map(len, edits), default=0)):
+        plans = [(k, *trees[k].edit(*edits[k][step])) for k in range(len(trees)) if step < len(edits[k])]
+        counts = own.counts([w for _, words, _ in plans for w in words])
+        begin = 0
+        for k, words, settle in plans:
+            settle(counts[begin : begin + len(words)])
+            begin += len(words)
+            encoded[k] += len(words)
+    return encoded
+
+
 def _schema(df: DataFrame, added: dict[str, str], drop: tuple[str, ...] = ()) -> tuple[list[str], T.StructType]:
     fields = [f for f in df.schema.fields if f.name not in added and f.name not in drop]
     extra = T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in added.items()))
@@ -171,13 +189,11 @@ def edited(trees: DataFrame, edits: str = "edits", text: str = "text", ranks: st
     def run(batches):
         own = codec(raw)
         for part in pieces(batches, text):
-            made, encoded = [], []
-            at = [column(part, n) for n in ("lengths", "counts")]
-            for k, (body, todo) in enumerate(zip(texts(part, text), column(part, edits).to_pylist(), strict=True)):
-                lists = [a[k].values for a in at]
-                tree = Tree(body, *(np.zeros(0, np.int64) if x is None else x.to_numpy().astype(np.int64) for x in lists))
-                encoded.append(sum(tree.edit(e["start"] or 0, e["stop"] or 0, e["new"] or "", own) for e in todo or [] if e))
-                made.append(tree)
+            lists = zip(*(column(part, n) for n in ("lengths", "counts")), strict=True)
+            state = [[np.zeros(0, np.int64) if x.values is None else x.values.to_numpy().astype(np.int64) for x in pair] for pair in lists]
+            made = [Tree(body, *own_) for body, own_ in zip(texts(part, text), state, strict=True)]
+            todo = [[(e["start"] or 0, e["stop"] or 0, e["new"] or "") for e in row or [] if e] for row in column(part, edits).to_pylist()]
+            encoded = apply(made, todo, own)
             yield pa.RecordBatch.from_arrays(
                 [*(column(part, n) for n in names), pa.array([t.text() for t in made], pa.string()), *_columns(made), pa.array(encoded, pa.int64())],
                 [*names, *added],
