@@ -13,10 +13,11 @@ made from each range's first and last row. A copy of the text moves once.
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from sigstat.llm.components import blocks, components, forest
 from sigstat.llm.simhash import shingle_hashes
 
 PERMUTATIONS, WORDS, LIKE, RECALL = 128, 5, 0.8, 0.99
-ROWS, FEWEST, MOST = 4000, 256, 20_000
+ROWS, FEWEST, MOST = 4000, 1024, 20_000
 
 
 @functools.cache
@@ -66,25 +67,26 @@ def edit(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
-def id_ranges(docs: DataFrame, doc_id: str = "doc_id") -> Column:
-    """The number of a document's range of ids; higher ids have higher numbers, nulls are in the lowest."""
+def id_ranges(docs: DataFrame, doc_id: str, out: str) -> DataFrame:
+    """Add the number of a document's range of ids; higher ids have higher numbers, nulls are in the lowest."""
+    from pyspark.ml.feature import Bucketizer
+
     n = docs.count()
     count = min(max(n // ROWS, FEWEST), MOST)
-    known = docs.filter(F.col(doc_id).isNotNull())
-    bounds = known.approxQuantile(doc_id, [k / count for k in range(1, count)], 1 / (4 * count)) if n else []
-    bounds = sorted(set(bounds))
-    if not bounds:
-        return F.lit(0)
-    expr = F.array(*(F.lit(b) for b in bounds))
-    return F.coalesce(F.size(F.filter(expr, lambda b: b <= F.col(doc_id).cast("double"))), F.lit(0))
+    bounds = docs.filter(F.col(doc_id).isNotNull()).approxQuantile(doc_id, [k / count for k in range(1, count)], 1 / (4 * count)) if n else []
+    bounds = [-math.inf, *sorted(set(bounds)), math.inf]
+    if len(bounds) < 3:
+        return docs.withColumn(out, F.lit(0))
+    place = Bucketizer(splits=bounds, inputCol=f"{out}_of", outputCol=out, handleInvalid="keep")  # binary search; null comes last
+    made = place.transform(docs.withColumn(f"{out}_of", F.col(doc_id).cast("double"))).drop(f"{out}_of")
+    return made.withColumn(out, F.when(F.col(doc_id).isNull(), 0).otherwise(F.col(out).cast("int")))
 
 
 def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of every row."""
     import hashlib
 
-    number = id_ranges(docs, doc_id)
-    rows = docs.select(number.alias("range"), F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = id_ranges(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")), "doc_id", "range").select("range", "doc_id", "text")
     kind = dict(rows.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
