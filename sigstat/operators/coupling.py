@@ -95,7 +95,7 @@ def plv_from_phases(a: DataFrame, b: DataFrame, keys: Sequence[str], hot=AUTO) -
     first = [df.where("idx = 0").select(*group, "n") for df in (a, b)]
     length = first[0].unionByName(first[1]).groupBy(*group).agg(F.max("n").alias("__N"))
     left, right = _on_grid(prepared(a), group, length, "a"), _on_grid(prepared(b), group, length, "b")
-    both = left.join(right, [*group, "__j"]).withColumn("__d", F.col("__pa") - F.col("__pb"))
+    both = attach(left, right, [*group, "__j"], "inner").withColumn("__d", F.col("__pa") - F.col("__pb"))
     c, s = F.avg(F.cos("__d")), F.avg(F.sin("__d"))
     return both.groupBy(*group, F.concat_ws("-", "channel_a", "channel_b").alias("pair")).agg(
         F.sqrt(c * c + s * s).alias("value")

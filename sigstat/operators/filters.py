@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.filters import butterworth, settling, zero_phase
 from ..plans.halo import BLK, CORE, halo_blocks
-from ..plans.ordered import AUTO, once, ordered_scan
+from ..plans.ordered import AUTO, attach, once, ordered_scan
 from ..registry import operator
 from .segment import indexed
 
@@ -233,7 +233,7 @@ def detect_r_peaks(
         F.min(F.struct((-x).alias("h"), F.col("__i").alias("i"), F.col(time).alias("t"))).alias("__top"),
     )
     mean = beats.groupBy(*keys).agg((0.4 * F.avg("__len")).alias("__min"))
-    beats = beats.join(mean, keys).where(F.col("__len") >= F.col("__min")) if keys else beats
+    beats = attach(beats, mean, keys, "inner").where(F.col("__len") >= F.col("__min"))
     peaks = beats.select(
         *keys, F.col("__top.i").alias("peak_sample"), (-F.col("__top.h")).alias("__height"), F.col("__top.t").cast("double").alias("time")
     )

@@ -62,7 +62,7 @@ def _paired(df, keys, by, cols, a, b, pair_key, hot) -> DataFrame:
     idx = _pair_index(means, keys, by, pair_key, hot)
     left = idx.where(F.col("condition") == a).select(*by, "__pair", *[F.col(c).alias(f"a{i}") for i, c in enumerate(cols)])
     right = idx.where(F.col("condition") == b).select(*by, "__pair", *[F.col(c).alias(f"b{i}") for i, c in enumerate(cols)])
-    both = left.join(right, [*by, "__pair"])
+    both = attach(left, right, [*by, "__pair"], "inner")
     cells = [F.struct(F.lit(c).alias("channel"), F.col(f"a{i}").alias("__a"), F.col(f"b{i}").alias("__b")) for i, c in enumerate(cols)]
     return both.select(*by, F.inline(F.array(*cells)))
 
@@ -104,7 +104,7 @@ def ttest(
         pairs = _paired(df, keys, list(by), cols, a, b, pair_key, hot).groupBy(*group).agg(
             F.count(d).alias("np"), ratio(F.avg(d) * F.sqrt(F.count(d)), F.stddev_samp(d)).alias("__t")
         )
-        stat = stat.join(pairs, group).withColumn("__df", F.col("np") - 1.0)
+        stat = attach(stat, pairs, group, "inner").withColumn("__df", F.col("np") - 1.0)
     elif kind == "welch" or not equal_var:
         sa, sb = ratio(va, na), ratio(vb, nb)
         stat = stat.withColumn("__t", ratio(diff, F.sqrt(sa + sb))).withColumn(
@@ -193,12 +193,12 @@ def wilcoxon(
     scan = ordered_scan(counts, group, ["__m"], cumsum={"__hi": "__t"}, hot=hot)
     rank = F.col("__hi") - F.col("__t") + (F.col("__t") + 1) / 2.0
     t = F.col("__t").cast("double")
-    s = scan.groupBy(*group).agg(
+    sums = scan.groupBy(*group).agg(
         F.sum(F.col("__pos") * rank).alias("__wp"), F.sum((F.col("__t") - F.col("__pos")) * rank).alias("__wm"),
         F.sum(t).alias("n"), F.sum(t * t * t - t).alias("__ties"),
-    ).join(zeros, group)
+    )
     n = F.col("n")
-    s = s.withColumn("__stat", F.least("__wp", "__wm"))
+    s = attach(sums, zeros, group, "inner").withColumn("__stat", F.least("__wp", "__wm"))
     sd = F.sqrt((n * (n + 1) * (2 * n + 1) - 0.5 * F.col("__ties")) / 24.0)
     exact = (n <= 50) & (F.col("__ties") == 0) & (F.col("__zeros") == 0)
     s = s.withColumn("__pe", p_signed_rank_exact(F.when(exact, F.col("__stat")), n)).withColumn(
@@ -220,12 +220,11 @@ def kruskal(
     tot = ranks.groupBy(*group).agg(F.sum(t).alias("__n"), F.sum(t * t * t - t).alias("__ties"))
     # ranks per (channel, value) meet counts per (channel, value, condition), not the rows
     cells = obs.groupBy(*group, "value", "condition").agg(F.count(F.lit(1)).alias("__c"))
-    sums = cells.join(ranks, [*group, "value"]).groupBy(*group, "condition").agg(
+    sums = attach(cells, ranks, [*group, "value"], "inner").groupBy(*group, "condition").agg(
         F.sum(F.col("__c") * F.col("__rank")).alias("__r"), F.sum("__c").cast("double").alias("__m")
     )
-    s = sums.groupBy(*group).agg(
-        F.sum(F.col("__r") * F.col("__r") / F.col("__m")).alias("__q"), F.count(F.lit(1)).alias("__k")
-    ).join(tot, group)
+    s = sums.groupBy(*group).agg(F.sum(F.col("__r") * F.col("__r") / F.col("__m")).alias("__q"), F.count(F.lit(1)).alias("__k"))
+    s = attach(s, tot, group, "inner")
     n = F.col("__n")
     h = ratio(12.0 / (n * (n + 1)) * F.col("__q") - 3 * (n + 1), 1 - ratio(F.col("__ties"), n * n * n - n))
     s = s.withColumn("__stat", h)
@@ -342,10 +341,10 @@ def effect_size(
             hi.append(np.percentile(ds, 100 * (1 - alpha / 2)))
         return pd.DataFrame({"lo": lo, "hi": hi})
 
-    ci = left.join(right, group).select(
+    ci = attach(left, right, group, "inner").select(
         *group, interval("mean_a", "sw_a", "swx_a", "swxx_a", "mean_b", "sw_b", "swx_b", "swxx_b").alias("__ci")
     )
-    return stat.join(ci, group).select(
+    return attach(stat, ci, group, "inner").select(
         *group, F.lit("cohens_d").alias("metric"), F.lit(a).alias("condition_a"), F.lit(b).alias("condition_b"),
         F.round("__d", 4).alias("value"), F.round("__ci.lo", 4).alias("ci_low"), F.round("__ci.hi", 4).alias("ci_high"),
     )
@@ -444,6 +443,20 @@ def kendall(df: DataFrame, x: str, y: str, strip: int = STRIP) -> DataFrame:
     return one.select(ratio(F.col("s") + s_cells, den).alias("tau"))
 
 
+def spearman(df: DataFrame, x: str, y: str, hot=AUTO) -> DataFrame:
+    """Spearman's rho of two columns over the rows that have both, from counts of value pairs."""
+    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count(F.lit(1)).alias("__w"))
+    n = F.col("__n")
+    for c in ("x", "y"):
+        own = pairs.groupBy(c).agg(F.sum("__w").alias("__t"))
+        own = ordered_scan(own, [], [c], cumsum={"__hi": "__t"}, hot=hot)
+        pairs = pairs.join(own.select(c, (F.col("__hi") - (F.col("__t") - 1) / 2.0).alias(f"__r{c}")), c)
+    sums = [F.sum("__w").alias("__n")]
+    sums += [F.sum(F.col("__w") * F.col(f"__r{a}") * F.col(f"__r{b}")).alias(f"__{a}{b}") for a, b in ("xx", "yy", "xy")]
+    less = n * (n + 1) * (n + 1) / 4.0  # of ranks with mean (n + 1) / 2
+    return pairs.agg(*sums).select(ratio(F.col("__xy") - less, F.sqrt((F.col("__xx") - less) * (F.col("__yy") - less))).alias("rho"))
+
+
 @operator("correlation_matrix")
 def correlation_matrix(
     df: DataFrame, cols: Sequence[str] | None = None, method: str = "pearson", strict: bool = False, hot=AUTO
@@ -469,13 +482,14 @@ def correlation_matrix(
             one = tau if one is None else attach(one, tau, [])
     else:
         if method == "spearman":
-            for c in use:
-                ranks = mid_ranks(data.select(c), [], c, f"__r_{c}", "__t", hot).drop("__t")
-                data = data.join(ranks, c)
-            data = data.select(*[F.col(f"__r_{c}").alias(c) for c in use])
-        elif method != "pearson":
+            one = None
+            for i, j in pairs:
+                rho = spearman(data, use[i], use[j], hot).withColumnRenamed("rho", f"{i}_{j}")
+                one = rho if one is None else attach(one, rho, [])
+        elif method == "pearson":
+            one = data.agg(*[F.corr(use[i], use[j]).alias(f"{i}_{j}") for i, j in pairs])
+        else:
             raise ValueError(f"unknown method {method!r}")
-        one = data.agg(*[F.corr(use[i], use[j]).alias(f"{i}_{j}") for i, j in pairs])
     if strict:
         got = one.first()
         if any(v is None for v in got):

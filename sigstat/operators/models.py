@@ -120,7 +120,7 @@ def linreg_grouped(
     out = _linreg(df, [group, indicator], x, value, [x], rounded)
     if label:
         names = df.groupBy(group).agg(F.min(label).alias("group_label"))
-        out = out.join(names, group)
+        out = attach(out, names, [group], "inner")
     return out.drop("value_mean", "x_start", "x_end")
 
 
@@ -183,9 +183,13 @@ def ridge(
     )
 
 
+# how far a value may lie from a whole number
+NEAR_WHOLE = 1e-8
+
+
 @operator("is_ordinal")
 def is_ordinal(df: DataFrame, col: str, most: int = 9) -> DataFrame:
-    """One row: distinct values (counted up to ``most`` + 1), whether whole, and ``is_ordinal``."""
+    """One row: distinct values (counted up to ``most`` + 1), whether (nearly) whole, and ``is_ordinal`` (false for no values)."""
     c = F.col(col).cast("double")
-    got = df.where(c.isNotNull()).agg(F.count_distinct(c).alias("n_distinct"), F.bool_and(c == F.rint(c)).alias("whole"))
-    return got.select("n_distinct", "whole", ((F.col("n_distinct") <= most) & F.col("whole")).alias("is_ordinal"))
+    got = df.where(c.isNotNull()).agg(F.count_distinct(c).alias("n_distinct"), F.bool_and(F.abs(c - F.rint(c)) <= NEAR_WHOLE * F.greatest(F.abs(c), F.lit(1.0))).alias("whole"))
+    return got.select("n_distinct", "whole", F.coalesce((F.col("n_distinct") <= most) & F.col("whole"), F.lit(False)).alias("is_ordinal"))

@@ -113,7 +113,7 @@ def epoch_fixed_length(
     top = events.groupBy(*keys).agg(
         F.greatest(F.max("start"), F.max("stop")).alias("__emax"), lead_pair.alias("__lead")
     )
-    info = size.join(top, keys, "inner")
+    info = attach(size, top, keys, "inner")
     n, emax = F.col("__n"), F.col("__emax")
     rate = F.lit(float(event_sfreq)) if event_sfreq is not None else emax / (n / fs)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import warnings
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,39 +30,46 @@ def row_filter(df: DataFrame, col: str, value, drop_col: bool = False, strict: b
     return out.drop(col) if drop_col else out
 
 
-def _position(text: str, default: int) -> int:
-    text = text.strip()
-    return int(text) if text else default
+# one selector: a span of positions, one position or (part of) a name; then words to leave out
+SELECTOR = re.compile(r"\s*(?:(?P<first>-?\d*):(?P<last>-?\d*)|(?P<at>-?\d+)|(?P<name>[^\s,]+))?(?=[\s,]|\Z)(?P<less>.*)", re.S)
 
 
-def resolve_selector(selector: str, columns: Sequence[str]) -> list[str]:
-    """Columns named by one selector.
+@dataclass(frozen=True)
+class Selector:
+    """A parsed selector; ``a:b`` counts from 1 and includes b, ``-n`` counts from the end as Python slices do."""
 
-    ``a:b`` is a range with a 1-based inclusive start and an inclusive end, where
-    negative ends count as Python slices do; ``n`` / ``-n`` is one position; a
-    name matches exactly, else inside a name, else as a prefix (no case).
-    ``main -X -Y`` drops names containing X or Y.
-    """
-    columns = list(columns)
-    head, *rest = selector.strip().rstrip(",").split() or [""]
-    if rest:
-        drop = [r[1:].lower() for r in rest if r.startswith("-")]
-        return [c for c in resolve_selector(head, columns) if not any(d in c.lower() for d in drop)]
-    if not head:
-        return []
-    if ":" in head:
-        lo, hi = head.split(":")[:2]
-        start = _position(lo, 1) - 1 if lo.strip() else 0
-        return columns[start : _position(hi, len(columns))]
-    if re.fullmatch(r"-*\d+", head):
-        at = int(head)
-        return [columns[at - 1 if at > 0 else at]]
-    low = head.lower()
-    for test in (lambda c: c == low, lambda c: low in c, lambda c: c.startswith(low)):
-        found = [c for c in columns if test(c.lower())]
-        if found:
-            return found
-    return []
+    span: slice | None = None
+    at: int | None = None
+    name: str = ""
+    without: tuple[str, ...] = ()
+
+    @classmethod
+    def parse(cls, text: str) -> Selector:
+        part = SELECTOR.match(text)
+        without = tuple(w[1:].lower() for w in part["less"].rstrip(" ,").split() if w[0] == "-")
+        if part["first"] is not None:
+            low, high = part["first"], part["last"]
+            return cls(span=slice(int(low) - 1 if low else None, int(high) if high else None), without=without)
+        if part["at"] is not None:
+            at = int(part["at"])
+            return cls(at=at - (at > 0), without=without)
+        return cls(name=(part["name"] or "").lower(), without=without)
+
+    def pick(self, columns: Sequence[str]) -> list[str]:
+        """Positions first; a name takes equal names if there are any, else those that contain it."""
+        if self.span is not None:
+            found = list(columns[self.span])
+        elif self.at is not None:
+            found = [columns[self.at]]
+        else:
+            equal = {c: c.lower() == self.name for c in columns if self.name and self.name in c.lower()}
+            found = [c for c, same in equal.items() if same or not any(equal.values())]
+        return [c for c in found if not any(w in c.lower() for w in self.without)]
+
+
+def resolve_selector(selector: str, columns: Sequence[str]) -> list[str]:
+    """Columns named by one selector; ``main -X -Y`` leaves out names that contain X or Y."""
+    return Selector.parse(selector).pick(list(columns))
 
 
 @operator("select_columns")
@@ -117,7 +125,7 @@ def infer_sfreq(
         scan = ordered_scan(df.select(*keys, time), keys, [time], lag={"__p": time}, hot=hot)
         diffs = scan.select(*keys, (F.col(time) - F.col("__p")).alias("__d"))
         med = exact_quantiles(diffs, keys, "__d", {"__step": 0.5}, hot=hot)
-        step = df.select(*keys).distinct().join(med, keys, "left") if keys else med
+        step = attach(df.select(*keys).distinct(), med, keys) if keys else med
         fallback = 1.0
     else:
         raise ValueError(f"unknown rule {rule!r}")
@@ -234,7 +242,7 @@ def retention(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataF
     keys = list(keys)
     n0 = before.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_before"))
     n1 = after.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_after"))
-    out = n0.join(n1, keys, "left").withColumn("rows_after", F.coalesce("rows_after", F.lit(0)))
+    out = attach(n0, n1, keys).withColumn("rows_after", F.coalesce("rows_after", F.lit(0)))
     pct = 100.0 * (1 - F.col("rows_after") / F.col("rows_before"))
     return out.withColumn("rejected_pct", pct).withColumn(
         "level", F.when(pct > 80, "severe").when(pct > 50, "high").otherwise("ok")

@@ -93,7 +93,7 @@ def descriptive(
         (mean + 1.96 * sem).alias("ci_95_high"),
     )
     quant = exact_quantiles(obs, group, "value", {"median": 0.5, "__q1": 0.25, "__q3": 0.75}, hot=hot)
-    out = stats.join(quant, group, "inner").withColumn("iqr", F.col("__q3") - F.col("__q1"))
+    out = attach(stats, quant, group, "inner").withColumn("iqr", F.col("__q3") - F.col("__q1"))
     nums = ["mean", "std", "sem", "median", "iqr", "min", "max", "skewness", "kurtosis"]
     return out.select(
         *group, *[F.round(c, 4).alias(c) for c in nums], "n",
@@ -239,32 +239,34 @@ def asymmetry(
     return wide.select(*keys, F.inline(F.array(*entries))).where(F.col("asymmetry").isNotNull())
 
 
+# fixed values: how channel names give the number of their source
+SOURCE = re.compile(r"(\d+)-\d+|S(\d+)_D\d+")
+
+
+def _readings(pattern: str) -> list[re.Pattern]:
+    """A channel pattern as regular expressions, the preferred one first."""
+    if pattern.startswith("re:"):
+        return [re.compile(f".*?(?:{pattern[3:]})", re.S)]
+    if set(pattern) & set("*?["):
+        return [re.compile(fnmatch.translate(pattern))]
+    plain = re.escape(pattern)
+    return [re.compile(plain + r"\Z"), re.compile(plain)]
+
+
 def resolve_groups(channels: Sequence[str], groups: Mapping[str, Sequence[str]] | None) -> dict[str, list[str]]:
-    """Channel groups from patterns: exact, else prefix; shell glob; ``re:`` searched.
+    """Channel groups from patterns: a whole name, else a prefix; a shell glob; ``re:`` searched.
 
-    Without a usable group, sources of optode names (``3-1``, ``S3_D1``) form
-    groups ``Source{n}``, else all channels form ``All``.
+    Where no pattern matches, channels are grouped by the source in their name, or form ``All``.
     """
-    out: dict[str, list[str]] = {}
+    made = {}
     for name, patterns in (groups or {}).items():
-        found: list[str] = []
-        for p in patterns:
-            if p.startswith("re:"):
-                hits = [c for c in channels if re.search(p[3:], c)]
-            elif any(x in p for x in "*?["):
-                hits = [c for c in channels if fnmatch.fnmatchcase(c, p)]
-            else:
-                hits = [p] if p in channels else [c for c in channels if c.startswith(p)]
-            found += [h for h in hits if h not in found]
-        if found:
-            out[name] = found
-    if out:
-        return out
-    for c in channels:
-        m = re.match(r"^(\d+)-(\d+)", c) or re.match(r"^S(\d+)_D(\d+)", c)
-        if m:
-            out.setdefault(f"Source{m.group(1)}", []).append(c)
-    return out or {"All": list(channels)}
+        chosen = (next(filter(None, ([c for c in channels if r.match(c)] for r in _readings(p))), []) for p in patterns)
+        made[name] = list(dict.fromkeys(c for some in chosen for c in some))
+    made = {name: some for name, some in made.items() if some}
+    if not made:
+        sources = [(m[m.lastindex], c) for c in channels if (m := SOURCE.match(c))]
+        made = {f"Source{k}": [c for n, c in sources if n == k] for k, _ in sources}
+    return made or {"All": list(channels)}
 
 
 @operator("region_epoch_means")

@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,7 +129,7 @@ def tddr(
         "__d", F.coalesce(x - F.col("__p"), F.lit(0.0))
     ).drop("__p")
     first = df.groupBy(*keys).agg(F.min_by(value, F.struct(*order)).alias("__x0"))
-    mid = exact_quantiles(steps, keys, "__d", {"__med": 0.5}, hot=hot).join(first, keys, "inner")
+    mid = attach(exact_quantiles(steps, keys, "__d", {"__med": 0.5}, hot=hot), first, keys, "inner")
     steps = attach(steps, mid, keys, "inner").withColumn("__a", F.abs(F.col("__d") - F.col("__med")))
     mad = exact_quantiles(steps, keys, "__a", {"__mad": 0.5}, hot=hot)
     rows = attach(steps, mad, keys, "inner").withColumn("__sigma", F.col("__mad") / 1.4826)
@@ -152,11 +153,6 @@ SHORT_CHANNEL = re.compile(r"(^s\d+\b)|short|_sd|_short|-(?:8|9|1[0-5]):", re.I)
 WAVELENGTH = re.compile(r":\d+-(\d+)$")
 
 
-def _wavelength(name: str) -> str:
-    m = WAVELENGTH.search(name)
-    return m.group(1) if m else "all"
-
-
 @operator("short_channel_regression")
 def short_channel_regression(
     df: DataFrame, keys: Sequence[str], channels: Sequence[str], method: str = "short_channel", short: Sequence[str] | None = None
@@ -170,19 +166,14 @@ def short_channel_regression(
         return df
     if method != "short_channel":
         raise ValueError(f"unknown method {method!r}")
-    shorts = [c for c in channels if c in short] if short is not None else [c for c in channels if SHORT_CHANNEL.search(c)]
-    if not shorts:
-        return df
-    by_wl: dict[str, list[str]] = {}
-    for c in shorts:
-        by_wl.setdefault(_wavelength(c), []).append(c)
-    regressor = {w: total([F.col(f"`{c}`") for c in g]) / len(g) for w, g in by_wl.items()}
-    pick = {}
-    for c in channels:
-        wl = _wavelength(c)
-        r = regressor.get(wl, regressor.get("all"))
-        if c not in shorts and r is not None:
-            pick[c] = r
+    is_short = (lambda c: c in short) if short is not None else SHORT_CHANNEL.search
+    layout = pd.DataFrame({"channel": list(channels)})
+    layout["band"] = layout["channel"].str.extract(WAVELENGTH, expand=False).fillna("all")
+    layout["short"] = [bool(is_short(c)) for c in channels]
+    mean = {band: total([F.col(f"`{c}`") for c in own]) / len(own) for band, own in layout[layout["short"]].groupby("band")["channel"]}
+    own = layout[~layout["short"]]
+    own = own[own["band"].isin(mean) | ("all" in mean)]
+    pick = {c: mean[band if band in mean else "all"] for c, band in zip(own["channel"], own["band"], strict=True)}
     aggs = []
     for i, (c, r) in enumerate(pick.items()):
         aggs += [F.sum(F.col(f"`{c}`") * r).alias(f"__sr{i}"), F.sum(r * r).alias(f"__rr{i}")]

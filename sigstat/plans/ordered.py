@@ -9,6 +9,8 @@ block carries the last value, first value, row count and sum across the borders.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -21,14 +23,17 @@ AUTO = "auto"
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join one row of statistics per key back to the rows.
+    """Join one row of statistics per key back to the rows; a null key is a key like any other.
 
     No broadcast hint: the table grows with the number of keys.  Adaptive
     execution broadcasts it where its measured size allows, and splits a skewed
     key of a sort-merge join.  Without keys the one row is a scalar subquery.
     """
     if keys:
-        return df.join(stats, list(keys), how)
+        names = {k: f"__on{i}" for i, k in enumerate(keys)}
+        right = stats.withColumnsRenamed(names)
+        same = [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in names.items()]
+        return df.join(right, reduce(and_, same), how).drop(*names.values())
     row = stats.select(F.struct(*stats.columns)).scalar()
     return df.select("*", *[row[c].alias(c) for c in stats.columns])
 

@@ -27,7 +27,7 @@ def interval_join(
     stop: str,
     width: float | None = None,
 ) -> DataFrame:
-    """Pairs with equal keys and ``start <= at <= stop`` (both ends closed).
+    """Pairs with equal keys (null equals null) and ``start <= at <= stop`` (both ends closed).
 
     The bucket number is an extra equality key, so a long recording spreads over
     many tasks and no pair outside a shared bucket is compared.
@@ -42,5 +42,5 @@ def interval_join(
     right = right.withColumnsRenamed({c: f"__r_{c}" for c in [*keys, "__b"]})
     cond = (F.col("__b") == F.col("__r___b")) & F.col(at).between(F.col(start), F.col(stop))
     for k in keys:
-        cond = cond & (F.col(k) == F.col(f"__r_{k}"))
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
     return left.join(right, cond, "inner").drop("__b", *[f"__r_{c}" for c in [*keys, "__b"]])
