@@ -144,19 +144,21 @@ def bands(threshold: float = LIKE, recall: float = RECALL, n: int = PERMUTATIONS
     return n, 1
 
 
-def jaccard_links(lists, threshold: float) -> list[tuple]:
-    """(a, b) of members (id, sorted distinct hashes) that connect whatever Jaccard at the threshold connects."""
-    ids = [m["id"] for m in lists]
-    sets = [np.asarray(m["hashes"], np.int64) for m in lists]
-    size = np.array([len(s) for s in sets])
-    flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(sets)), size)
+def jaccard_links(flat: np.ndarray, size: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Members of a block, given by their distinct hashes one after the other, whose links connect what Jaccard connects."""
+    end = np.cumsum(size)
+    owner = np.repeat(np.arange(len(size)), size)
 
     def linked(one: int, others: np.ndarray) -> np.ndarray:
-        both = np.bincount(owner[np.isin(flat, sets[one])], minlength=len(sets))[others]
+        own = flat[end[one] - size[one] : end[one]]
+        if len(others) == 1:
+            k = others[0]
+            both = np.intersect1d(own, flat[end[k] - size[k] : end[k]], assume_unique=True).size
+        else:
+            both = np.bincount(owner[np.isin(flat, own)], minlength=len(size))[others]
         return both >= threshold * (size[others] + size[one] - both) - 1e-9
 
-    return [(ids[a], ids[b]) for a, b in forest(len(ids), linked)]
+    return forest(len(size), linked)
 
 
 def verified(candidates: DataFrame, threshold: float = LIKE) -> DataFrame:
@@ -164,9 +166,18 @@ def verified(candidates: DataFrame, threshold: float = LIKE) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for k in range(batch.num_rows):
-                links = jaccard_links(column(batch, "members")[k].as_py(), threshold)
-                yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in links], pa.int64()) for j in (0, 1)], ["a", "b"])
+            lists = column(batch, "members")
+            members = lists.flatten()
+            ids, sets = members.field(0).to_numpy(zero_copy_only=False), members.field(1)
+            size = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = sets.flatten().to_numpy(zero_copy_only=False)
+            at = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+            place = np.concatenate(([0], np.cumsum(size)))
+            a, b = [], []
+            for begin, end in zip(at, at[1:]):
+                for i, j in jaccard_links(flat[place[begin] : place[end]], size[begin:end], threshold):
+                    a.append(ids[begin + i]), b.append(ids[begin + j])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b)], ["a", "b"])
 
     return candidates.mapInArrow(run, "a long, b long").distinct()
 

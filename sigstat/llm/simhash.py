@@ -28,9 +28,13 @@ WORDS, SEED, RADIUS, BITS = 4, 42, 4, 64
 
 def shingle_hashes(text: str, words: int = WORDS, seed: int = SEED) -> list[int]:
     """XXH64 of every shingle; A-Z in lower case, words parted by ASCII white space."""
+    return word_hashes(text.encode("utf-8", "surrogatepass").lower().split(), words, seed)
+
+
+def word_hashes(parts: list[bytes], words: int = WORDS, seed: int = SEED) -> list[int]:
+    """XXH64 of every shingle of a list of words."""
     import xxhash
 
-    parts = text.encode("utf-8", "surrogatepass").lower().split()
     if not parts:
         return []
     digest = xxhash.xxh64_intdigest

@@ -1,6 +1,7 @@
 """Passages that repeat across documents: MinHash bands of paragraphs, verified Jaccard, removals by components.
 
-A paragraph ends at a line end, and at those sentence ends whose last word has an odd CRC-32, about every second one: the cut
+A paragraph ends at a line end, and at those sentence ends whose last ``BEFORE`` characters have an odd CRC-32, about every
+second one: the cut
 depends on the text around it alone, so a passage falls into the same paragraphs wherever it stands. Paragraphs of fewer than
 ``LEAST`` words don't count. A paragraph is known by the XXH64 of its words (A-Z in lower case); its five-word shingles
 have ``HASHES`` MinHash values in the bands that reach ``RECALL`` at the threshold.
@@ -32,11 +33,13 @@ from sigstat.llm.batches import column, cut, pieces, ragged, texts, written
 from sigstat.llm.components import blocks, components
 from sigstat.llm.exact_dedup import filter_bits, present, probed
 from sigstat.llm.fingerprints import LIKE, bands, factors, verified
-from sigstat.llm.simhash import shingle_hashes
+from sigstat.llm.simhash import word_hashes
 
 LEAST, WORDS, HASHES = 6, 5, 10
-PASSAGE, GAP = 20, 60
-END = re.compile(r"(?<!\S)(\S*[^\s.!?][.!?])(?=\s|\Z)|\n")
+PASSAGE, GAP = 20, 200
+END = re.compile(r"[^\s.!?][.!?](?=\s)|\n")
+#: Characters before a sentence end that decide whether it is cut there.
+BEFORE = 6
 #: Paragraphs whose keys a task remembers to have sent.
 SEEN = 1 << 19
 
@@ -47,12 +50,10 @@ def paragraphs(text: str) -> Iterator[tuple[int, int, bytes]]:
     for m in [*END.finditer(text), None]:
         if m is None:
             end = len(text)
-        elif m.group(1) is None:
-            end = m.start()
-        elif zlib.crc32(m.group(1).lower().encode("utf-8", "surrogatepass")) & 1:
-            end = m.end()
         else:
-            continue
+            end = m.end()
+            if text[end - 1] != "\n" and not zlib.crc32(text[max(end - BEFORE, 0) : end].lower().encode("utf-8", "surrogatepass")) & 1:
+                continue
         part = text[begin:end]
         body = part.strip(" \t\n\x0b\x0c\r")
         words = body.encode("utf-8", "surrogatepass").lower().split()
@@ -93,7 +94,7 @@ def _keyed(docs: DataFrame, text: str, threshold: float) -> DataFrame:
                 for _, _, words in paragraphs(x):
                     one = node(words)
                     if one not in seen:
-                        seen.add(one), ids.append(one), lists.append(shingle_hashes(words.decode("utf-8", "surrogatepass"), WORDS))
+                        seen.add(one), ids.append(one), lists.append(word_hashes(words.split(), WORDS))
             if ids:
                 keys = band_keys(lists, threshold)
                 own = np.repeat(np.array(ids, np.uint64).view(np.int64), keys.shape[1])
@@ -124,14 +125,14 @@ def _sets(docs: DataFrame, text: str, bitmap: DataFrame, bits: int) -> DataFrame
         for part in pieces(batches, text):
             own = [w for x in texts(part, text) for _, _, w in paragraphs(x)]
             ids = np.array([node(w) for w in own], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([w.decode("utf-8", "surrogatepass") for w in own], pa.string())], ["id", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(own, pa.binary())], ["id", "words"])
 
     def hashed(batches):
         for part in pieces(batches, "words"):
-            sets = [np.unique(np.array(shingle_hashes(w, WORDS), np.uint64)).view(np.int64) for w in texts(part, "words")]
+            sets = [np.unique(np.array(word_hashes(w.split(), WORDS), np.uint64)).view(np.int64) for w in column(part, "words").to_pylist()]
             yield pa.RecordBatch.from_arrays([column(part, "id"), ragged(np.concatenate(sets), np.array([len(s) for s in sets]), pa.int64())], ["id", "hashes"])
 
-    near = probed(docs.select(text).mapInArrow(words, "id long, words string"), "id", bitmap, bits, "may").filter("may")
+    near = probed(docs.select(text).mapInArrow(words, "id long, words binary"), "id", bitmap, bits, "may").filter("may")
     return near.groupBy("id").agg(F.first("words").alias("words")).mapInArrow(hashed, "id long, hashes array<long>")
 
 
