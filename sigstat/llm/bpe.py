@@ -30,7 +30,7 @@ EMPTY = np.uint64(2**64 - 1)
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128)
 LONG = WIDTHS[-1]
 #: Rows of a matrix, and distinct pre-tokens that a worker remembers (then it starts anew).
-ROWS, MEMO = 16384, 250_000
+ROWS, MEMO = 16384, 100_000
 #: Id lists decoded at a time.
 ID_LISTS = 200
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"

@@ -132,11 +132,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """Of each component the row with the smallest doc_id, with its columns (one row if rows repeat that id)."""
     rows = cut(fingerprints(docs.select(doc_id, text), text).select(doc_id, "fp"))
-    found = classes(rows, doc_id, radius=radius)
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("body"))
-    kept = fingerprints(packed, "body").drop("body").join(found, "fp").filter(F.col("id").eqNullSafe(F.col("component_id")))
-    one = kept.filter("first_rows = 1").select("row.*")
-    return one.unionByName(kept.filter("first_rows > 1").dropDuplicates(["label"]).select("row.*"))
+    own = [f"__{c}" for c in ("fp", "label", "component_id", "first_rows")]
+    found = classes(rows, doc_id, radius=radius).toDF(*own)
+    kept = fingerprints(docs, text, own[0]).join(found, own[0]).filter(F.col(doc_id).eqNullSafe(F.col("__component_id")))
+    one = kept.filter("__first_rows = 1").select(*docs.columns)
+    return one.unionByName(kept.filter("__first_rows > 1").dropDuplicates(["__label"]).select(*docs.columns))
 
 
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:

@@ -346,8 +346,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that aren't predicted toxic, with their columns."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return score(rows, fit(docs, labels)).filter(F.col("score") < threshold).select("row.*")
+    own = "__toxicity"  # the text goes to Python once, with the row
+    return score(docs, fit(docs, labels), out=own).filter(F.col(own) < threshold).select(*docs.columns)
 
 
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
