@@ -2,43 +2,26 @@
 
 ``ordered_scan`` gives row index, previous and next values and running sums in
 the order of a series.  For ordinary keys this is one window.  For hot keys the
-window runs inside blocks (see ``skew``) and a small table with one row per
+window runs inside blocks (see ``skew``) of a table written once, and one row per
 block carries the last value, first value, row count and sum across the borders.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import skew
-from .skew import BLOCK, HotKeys, find_hot_keys, largest_group, with_blocks
+from ..session import materialise
+from .skew import BLOCK, TIE, HotKeys, attach, find_hot_keys, largest_group, with_blocks
 
 AUTO = "auto"
 
 
-def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join one row of statistics per key back to the rows; a null key is a key like any other.
-
-    No broadcast hint: the table grows with the number of keys.  Adaptive
-    execution broadcasts it where its measured size allows, and splits a skewed
-    key of a sort-merge join.  Without keys the one row is a scalar subquery.
-    """
-    if keys:
-        names = {k: f"__on{i}" for i, k in enumerate(keys)}
-        right = stats.withColumnsRenamed(names)
-        same = [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in names.items()]
-        return df.join(right, reduce(and_, same), how).drop(*names.values())
-    row = stats.select(F.struct(*stats.columns)).scalar()
-    return df.select("*", *[row[c].alias(c) for c in stats.columns])
-
-
-def resolve_hot(df: DataFrame, keys: Sequence[str], order: str, hot) -> HotKeys | None:
+def resolve_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str, hot) -> HotKeys | None:
     return find_hot_keys(df, keys, order) if hot == AUTO else hot
 
 
@@ -50,7 +33,7 @@ def once(df: DataFrame, keys: Sequence[str], hot):
     """
     if hot != AUTO:
         return hot
-    return None if largest_group(df, keys)[1] <= skew.MIN_HOT_ROWS else AUTO
+    return None if largest_group(df, keys) <= skew.BLOCK_ROWS else AUTO
 
 
 def ordered_scan(
@@ -77,7 +60,7 @@ def ordered_scan(
     keys, order = list(keys), list(order)
     lag, lead, cumsum = dict(lag or {}), dict(lead or {}), dict(cumsum or {})
     ffill, bfill, cummin_back = dict(ffill or {}), dict(bfill or {}), dict(cummin_back or {})
-    hot = resolve_hot(df, keys, order[0], hot)
+    hot = resolve_hot(df, keys, order, hot)
 
     def as_col(c):
         return F.col(c) if isinstance(c, str) else c
@@ -99,8 +82,9 @@ def ordered_scan(
             added[size] = F.count(F.lit(1)).over(W.partitionBy(*keys))
         return df.withColumns(added)
 
-    blocked = with_blocks(df, hot, order[0])
-    group = [*keys, BLOCK]
+    # written once: the windows and the carry both read it, and later passes don't repeat what made it
+    blocked = materialise(with_blocks(df, hot, order), "blocks")
+    order, group = [*order, TIE], [*keys, BLOCK]
     w = W.partitionBy(*group).orderBy(*order)
     run = w.rowsBetween(W.unboundedPreceding, 0)
     local = {"__rn": F.row_number().over(w).cast("long")}

@@ -1,111 +1,101 @@
 """Hot keys: groups too large for one task, and how to cut them into blocks.
 
-One pass over the key columns finds the largest group.  Where every group is
-small nothing more happens and callers use plain windows.  Otherwise a key is
-hot when it holds more than ``1 / splits`` of all rows, so there are at most
-``splits`` hot keys, whatever the data: the list has a proven size and may be
-broadcast.  The rows of hot keys are cut at ``splits`` equal-depth bounds of the
-order column, taken over all hot rows; hence no (key, block) group holds more
-than about ``1 / splits`` of the rows.  The bounds enter the plan as literals, so
-every branch of a plan, and every retry of a lost task, cuts at the same places.
+One pass over the key columns finds the largest group.  Where none has more than
+``BLOCK_ROWS`` rows nothing else happens and callers use plain windows.  Else
+each larger key is cut into blocks of about ``BLOCK_ROWS`` rows, as many as its
+own rows need.  The cuts are values of the whole order tuple with a hash of the
+row behind it, so they take any orderable type and go through ties; they come
+from a sample chosen by that hash and are written once, so that every branch of
+a plan, and every retry of a lost task, cuts at the same places.  The sample
+decides where blocks end, never which rows count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLOCK = "__block"
-SPLITS = 1024
-MIN_HOT_ROWS = 2_000_000
+from ..session import materialise
+
+BLOCK, TIE = "__block", "__tie"
+BLOCK_ROWS = 2_000_000
+PER_CUT = 16  # sampled rows of a block
+
+
+def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join one row of statistics per key back to the rows; a null key is a key like any other.
+
+    No broadcast hint: the table grows with the number of keys.  Adaptive
+    execution broadcasts it where its measured size allows, and splits a skewed
+    key of a sort-merge join.  Without keys the one row is a scalar subquery.
+    """
+    if keys:
+        names = {k: f"__on{i}" for i, k in enumerate(keys)}
+        right = stats.withColumnsRenamed(names)
+        same = [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in names.items()]
+        return df.join(right, reduce(and_, same), how).drop(*names.values())
+    row = stats.select(F.struct(*stats.columns)).scalar()
+    return df.select("*", *[row[c].alias(c) for c in stats.columns])
 
 
 @dataclass(frozen=True)
 class HotKeys:
+    """One row per hot key: its sorted cuts, in runs of about the square root of their number."""
+
     keys: tuple[str, ...]
-    rows: tuple[tuple, ...]
-    bounds: tuple[float, ...]
-
-
-def axis(df: DataFrame, name: str) -> Column:
-    """The order column as a double, for cutting into blocks."""
-    dtype = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(dtype, T.TimestampNTZType):
-        col = F.unix_micros(col.cast("timestamp"))
-    elif isinstance(dtype, T.TimestampType):
-        col = F.unix_micros(col)
-    elif isinstance(dtype, T.DateType):
-        col = F.unix_date(col)
-    return col.cast("double")
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """Rows in all and in the largest group: a scan of the key columns only."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
-    return total or 0, largest or 0
-
-
-def find_hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    splits: int | None = None,
-    min_rows: int | None = None,
-) -> HotKeys | None:
-    """The keys that need cutting, or None where no group passes ``min_rows``."""
-    splits, min_rows = splits or SPLITS, min_rows or MIN_HOT_ROWS
-    total, largest = largest_group(df, keys)
-    limit = max(min_rows, total // splits)
-    if largest <= limit:
+    table: DataFrame
+
+    @property
+    def rows(self) -> list[tuple]:
+        return [tuple(r) for r in self.table.select(*self.keys).collect()]
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group: a scan of the key columns only."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row, to go through ties."""
+
+    def plain(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(plain(f.dataType) for f in kind.fields)
+        return plain(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if plain(f.dataType)], F.lit(0))
+
+
+def find_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str, rows: int | None = None) -> HotKeys | None:
+    """The keys that need cutting, or None where no group has more than ``rows`` rows."""
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    rows = rows or BLOCK_ROWS
+    if largest_group(df, keys) <= rows:
         return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    rows = tuple(tuple(r) for r in counts.where(F.col("__n") > limit).select(*keys).collect())
-    hot = HotKeys(tuple(keys), rows, ())
-    probs = [i / splits for i in range(1, splits)]
-    cuts = (
-        _flag(df, hot)
-        .where("__hot")
-        .agg(F.percentile_approx(axis(df, order), probs, max(10_000, 10 * splits)))
-        .first()[0]
-    )
-    return HotKeys(tuple(keys), rows, tuple(sorted(set(cuts or []))))
-
-
-def _flag(df: DataFrame, hot: HotKeys) -> DataFrame:
-    if not hot.keys:
-        return df.withColumn("__hot", F.lit(True))
-    names = [f"__h{i}" for i in range(len(hot.keys))]
-    fields = [T.StructField(n, df.schema[k].dataType) for n, k in zip(names, hot.keys)]
-    table = df.sparkSession.createDataFrame(list(hot.rows), T.StructType(fields))
-    table = table.withColumn("__hot", F.lit(True))
-    cond = None
-    for n, k in zip(names, hot.keys):
-        c = df[k].eqNullSafe(table[n])
-        cond = c if cond is None else cond & c
-    joined = df.join(F.broadcast(table), cond, "left").drop(*names)
-    return joined.withColumn("__hot", F.coalesce("__hot", F.lit(False)))
-
-
-def with_blocks(df: DataFrame, hot: HotKeys, order: str) -> DataFrame:
-    """Add the block number: 0 for ordinary keys, the cut interval for hot ones."""
-    value = axis(df, order)
-    bounds = list(hot.bounds)
-    if not bounds:
-        number = F.lit(0)
-    else:
-        # two-level search: ~2*sqrt(splits) comparisons per hot row instead of splits
-        width = max(1, int(len(bounds) ** 0.5))
-        runs = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-        heads = F.lit([r[0] for r in runs])
-        table = F.array(*[F.lit(r) for r in runs])
-        run = F.size(F.filter(heads, lambda b: b <= value))
-        within = F.size(F.filter(F.element_at(table, F.greatest(run, F.lit(1))), lambda b: b <= value))
-        number = F.when(run == 0, F.lit(0)).otherwise((run - 1) * width + within)
-    flagged = _flag(df, hot)
-    return flagged.withColumn(BLOCK, F.when(F.col("__hot"), number).otherwise(F.lit(0))).drop("__hot")
+    big = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows)
+    tied = df.select(*dict.fromkeys([*keys, *order]), row_hash(df).alias(TIE))
+    few = tied.where(F.pmod(F.xxhash64(TIE), F.lit(max(1, rows // PER_CUT))) == 0)
+    few = attach(few, big, keys, "inner") if keys else few
+    found = few.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, TIE))).alias("__all"))
+    every = F.transform(F.sequence(F.lit(PER_CUT), F.size("__all"), F.lit(PER_CUT)), lambda i: F.element_at("__all", i))
+    cuts = found.where(F.size("__all") >= PER_CUT).select(*keys, every.alias("__cuts"))
+    wide = F.greatest(F.lit(1), F.sqrt(F.size("__cuts").cast("double")).cast("int"))
+    runs = F.transform(F.sequence(F.lit(1), F.size("__cuts"), wide), lambda i: F.slice("__cuts", i, wide))
+    return HotKeys(tuple(keys), materialise(cuts.select(*keys, runs.alias("__runs")), "cuts"))
+
+
+def with_blocks(df: DataFrame, hot: HotKeys, order: Sequence[str]) -> DataFrame:
+    """Add the row hash and the block number: 0 for ordinary keys, the cut interval for hot ones."""
+    place = F.struct(*order, TIE)
+    tied = attach(df.withColumn(TIE, row_hash(df)), hot.table, list(hot.keys))
+    # two-level search: about twice the square root of the cuts in comparisons
+    run = F.size(F.filter("__runs", lambda r: r[0] <= place))
+    within = F.size(F.filter(F.element_at("__runs", F.greatest(run, F.lit(1))), lambda b: b <= place))
+    number = F.when(F.col("__runs").isNull() | (run == 0), 0).otherwise((run - 1) * F.size(F.col("__runs")[0]) + within)
+    return tied.withColumn(BLOCK, number).drop("__runs")

@@ -22,5 +22,4 @@ def small_groups(monkeypatch):
     """Make groups of more than 20 rows hot, so that the two-level paths run."""
     from sigstat.plans import skew
 
-    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 20)
-    monkeypatch.setattr(skew, "SPLITS", 16)
+    monkeypatch.setattr(skew, "BLOCK_ROWS", 20)

@@ -10,7 +10,7 @@ from sigstat.operators.inference import fdr_bh
 from sigstat.operators.windows import baseline_correct, tddr
 from sigstat.plans.asof import asof_join
 from sigstat.plans.ordered import exact_quantiles, mid_ranks, ordered_scan
-from sigstat.plans.skew import find_hot_keys
+from sigstat.plans.skew import BLOCK, find_hot_keys, with_blocks
 
 
 @pytest.fixture(scope="module")
@@ -42,13 +42,13 @@ def close(a, b):
                 assert u == v
 
 
-@pytest.mark.parametrize("splits", [4, 64])
-def test_ordered_scan(rows, splits):
+@pytest.mark.parametrize("size", [20, 55])
+def test_ordered_scan(rows, size):
     kw = dict(
         index="idx", size="n", lag={"lag": "x"}, lead={"lead": "x"}, cumsum={"cs": "x"}, ffill={"ff": "x"}, bfill={"bf": "x"},
         cummin_back={"mb": "x"},
     )
-    hot = find_hot_keys(rows, ["k"], "t", splits=splits, min_rows=20)
+    hot = find_hot_keys(rows, ["k"], ["t", "i"], rows=size)
     assert hot is not None and ("hot",) in hot.rows
     close(
         collect(ordered_scan(rows, ["k"], ["t", "i"], hot=None, **kw)),
@@ -61,11 +61,75 @@ def test_no_hot_keys(rows):
 
 
 def test_without_keys(rows):
-    hot = find_hot_keys(rows, [], "t", splits=8, min_rows=20)
+    hot = find_hot_keys(rows, [], ["t", "k", "i"], rows=20)
     kw = dict(index="idx", cumsum={"cs": "x"})
     close(collect(ordered_scan(rows, [], ["t", "k", "i"], hot=None, **kw)), collect(ordered_scan(rows, [], ["t", "k", "i"], hot=hot, **kw)))
 
 
+def block_sizes(df, keys, order, size):
+    hot = find_hot_keys(df, keys, order, rows=size)
+    return hot, [r[0] for r in with_blocks(df, hot, order).groupBy(*keys, BLOCK).count().select("count").collect()]
+
+
+def test_text_order(spark):
+    df = spark.range(3000).selectExpr("'k' AS k", "concat('v', lpad(id, 5, '0')) AS epoch_id", "cast(id AS double) AS x")
+    hot, sizes = block_sizes(df, ["k"], ["epoch_id"], 100)
+    assert len(sizes) > 20 and max(sizes) <= 400 and sum(sizes) == 3000
+    got = ordered_scan(df, ["k"], ["epoch_id"], index="i", hot=hot)
+    assert got.where("i <> x").count() == 0
+
+
+def test_constant_first_column(spark):
+    df = spark.range(2000).selectExpr("'k' AS k", "0 AS a", "id AS b")
+    hot, sizes = block_sizes(df, ["k"], ["a", "b"], 100)
+    assert max(sizes) <= 400
+    assert ordered_scan(df, ["k"], ["a", "b"], index="i", hot=hot).where("i <> b").count() == 0
+
+
+def test_ties_are_cut(spark):
+    df = spark.range(2000).selectExpr("'k' AS k", "0 AS a", "id AS payload")
+    hot, sizes = block_sizes(df, ["k"], ["a"], 100)
+    assert max(sizes) <= 400
+    assert sorted(r.i for r in ordered_scan(df, ["k"], ["a"], index="i", hot=hot).collect()) == list(range(2000))
+
+
+def test_blocks_do_not_grow_with_the_table(spark):
+    df = spark.range(40 * 50).selectExpr("id % 40 AS k", "id AS t")
+    hot, sizes = block_sizes(df, ["k"], ["t"], 20)
+    assert len(hot.rows) == 40 and max(sizes) <= 50 and len(sizes) > 60
+
+
+def test_null_keys_and_order(spark):
+    data = [(k, t, float(t or 0)) for k in ("a", None) for t in [None, *range(120)]]
+    df = spark.createDataFrame(data, "k string, t int, x double")
+    kw = dict(index="i", size="n", cumsum={"c": "x"}, lag={"p": "x"})
+    hot = find_hot_keys(df, ["k"], ["t"], rows=20)
+    assert sorted(hot.rows, key=str) == [("a",), (None,)]
+    close(collect(ordered_scan(df, ["k"], ["t"], hot=None, **kw)), collect(ordered_scan(df, ["k"], ["t"], hot=hot, **kw)))
+
+
+def test_plan_does_not_multiply(spark, small_groups):
+    import re
+
+    rows = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").selectExpr("l_suppkey AS k", "l_orderkey AS t", "l_linenumber AS i", "l_quantity AS x")
+
+    def scans(df):
+        return len(re.findall(r"FileScan", df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]))
+
+    args = (rows, ["k"], "x", ["t", "i"])
+    assert scans(tddr(*args)) <= 2 * scans(tddr(*args, hot=None))
+
+
+def test_null_groups_stay(spark):
+    from sigstat.operators.select import reject_samples
+    from sigstat.operators.windows import standardise, zscore_flags
+
+    df = spark.createDataFrame([(k, float(i), float(i % 3)) for k in ("a", None) for i in range(4)], "k string, time double, x double")
+    assert standardise(df, ["k"], ["x"]).count() == zscore_flags(df, ["k"], ["x"]).count() == 8
+    assert baseline_correct(df, ["k"], ["x"], 2.0, 1.0, ["time"]).count() == 8
+    assert reject_samples(df, ["k"], ["x"], "zscore", 3.0).count() == 8
+
+
 def test_quantiles_and_ranks(rows, small_groups):
     probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
     close(collect(exact_quantiles(rows, ["k"], "x", probs, hot=None)), collect(exact_quantiles(rows, ["k"], "x", probs)))
