@@ -6,6 +6,7 @@ that are labelled good, outside the held-out fold, all of them. Tasks count thei
 n-gram; lower orders count distinct continuations; discounts come from the counts of counts of each order; probabilities are
 made order by order by joins of the n-grams with their contexts and with the next lower order.
 
+Which documents are trusted is settled by two Bloom bitmaps of fixed size, so that their texts need not move to be counted.
 For scoring, documents are dealt to chunks by their id and move once, packed. Each chunk lists its distinct n-grams, these
 join with the model on the n-gram (backing off by joins where one is unseen), and the values go back to the chunk, where the
 perplexity of every whole text is summed up. A document is kept if its perplexity is at most its language's limit: median +
@@ -22,6 +23,7 @@ from __future__ import annotations
 import pickle
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,7 @@ ORDER, BITS = 5, 12
 OWN, SHARED = 0x600, 4095 - 0x601
 UPPER, REACH, SLACK = 0.95, 4.0, 1.5
 #: Documents of a chunk; at least so many chunks; distinct n-grams that a task holds before it sends them.
-ROWS, CHUNKS, HELD = 10_000, 48, 1 << 20
+ROWS, CHUNKS, HELD = 12_000, 24, 1 << 20
 
 
 def grams(texts_: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -65,13 +67,13 @@ def counted(docs: DataFrame, text: str = "text") -> DataFrame:
         keys, counts, held = [], [], 0
 
         def merged():
-            key, place = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.bincount(place, np.concatenate(counts)).astype(np.int64)
+            place, key = pd.factorize(np.concatenate(keys))
+            total = np.bincount(place, np.concatenate(counts), len(key)).astype(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(total)], ["key", "c"])
 
         for part in pieces(batches, text):
-            key, count = np.unique(grams(texts(part, text))[0], return_counts=True)
-            keys.append(key), counts.append(count)
+            place, key = pd.factorize(grams(texts(part, text))[0])
+            keys.append(key), counts.append(np.bincount(place, minlength=len(key)))
             held += len(key)
             if held > HELD:
                 batch = merged()
@@ -126,7 +128,7 @@ class Model:
 
     def probability(self, keys: DataFrame) -> DataFrame:
         """(key, lp) of distinct n-grams: the natural logarithm of the last symbol's probability after the others."""
-        now = keys.select("key")
+        now = keys
         now = now.withColumns({f"k{n}": _tail(F.col("key"), n) for n in range(1, ORDER + 1)})
         now = now.join(self.seen[1].select(F.col("key").alias("k1"), F.col("p").alias("p1")), "k1", "left")
         now = now.withColumn("q", F.coalesce("p1", F.lit(self.rest))).drop("p1", "k1")
@@ -139,12 +141,20 @@ class Model:
 
 
 def trusted(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Texts labelled good outside the held-out fold; a Bloom bitmap keeps most others out of the join."""
-    good = _good(labels, label).filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("__id"))
-    bits = filter_bits(good.count())
+    """Texts labelled good outside the held-out fold, without moving most of them.
+
+    One Bloom bitmap has the good ids, another those ids that the first lets through by mistake. What passes the first and
+    not the second is good for certain; only what passes both, a few percent, is joined with the labels.
+    """
+    good = cut(_good(labels, label).filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("__id")))
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text")).filter(F.col("__id").isNotNull())
-    near = probed(rows, "__id", cut(present(good, "__id", bits)), bits, "__may").filter("__may").drop("__may")
-    return near.join(good, "__id").select("text")
+    bits = filter_bits(good.count())
+    first = cut(present(good, "__id", bits))
+    wrong = cut(probed(rows.select("__id"), "__id", first, bits, "__may").filter("__may").select("__id").distinct().join(good, "__id", "left_anti"))
+    more = filter_bits(wrong.count())
+    near = probed(rows, "__id", first, bits, "__may").filter("__may").drop("__may")
+    near = probed(near, "__id", cut(present(wrong, "__id", more)), more, "__doubt")
+    return near.filter("NOT __doubt").select("text").unionByName(near.filter("__doubt").drop("__doubt").join(good, "__id").select("text"))
 
 
 def _good(labels: DataFrame, label: str) -> DataFrame:
@@ -160,7 +170,7 @@ def packed(docs: DataFrame, chunks: int, doc_id: str = "doc_id", text: str = "te
     rows = docs.select(where.alias("chunk"), F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
 
     def run(batches):
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=6)
         for part in pieces(batches, "text", 4 << 20):
             lists: dict[int, list] = {}
             for row in zip(*(column(part, n).to_pylist() for n in ("chunk", "id", "lang")), texts(part), strict=True):
@@ -196,7 +206,7 @@ def perplexities(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: st
     def listed(table: pa.Table) -> pa.Table:
         own = np.zeros(0, np.int64)
         for rows in unpacked(table.column("blob")):
-            own = np.union1d(own, grams([r[2] for r in rows])[0])
+            own = pd.unique(np.concatenate((own, pd.unique(grams([r[2] for r in rows])[0]))))
         return pa.table({"chunk": pa.array(np.full(len(own), table.column("chunk")[0].as_py(), np.int32)), "key": pa.array(own)})
 
     kind = dict(docs.dtypes)[doc_id]
@@ -212,7 +222,8 @@ def perplexities(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: st
         ids, langs, sizes, sums = [], [], [], []
         for rows in unpacked(left.column("blob")):
             own, size = grams([r[2] for r in rows])
-            total = np.concatenate(([0.0], np.cumsum(value[np.searchsorted(key, own)] if len(own) else own)))
+            place, distinct = pd.factorize(own)
+            total = np.concatenate(([0.0], np.cumsum(value[np.searchsorted(key, distinct)][place] if len(own) else own)))
             end = np.cumsum(size)
             sums.append((total[end] - total[end - size]) / np.maximum(size, 1))
             ids += [r[0] for r in rows]
@@ -225,7 +236,8 @@ def perplexities(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: st
         )
 
     keys = dealt.groupBy("chunk").applyInArrow(listed, "chunk int, key long").repartition("key")
-    values = keys.join(model.probability(keys.select("key").distinct()), "key")
+    distinct = keys.groupBy("key").agg(F.min("chunk").alias("chunk"))  # with all columns, so that the exchange is used twice
+    values = keys.join(model.probability(distinct), "key")
     both = dealt.groupBy("chunk").cogroup(values.select("chunk", "key", "lp").groupBy("chunk"))
     return both.applyInArrow(summed, f"doc_id {kind}, lang string, n_symbols long, mean_lp double")
 
