@@ -144,6 +144,24 @@ def apply(trees: list[Tree], edits: list[list], own: Codec) -> list[int]:
     return encoded
 
 
+def heaps(counts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token sums of many trees in heap order, one tree after the other, and the size of each heap."""
+    total = np.concatenate(([0], np.cumsum(counts)))
+    out, sizes = [], []
+    for a, b in zip(first.tolist(), first[1:].tolist()):
+        leaves = np.diff(total[np.append(np.arange(a, b, FAN), b)]) if b > a else np.zeros(1, np.int64)
+        size = 1 << (len(leaves) - 1).bit_length()
+        level = np.zeros(size, np.int64)
+        level[: len(leaves)] = leaves
+        levels = [level]
+        while len(level) > 1:
+            level = level[::2] + level[1::2]
+            levels.append(level)
+        out += [np.zeros(1, np.int64), *levels[::-1]]
+        sizes.append(2 * size)
+    return (np.concatenate(out) if out else np.zeros(0, np.int64)), np.array(sizes, np.int64)
+
+
 def _schema(df: DataFrame, added: dict[str, str], drop: tuple[str, ...] = ()) -> tuple[list[str], T.StructType]:
     fields = [f for f in df.schema.fields if f.name not in added and f.name not in drop]
     extra = T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in added.items()))
@@ -170,9 +188,14 @@ def token_trees(docs: DataFrame, text: str = "text", ranks: str | None = None) -
             whole, starts, first = pretokens.split(bodies)
             at = starts.tolist()
             counts = own.counts([whole[a:b] for a, b in zip(at, at[1:])])
-            lengths = np.diff(starts)
-            trees = [Tree(x, lengths[a:b], counts[a:b]) for x, a, b in zip(bodies, first, first[1:])]
-            yield pa.RecordBatch.from_arrays([*(column(part, n) for n in names), *_columns(trees)], [*names, *TREE])
+            size = np.diff(first)
+            sums, places = heaps(counts, first)
+            total = np.concatenate(([0], np.cumsum(counts)))
+            made = [
+                ragged(np.diff(starts).astype(np.int32), size, pa.int32()), ragged(counts.astype(np.int32), size, pa.int32()),
+                ragged(sums, places, pa.int64()), pa.array(np.diff(total[first])),
+            ]
+            yield pa.RecordBatch.from_arrays([*(column(part, n) for n in names), *made], [*names, *TREE])
 
     return docs.mapInArrow(run, schema)
 

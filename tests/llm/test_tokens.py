@@ -75,6 +75,15 @@ def test_tree(own, encoding):
             assert tree.lengths().tolist() == np.diff(pretokens.split([text])[1]).tolist()
 
 
+def test_heaps_are_the_trees(own):
+    texts = ["", "one", "some words here. " * 700, "x"]
+    whole, starts, first = pretokens.split(texts)
+    counts = own.counts([whole[a:b] for a, b in zip(starts, starts[1:])])
+    sums, sizes = token_counts.heaps(counts, first)
+    trees = [token_counts.Tree(t, np.diff(starts)[a:b], counts[a:b]) for t, a, b in zip(texts, first, first[1:])]
+    assert sums.tolist() == [x for t in trees for x in t.tokens] and sizes.tolist() == [len(t.tokens) for t in trees]
+
+
 def test_edits_touch_little(own):
     text = "some words that go on and on. " * 3000
     whole, starts, _ = pretokens.split([text])
