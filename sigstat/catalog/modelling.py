@@ -162,10 +162,10 @@ def pilot_windows(spark, folder):
     return rounded(out.drop("time"))
 
 
-@query("loso_window_dataset_study", rsql(f"""WITH {_WIN}, w AS (SELECT * REPLACE ('trial_' || (CAST(substr(epoch_id, 2) AS BIGINT) % 40) AS condition) FROM win)
+@query("loso_window_dataset_study", rsql(f"""WITH {_WIN}, w AS (SELECT * REPLACE ('trial_' || (CAST(substr(epoch_id, 2) AS BIGINT) + 1) AS condition) FROM win)
 SELECT w.*, CAST(p_size / 5.0 >= 5 AS INTEGER) AS y_valence, CAST(p_retailprice / 200.0 >= 5 AS INTEGER) AS y_arousal FROM w JOIN part ON condition = 'trial_' || p_partkey""", "x, y"))
 def study_windows(spark, folder):
-    w = waves(spark, folder).withColumn("condition", F.concat(F.lit("trial_"), (F.substring("epoch_id", 2, 99).cast("long") % 40).cast("string")))
+    w = waves(spark, folder).withColumn("condition", F.concat(F.lit("trial_"), (F.substring("epoch_id", 2, 99).cast("long") + 1).cast("string")))
     lab = table(spark, folder, "part").select(
         F.concat(F.lit("trial_"), F.col("p_partkey").cast("string")).alias("trial_id"), (F.col("p_size") / 5.0).alias("valence"), (F.col("p_retailprice") / 200.0).alias("arousal")
     )

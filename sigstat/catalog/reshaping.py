@@ -12,11 +12,11 @@ from .base import query, rounded, rsql, table
 
 
 @query("map_join", rsql("""
-SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, s_suppkey, s_acctbal, s.s_name AS c_name_right
-FROM customer c JOIN supplier s ON c.c_nationkey = s.s_nationkey""", "c_acctbal, s_acctbal", 4))
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, n_regionkey, n.n_name AS c_name_right
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""", "c_acctbal", 4))
 def mapped(spark, folder):
-    s = table(spark, folder, "supplier").withColumnRenamed("s_name", "c_name")
-    return rounded(map_join(table(spark, folder, "customer"), s, "c_nationkey", "s_nationkey"), 4)
+    n = table(spark, folder, "nation").withColumnRenamed("n_name", "c_name")
+    return rounded(map_join(table(spark, folder, "customer"), n, "c_nationkey", "n_nationkey"), 4)
 
 
 def _labels(spark, folder):
@@ -140,11 +140,12 @@ def relative(spark, folder):
 
 
 @query("relative_long", rsql("""
-WITH s AS (SELECT l_returnflag AS pid, l_linestatus AS condition, year(l_shipdate) AS x, avg(l_quantity) AS value FROM lineitem
-  WHERE NOT (l_linestatus = 'F' AND year(l_shipdate) > 2000) GROUP BY ALL),
+WITH s AS (SELECT l_returnflag AS pid, l_linestatus AS condition, year(l_shipdate) - CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' THEN 100 ELSE 0 END AS x,
+  avg(l_quantity) AS value FROM lineitem GROUP BY ALL),
 b AS (SELECT pid, x, value AS b FROM s WHERE condition = 'F'), f AS (SELECT pid, arg_min(value, x) AS b0 FROM s WHERE condition = 'F' GROUP BY pid)
 SELECT s.pid, condition, s.x, value - coalesce(b, b0) AS value FROM s LEFT JOIN b ON s.pid = b.pid AND s.x = b.x JOIN f ON s.pid = f.pid WHERE condition <> 'F'""", "value"))
 def relative_rows(spark, folder):
-    li = table(spark, folder, "lineitem").where("not (l_linestatus = 'F' and year(l_shipdate) > 2000)")
-    s = li.groupBy(F.col("l_returnflag").alias("pid"), F.col("l_linestatus").alias("condition"), F.year("l_shipdate").cast("long").alias("x")).agg(F.avg("l_quantity").alias("value"))
+    gap = F.expr("case when l_linestatus = 'F' and l_returnflag = 'N' then 100 else 0 end")  # one key has no baseline at its positions
+    x = (F.year("l_shipdate") - gap).cast("long").alias("x")
+    s = table(spark, folder, "lineitem").groupBy(F.col("l_returnflag").alias("pid"), F.col("l_linestatus").alias("condition"), x).agg(F.avg("l_quantity").alias("value"))
     return rounded(relative_long(s, ["pid"], "F"))

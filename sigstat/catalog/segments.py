@@ -38,8 +38,8 @@ def event_map(spark, folder):
 
 
 @query("epoch_fixed_length", rsql(f"""
-WITH {WAVES}, ev AS (SELECT DISTINCT epoch_id, CASE WHEN k % 2 = 0 THEN 'A' ELSE 'B' END AS condition, k // 2 AS ordinal, k * 0.12 AS start, k * 0.12 + 0.25 AS stop
-  FROM waves, (SELECT unnest(range(8)) AS k)),
+WITH {WAVES}, rec AS (SELECT epoch_id, unnest(range(8)) AS k FROM waves GROUP BY epoch_id),
+ev AS (SELECT epoch_id, CASE WHEN k % 2 = 0 THEN 'A' ELSE 'B' END AS condition, k // 2 AS ordinal, k * 0.12 AS start, k * 0.12 + 0.25 AS stop FROM rec),
 ks AS (SELECT *, CAST(trunc(start * 64) AS BIGINT) AS s, CAST(trunc(0.25 * 64) AS BIGINT) AS len FROM ev),
 kept AS (SELECT *, row_number() OVER (PARTITION BY epoch_id, condition ORDER BY s, ordinal) - 1 AS i FROM ks WHERE s >= 0 AND s + len < 64)
 SELECT w.epoch_id AS recording, k.condition, k.condition || '_' || i AS epoch_id, (w.seq - s) / 64.0 AS time, x, y

@@ -175,13 +175,13 @@ def loso_window_dataset(
 
     ``study`` labels are ``rating >= threshold`` of the trial named by the condition;
     ``pilot`` labels are 1 for conditions containing POS, 0 for NEG (POS first);
-    ``auto`` is study when one of the first five conditions contains ``trial_``.
+    ``auto`` is study when any condition contains ``trial_``.
     Windows without any label go, a target a window has no label for is null.  The optional band-pass runs per window, and only
     when its upper edge lies below half the rate.
     """
     if mode == "auto":
-        few = [r[0] for r in epochs.select("condition").distinct().orderBy("condition").limit(5).collect()]
-        mode = "study" if any("trial_" in str(c).lower() for c in few) else "pilot"
+        named = F.lower(F.col("condition").cast("string")).contains("trial_")
+        mode = "study" if epochs.agg(F.bool_or(named)).first()[0] else "pilot"
     used = order_channels(channels)
     wins = segment_windows_samples(epochs.select(*keys, *EPOCH, time, *used), keys, sfreq, window_sec, step_sec, "epoch_id", time, hot)
     if mode == "study":

@@ -235,13 +235,13 @@ def relative_long(
     """The same on long rows: each condition minus the baseline at the same position.
 
     The baseline of a (key, x) is one row, found by aggregation and joined back;
-    positions it lacks use its first.
+    positions it lacks use its first.  Of repeated baseline rows the smallest value counts.
     """
     keys = list(keys)
     base = df.where(F.col(condition) == baseline)
-    at = base.groupBy(*keys, x).agg(F.first(value).alias("__b"))
+    at = base.groupBy(*keys, x).agg(F.min(value).alias("__b"))
     start = base.groupBy(*keys).agg(F.min_by(value, x).alias("__b0"))
-    rows = df.where(F.col(condition) != baseline).join(at, [*keys, x], "left").join(start, keys, "inner")
+    rows = attach(attach(df.where(F.col(condition) != baseline), at, [*keys, x]), start, keys, "inner")
     return rows.select(*keys, condition, x, (F.col(value) - F.coalesce("__b", "__b0")).alias(value))
 
 

@@ -54,12 +54,13 @@ def live_epochs(
 ) -> DataFrame:
     """Samples inside event intervals on two streams (append mode); both ends closed.
 
-    Both sides carry watermarks, and ``longest`` bounds how long an interval may be, so
-    that old rows leave the state.
+    Both sides carry watermarks.  Intervals are cut into pieces of at most ``longest``, half-open
+    but for the last, so that old rows leave the state however long an interval is.
     """
     s = samples.withWatermark(time, delay).alias("s")
-    e = events.withWatermark("start", delay).alias("e")
-    cond = F.expr(f"s.{time} >= e.start AND s.{time} <= e.stop AND s.{time} <= e.start + INTERVAL {longest}")
+    pieces = F.explode(F.expr(f"sequence(start, greatest(start, stop), INTERVAL {longest})"))
+    e = events.withColumn("__from", pieces).withWatermark("__from", delay).alias("e")
+    cond = F.expr(f"s.{time} >= e.__from AND s.{time} <= e.stop AND s.{time} < e.__from + INTERVAL {longest}")
     for k in keys:
         cond = cond & (F.col(f"s.{k}") == F.col(f"e.{k}"))
     rest = [c for c in samples.columns if c not in keys]
