@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +47,12 @@ def materialise(df, name: str = "stage"):
     path = f"{shared_folder(spark)}-{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+
+def ship(spark: SparkSession) -> None:
+    """Put the folder of this package on the Python workers' path; needless where a wheel is installed."""
+    root = str(Path(__file__).resolve().parent.parent)
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
