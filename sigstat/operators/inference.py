@@ -350,34 +350,38 @@ def effect_size(
     )
 
 
-def _inversions(v: np.ndarray) -> int:
-    """Pairs i < j with v[i] > v[j], bit by bit from the top of the dense ranks."""
+def _inversions(v: np.ndarray, w: np.ndarray | None = None) -> float:
+    """Weight of the pairs i < j with v[i] > v[j], bit by bit from the top of the dense ranks."""
+    w = np.ones(len(v)) if w is None else w.astype(float)
     _, r = np.unique(v, return_inverse=True)
-    total, group = 0, np.zeros(len(r), dtype=np.int64)
+    total, group = 0.0, np.zeros(len(r), dtype=np.int64)
     for bit in range(int(r.max()).bit_length() - 1 if len(r) else -1, -1, -1):
         one = (r >> bit) & 1
         # order by group, keeping the sequence: ones met before each zero of the same group
         perm = np.argsort(group, kind="stable")
-        g, o = group[perm], one[perm]
-        seen = np.cumsum(o)
+        g, o, u = group[perm], one[perm], w[perm]
+        seen = np.cumsum(o * u)
         first = np.r_[True, g[1:] != g[:-1]]
-        base = np.maximum.accumulate(np.where(first, seen - o, 0))
-        total += int(np.sum((seen - base)[o == 0]))
+        base = np.maximum.accumulate(np.where(first, seen - o * u, 0))
+        total += float(np.sum(((seen - base) * u)[o == 0]))
         group = group * 2 + one
     return total
 
 
-def _ties(*cols: np.ndarray) -> int:
-    _, c = np.unique(np.column_stack(cols), axis=0, return_counts=True)
-    return int(np.sum(c * (c - 1) // 2))
+def _same(w: np.ndarray, *cols: np.ndarray) -> float:
+    """Sum of the squared weights of equal points."""
+    _, at = np.unique(np.column_stack(cols), axis=0, return_inverse=True)
+    return float(np.sum(np.bincount(at.ravel(), w) ** 2))
 
 
-def _kendall_strip(x: np.ndarray, y: np.ndarray) -> int:
-    """Concordant minus discordant pairs among points with different x."""
-    n = len(x)
+def _kendall_strip(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    """Concordant minus discordant weight of pairs of points with different x."""
+    if len(x) < 2 or (x == x[0]).all():
+        return 0.0
+    w = w.astype(float)
     order = np.lexsort((y, x))
-    disc = _inversions(y[order])
-    return n * (n - 1) // 2 - _ties(x) - _ties(y) + _ties(x, y) - 2 * disc
+    both = (w.sum() ** 2 - _same(w, x) - _same(w, y) + _same(w, x, y)) / 2
+    return both - 2 * _inversions(y[order], w[order])
 
 
 STRIP = 250_000
@@ -387,40 +391,47 @@ MAX_STRIPS = 2048
 def kendall(df: DataFrame, x: str, y: str, strip: int = STRIP) -> DataFrame:
     """Kendall's tau-b of two columns, exact at any size.
 
-    Points are cut into strips of equal depth along x and along y.  Pairs in one
-    x strip are counted there; pairs of different x strips in one y strip are
-    counted in the y strip; all other pairs follow from the table of strip counts.
+    Rows are counted by their pair of values first.  These points are cut into
+    strips of equal depth along x and along y; a value with more points than a
+    strip is a strip of its own, which has no pairs of different values and is
+    never gathered.  Pairs in one x strip are counted there; pairs of different
+    x strips in one y strip are counted in the y strip; all other pairs follow
+    from the table of strip counts.
     """
     pts = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where("x is not null and y is not null")
-    n = pts.count()
-    strip = max(strip, -(-n // MAX_STRIPS))
-    parts = max(1, -(-n // strip))
+    pts = pts.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
+    n, points = pts.agg(F.coalesce(F.sum("w"), F.lit(0)), F.count(F.lit(1))).first()
+    strip = max(strip, -(-points // MAX_STRIPS))
+    parts = max(1, -(-points // strip))
 
     def cuts(c):
+        """Sorted bounds, and the strips of one value."""
         if parts == 1:
-            return []
+            return [], []
         probs = [i / parts for i in range(1, parts)]
-        return sorted(set(pts.agg(F.percentile_approx(c, probs, max(10_000, 20 * parts))).first()[0]))
+        found = pts.agg(F.percentile_approx(c, probs, max(10_000, 20 * parts))).first()[0]
+        single = {a for a, b in zip(found, found[1:]) if a == b}
+        bounds = sorted({*found, *(float(np.nextafter(v, np.inf)) for v in single)})
+        return bounds, [bounds.index(v) + 1 for v in single]
 
     def number(c, bounds):
         return F.size(F.filter(F.lit(bounds), lambda b: b <= F.col(c))) if bounds else F.lit(0)
 
-    cut = pts.withColumn("bx", number("x", cuts("x"))).withColumn("by", number("y", cuts("y")))
+    (bx, one_x), (by, one_y) = cuts("x"), cuts("y")
+    cut = pts.withColumn("bx", number("x", bx)).withColumn("by", number("y", by))
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"s": [float(_kendall_strip(pdf["x"].to_numpy(), pdf["y"].to_numpy()))]})
+        return pd.DataFrame({"s": [_kendall_strip(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy())]})
 
     def across(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"s": [float(_kendall_strip(pdf["bx"].to_numpy(), pdf["y"].to_numpy()))]})
+        return pd.DataFrame({"s": [_kendall_strip(pdf["bx"].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy())]})
 
-    total = cut.groupBy("bx").applyInPandas(inside, "s double")
+    total = cut.where(~F.col("bx").isin(one_x)).groupBy("bx").applyInPandas(inside, "s double")
     if parts > 1:
-        total = total.unionByName(cut.groupBy("by").applyInPandas(across, "s double"))
-        cells = cut.groupBy("bx", "by").agg(F.count(F.lit(1)).alias("c"))
-
-        # at most MAX_STRIPS^2 counts, whatever the data
-        grid = cells.toPandas()
-        m = np.zeros((parts + 1, parts + 1))
+        total = total.unionByName(cut.where(~F.col("by").isin(one_y)).groupBy("by").applyInPandas(across, "s double"))
+        # a count for each pair of strips, at most (2 MAX_STRIPS)^2 whatever the data
+        grid = cut.groupBy("bx", "by").agg(F.sum("w").alias("c")).toPandas()
+        m = np.zeros((len(bx) + 1, len(by) + 1))
         m[grid["bx"], grid["by"]] = grid["c"]
         below = np.cumsum(np.cumsum(m, axis=0), axis=1)
         lo_lo = np.pad(below, ((1, 0), (1, 0)))[:-1, :-1]
@@ -432,7 +443,7 @@ def kendall(df: DataFrame, x: str, y: str, strip: int = STRIP) -> DataFrame:
         s_cells = 0.0
 
     def tie(*cols):
-        return pts.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("c")).agg(
+        return pts.groupBy(*cols).agg(F.sum("w").cast("double").alias("c")).agg(
             F.coalesce(F.sum(F.col("c") * (F.col("c") - 1) / 2), F.lit(0.0)).alias("t" + "".join(cols))
         )
 

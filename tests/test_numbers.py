@@ -4,6 +4,7 @@ import itertools
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -316,3 +317,47 @@ def test_globs():
 def test_correlation_needs_two(spark):
     with pytest.raises(ValueError):
         correlation_matrix(spark.range(3), ["id"])
+
+
+def tau_b(x, y):
+    dx, dy = np.sign(np.subtract.outer(x, x)), np.sign(np.subtract.outer(y, y))
+    return (dx * dy).sum() / math.sqrt((dx != 0).sum() * (dy != 0).sum())
+
+
+def test_kendall_with_heavy_values(spark):
+    rng = np.random.default_rng(9)
+    x = np.where(rng.random(900) < 0.6, 2.0, rng.integers(0, 6, 900).astype(float))
+    y = np.round(rng.normal(size=900) + 0.2 * x, 2)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    for strip in (7, 40, 100_000):
+        assert kendall(df, "x", "y", strip=strip).first()["tau"] == pytest.approx(tau_b(x, y))
+
+
+def test_spearman_over_complete_pairs(spark):
+    rng = np.random.default_rng(3)
+    a, c = rng.integers(0, 20, 300).astype(float), rng.normal(size=300)
+    b = [None if k % 3 == 0 else float(v) for k, v in enumerate(a + rng.normal(size=300))]
+    df = spark.createDataFrame([(float(x), y, float(z)) for x, y, z in zip(a, b, c)], "a double, b double, c double")
+    got = {r["feature"]: r for r in correlation_matrix(df, ["a", "b", "c"], "spearman").collect()}
+    t = pd.DataFrame({"a": a, "b": b, "c": c}, dtype=float)
+    for p, q in (("a", "b"), ("a", "c"), ("b", "c")):
+        both = t[[p, q]].dropna()
+        assert got[p][q] == pytest.approx(both[p].rank().corr(both[q].rank()))
+
+
+def test_r_peaks_without_keys(spark):
+    from sigstat.operators.filters import detect_r_peaks
+
+    time = np.arange(4000) / 100
+    beat = np.exp(-(((time % 0.83) - 0.4) ** 2) / 0.0004) + 0.15 * np.exp(-(((time % 0.83) - 0.6) ** 2) / 0.003)
+    df = spark.createDataFrame([("k", float(t), float(v)) for t, v in zip(time, beat)], "k string, time double, x double")
+    keyed, bare = detect_r_peaks(df, ["k"], "x", 100.0), detect_r_peaks(df.drop("k"), [], "x", 100.0)
+    assert [r["peak_sample"] for r in bare.orderBy("peak_sample").collect()] == [r["peak_sample"] for r in keyed.orderBy("peak_sample").collect()]
+
+
+def test_is_ordinal_edges(spark):
+    from sigstat.operators.models import is_ordinal
+
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0 + 1e-12)], "a double, b double")
+    assert is_ordinal(df, "a").first()["is_ordinal"] is False
+    assert is_ordinal(df, "b").first()["is_ordinal"] is True
