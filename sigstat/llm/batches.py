@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 PIECE = 1 << 20
 
 
+def release() -> None:
+    """Give memory that a task no longer needs back to the system: workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc keeps its own way
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def pieces(batches, column: str, limit: int = PIECE) -> Iterator[pa.RecordBatch]:
     """Cut batches where the text of ``column`` passes ``limit`` bytes."""
     for batch in batches:
@@ -28,6 +37,8 @@ def pieces(batches, column: str, limit: int = PIECE) -> Iterator[pa.RecordBatch]
             end = min(max(end, begin + 1), batch.num_rows)
             yield batch.slice(begin, end - begin)
             begin = end
+        batch = text = at = None
+    release()
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigstat.llm import pretokens
-from sigstat.llm.batches import column, gather, pieces, ragged, texts
+from sigstat.llm.batches import column, gather, pieces, ragged, release, texts
 
 NONE = np.int32(2**31 - 1)
 EMPTY = np.uint64(2**64 - 1)
@@ -275,6 +275,7 @@ def encode(docs: DataFrame, text: str = "text", out: str = "ids", ranks: str | N
         for part in pieces(batches, text):
             ids, lengths = own.encode(texts(part, text))
             yield pa.RecordBatch.from_arrays([*(column(part, n) for n in names), ragged(ids, lengths, pa.int32())], [*names, out])
+        own.forget()
 
     return docs.mapInArrow(run, schema)
 
@@ -296,6 +297,8 @@ def decode(docs: DataFrame, ids: str = "ids", out: str = "decoded", ranks: str |
                 at = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
                 raw_bytes = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(at), pa.py_buffer(data)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([*(column(part, n) for n in names), raw_bytes], [*names, out])
+            batch = part = lists = flat = data = raw_bytes = None
+        release()
 
     return docs.mapInArrow(run, schema)
 

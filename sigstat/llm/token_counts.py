@@ -196,6 +196,7 @@ def token_trees(docs: DataFrame, text: str = "text", ranks: str | None = None) -
                 ragged(sums, places, pa.int64()), pa.array(np.diff(total[first])),
             ]
             yield pa.RecordBatch.from_arrays([*(column(part, n) for n in names), *made], [*names, *TREE])
+        own.forget()
 
     return docs.mapInArrow(run, schema)
 
@@ -221,6 +222,7 @@ def edited(trees: DataFrame, edits: str = "edits", text: str = "text", ranks: st
                 [*(column(part, n) for n in names), pa.array([t.text() for t in made], pa.string()), *_columns(made), pa.array(encoded, pa.int64())],
                 [*names, *added],
             )
+        own.forget()
 
     return trees.mapInArrow(run, schema)
 
