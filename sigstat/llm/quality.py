@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigstat.llm import pretokens
-from sigstat.llm.batches import column, cut, pieces, texts
+from sigstat.llm.batches import column, cut, pieces, texts, written
 from sigstat.llm.exact_dedup import filter_bits, present, probed
 from sigstat.llm.toxicity import held_out
 
@@ -93,10 +93,10 @@ class Model:
     """Tables of a Kneser-Ney model; the driver holds just five rows of sums."""
 
     def __init__(self, counts: DataFrame):
-        table = cut(counts)
+        table = written(counts)
         tables = {ORDER: table}
         for n in range(ORDER - 1, 0, -1):
-            tables[n] = table = cut(table.groupBy(_tail(F.col("key"), n).alias("key")).agg(F.count("*").alias("c")))
+            tables[n] = table = written(table.groupBy(_tail(F.col("key"), n).alias("key")).agg(F.count("*").alias("c")))
         self.seen, self.context = {}, {}
         for n in range(1, ORDER + 1):
             cuts = self.discounts(tables[n])
@@ -109,12 +109,12 @@ class Model:
                 made = tables[1].select("key", (F.greatest(F.col("c") - less, F.lit(0.0)) / total + self.rest).alias("p"))
             else:
                 context = tables[n].groupBy(F.shiftright("key", BITS).alias("context")).agg(F.sum("c").alias("total"), spare.alias("g"))
-                context = self.context[n] = cut(context)
+                context = self.context[n] = written(context)
                 own = tables[n].select("key", "c", F.shiftright("key", BITS).alias("context"), _tail(F.col("key"), n - 1).alias("low"))
                 lower = self.seen[n - 1].select(F.col("key").alias("low"), F.col("p").alias("q"))
                 own = own.join(context, "context").join(lower, "low")
                 made = own.select("key", (F.greatest(F.col("c") - less, F.lit(0.0)) / F.col("total") + F.col("g") * F.col("q")).alias("p"))
-            self.seen[n] = cut(made)
+            self.seen[n] = written(made)
 
     @staticmethod
     def discounts(table: DataFrame) -> list[float]:
@@ -127,7 +127,7 @@ class Model:
         return [min(max(d, 0.05), k - 0.05) for d, k in zip(made, (1, 2, 3), strict=True)]
 
     def probability(self, keys: DataFrame) -> DataFrame:
-        """(key, lp) of distinct n-grams: the natural logarithm of the last symbol's probability after the others."""
+        """Distinct n-grams with lp, the natural logarithm of the last symbol's probability after the others."""
         now = keys
         now = now.withColumns({f"k{n}": _tail(F.col("key"), n) for n in range(1, ORDER + 1)})
         now = now.join(self.seen[1].select(F.col("key").alias("k1"), F.col("p").alias("p1")), "k1", "left")
@@ -137,7 +137,7 @@ class Model:
             now = now.join(self.context[n].select("context", "g"), "context", "left")
             now = now.join(self.seen[n].select(F.col("key").alias(f"k{n}"), "p"), f"k{n}", "left")
             now = now.withColumn("q", F.coalesce("p", F.coalesce("g", F.lit(1.0)) * F.col("q"))).drop("p", "g", "context", f"k{n}")
-        return now.select("key", F.log("q").cast("float").alias("lp"))
+        return now.select(*keys.columns, F.log("q").cast("float").alias("lp"))
 
 
 def trusted(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -236,8 +236,9 @@ def perplexities(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: st
         )
 
     keys = dealt.groupBy("chunk").applyInArrow(listed, "chunk int, key long").repartition("key")
-    distinct = keys.groupBy("key").agg(F.min("chunk").alias("chunk"))  # with all columns, so that the exchange is used twice
-    values = keys.join(model.probability(distinct), "key")
+    # the first chunk of a key goes along, and is asked for, so that both reads of ``keys`` have the same columns and exchange
+    distinct = keys.groupBy("key").agg(F.min("chunk").alias("first"))
+    values = keys.join(model.probability(distinct), "key").filter("first <= chunk")
     both = dealt.groupBy("chunk").cogroup(values.select("chunk", "key", "lp").groupBy("chunk"))
     return both.applyInArrow(summed, f"doc_id {kind}, lang string, n_symbols long, mean_lp double")
 
