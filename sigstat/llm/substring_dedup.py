@@ -6,9 +6,15 @@ depends on the text around it alone, so a passage falls into the same paragraphs
 ``LEAST`` words don't count. A paragraph is known by the XXH64 of its words (A-Z in lower case); its five-word shingles
 have ``HASHES`` MinHash values in the bands that reach ``RECALL`` at the threshold.
 
-Equal paragraphs are one node. Bands of different nodes join on their keys; blocks of colliding nodes are compared by exact
+A passage may also stand inside a paragraph, next to other text. So windows of ``PASSAGE`` words begin at anchors: in every
+``STEP`` word pairs that follow each other, the last one with the smallest hash. Both depend on the words alone, so any
+``PASSAGE + STEP - 1`` words that two documents share hold an equal window, wherever they stand. Windows match if they are
+equal, and lie over paragraphs and each other; words of a passage before its first anchor and after its last window may
+stay. Windows in a text that repeats itself follow each other without overlap.
+
+Paragraphs and windows are units; equal units are one node. Bands of different nodes join on their keys; blocks of colliding nodes are compared by exact
 Jaccard on their whole shingle sets, and linked nodes form components, of which those count that span two or more documents.
-In a document, such paragraphs that follow each other within ``GAP`` characters are a passage; passages of ``PASSAGE`` words
+In a document, such units that follow each other within ``GAP`` characters are a passage; passages of ``PASSAGE`` words
 or more count, shorter ones (a license line) stay. Of a component's occurrences that are left the first (by doc_id, then
 place) stays, the others are to be removed; what is left in one document alone is no repeat. Bloom bitmaps of fixed
 size keep paragraphs that can't matter out of the later shuffles.
@@ -37,6 +43,8 @@ from sigstat.llm.simhash import word_hashes
 
 LEAST, WORDS, HASHES = 6, 5, 10
 PASSAGE, GAP = 20, 200
+#: Word pairs of which one is an anchor.
+STEP = 16
 END = re.compile(r"[^\s.!?][.!?](?=\s)|\n")
 #: Characters before a sentence end that decide whether it is cut there.
 BEFORE = 6
@@ -44,7 +52,7 @@ BEFORE = 6
 SEEN = 1 << 19
 
 
-def paragraphs(text: str) -> Iterator[tuple[int, int, bytes]]:
+def whole(text: str) -> Iterator[tuple[int, int, bytes]]:
     """Place, length and words of each paragraph."""
     begin = 0
     for m in [*END.finditer(text), None]:
@@ -62,6 +70,46 @@ def paragraphs(text: str) -> Iterator[tuple[int, int, bytes]]:
         begin = end
 
 
+def anchors(words: list[bytes]) -> np.ndarray:
+    """Numbers of the words where windows begin."""
+    if len(words) < PASSAGE:
+        return np.zeros(0, np.int64)
+    own = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+    pair = (own[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[1:]) * np.uint64(0xD1B54A32D192ED03)
+    low = (pair & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - np.arange(len(pair), dtype=np.uint64))
+    size = 1
+    while size < STEP:
+        step = min(size, STEP - size)
+        low, size = np.minimum(low[:-step], low[step:]), size + step
+    at = np.unique((np.uint64(0xFFFFFFFF) - (low & np.uint64(0xFFFFFFFF))).astype(np.int64))
+    return at[at <= len(words) - PASSAGE]
+
+
+def windows(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """Place, length and words of each window; the words are one piece, so that only equal windows have a shingle in common."""
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    at = anchors(words)
+    if not len(at):
+        return
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.concatenate(([False], (points != 32) & ((points < 9) | (points > 13)), [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2][at].tolist(), edges[1::2][at + PASSAGE - 1].tolist()
+    last, free = b"", 0
+    for k, start, end in zip(at.tolist(), starts, ends, strict=True):
+        own = b"\xff".join(words[k : k + PASSAGE])  # no byte of UTF-8
+        if own == last and k < free:
+            continue
+        last, free = own, k + PASSAGE
+        yield start, end - start, own + b" " * (PASSAGE - 1)  # counts as PASSAGE words
+
+
+def paragraphs(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """Place, length and words of each unit: paragraphs, then windows."""
+    yield from whole(text)
+    yield from windows(text)
+
+
 def node(words: bytes) -> int:
     import xxhash
 
@@ -91,7 +139,7 @@ def _keyed(docs: DataFrame, text: str, threshold: float) -> DataFrame:
                 seen = set()
             ids, lists = [], []
             for x in texts(part, text):
-                for _, _, words in paragraphs(x):
+                for _, _, words in whole(x):  # windows match by their node alone
                     one = node(words)
                     if one not in seen:
                         seen.add(one), ids.append(one), lists.append(word_hashes(words.split(), WORDS))
@@ -104,7 +152,7 @@ def _keyed(docs: DataFrame, text: str, threshold: float) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, start, length, words and id of every paragraph."""
+    """doc_id, start, length, words and id of every unit."""
 
     def run(batches):
         for part in pieces(batches, text):
@@ -123,7 +171,7 @@ def _sets(docs: DataFrame, text: str, bitmap: DataFrame, bits: int) -> DataFrame
 
     def words(batches):
         for part in pieces(batches, text):
-            own = [w for x in texts(part, text) for _, _, w in paragraphs(x)]
+            own = [w for x in texts(part, text) for _, _, w in whole(x)]
             ids = np.array([node(w) for w in own], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(own, pa.binary())], ["id", "words"])
 
@@ -148,7 +196,7 @@ def links(docs: DataFrame, text: str = "text", threshold: float = LIKE) -> DataF
 
 
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = LIKE) -> DataFrame:
-    """Every paragraph of a passage that two or more documents have.
+    """Every unit of a passage that two or more documents have.
 
     doc_id, start, length, words; class_doc_id and class_start of the first occurrence; copies; removed.
     """
@@ -162,7 +210,7 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     named = cut(linked.select("id", "label").join(across, "label").select("id", "label").unionByName(alone))
     bits = filter_bits(named.count())
     near = probed(all_, "id", cut(present(named, "id", bits)), bits, "may").filter("may").drop("may")
-    order = W.partitionBy("doc_id").orderBy("start")
+    order = W.partitionBy("doc_id").orderBy("start", "length")
     joined = F.col("start") - F.lag(F.col("start") + F.col("length")).over(order) <= GAP
     runs = near.join(named, "id").drop("id").withColumn("run", F.when(joined, 0).otherwise(1)).withColumn("run", F.sum("run").over(order))
     found = written(runs.withColumn("all", F.sum("words").over(W.partitionBy("doc_id", "run"))).filter(F.col("all") >= PASSAGE).drop("run", "all"))

@@ -273,3 +273,79 @@ def test_components(spark, sets, seed):
         union.join(a, b)
     got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: union.find(x) for a, b in edges if a != b for x in (a, b)}
+
+
+# ---- passages inside running text
+
+
+def prose_of(rng, words):
+    out = []
+    while len(out) < words:
+        n = int(rng.integers(5, 12))
+        out += ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n)]
+        out[-1] += "."
+    return out[:words]
+
+
+def shared_words(a, b, least):
+    """The longest run of words that both lists have, if it is ``least`` or more."""
+    where = collections.defaultdict(list)
+    for i in range(len(a) - least + 1):
+        where[tuple(a[i : i + least])].append(i)
+    best = 0
+    for j in range(len(b) - least + 1):
+        for i in where.get(tuple(b[j : j + least]), ()):
+            n = least
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                n += 1
+            best = max(best, n)
+    return best
+
+
+@pytest.mark.parametrize("size", (50, 52, 60, 80))
+def test_exact_passages_at_any_word(spark, size):
+    """An exact passage put at any word of two documents is found in both, with 20 words or more of it."""
+    rng = np.random.default_rng(size)
+    lists, inside = {}, {}
+    for k in range(60):
+        passage = prose_of(rng, size + 7)[7:]  # begins anywhere in a sentence
+        for d in (2 * k, 2 * k + 1):
+            host = prose_of(rng, 150)
+            at = int(rng.integers(0, 151))
+            lists[d] = host[:at] + passage + host[at:]
+            inside[d] = (at, at + size)
+        assert shared_words(lists[2 * k], lists[2 * k + 1], 20) >= size
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in lists.items()], "doc_id long, text string")
+    rows = collections.defaultdict(list)
+    for r in substring_dedup.repeated(docs).collect():
+        rows[r.doc_id].append(r)
+    for d, words in lists.items():
+        starts = np.cumsum([0, *(len(w) + 1 for w in words)])
+        found = set()
+        for r in rows[d]:
+            found |= {k for k in range(len(words)) if r.start <= starts[k] and starts[k] + len(words[k]) <= r.start + r.length}
+        assert len(found & set(range(*inside[d]))) >= 20, d
+        assert all(r.class_doc_id == d - d % 2 and r.removed == (d % 2 == 1) for r in rows[d])
+
+
+def test_planted_passage_of_seventy_words(spark, sets):
+    """Nine sentences, with and without a changed word, inside other text."""
+    rng = np.random.default_rng(7)
+    passage = prose_of(rng, 72)
+    changed = [*passage[:30], "altered", *passage[31:]]
+    put = lambda a, p, b: " ".join([*prose_of(rng, a), *p, *prose_of(rng, b)])
+    texts = {1: put(163, passage, 240), 2: put(25, passage, 25), 3: put(88, changed, 31), 4: put(100, [], 220), 5: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = substring_dedup.repeated(docs).collect()
+    assert {r.doc_id for r in rows} == {1, 2, 3}
+    assert sorted(map(tuple, rows)) == brute_passages(texts, sets)
+
+
+def test_windows_of_repeating_text():
+    """Windows of a text that repeats itself don't overlap."""
+    for unit in ("a ", "a b ", "one two three four five six seven "):
+        found = list(substring_dedup.windows(unit * 2000))
+        assert 0 < len(found) <= len((unit * 2000).split()) / substring_dedup.PASSAGE + 1
+    text = "世界 \U0001f600 " + " \t\n".join(f"W\xc9{k}" for k in range(90)) + "\x1c\x85 odd"
+    for start, size, words in substring_dedup.windows(text):
+        assert text[start : start + size].encode().lower().split() == words.rstrip().split(b"\xff") and words.count(b" ") == 19
