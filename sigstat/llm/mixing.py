@@ -3,7 +3,8 @@
 Every row falls in a cell (source, language, topic). A value without a target of its own, null included, counts as ``REST``,
 so there are at most (named values + 1) cells along each side whatever the corpus: only that table of cells comes to the
 driver and goes back by broadcast. Fitting rakes the cells' token sums to the three lists of targets in turn, ``rounds``
-times; targets of values without tokens are shared out among the others. A cell's weight is its fitted share over its own
+times; targets of values without tokens are shared out among the others. A rest that has tokens but no positive target keeps
+its measured share, the named targets share what is left: no row is lost for an unknown or null value. A cell's weight is its fitted share over its own
 share; a row is kept with probability weight / largest weight, by a number drawn from its doc_id, so that the expected tokens
 of the sample have the fitted margins. Repeated rows share one draw; a row without tokens goes by its cell's probability, or
 1 if no row of the cell has tokens. ``ROUNDS`` is fixed so that every engine makes the same steps.
@@ -56,6 +57,19 @@ def fit(cells: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS) -> n
     return share
 
 
+def aims(found: np.ndarray, targets: Mapping[str, Mapping[str, float]], names: Mapping[str, list[str]]) -> list[np.ndarray]:
+    """Targets of each axis; the last value, the rest, gets its measured share if it has tokens and no positive target."""
+    out = []
+    for axis, side in enumerate(SIDES):
+        aim = np.array([targets[side].get(v, 0.0) for v in names[side]])
+        margin = found.sum(axis=tuple(a for a in range(found.ndim) if a != axis))
+        named = np.where(margin > 0, aim, 0)[:-1].sum()
+        if aim[-1] <= 0 < margin[-1] and named > 0:
+            aim[-1] = named * margin[-1] / margin[:-1].sum()
+        out.append(aim)
+    return out
+
+
 def draw(doc_id: Column, seed: int = 0) -> Column:
     """A number from 0 to 1 that depends on the id and the seed alone."""
     digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
@@ -83,7 +97,7 @@ def mixed(
     found = np.zeros([len(names[s]) for s in SIDES])
     for r in sums:
         found[tuple(names[s].index(r[f"mix_{s}"]) for s in SIDES)] += r["t"] or 0.0
-    fitted = fit(found, [np.array([targets[s].get(v, 0.0) for v in names[s]]) for s in SIDES], rounds)
+    fitted = fit(found, aims(found, targets, names), rounds)
     own = found / max(found.sum(), 1e-300)
     weight = np.where(own > 0, fitted / np.where(own > 0, own, 1), 1.0)
     top = weight[own > 0].max() if (own > 0).any() else 1.0

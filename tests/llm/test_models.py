@@ -181,6 +181,20 @@ def test_mixing_odd(odd, odd_rows, empty):
     assert mixing.mixed(empty).count() == mixing.sampled(empty).count() == 0
 
 
+def test_rest_without_target_is_kept(spark):
+    """Null and unknown languages keep their share of the tokens; the named ones keep their proportions."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 5 == 1, "pl").otherwise(F.col("lang"))
+    rows = mixing.mixed(docs.withColumn("lang", lang)).collect()
+    rest = [r for r in rows if r.mix_lang == mixing.REST]
+    assert all(r.mix_probability > 0 for r in rows) and sum(r.mix_kept for r in rest) > 0
+    own = sum(r.mix_tokens for r in rest) / sum(r.mix_tokens for r in rows)
+    total = sum(r.mix_tokens * r.mix_probability for r in rows)
+    for value, aim in mixing.TARGETS["lang"].items():
+        want = own if value == mixing.REST else aim * (1 - own)
+        assert sum(r.mix_tokens * r.mix_probability for r in rows if r.mix_lang == value) / total == pytest.approx(want, abs=1e-4)
+
+
 # ---- revisits
 
 
