@@ -242,7 +242,7 @@ def test_planted_passages(spark, sets):
     def prose(n):
         return " ".join(" ".join(word() for _ in range(rng.integers(5, 12))) + "." for _ in range(n))
 
-    passage = prose(25)  # so long that units away from the changed word stay whole
+    passage = prose(9)
     changed = passage.split(" ")
     changed[30] = "altered"
     texts = {1: f"{prose(20)} {passage} {prose(30)}", 2: f"{prose(3)}\n{passage}\n{prose(3)}", 3: f"{prose(11)} {' '.join(changed)} {prose(4)}", 4: prose(40), 5: None}
