@@ -16,4 +16,4 @@ def test_query(spark, folder, name):
 
 
 def test_numbers():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
