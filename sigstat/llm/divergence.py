@@ -2,12 +2,13 @@
 
 Strings are materialised late. Pass 1 reads the texts and ships (language, 64-bit digest of a term, documents) alone; digests
 in ``LEAST`` documents of some language mark slots of a bitmap of fixed size (``SLOTS`` bits, 8 MB at most), which is broadcast.
-Pass 2 reads the texts again and writes the counts of terms on marked slots, with their strings, to the shared folder without a
-shuffle. From that table only (language, source, digest, counts) shuffle; the least and the greatest string of each digest are
-aggregated beside them, once per task. Where both differ, two terms share a digest: the rows of those digests alone are counted
-again by string, so that a clash splits into its terms. Merged counts are never below single ones, so no kept term is missed
-before; slots that are marked by chance pass rows which the exact count drops. Strings join back for the terms that can reach
-the report: of each group those within the first ``TOP`` values, ties included.
+Pass 2 reads the texts again and writes, without a shuffle, the counts of terms on marked slots by (language, source, digest),
+and beside them the string of each digest once per task. The counts shuffle without strings; the least and the greatest string
+of each digest are aggregated from the others. Where both differ, two terms share a digest: those digests are marked in a
+bitmap of the same size and their terms alone are counted once more by string, so that a clash splits into its terms. Merged
+counts are never below single ones, so no kept term is missed before; slots that are marked by chance pass rows which the exact
+count drops. Strings join back for the terms that can reach the report: of each group those within the first ``TOP`` values,
+ties included.
 
 Distances of sources are sums over blocks of about ``BLOCK`` terms: a task takes one block for two tiles of at most ``TILE``
 sources as a dense matrix, in which a source without a term has the share of a count of zero, and sums of pairs add up.
@@ -21,7 +22,7 @@ taken in spans. Other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +31,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sigstat.llm.batches import pieces, release, texts, written
+from sigstat.llm.batches import column, pieces, release, texts, written
 
 #: Fixed by the contract: documents of a kept term, smoothing, scale of shares, terms in a group's report.
 LEAST, SMOOTH, SCALE, TOP = 30, 5, 1_000_000_000, 50
 #: Bytes of terms in UTF-8 after lower-casing: the contract's class, whose characters beyond ASCII are these bytes.
 TERM = re.compile(rb"[a-z\x80-\xff]+")
-SLOTS, HELD, SPAN, BLOCK, TILE = 1 << 26, 200_000, 1 << 20, 4096, 64
+SLOTS, HELD, WORDS, SPAN, BLOCK, TILE = 1 << 26, 400_000, 1 << 22, 1 << 20, 4096, 64
 BITMAP = 32768  # bits of a row that bitmap_construct_agg makes
 
 
@@ -61,72 +62,88 @@ def digests(terms: list[bytes], bits: int) -> np.ndarray:
     return (made >> np.uint64(64 - bits)).view(np.int64)
 
 
-def tallies(batches, by: list[str], seldom: int = 256) -> Iterator[tuple[tuple, list[bytes], list[int], list[int]]]:
-    """(group, terms, documents, occurrences), whenever the held counts pass ``HELD`` entries and at the end."""
-    docs, counts, rows = defaultdict(Counter), defaultdict(Counter), 0
+def tallies(batches, by: list[str]) -> Iterator[tuple[list[tuple], list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Groups, terms and, for each pair of both that occurs, their numbers, documents and occurrences.
+
+    Counts are given out whenever ``HELD`` terms or ``WORDS`` pairs of document and term are held, and at the end.
+    """
+    terms, groups = defaultdict(), defaultdict()
+    terms.default_factory, groups.default_factory = terms.__len__, groups.__len__
+    held, at, words = [], [], 0
 
     def flush():
-        for group, own in docs.items():
-            n = counts[group]
-            terms = list(own)
-            yield group, terms, [own[t] for t in terms], [n[t] for t in terms]
-        docs.clear(), counts.clear()
+        ids, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        key = np.repeat(np.array(at, np.int64), [len(x) for x, _ in held]) * len(terms) + ids
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0)))
+        group, term = np.divmod(key[order[first]], len(terms))
+        yield list(groups), list(terms), group, term, np.diff(np.append(first, len(key))), np.add.reduceat(n[order], first)
+        terms.clear(), groups.clear(), held.clear(), at.clear()
 
     for part in pieces(batches, "text"):
-        groups = zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in by), strict=True)
-        for group, text in zip(groups, texts(part), strict=True):
-            seen = None
-            for words in spans(text):
-                new = set(words)
-                if seen is None:
-                    seen = new
-                else:
-                    new -= seen
-                    seen |= new
-                docs[group].update(new)
-                counts[group].update(words)
-                if len(counts[group]) > HELD:
-                    yield from flush()
-            rows += 1
-            if rows % seldom == 0 and sum(map(len, counts.values())) > HELD:
+        own = zip(*(column(part, c).to_pylist() for c in by), strict=True)
+        for group, text in zip(own, texts(part), strict=True):
+            found = [np.unique(np.fromiter(map(terms.__getitem__, w), np.int64, len(w)), return_counts=True) for w in spans(text) if w]
+            if len(found) > 1:  # a long text: a term counts as one document
+                ids, place = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
+                found = [(ids, np.bincount(place, np.concatenate([n for _, n in found])).astype(np.int64))]
+            if found:
+                held += found
+                at.append(groups[group])
+                words += len(found[0][0])
+            if words > WORDS or len(terms) > HELD:
                 yield from flush()
-    yield from flush()
+                words = 0
+    if held:
+        yield from flush()
     release()
 
 
-def frequent_slots(docs: DataFrame, least: int = LEAST, slots: int = SLOTS, bits: int = 64) -> np.ndarray:
-    """Bitmap of the slots of digests that occur in ``least`` documents of a language: at most ``slots`` / 8 bytes."""
-
-    def run(batches):
-        for (lang,), terms, n, _ in tallies(batches, ["lang"]):
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(terms), pa.string()), pa.array(digests(terms, bits)), pa.array(n, pa.int64())], ["lang", "digest", "docs"])
-
-    found = docs.select("lang", "text").mapInArrow(run, "lang string, digest long, docs long").groupBy("lang", "digest").agg(F.sum("docs").alias("docs"))
+def bitmap(found: DataFrame, slots: int = SLOTS) -> np.ndarray:
+    """Bits of the slots of the column ``digest``: at most ``slots`` / 8 bytes."""
     slot = F.pmod("digest", F.lit(slots))
-    marked = found.filter(F.col("docs") >= least).select(slot.alias("slot"))
-    rows = marked.groupBy(F.floor(F.col("slot") / BITMAP).alias("part")).agg(F.bitmap_construct_agg(F.col("slot") % BITMAP).alias("bits")).toArrow()
+    rows = found.groupBy(F.floor(slot / BITMAP).alias("part")).agg(F.bitmap_construct_agg(slot % BITMAP).alias("bits")).toArrow()
     out = np.zeros(-(-slots // BITMAP) * BITMAP // 8, np.uint8)
     for part, made in zip(rows["part"].to_pylist(), rows["bits"].to_pylist(), strict=True):
         out[part * BITMAP // 8 : (part + 1) * BITMAP // 8] = np.frombuffer(made, np.uint8)
     return out
 
 
-def occurrences(docs: DataFrame, bitmap: np.ndarray, slots: int = SLOTS, bits: int = 64) -> DataFrame:
-    """(lang, source, digest, term, docs, n) of the terms on marked slots, summed up within a task."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+def frequent(docs: DataFrame, least: int = LEAST, bits: int = 64) -> DataFrame:
+    """Digests that occur in ``least`` documents of a language."""
+
+    def run(batches):
+        for groups, terms, group, term, n, _ in tallies(batches, ["lang"]):
+            langs = pa.array([g[0] for g in groups], pa.string())
+            yield pa.RecordBatch.from_arrays([langs.take(pa.array(group)), pa.array(digests(terms, bits)[term]), pa.array(n)], ["lang", "digest", "docs"])
+
+    found = docs.select("lang", "text").mapInArrow(run, "lang string, digest long, docs long").groupBy("lang", "digest").agg(F.sum("docs").alias("docs"))
+    return found.filter(F.col("docs") >= least).select("digest")
+
+
+def occurrences(docs: DataFrame, marked: np.ndarray, by_string: bool = False, slots: int = SLOTS, bits: int = 64) -> DataFrame:
+    """(lang, source, digest, term, docs, n) of the terms on marked slots, summed up within a task.
+
+    Counts have their term only ``by_string``; else a row without language and source gives the string of each digest.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(marked)
+    names = ["lang", "source", "digest", "term", "docs", "n"]
 
     def run(batches):
-        for (lang, source), terms, own, n in tallies(batches, ["lang", "source"]):
+        for groups, terms, group, term, own, n in tallies(batches, names[:2]):
             digest = digests(terms, bits)
             slot = digest % slots
-            hit = np.flatnonzero(shared.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(hit), pa.string()), pa.array([source] * len(hit), pa.string()), pa.array(digest[hit]),
-                    pa.array([terms[k].decode("utf-8", "surrogatepass") for k in hit], pa.string()), pa.array(np.array(own, np.int64)[hit]), pa.array(np.array(n, np.int64)[hit]),
-                ],
-                ["lang", "source", "digest", "term", "docs", "n"],
-            )
+            hit = (shared.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+            take = hit[term]
+            group, term, own, n = pa.array(group[take]), term[take], pa.array(own[take]), pa.array(n[take])
+            langs, sources = (pa.array([g[k] for g in groups], pa.string()).take(group) for k in (0, 1))
+            strings = pa.array([t.decode("utf-8", "surrogatepass") if k else None for t, k in zip(terms, hit.tolist(), strict=True)], pa.string())
+            given = strings.take(pa.array(term)) if by_string else pa.nulls(len(term), pa.string())
+            yield pa.RecordBatch.from_arrays([langs, sources, pa.array(digest[term]), given, own, n], names)
+            if not by_string:
+                ids = pa.array(np.flatnonzero(hit))
+                none, zero = pa.nulls(len(ids), pa.string()), pa.array(np.zeros(len(ids), np.int64))
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(digest[hit]), strings.take(ids), zero, zero], names)
 
     return docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, digest long, term string, docs long, n long")
 
@@ -176,13 +193,13 @@ def audit(
 ) -> DataFrame:
     """lang, source, part, item, value, rank: distances to all other sources, and the terms a source uses more than its language."""
     docs = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((text, "text"), (lang, "lang"), (source, "source"))))
-    raw = written(occurrences(docs, frequent_slots(docs, least, slots, bits), slots, bits))
-    named = written(raw.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")))
-    clash = named.filter("low <> high").select("digest", F.lit(True).alias("__clash"))
-    if clash.isEmpty():
-        split = raw.withColumn("exact", F.lit(""))
-    else:  # the strings of these digests shuffle, no others
-        split = raw.select("lang", "source", "digest", "docs", "n", "term").join(clash, "digest", "left").withColumn("exact", F.when(F.col("__clash"), F.col("term")).otherwise(""))
+    raw = written(occurrences(docs, bitmap(frequent(docs, least, bits), slots), slots=slots, bits=bits))
+    named = written(raw.filter("term IS NOT NULL").groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")))
+    split = raw.filter("lang IS NOT NULL").select("lang", "source", "digest", "docs", "n", F.lit("").alias("exact"))
+    clash = named.filter("low <> high").select("digest")
+    if not clash.isEmpty():  # these digests are counted again, by string
+        again = occurrences(docs, bitmap(clash, slots), True, slots, bits).join(clash, "digest", "left_semi")
+        split = split.join(clash, "digest", "left_anti").unionByName(again.select("lang", "source", "digest", "docs", "n", F.col("term").alias("exact")))
     per = ["lang", "digest", "exact"]
     counts = split.groupBy("source", *per).agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
     counts = written(counts)

@@ -185,6 +185,25 @@ def test_term_spans(monkeypatch):
         assert [w for part in divergence.spans(text) for w in part] == whole
 
 
+def test_tallies(monkeypatch):
+    import pyarrow as pa
+
+    rows = prose(7)
+    batch = pa.RecordBatch.from_pylist([{"text": x, "lang": a, "source": b} for x, a, b in rows])
+    for held, words, span in ((1 << 20, 1 << 20, 1 << 20), (3, 5, 4), (1, 1, 1)):
+        monkeypatch.setattr(divergence, "HELD", held)
+        monkeypatch.setattr(divergence, "WORDS", words)
+        monkeypatch.setattr(divergence, "SPAN", span)
+        docs, counts = Counter(), Counter()
+        for groups, terms, group, term, own, n in divergence.tallies([batch], ["lang", "source"]):
+            for g, t, d, k in zip(group, term, own, n):
+                docs[groups[g], terms[t]] += d
+                counts[groups[g], terms[t]] += k
+        lists = [((a, b), re.findall(rb"[a-z\x80-\xff]+", (x or "").encode().lower())) for x, a, b in rows]
+        assert counts == Counter((g, t) for g, w in lists for t in w)
+        assert docs == Counter((g, t) for g, w in lists for t in set(w))
+
+
 # --- conversation repair
 
 
