@@ -21,8 +21,9 @@ taken in spans. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,69 +32,169 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sigstat.llm.batches import column, pieces, release, texts, written
+from sigstat.llm.batches import column, gather, pieces, release, texts, written
 
 #: Fixed by the contract: documents of a kept term, smoothing, scale of shares, terms in a group's report.
 LEAST, SMOOTH, SCALE, TOP = 30, 5, 1_000_000_000, 50
 #: Bytes of terms in UTF-8 after lower-casing: the contract's class, whose characters beyond ASCII are these bytes.
 TERM = re.compile(rb"[a-z\x80-\xff]+")
-SLOTS, HELD, WORDS, SPAN, BLOCK, TILE = 1 << 26, 400_000, 1 << 22, 1 << 20, 4096, 64
+SLOTS, HELD, SPAN, BLOCK, TILE = 1 << 26, 1 << 21, 1 << 20, 4096, 64
 BITMAP = 32768  # bits of a row that bitmap_construct_agg makes
-
-
-def spans(text: str) -> Iterator[list[bytes]]:
-    """The terms of a text, span by span; no term is cut."""
-    body = text.encode("utf-8", "surrogatepass").lower()  # of bytes: A-Z only
+BASE = 0x9E3779B97F4A7C15
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Finish of a 64-bit hash."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+@functools.cache
+def byte_values() -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes are of terms, and a random number for each byte."""
+    every = np.arange(256)
+    inside = ((every >= ord("a")) & (every <= ord("z"))) | (every >= 0x80)
+    return inside, mixed((every.astype(np.uint64) + np.uint64(1)) * np.uint64(BASE))
+
+
+@functools.cache
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``BASE`` and of its inverse modulo 2^64."""
+    out = []
+    for x in (BASE, pow(BASE, -1, 1 << 64)):
+        steps = np.full(size, x, np.uint64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    return tuple(out)
+
+
+def terms_of(body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and 64-bit digest of each term: differences of one running polynomial over the bytes."""
+    inside, value = byte_values()
+    flags = np.zeros(len(body) + 2, bool)
+    flags[1:-1] = inside[body]
+    edges = np.flatnonzero(flags[1:] != flags[:-1])
+    start, end = edges[::2], edges[1::2]
+    size = 1 << max(len(body), SPAN).bit_length()
+    up, down = powers(size) if size <= 4 * SPAN else powers.__wrapped__(size)  # a term longer than a span
+    sums = np.zeros(len(body) + 1, np.uint64)
+    np.cumsum(value[body] * up[: len(body)], out=sums[1:])
+    return start, end, mixed((sums[end] - sums[start]) * down[start])
+
+
+def spans(body: bytes) -> Iterator[bytes]:
+    """A long text in parts; no term is cut."""
     at = 0
     while at < len(body):
         end = at + SPAN
         if end < len(body):
             over = TERM.match(body, end)
             end = over.end() if over else end
-        yield TERM.findall(body, at, end)
+        yield body[at:end]
         at = end
 
 
-def digests(terms: list[bytes], bits: int) -> np.ndarray:
-    import xxhash
-
-    digest = xxhash.xxh64_intdigest
-    made = np.fromiter((digest(t) for t in terms), np.uint64, len(terms))
-    return (made >> np.uint64(64 - bits)).view(np.int64)
+def ordered(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by the keys, the first one first, and where a new combination begins in it."""
+    order = np.argsort(keys[-1])
+    for key in keys[-2::-1]:
+        small = key.astype(np.uint16) if len(key) and key.max() < 1 << 16 else key  # radix sort
+        order = order[np.argsort(small[order], kind="stable")]
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
+    return order, np.flatnonzero(new)
+
+
+class Span:
+    """Terms of some whole texts, or of a part of one: distinct digests with an example, and counts by (text, digest)."""
+
+    def __init__(self, body: bytes, ends: np.ndarray, bits: int, marked: np.ndarray | None, slots: int):
+        self.body = np.frombuffer(body, np.uint8)
+        start, end, digest = terms_of(self.body)
+        self.ends = ends
+        doc = np.repeat(np.arange(len(ends)), np.diff(np.searchsorted(start, ends), prepend=0))
+        order, new = ordered(digest >> np.uint64(64 - bits))
+        self.digest = (digest[order[new]] >> np.uint64(64 - bits)).view(np.int64)
+        code = np.empty(len(order), np.int64)
+        code[order] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(order))))
+        self.example = order[new]
+        self.hit = np.ones(len(new), bool)
+        if marked is not None:
+            slot = self.digest % slots
+            self.hit = (marked[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+            take = self.hit[code]
+            self.at, doc, code = np.flatnonzero(take), doc[take], code[take]
+        else:
+            self.at = np.arange(len(code))
+        self.start, self.end, self.words = start, end, code
+        pair, n = np.unique(doc * max(len(new), 1) + code, return_counts=True)
+        self.doc, self.code = np.divmod(pair, max(len(new), 1))
+        self.n = n
+
+    def term(self, k: int) -> bytes:
+        return self.body[self.start[k] : self.end[k]].tobytes()
+
+    def clashes(self) -> np.ndarray:
+        """Codes whose marked occurrences are not all equal to the example, byte by byte."""
+        own, other = self.at, self.example[self.words]
+        size = self.end - self.start
+        same = size[own] == size[other]
+        wrong = np.unique(self.words[~same])
+        own, other, words = own[same], other[same], self.words[same]
+        differ = self.body[gather(self.start[own], size[own])] != self.body[gather(self.start[other], size[own])]
+        return np.union1d(wrong, np.repeat(words, size[own])[differ]) if differ.any() else wrong
+
+
+def parts(batches, by: list[str], bits: int, marked: np.ndarray | None = None, slots: int = SLOTS):
+    """(groups of the texts, Span, whether this ends a text that came in several) for texts in bounded pieces."""
+    for part in pieces(batches, "text"):
+        groups = list(zip(*(column(part, c).to_pylist() for c in by), strict=True))
+        bodies = [t.encode("utf-8", "surrogatepass").lower() for t in texts(part)]  # of bytes: A-Z only
+        if len(bodies) == 1 and len(bodies[0]) > SPAN:
+            own = list(spans(bodies[0]))
+            for k, body in enumerate(own, 1):
+                yield groups, Span(body, np.array([len(body)]), bits, marked, slots), k == len(own), True
+        else:
+            yield groups, Span(b"\n".join(bodies), np.cumsum([len(x) + 1 for x in bodies]), bits, marked, slots), True, False
 
 
-def tallies(batches, by: list[str]) -> Iterator[tuple[list[tuple], list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Groups, terms and, for each pair of both that occurs, their numbers, documents and occurrences.
+def tallies(batches, by: list[str], bits: int = 64, marked: np.ndarray | None = None, slots: int = SLOTS, seen=None):
+    """Groups and, for each group and digest that occur together, its number, the digest, documents and occurrences.
 
-    Counts are given out whenever ``HELD`` terms or ``WORDS`` pairs of document and term are held, and at the end.
+    Counts are given out whenever ``HELD`` of them are held, and at the end. ``seen`` is called with every Span.
     """
-    terms, groups = defaultdict(), defaultdict()
-    terms.default_factory, groups.default_factory = terms.__len__, groups.__len__
-    held, at, words = [], [], 0
+    groups = defaultdict()
+    groups.default_factory = groups.__len__
+    held, long, size = [], [], 0
 
-    def flush():
-        ids, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        key = np.repeat(np.array(at, np.int64), [len(x) for x, _ in held]) * len(terms) + ids
-        order = np.argsort(key, kind="stable")
-        first = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0)))
-        group, term = np.divmod(key[order[first]], len(terms))
-        yield list(groups), list(terms), group, term, np.diff(np.append(first, len(key))), np.add.reduceat(n[order], first)
-        terms.clear(), groups.clear(), held.clear(), at.clear()
+    def summed(group, digest, docs, n):
+        order, new = ordered(group, digest)
+        return group[order[new]], digest[order[new]], *(np.add.reduceat(x[order], new) if len(new) else x for x in (docs, n))
 
-    for part in pieces(batches, "text"):
-        own = zip(*(column(part, c).to_pylist() for c in by), strict=True)
-        for group, text in zip(own, texts(part), strict=True):
-            found = [np.unique(np.fromiter(map(terms.__getitem__, w), np.int64, len(w)), return_counts=True) for w in spans(text) if w]
-            if len(found) > 1:  # a long text: a term counts as one document
-                ids, place = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
-                found = [(ids, np.bincount(place, np.concatenate([n for _, n in found])).astype(np.int64))]
-            if found:
-                held += found
-                at.append(groups[group])
-                words += len(found[0][0])
-            if words > WORDS or len(terms) > HELD:
-                yield from flush()
-                words = 0
+    def flush():
+        yield list(groups), *summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        groups.clear(), held.clear()
+
+    for own, span, last, several in parts(batches, by, bits, marked, slots):
+        if seen:
+            seen(span)
+        if several:  # a term counts as one document
+            long.append((span.digest[span.code], span.n))
+            if not last:
+                continue
+            digest, n = (np.concatenate(x) for x in zip(*long, strict=True))
+            _, digest, _, n = summed(np.zeros(len(digest), np.int64), digest, n, n)
+            found = (np.full(len(digest), groups[own[0]]), digest, np.ones(len(digest), np.int64), n)
+            long.clear()
+        else:
+            group = np.array([groups[g] for g in own], np.int64)[span.doc]
+            found = summed(group, span.digest[span.code], np.ones(len(group), np.int64), span.n)
+        held.append(found)
+        size += len(found[0])
+        if size > HELD:
+            yield from flush()
+            size = 0
     if held:
         yield from flush()
     release()
@@ -113,37 +214,70 @@ def frequent(docs: DataFrame, least: int = LEAST, bits: int = 64) -> DataFrame:
     """Digests that occur in ``least`` documents of a language."""
 
     def run(batches):
-        for groups, terms, group, term, n, _ in tallies(batches, ["lang"]):
+        for groups, group, digest, n, _ in tallies(batches, ["lang"], bits):
             langs = pa.array([g[0] for g in groups], pa.string())
-            yield pa.RecordBatch.from_arrays([langs.take(pa.array(group)), pa.array(digests(terms, bits)[term]), pa.array(n)], ["lang", "digest", "docs"])
+            yield pa.RecordBatch.from_arrays([langs.take(pa.array(group)), pa.array(digest), pa.array(n)], ["lang", "digest", "docs"])
 
     found = docs.select("lang", "text").mapInArrow(run, "lang string, digest long, docs long").groupBy("lang", "digest").agg(F.sum("docs").alias("docs"))
     return found.filter(F.col("docs") >= least).select("digest")
 
 
-def occurrences(docs: DataFrame, marked: np.ndarray, by_string: bool = False, slots: int = SLOTS, bits: int = 64) -> DataFrame:
-    """(lang, source, digest, term, docs, n) of the terms on marked slots, summed up within a task.
+def occurrences(docs: DataFrame, marked: np.ndarray, slots: int = SLOTS, bits: int = 64) -> DataFrame:
+    """(lang, source, digest, docs, n, term): counts without a term, summed up within a task, and rows of a digest and its term.
 
-    Counts have their term only ``by_string``; else a row without language and source gives the string of each digest.
+    A term is given again only where its digest last stood for another one, so a task gives all terms of a digest.
     """
     shared = docs.sparkSession.sparkContext.broadcast(marked)
+    names = ["lang", "source", "digest", "docs", "n", "term"]
+
+    def run(batches):
+        known: dict[int, bytes] = {}
+        new: list[tuple[int, bytes]] = []
+
+        def seen(span):
+            codes = np.flatnonzero(span.hit)
+            for digest, k in zip(span.digest[codes].tolist(), span.example[codes].tolist(), strict=True):
+                term = span.term(k)
+                if known.get(digest) != term:
+                    known[digest] = term
+                    new.append((digest, term))
+            for code in span.clashes():
+                new.extend((int(span.digest[code]), t) for t in {span.term(k) for k in span.at[span.words == code]})
+            if len(known) > HELD:
+                known.clear()
+
+        for groups, group, digest, own, n in tallies(batches, names[:2], bits, shared.value, slots, seen):
+            at = pa.array(group)
+            langs, sources = (pa.array([g[k] for g in groups], pa.string()).take(at) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([langs, sources, pa.array(digest), pa.array(own), pa.array(n), pa.nulls(len(at), pa.string())], names)
+            none, zero = pa.nulls(len(new), pa.string()), pa.array(np.zeros(len(new), np.int64))
+            strings = pa.array([t.decode("utf-8", "surrogatepass") for _, t in new], pa.string())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array([d for d, _ in new], pa.int64()), zero, zero, strings], names)
+            new.clear()
+
+    return docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, digest long, docs long, n long, term string")
+
+
+def by_string(docs: DataFrame, marked: np.ndarray, slots: int = SLOTS, bits: int = 64) -> DataFrame:
+    """(lang, source, digest, term, docs, n) of the terms on marked slots, which are few: each document's own counts."""
+    shared = docs.sparkSession.sparkContext.broadcast(marked)
     names = ["lang", "source", "digest", "term", "docs", "n"]
 
     def run(batches):
-        for groups, terms, group, term, own, n in tallies(batches, names[:2]):
-            digest = digests(terms, bits)
-            slot = digest % slots
-            hit = (shared.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
-            take = hit[term]
-            group, term, own, n = pa.array(group[take]), term[take], pa.array(own[take]), pa.array(n[take])
-            langs, sources = (pa.array([g[k] for g in groups], pa.string()).take(group) for k in (0, 1))
-            strings = pa.array([t.decode("utf-8", "surrogatepass") if k else None for t, k in zip(terms, hit.tolist(), strict=True)], pa.string())
-            given = strings.take(pa.array(term)) if by_string else pa.nulls(len(term), pa.string())
-            yield pa.RecordBatch.from_arrays([langs, sources, pa.array(digest[term]), given, own, n], names)
-            if not by_string:
-                ids = pa.array(np.flatnonzero(hit))
-                none, zero = pa.nulls(len(ids), pa.string()), pa.array(np.zeros(len(ids), np.int64))
-                yield pa.RecordBatch.from_arrays([none, none, pa.array(digest[hit]), strings.take(ids), zero, zero], names)
+        long = Counter()
+        for own, span, last, several in parts(batches, names[:2], bits, shared.value, slots):
+            ends = np.searchsorted(span.at, np.searchsorted(span.start, span.ends))
+            for group, a, b in zip(own, np.append(0, ends[:-1]), ends, strict=True):
+                found = Counter((int(span.digest[c]), span.term(k)) for c, k in zip(span.words[a:b], span.at[a:b], strict=True))
+                if several:
+                    long.update(found)
+                    found, long = (long, Counter()) if last else (Counter(), long)
+                if found:
+                    yield pa.RecordBatch.from_pylist(
+                        [dict(zip(names, (*group, d, t.decode("utf-8", "surrogatepass"), 1, n), strict=True)) for (d, t), n in found.items()],
+                        pa.schema([(c, pa.int64() if c in ("digest", "docs", "n") else pa.string()) for c in names]),
+                    )
+        release()
 
     return docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, digest long, term string, docs long, n long")
 
@@ -193,12 +327,12 @@ def audit(
 ) -> DataFrame:
     """lang, source, part, item, value, rank: distances to all other sources, and the terms a source uses more than its language."""
     docs = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((text, "text"), (lang, "lang"), (source, "source"))))
-    raw = written(occurrences(docs, bitmap(frequent(docs, least, bits), slots), slots=slots, bits=bits))
+    raw = written(occurrences(docs, bitmap(frequent(docs, least, bits), slots), slots, bits))
     named = written(raw.filter("term IS NOT NULL").groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")))
     split = raw.filter("lang IS NOT NULL").select("lang", "source", "digest", "docs", "n", F.lit("").alias("exact"))
     clash = named.filter("low <> high").select("digest")
     if not clash.isEmpty():  # these digests are counted again, by string
-        again = occurrences(docs, bitmap(clash, slots), True, slots, bits).join(clash, "digest", "left_semi")
+        again = by_string(docs, bitmap(clash, slots), slots, bits).join(clash, "digest", "left_semi")
         split = split.join(clash, "digest", "left_anti").unionByName(again.select("lang", "source", "digest", "docs", "n", F.col("term").alias("exact")))
     per = ["lang", "digest", "exact"]
     counts = split.groupBy("source", *per).agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))

@@ -178,30 +178,45 @@ def test_divergence_sql(spark, odd, odd_rows):
 
 
 def test_term_spans(monkeypatch):
-    text = "Ab éX-" * 40 + "y" * 100
-    whole = [w for part in divergence.spans(text) for w in part]
+    body = ("Ab éX-" * 40 + "y" * 100).lower().encode()
+    whole = divergence.TERM.findall(body)
     for span in (1, 5, 64):
         monkeypatch.setattr(divergence, "SPAN", span)
-        assert [w for part in divergence.spans(text) for w in part] == whole
+        assert [w for part in divergence.spans(body) for w in divergence.TERM.findall(part)] == whole
+    start, end, digest = divergence.terms_of(np.frombuffer(body, np.uint8))
+    assert [body[a:b] for a, b in zip(start, end)] == whole
+    assert len(set(digest.tolist())) == len(set(whole)) == len(set(zip(whole, digest.tolist())))
 
 
-def test_tallies(monkeypatch):
+@pytest.mark.parametrize("bits", [64, 3])
+def test_tallies(monkeypatch, bits):
     import pyarrow as pa
 
     rows = prose(7)
     batch = pa.RecordBatch.from_pylist([{"text": x, "lang": a, "source": b} for x, a, b in rows])
-    for held, words, span in ((1 << 20, 1 << 20, 1 << 20), (3, 5, 4), (1, 1, 1)):
+    lists = [((a, b), re.findall(rb"[a-z\x80-\xff]+", (x or "").encode().lower())) for x, a, b in rows]
+    own = {}
+    for _, words in lists:
+        if words:
+            digest = divergence.terms_of(np.frombuffer(b" ".join(words), np.uint8))[2]
+            own |= dict(zip(words, (digest >> np.uint64(64 - bits)).view(np.int64).tolist()))
+    for held, span in ((1 << 20, 1 << 20), (5, 1 << 20), (1 << 20, 4), (1, 1)):
         monkeypatch.setattr(divergence, "HELD", held)
-        monkeypatch.setattr(divergence, "WORDS", words)
         monkeypatch.setattr(divergence, "SPAN", span)
-        docs, counts = Counter(), Counter()
-        for groups, terms, group, term, own, n in divergence.tallies([batch], ["lang", "source"]):
-            for g, t, d, k in zip(group, term, own, n):
-                docs[groups[g], terms[t]] += d
-                counts[groups[g], terms[t]] += k
-        lists = [((a, b), re.findall(rb"[a-z\x80-\xff]+", (x or "").encode().lower())) for x, a, b in rows]
-        assert counts == Counter((g, t) for g, w in lists for t in w)
-        assert docs == Counter((g, t) for g, w in lists for t in set(w))
+        monkeypatch.setattr(divergence, "pieces", lambda b, c, span=span: (x.slice(k, 1) for x in b for k in range(x.num_rows)) if span < 9 else iter(b))
+        docs, counts, wrong = Counter(), Counter(), set()
+
+        def seen(found, wrong=wrong):
+            wrong |= set(found.digest[found.clashes()].tolist())
+
+        for groups, group, digest, d, n in divergence.tallies([batch], ["lang", "source"], bits, seen=seen):
+            for g, t, x, k in zip(group, digest.tolist(), d, n):
+                docs[groups[g], t] += x
+                counts[groups[g], t] += k
+        assert counts == Counter((g, own[t]) for g, w in lists for t in w)
+        assert docs == Counter((g, t) for g, w in lists for t in {own[x] for x in w})
+        if held > 5 and span > 9:
+            assert wrong == {d for d, k in Counter(own.values()).items() if k > 1}
 
 
 # --- conversation repair
