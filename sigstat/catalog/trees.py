@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.tree import build_tree, node_onsets, node_property, questionnaire, reparent_by_onset, select_branches, split_entries
@@ -70,6 +71,39 @@ def tree(spark, folder):
     return nodes(spark, folder).where("entry is null or entry <> 'Price'")
 
 
+def _climbing(spark, folder):
+    """Per nation its orders in turn, each a level marker and a leaf; levels climb to 61 and fall again, every eleventh key skips two."""
+    o, c = table(spark, folder, "orders"), table(spark, folder, "customer")
+    rows = o.join(c, o.o_custkey == c.c_custkey).select(F.col("c_nationkey").alias("doc_id"), F.col("o_orderkey").alias("ord"))
+    i = F.row_number().over(Window.partitionBy("doc_id").orderBy("ord")) - 1
+    level = 61 - F.abs(F.pmod(i, F.lit(120)) - 60) + F.when(F.pmod("ord", F.lit(11)) == 0, 2).otherwise(0)
+    cells = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(n).alias("key"), v.cast("string").alias("value")) for k, (n, v) in enumerate([("Level", level), ("Order", F.col("ord"))])])
+    return rows.select("doc_id", "ord", cells.alias("cells")).select("doc_id", "ord", F.explode("cells").alias("e")).select("doc_id", "ord", "e.*")
+
+
+@query("build_tree_jumps", """
+WITH RECURSIVE m AS (
+  SELECT c_nationkey AS doc_id, o_orderkey AS ord, row_number() OVER w AS i, 61 - abs((row_number() OVER w - 1) % 120 - 60) + CASE WHEN o_orderkey % 11 = 0 THEN 2 ELSE 0 END AS lv
+  FROM orders JOIN customer ON o_custkey = c_custkey WINDOW w AS (PARTITION BY c_nationkey ORDER BY o_orderkey)
+), s AS (
+  SELECT doc_id, 0::BIGINT AS i, NULL::BIGINT AS ord, NULL::BIGINT AS was, [-2, -1]::BIGINT[] AS stack FROM (SELECT DISTINCT doc_id FROM m)
+  UNION ALL
+  SELECT m.doc_id, m.i, m.ord, m.lv, CASE WHEN s.was IS NULL OR m.lv = s.was + 1 THEN list_append(s.stack, m.ord) WHEN m.lv > s.was THEN s.stack
+    ELSE list_append(s.stack[:greatest(len(s.stack) - (s.was - m.lv), 2) - 1], m.ord) END
+  FROM s JOIN m ON m.doc_id = s.doc_id AND m.i = s.i + 1
+)
+SELECT doc_id, CAST(ord AS VARCHAR) AS "order", CAST(stack[-1] AS VARCHAR) AS owner, CAST(len(stack) - 1 AS INTEGER) AS level,
+  CASE WHEN stack[-2] >= 0 THEN CAST(stack[-2] AS VARCHAR) END AS up FROM s WHERE i > 0""")
+def tree_jumps(spark, folder):
+    """Every order's leaf: the order that opened its node, and the one that opened the node above."""
+    t = materialise(build_tree(_climbing(spark, folder), "Level", ["ord", "k"]), "nodes")
+    leaf = t.where("entry = 'Order'").select("doc_id", F.col("parent_id").alias("node_id"), F.col("value").alias("order"), "level", "seq")
+    owner = leaf.groupBy("doc_id", "node_id").agg(F.min_by("order", "seq").alias("owner"))
+    above = owner.select("doc_id", F.col("node_id").alias("parent_id"), F.col("owner").alias("up"))
+    inner = t.where("is_structural").select("doc_id", "node_id", "parent_id").join(above, ["doc_id", "parent_id"], "left")
+    return leaf.join(owner, ["doc_id", "node_id"]).join(inner, ["doc_id", "node_id"]).select("doc_id", "order", "owner", "level", "up")
+
+
 _FIRST = "fo AS (SELECT c_nationkey AS doc_id, c_custkey, c_name, c_mktsegment, arg_min(o, o_orderkey) AS o FROM customer JOIN orders o ON o_custkey = c_custkey GROUP BY ALL)"
 
 

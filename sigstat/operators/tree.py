@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +20,6 @@ from ..registry import operator
 from ..session import materialise
 
 NODE = ("doc_id", "node_id", "parent_id", "level", "seq", "ordinal", "entry", "value", "is_structural", "subtree_end")
-WIDEST = 32  # deepest level handled by columns; deeper documents take the stack
 
 
 def _quoted(text: str) -> str:
@@ -39,25 +37,31 @@ def split_entries(lines: DataFrame, entry_delim: str, kv_delim: str, keep: Seque
     return rows.select(*keep, "pos", key.alias("key"), value.alias("value"), "raw")
 
 
-def _stack_depths(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Depth of each level marker of one irregular document; null where it stays detached."""
-    pdf = pdf.sort_values("__i", kind="stable")
-    depth, height, last = [], 1, None  # height of the open node: the unnamed first node has 0, its parent -1
-    height = 0
-    for level in pdf["__level"]:
-        if last is None or level == last + 1:
-            height += 1
-            depth.append(height)
-        elif level == last:
-            depth.append(height)
-        elif level < last:
-            steps = min(last - level, max(0, height))
-            height = max(height - steps, 0)
-            depth.append(height)
-        else:
-            depth.append(None)
-        last = level
-    return pd.DataFrame({"doc_id": pdf["doc_id"], "__i": pdf["__i"], "__depth": pd.array(depth, dtype="Int32")})
+def _nested(marks: DataFrame, hot, parents: bool = True) -> DataFrame:
+    """``end``, and ``parent`` if asked for, of nodes in pre-order, from ``doc_id, node, depth`` where no depth exceeds the last by more than one.
+
+    A node closes what is open from the depth of the node before down to its own, and each node is closed at most
+    once; so openings, closings and children, keyed by the level that they concern, meet in one ordered pass, whatever
+    the depth.  ``end`` is the number of the node that closes, null at the end of the document.
+    """
+    marks = ordered_scan(marks, ["doc_id"], ["node"], lag={"__last": "depth"}, hot=hot)
+    event = lambda level, kind: F.struct(level.cast("int").alias("__l"), F.lit(kind).alias("__kind"))
+    last, depth = F.col("__last"), F.col("depth")
+    shut = F.transform(F.sequence(F.when(last >= depth, depth), last), lambda level: event(level, 0))
+    own = F.array(*([event(depth - 1, 1)] if parents else []), event(depth, 2))
+    events = F.concat(F.coalesce(shut, F.array().cast("array<struct<__l:int,__kind:int>>")), own)
+    events = marks.select("doc_id", F.col("node").alias("__t"), F.explode(events).alias("__e")).select("doc_id", "__t", "__e.*")
+    scan = ordered_scan(
+        events, ["doc_id", "__l"], ["__t", "__kind"],
+        ffill={"__up": F.when(F.col("__kind") == 2, F.col("__t"))}, bfill={"__shut": F.when(F.col("__kind") == 0, F.col("__t"))}, hot=hot,
+    )
+    if not parents:
+        return scan.where("__kind = 2").select("doc_id", F.col("__t").alias("node"), F.col("__shut").alias("end"))
+    return scan.where("__kind > 0").groupBy("doc_id", F.col("__t").alias("node")).agg(
+        F.max(F.when(F.col("__kind") == 1, F.col("__up"))).alias("parent"),
+        F.max(F.when(F.col("__kind") == 2, F.col("__shut"))).alias("end"),
+        F.max(F.when(F.col("__kind") == 2, F.col("__l"))).alias("depth"),
+    )
 
 
 @operator("build_tree")
@@ -73,86 +77,61 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
     """
     hot = once(entries, ["doc_id"], hot)
     marker = F.col("key").eqNullSafe(F.lit(depth_key)) & F.col("value").rlike(r"^\d+$")
-    base = entries.select("doc_id", *order, "key", "value").withColumn("__level", F.when(marker, F.col("value").cast("int")))
-    # numbered once and written: everything below reads it several times
-    base = materialise(ordered_scan(base, ["doc_id"], list(order), index="__i", hot=hot).drop(*order), "entries")
-
-    marks = base.where("__level is not null").select("doc_id", "__i", "__level")
-    seen = ordered_scan(marks, ["doc_id"], ["__i"], lag={"__was": "__level"}, hot=hot)
-    odd = F.col("__level") > F.coalesce("__was", F.lit(0)) + 1
-    odd = odd | (F.col("__level") < 1) | (F.col("__level") > WIDEST)
-    any_odd, deepest = seen.agg(F.bool_or(odd), F.max("__level")).first()
-    if not any_odd:
-        rows, deepest = base.withColumn("__depth", F.col("__level")), deepest or 0
-    else:
-        irregular = seen.groupBy("doc_id").agg(F.bool_or(odd).alias("__odd"))
-        flagged = attach(marks, irregular, ["doc_id"], "inner")
-        # only the markers of irregular documents meet a task as a group: a stack is sequential
-        stack = flagged.where("__odd").drop("__odd").groupBy("doc_id").applyInPandas(
-            _stack_depths, f"doc_id {entries.schema['doc_id'].dataType.simpleString()}, __i long, __depth int"
-        )
-        regular = flagged.where("not __odd").select("doc_id", "__i", F.col("__level").alias("__depth"))
-        depths = materialise(regular.unionByName(stack), "depths")
-        deepest = depths.agg(F.max("__depth")).first()[0] or 0
-        rows = base.join(depths, ["doc_id", "__i"], "left")
-    # a detached marker takes its own leaf with it
-    rows = rows.where(F.col("__level").isNull() | F.col("__depth").isNotNull())
-    rows = ordered_scan(
-        rows.withColumn("__m", F.col("__depth").isNotNull().cast("long")), ["doc_id"], ["__i"],
-        index="__r", cumsum={"__c": "__m"}, hot=hot,
-    )
-    # numbers: 0 the first node, 1 its level leaf, then entries with a node before each marker
-    rows = rows.withColumn("seq", F.col("__r") + F.col("__c") + 2).withColumn("__node", F.when(F.col("__m") == 1, F.col("seq") - 1))
-    levels = range(0, deepest + 1)
+    base = entries.select("doc_id", *order, "key", "value", F.when(marker, F.col("value").try_cast("long")).alias("__level"))
+    scan = ordered_scan(base, ["doc_id"], list(order), index="__i", prior={"__was": "__level"}, hot=hot).drop(*order)
+    # the open height is a sum of steps that never falls below 0: the running sum less its running minimum
+    level, was = F.col("__level"), F.col("__was")
+    jump = level.isNotNull() & F.coalesce(level > was + 1, F.lit(False))
+    step = F.when(level.isNull() | jump, 0).when(was.isNull() | (level > was), 1).otherwise(level - was)
+    kept = level.isNotNull() & ~jump
+    scan = scan.withColumns({"__kept": kept, "__jump": jump})
     scan = ordered_scan(
-        rows, ["doc_id"], ["__i"],
-        ffill={"__open": "__node", "__od": F.when(F.col("__m") == 1, F.col("__depth"))}
-        | {f"__at{d}": F.when(F.col("__depth") == d, F.col("__node")) for d in levels},
-        bfill={f"__nx{d}": F.when(F.col("__depth") <= d, F.col("__node")) for d in levels},
-        hot=hot,
+        scan, ["doc_id"], ["__i"], cumsum={"__s": step.cast("long"), "__c": F.col("__kept").cast("long"), "__x": F.col("__jump").cast("long")}, hot=hot
     )
-    scan = materialise(scan, "marked")
+    # numbers: 0 the first node, 1 its level leaf, then entries with a node before each marker; a detached marker takes its leaf with it
+    seq = F.col("__i") - F.col("__x") + F.col("__c") + 2
+    scan = scan.withColumns({"seq": seq, "__node": F.when(F.col("__kept"), seq - 1)})
+    scan = ordered_scan(scan, ["doc_id"], ["__i"], cummin={"__low": "__s"}, ffill={"__open": "__node"}, hot=hot)
+    height = (F.col("__s") - F.least("__low", F.lit(0))).cast("int")
+    scan = materialise(scan.where("not __jump").select("doc_id", "key", "value", "seq", "__node", "__open", height.alias("__depth")), "marked")
+
+    nested = _nested(scan.where("__node is not null").select("doc_id", F.col("__node").alias("node"), F.col("__depth").alias("depth")), hot)
     last = scan.groupBy("doc_id").agg(
-        F.max("seq").alias("__last"), F.bool_or((F.col("__c") == 0) & F.col("key").eqNullSafe(F.lit(depth_key))).alias("__has")
-    )
-    scan = attach(scan, last, ["doc_id"], "inner")
-
-    def by_depth(prefix, shift=0):
-        out = F.lit(None).cast("long")
-        for d in levels:
-            if 0 <= d + shift <= deepest:
-                out = F.when(F.col("__depth") == d, F.col(f"{prefix}{d + shift}")).otherwise(out)
-        return out
-
-    # depth-1 nodes hang on the first node (number 0) unless a later top node is open
-    up = F.when(F.col("__depth") == 0, F.lit(None).cast("long")).otherwise(F.coalesce(by_depth("__at", -1), F.lit(0)))
-    none = F.lit(None).cast("string")
-    structural = scan.where("__m = 1").select(
-        "doc_id", F.col("__node").alias("node_id"), up.alias("parent_id"), F.col("__depth").cast("int").alias("level"),
-        F.col("__node").alias("seq"), none.alias("entry"), none.alias("value"), F.lit(True).alias("is_structural"),
-        F.coalesce(by_depth("__nx") - 1, F.col("__last")).alias("subtree_end"),
+        F.max("seq").alias("__last"), F.min(F.when(F.col("__depth") == 0, F.col("__node"))).alias("__top"),
+        F.bool_or(F.col("__open").isNull() & F.col("key").eqNullSafe(F.lit(depth_key))).alias("__has"),
     )
-    leaves = scan.select(
-        "doc_id", F.col("seq").alias("node_id"), F.coalesce("__open", F.lit(0)).alias("parent_id"),
-        (F.coalesce("__od", F.lit(0)) + 1).cast("int").alias("level"), "seq", F.col("key").alias("entry"), "value",
-        F.lit(False).alias("is_structural"), F.col("seq").alias("subtree_end"),
+    none, zero, one = F.lit(None).cast("string"), F.lit(0).cast("long"), F.lit(1).cast("long")
+    # top nodes stand beside the first node (number 0); depth 1 hangs on it unless a top node is open
+    up = F.when(F.col("depth") == 0, F.lit(None).cast("long")).otherwise(F.coalesce("parent", F.lit(0)))
+    inner = attach(nested.withColumn("parent_id", up), last, ["doc_id"], "inner")
+    # leaves follow their node at once, so the first inner child tells how many there are
+    inner = materialise(ordered_scan(inner, ["doc_id", "parent_id"], ["node"], index="__k", hot=hot), "inner")
+    before = inner.groupBy("doc_id", "parent_id").agg(F.min("node").alias("__head"))
+    head = F.col("__head") - F.when(F.col("parent_id") > 0, F.col("parent_id") + 1).otherwise(1 + F.col("__has").cast("long"))
+    structural = attach(inner, before, ["doc_id", "parent_id"]).select(
+        "doc_id", F.col("node").alias("node_id"), "parent_id", F.col("depth").alias("level"), F.col("node").alias("seq"),
+        (F.col("__k") + F.when(F.col("parent_id").isNull(), 1).otherwise(head)).alias("ordinal"),
+        none.alias("entry"), none.alias("value"), F.lit(True).alias("is_structural"), F.coalesce(F.col("end") - 1, F.col("__last")).alias("subtree_end"),
     )
-    tops = scan.groupBy("doc_id").agg(
-        F.min(F.when(F.col("__depth") == 0, F.col("__node"))).alias("__top"), F.max("__last").alias("__last"), F.bool_or("__has").alias("__has")
-    )
-    zero = F.lit(0).cast("long")
-    first = tops.select(
-        "doc_id", zero.alias("node_id"), F.lit(None).cast("long").alias("parent_id"), F.lit(0).alias("level"), zero.alias("seq"),
-        none.alias("entry"), none.alias("value"), F.lit(True).alias("is_structural"),
-        F.coalesce(F.col("__top") - 1, F.col("__last")).alias("subtree_end"),
+
+    def leaf(rows: DataFrame, parent, ordinal) -> DataFrame:
+        return rows.select(
+            "doc_id", F.col("seq").alias("node_id"), parent.alias("parent_id"), (F.col("__depth") + 1).alias("level"), "seq", ordinal.alias("ordinal"),
+            F.col("key").alias("entry"), "value", F.lit(False).alias("is_structural"), F.col("seq").alias("subtree_end"),
+        )
+
+    leaves = leaf(scan.where("__open is not null"), F.col("__open"), F.col("seq") - F.col("__open") - 1)
+    early = attach(scan.where("__open is null"), last.select("doc_id", "__has"), ["doc_id"])
+    leaves = leaves.unionByName(leaf(early, zero, F.col("seq") - 1 - F.col("__has").cast("long")))
+    first = last.select(
+        "doc_id", zero.alias("node_id"), F.lit(None).cast("long").alias("parent_id"), F.lit(0).alias("level"), zero.alias("seq"), zero.alias("ordinal"),
+        none.alias("entry"), none.alias("value"), F.lit(True).alias("is_structural"), F.coalesce(F.col("__top") - 1, F.col("__last")).alias("subtree_end"),
     )
-    one = F.lit(1).cast("long")
-    added = tops.where("not __has").select(
-        "doc_id", one.alias("node_id"), zero.alias("parent_id"), F.lit(1).alias("level"), one.alias("seq"),
+    added = last.where("not __has").select(
+        "doc_id", one.alias("node_id"), zero.alias("parent_id"), F.lit(1).alias("level"), one.alias("seq"), zero.alias("ordinal"),
         F.lit(depth_key).alias("entry"), F.lit("1").alias("value"), F.lit(False).alias("is_structural"), one.alias("subtree_end"),
     )
-    nodes = structural.unionByName(leaves).unionByName(first).unionByName(added)
-    return ordered_scan(nodes, ["doc_id", "parent_id"], ["seq"], index="ordinal", hot=hot).select(*NODE)
+    return structural.unionByName(leaves).unionByName(first).unionByName(added).select(*NODE)
 
 
 def _is_onset(time_word: bool):
@@ -169,37 +148,46 @@ def node_onsets(nodes: DataFrame, hot=AUTO) -> DataFrame:
     leaf = nodes.where(~F.col("is_structural") & _is_onset(True) & (F.col("value") != ""))
     own = leaf.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.min_by("value", "seq").try_cast("double").alias("__v"))
     own = own.select("doc_id", "node_id", F.when(F.col("__v") != 0, F.col("__v")).alias("__own"))
-    rows = nodes.where("is_structural").join(own, ["doc_id", "node_id"], "left")
+    rows = attach(nodes.where("is_structural"), own, ["doc_id", "node_id"])
     hit = F.when(F.col("__own").isNotNull(), F.struct("seq", F.col("__own").alias("onset")))
     scan = ordered_scan(rows, ["doc_id"], ["seq"], bfill={"__nx": hit}, hot=hot)
     below = F.when(F.col("__nx.seq") <= F.col("subtree_end"), F.col("__nx.onset"))
     return scan.withColumn("onset", F.coalesce("__own", below)).drop("__own", "__nx")
 
 
-def renumber(nodes: DataFrame, deepest: int, hot=AUTO) -> DataFrame:
-    """Pre-order numbers and subtree ends from parents and ordinals."""
-    up = nodes.where("is_structural").select(
-        "doc_id", F.col("node_id").alias("__pid"), F.col("parent_id").alias("__pp"), F.col("ordinal").alias("__po")
-    )
-    rows = nodes.withColumn("__path", F.array("ordinal")).withColumn("__next", F.col("parent_id"))
-    for _ in range(deepest + 1):
-        # one join per level of the hierarchy, whatever its width
-        step = up.withColumnRenamed("__pid", "__next")
-        rows = rows.join(step, ["doc_id", "__next"], "left").withColumn(
-            "__path", F.when(F.col("__po").isNotNull(), F.concat(F.array("__po"), F.col("__path"))).otherwise(F.col("__path"))
+def renumber(inner: DataFrame, leaves: DataFrame, deepest: int, hot=AUTO) -> DataFrame:
+    """The node table of structural nodes with their parents and order among their siblings (``__k``), leaves first below each.
+
+    Each structural node's path of sibling numbers grows by its ancestor's, twice as far at each join, so joins grow
+    with the logarithm of the depth.  In the order of paths a node's number is the running sum of what comes before,
+    its leaves counted; leaves are numbered below their parent and join once.
+    """
+    leaves = ordered_scan(leaves, ["doc_id", "parent_id"], ["seq"], index="ordinal", hot=hot)
+    counts = leaves.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.count(F.lit(1)).alias("__leaves"))
+    inner = materialise(attach(inner, counts, ["doc_id", "node_id"]).na.fill(0, ["__leaves"]), "inner")
+    ways = inner.select("doc_id", "node_id", F.col("parent_id").alias("__up"), F.array("__k").alias("__path"))
+    reach = 1
+    while reach <= deepest:
+        above = ways.select("doc_id", F.col("node_id").alias("__up"), F.col("__up").alias("__next"), F.col("__path").alias("__more"))
+        longer = attach(ways.where("__up is not null"), above, ["doc_id", "__up"], "inner").select(
+            "doc_id", "node_id", F.col("__next").alias("__up"), F.concat("__more", "__path").alias("__path")
         )
-        rows = rows.drop("__next").withColumnRenamed("__pp", "__next").drop("__po")
-    rows = rows.drop("__next", "seq", "subtree_end").withColumn("__p0", F.col("__path")[0]).withColumn("__depth", F.size("__path"))
-    scan = ordered_scan(rows, ["doc_id"], ["__p0", "__path"], index="seq", hot=hot)
-    scan = ordered_scan(
-        scan, ["doc_id"], ["seq"],
-        bfill={f"__nx{d}": F.when(F.col("__depth") <= d, F.col("seq")) for d in range(1, deepest + 3)}, hot=hot,
-    )
-    nxt = F.lit(None).cast("long")
-    for d in range(1, deepest + 3):
-        nxt = F.when(F.col("__depth") == d, F.col(f"__nx{d}")).otherwise(nxt)
-    last = rows.groupBy("doc_id").agg((F.count(F.lit(1)) - 1).alias("__last"))
-    return attach(scan, last, ["doc_id"], "inner").withColumn("subtree_end", F.coalesce(nxt - 1, F.col("__last"))).select(*NODE)
+        ways = longer.unionByName(ways.where("__up is null"))
+        reach *= 2
+        if 2 * reach <= deepest:  # the last two rounds repeat a small join instead
+            ways = materialise(ways, "paths")
+    rows = attach(inner, ways.select("doc_id", "node_id", "__path"), ["doc_id", "node_id"])
+    rows = ordered_scan(rows, ["doc_id"], ["__path"], cumsum={"__upto": F.col("__leaves") + 1}, hot=hot)
+    seq = F.col("__upto") - F.col("__leaves") - 1
+    rows = materialise(rows.withColumn("seq", seq).drop("__path"), "numbered")
+    ends = _nested(rows.select("doc_id", F.col("seq").alias("node"), F.col("level").cast("int").alias("depth")), hot, parents=False)
+    last = rows.groupBy("doc_id").agg((F.max("__upto") - 1).alias("__last"))
+    place = rows.select("doc_id", F.col("node_id").alias("parent_id"), F.col("seq").alias("__ps"), F.col("__leaves").alias("__pl"))
+    out = attach(attach(rows, ends.select("doc_id", F.col("node").alias("seq"), "end"), ["doc_id", "seq"]), last, ["doc_id"])
+    out = attach(out, place.drop("__ps"), ["doc_id", "parent_id"])
+    out = out.withColumns({"ordinal": F.col("__k") + F.coalesce("__pl", F.lit(0)), "subtree_end": F.coalesce(F.col("end") - 1, F.col("__last"))})
+    low = attach(leaves.drop("seq"), place.drop("__pl"), ["doc_id", "parent_id"]).withColumn("seq", F.col("__ps") + 1 + F.col("ordinal"))
+    return out.select(*NODE).unionByName(low.withColumn("subtree_end", F.col("seq")).select(*NODE))
 
 
 @operator("reparent_by_onset")
@@ -216,7 +204,7 @@ def reparent_by_onset(nodes: DataFrame, deepest: int | None = None, hot=AUTO) ->
     on = node_onsets(nodes, hot)
     flags = on.groupBy("doc_id", "level").agg(F.count_if(F.col("onset").isNull()).alias("__bad"))
     parents = flags.select("doc_id", (F.col("level") + 1).alias("level"), F.col("__bad").alias("__pbad"))
-    rows = on.join(flags, ["doc_id", "level"]).join(parents, ["doc_id", "level"], "left")
+    rows = attach(attach(on, flags, ["doc_id", "level"]), parents, ["doc_id", "level"])
     move = (F.col("level") >= 2) & (F.col("__bad") == 0) & (F.col("__pbad") == 0)
     rows = materialise(rows.withColumn("__move", F.coalesce(move, F.lit(False))), "onsets")
     on = rows.select("doc_id", "node_id", "level", "seq", "onset")
@@ -230,10 +218,9 @@ def reparent_by_onset(nodes: DataFrame, deepest: int | None = None, hot=AUTO) ->
     sort_key = F.when(F.col("__bad") == 0, F.col("onset"))
     cols = ["doc_id", "node_id", "parent_id", "level", "seq", "entry", "value", "is_structural"]
     placed = moved.select(*cols, sort_key.alias("__k")).unionByName(stay.select(*cols, sort_key.alias("__k")))
-    leaves = nodes.where(~F.col("is_structural")).select(*cols, F.lit(None).cast("double").alias("__k"))
-    both = leaves.unionByName(placed).withColumn("__s", F.col("is_structural").cast("int"))
-    ordered = ordered_scan(both, ["doc_id", "parent_id"], ["__s", "__k", "seq"], index="ordinal", hot=hot)
-    return renumber(materialise(ordered.drop("__s", "__k"), "placed"), deepest, hot)
+    inner = ordered_scan(placed, ["doc_id", "parent_id"], ["__k", "seq"], index="__rank", hot=hot)
+    inner = inner.drop("__k", "seq").withColumnRenamed("__rank", "__k")
+    return renumber(inner, nodes.where(~F.col("is_structural")).select(*cols), deepest, hot)
 
 
 @operator("node_property")
@@ -251,7 +238,7 @@ def node_property(nodes: DataFrame, keys: Sequence[str] | str, hot=AUTO) -> Data
 def structural_children(nodes: DataFrame, of: DataFrame) -> DataFrame:
     """Structural nodes whose parent is among the given nodes."""
     par = of.select("doc_id", F.col("node_id").alias("parent_id")).distinct()
-    return nodes.where("is_structural").join(par, ["doc_id", "parent_id"], "left_semi").select(*NODE)
+    return attach(nodes.where("is_structural"), par, ["doc_id", "parent_id"], "left_semi").select(*NODE)
 
 
 @operator("select_branches")
@@ -262,7 +249,7 @@ def select_branches(nodes: DataFrame, selectors: Sequence[str], hot=AUTO) -> Dat
     for i, text in enumerate(selectors):
         key, glob = (s.strip() for s in text.split(":", 1))
         props = node_property(nodes, key, hot).where(F.col(f"prop_{key}").rlike(glob_to_regex(glob)))
-        current = current.join(props.select("doc_id", "node_id"), ["doc_id", "node_id"], "left_semi")
+        current = attach(current, props.select("doc_id", "node_id"), ["doc_id", "node_id"], "left_semi")
         if i < len(selectors) - 1:
             current = structural_children(nodes, current)
     return current
@@ -316,8 +303,8 @@ def questionnaire(
             F.when(F.coalesce("value", F.lit("")).rlike(glob_to_regex(p)), F.lit(p.replace("*", "").upper())) for p in conditions
         ]))
         par = named.select("doc_id", F.col("parent_id").alias("node_id"), F.explode(tags).alias("condition")).distinct()
-        par = par.join(picked.select("doc_id", "node_id"), ["doc_id", "node_id"], "left_semi")
-        target = props.join(par.withColumnRenamed("node_id", "parent_id"), ["doc_id", "parent_id"])
+        par = attach(par, picked.select("doc_id", "node_id"), ["doc_id", "node_id"], "left_semi")
+        target = attach(props, par.withColumnRenamed("node_id", "parent_id"), ["doc_id", "parent_id"], "inner")
     else:
         target = below(props, picked, hot) if selectors else props
         if x and not position:

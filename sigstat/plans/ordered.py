@@ -49,17 +49,21 @@ def ordered_scan(
     ffill: Mapping[str, str | Column] | None = None,
     bfill: Mapping[str, str | Column] | None = None,
     cummin_back: Mapping[str, str | Column] | None = None,
+    prior: Mapping[str, str | Column] | None = None,
+    cummin: Mapping[str, str | Column] | None = None,
     hot: HotKeys | None | str = AUTO,
 ) -> DataFrame:
     """Add ordered columns: ``index`` is 0-based, ``size`` the rows of the key; the mappings are new name -> source.
 
     ``ffill`` is the last non-null value up to and including the row, ``bfill``
     the next non-null value after it (taken in reverse order, so that it too is
-    one running pass).  ``cummin_back`` is the minimum from the row to the end.
+    one running pass).  ``cummin_back`` is the minimum from the row to the end, ``cummin`` that up to the row, ``prior``
+    the last non-null value before the row.
     """
     keys, order = list(keys), list(order)
     lag, lead, cumsum = dict(lag or {}), dict(lead or {}), dict(cumsum or {})
     ffill, bfill, cummin_back = dict(ffill or {}), dict(bfill or {}), dict(cummin_back or {})
+    prior, cummin = dict(prior or {}), dict(cummin or {})
     hot = resolve_hot(df, keys, order, hot)
 
     def as_col(c):
@@ -72,6 +76,8 @@ def ordered_scan(
         run = w.rowsBetween(W.unboundedPreceding, 0)
         added |= {n: F.sum(as_col(c)).over(run) for n, c in cumsum.items()}
         added |= {n: F.last(as_col(c), True).over(run) for n, c in ffill.items()}
+        added |= {n: F.last(as_col(c), True).over(w.rowsBetween(W.unboundedPreceding, -1)) for n, c in prior.items()}
+        added |= {n: F.min(as_col(c)).over(run) for n, c in cummin.items()}
         back = W.partitionBy(*keys).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, -1)
         added |= {n: F.last(as_col(c), True).over(back) for n, c in bfill.items()}
         tail = W.partitionBy(*keys).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, 0)
@@ -92,6 +98,8 @@ def ordered_scan(
     local |= {f"__lead_{n}": F.lead(as_col(c)).over(w) for n, c in lead.items()}
     local |= {f"__sum_{n}": F.sum(as_col(c)).over(run) for n, c in cumsum.items()}
     local |= {f"__ff_{n}": F.last(as_col(c), True).over(run) for n, c in ffill.items()}
+    local |= {f"__ff_{n}": F.last(as_col(c), True).over(w.rowsBetween(W.unboundedPreceding, -1)) for n, c in prior.items()}
+    local |= {f"__mf_{n}": F.min(as_col(c)).over(run) for n, c in cummin.items()}
     back = W.partitionBy(*group).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, -1)
     local |= {f"__bf_{n}": F.last(as_col(c), True).over(back) for n, c in bfill.items()}
     tail = W.partitionBy(*group).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, 0)
@@ -102,9 +110,9 @@ def ordered_scan(
     aggs += [F.max_by(F.struct(as_col(c).alias("v")), by).alias(f"__last_{n}") for n, c in lag.items()]
     aggs += [F.min_by(F.struct(as_col(c).alias("v")), by).alias(f"__first_{n}") for n, c in lead.items()]
     aggs += [F.sum(as_col(c)).alias(f"__tot_{n}") for n, c in cumsum.items()]
-    aggs += [F.max_by(as_col(c), F.when(as_col(c).isNotNull(), by)).alias(f"__end_{n}") for n, c in ffill.items()]
+    aggs += [F.max_by(as_col(c), F.when(as_col(c).isNotNull(), by)).alias(f"__end_{n}") for n, c in [*ffill.items(), *prior.items()]]
     aggs += [F.min_by(as_col(c), F.when(as_col(c).isNotNull(), by)).alias(f"__beg_{n}") for n, c in bfill.items()]
-    aggs += [F.min(as_col(c)).alias(f"__low_{n}") for n, c in cummin_back.items()]
+    aggs += [F.min(as_col(c)).alias(f"__low_{n}") for n, c in [*cummin_back.items(), *cummin.items()]]
     wk = W.partitionBy(*keys).orderBy(BLOCK)
     after = W.partitionBy(*keys).orderBy(F.desc(BLOCK)).rowsBetween(W.unboundedPreceding, -1)
     before = wk.rowsBetween(W.unboundedPreceding, -1)
@@ -116,9 +124,10 @@ def ordered_scan(
         *[F.lag(f"__last_{n}").over(wk)["v"].alias(f"__cl_{n}") for n in lag],
         *[F.lead(f"__first_{n}").over(wk)["v"].alias(f"__cf_{n}") for n in lead],
         *[F.sum(f"__tot_{n}").over(before).alias(f"__cs_{n}") for n in cumsum],
-        *[F.last(f"__end_{n}", True).over(before).alias(f"__cff_{n}") for n in ffill],
+        *[F.last(f"__end_{n}", True).over(before).alias(f"__cff_{n}") for n in [*ffill, *prior]],
         *[F.last(f"__beg_{n}", True).over(after).alias(f"__cbf_{n}") for n in bfill],
         *[F.min(f"__low_{n}").over(after).alias(f"__cmb_{n}") for n in cummin_back],
+        *[F.min(f"__low_{n}").over(before).alias(f"__cmf_{n}") for n in cummin],
     )
     main = blocked.withColumns(local)
     cond = F.lit(True)
@@ -138,7 +147,8 @@ def ordered_scan(
         )
         for n in cumsum
     }
-    final |= {n: F.coalesce(f"__ff_{n}", f"__cff_{n}") for n in ffill}
+    final |= {n: F.coalesce(f"__ff_{n}", f"__cff_{n}") for n in [*ffill, *prior]}
+    final |= {n: F.least(f"__mf_{n}", f"__cmf_{n}") for n in cummin}
     final |= {n: F.coalesce(f"__bf_{n}", f"__cbf_{n}") for n in bfill}
     final |= {n: F.least(f"__mb_{n}", f"__cmb_{n}") for n in cummin_back}
     if index:

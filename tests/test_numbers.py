@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -284,6 +285,78 @@ def test_tree_with_a_jump(spark):
     assert entries["Title"]["parent_id"] == 0
 
 
+def stacked(levels, leaves):
+    """Nodes of one document by an explicit stack: (level, entry, ordinal, parent's number, last number below) by number."""
+    root, first = {"kids": []}, {"kids": [], "level": 0}
+    root["kids"].append(first)
+    stack, was, lost = [root, first], None, set()
+    for k, (level, own) in enumerate(zip(levels, leaves)):
+        if level is not None:
+            node = {"kids": [{"entry": f"L{level}"}]}
+            if was is None or level == was + 1:
+                stack[-1]["kids"].append(node)
+                stack.append(node)
+            elif level <= was:
+                down = was - level
+                while down and len(stack) > 2:
+                    stack.pop()
+                    down -= 1
+                stack.pop()
+                stack[-1]["kids"].append(node)
+                stack.append(node)
+            was = level
+        stack[-1]["kids"] += [{"entry": x} for x in own]
+    out, number = {}, 0
+    if not any(k.get("entry", "").startswith("L") for k in first["kids"]):
+        first["kids"].insert(0, {"entry": "L1"})
+        shift = 0
+    else:
+        shift = 1
+
+    def walk(node, depth, parent, ordinal):
+        nonlocal number
+        own = number
+        number += 1
+        if own == 0:
+            number += shift
+        for k, kid in enumerate(node.get("kids", [])):
+            walk(kid, depth + 1, own, k)
+        out[own] = (depth, node.get("entry"), ordinal, parent, number - 1)
+
+    for k, top in enumerate(root["kids"]):
+        walk(top, 0, None, k)
+    return out
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_trees_by_a_stack(spark, hot, request):
+    if hot:
+        request.getfixturevalue("small_groups")
+    draw, docs, rows = random.Random(5), {}, []
+    for doc in [*range(12), None]:
+        levels, leaves, at = [None] if draw.random() < 0.5 else [], [], 0
+        for _ in range(draw.randint(0, 90)):
+            at = max(0, at + draw.choice([1, 1, 1, 1, 0, -1, -2, -5, 2, 4]))
+            levels.append(at)
+        leaves = [[f"x{draw.randint(0, 9)}" for _ in range(draw.randint(0, 3))] for _ in levels]
+        docs[doc], n = (levels, leaves), 0
+        for level, own in zip(levels, leaves):
+            for entry, value in ([("Level", str(level))] if level is not None else []) + [(x, "v") for x in own]:
+                rows.append((doc, n, 0, entry, value))
+                n += 1
+    frame = spark.createDataFrame(rows, "doc_id int, line_no int, pos int, key string, value string").repartition(3)
+    tree = build_tree(frame, "Level")
+    plan = tree._jdf.queryExecution().toString()
+    assert "InPandas" not in plan
+    got = {}
+    for r in tree.collect():
+        entry = r["entry"] if r["entry"] != "Level" else f"L{r['value']}"
+        got.setdefault(r["doc_id"], {})[r["seq"]] = (r["level"], entry, r["ordinal"], r["parent_id"], r["subtree_end"])
+    for doc, (levels, leaves) in docs.items():
+        if any(x is not None for x in levels) or any(leaves):
+            assert got[doc] == stacked(levels, leaves), doc
+
+
 def test_guards(spark):
     df = spark.createDataFrame([(1, float("nan")), (2, 1.0)], "k int, x double")
     with pytest.raises(ValueError, match="null or NaN"):
