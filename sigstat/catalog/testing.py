@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.inference import (
     anova_oneway, correlation_matrix, effect_size, fdr_bh, kruskal, mann_whitney, significance_stars, ttest, wilcoxon,
 )
-from ..operators.resample import bootstrap_ci
+from ..operators.resample import GOLDEN, MIX, bootstrap_ci
 from .base import means_sql, query, rounded, rsql, table, trials
 
 AB = "l_linestatus"
@@ -123,6 +123,39 @@ for _m in ("percentile", "bca", "normal"):
     query(f"bootstrap_ci_{_m}", rsql(f"WITH {means_sql()} SELECT condition, channel AS variable, count(*) AS n, avg(value) AS mean, true AS inside, true AS near FROM obs WHERE channel <> 'discount' GROUP BY ALL", "mean"))(_boot(_m))
 
 
+_MOD, _GOLDEN, (_S1, _F1), (_S2, _F2) = 1 << 64, GOLDEN, *MIX
+
+
+def draws_sql(obs: str, group: list[str], n_boot: int) -> str:
+    """r: every draw of every resample of the groups of ``obs`` (value, epoch_id), by the operator's own seeded numbers."""
+    by = ", ".join(group)
+    return f"""u AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY epoch_id) - 1 AS k FROM {obs}),
+g AS (SELECT {by}, count(*) AS n, avg(value) AS mean, ('0x' || substr(md5({" || '|' || ".join(group)} || '|42'), 1, 15))::UBIGINT AS seed FROM u GROUP BY {by}),
+z0 AS (SELECT {by}, n, mean, b, ((seed::UHUGEINT + ((b * n + j + 1)::UHUGEINT * {_GOLDEN}) % {_MOD}) % {_MOD})::UBIGINT AS z FROM g, range({n_boot}) AS rb(b), LATERAL (SELECT unnest(range(g.n)) AS j)),
+z1 AS (SELECT * REPLACE (((xor(z, z >> {_S1})::UHUGEINT * {_F1}) % {_MOD})::UBIGINT AS z) FROM z0),
+z2 AS (SELECT * REPLACE (((xor(z, z >> {_S2})::UHUGEINT * {_F2}) % {_MOD})::UBIGINT AS z) FROM z1),
+r AS (SELECT z2.*, u.value FROM z2 JOIN u ON {" AND ".join(f"u.{c} = z2.{c}" for c in group)} AND u.k = (xor(z, z >> 31) % n)::BIGINT)"""
+
+
+@query("bootstrap_ci_limits", rsql(f"""WITH {means_sql()}, wanted AS (SELECT condition, channel AS variable, epoch_id, value FROM obs WHERE channel <> 'discount'),
+{draws_sql('wanted', ['condition', 'variable'], 200)}, m AS (SELECT condition, variable, n, mean, b, avg(value) AS boot FROM r GROUP BY ALL)
+SELECT condition, variable, 'percentile' AS method, n, quantile_cont(boot, 0.025) AS ci_lower, quantile_cont(boot, 0.975) AS ci_upper FROM m GROUP BY ALL
+UNION ALL SELECT condition, variable, 'normal', n, mean - 1.959963984540054 * stddev_samp(boot), mean + 1.959963984540054 * stddev_samp(boot) FROM m GROUP BY condition, variable, n, mean""", "ci_lower, ci_upper", 3))
+def boot_limits(spark, folder):
+    """The limits themselves, from the same seeded numbers."""
+    df = trials(spark, folder).select("condition", "epoch_id", "quantity", "price")
+    out = [bootstrap_ci(df, ["condition"], ["epoch_id"], n_boot=200, method=m).withColumn("method", F.lit(m)) for m in ("percentile", "normal")]
+    return rounded(out[0].unionByName(out[1]).select("condition", "variable", "method", "n", "ci_lower", "ci_upper"), 3)
+
+
+@query("effect_size_limits", rsql(f"""WITH {means_sql(AB)}, {draws_sql('obs', ['channel', 'condition'], 200)},
+m AS (SELECT channel, b, avg(value) FILTER (condition = 'F') AS ma, avg(value) FILTER (condition = 'O') AS mb, var_samp(value) FILTER (condition = 'F') AS va, var_samp(value) FILTER (condition = 'O') AS vb FROM r GROUP BY ALL),
+d AS (SELECT channel, (ma - mb) / sqrt((va + vb) / 2) AS d FROM m)
+SELECT channel, quantile_cont(d, 0.025) AS ci_low, quantile_cont(d, 0.975) AS ci_high FROM d GROUP BY channel""", "ci_low, ci_high", 4))
+def effect_limits(spark, folder):
+    return rounded(effect_size(trials(spark, folder, AB), n_boot=200).select("channel", "ci_low", "ci_high"), 4)
+
+
 _COLS = ["l_quantity", "l_extendedprice", "l_discount"]
 
 

@@ -1,9 +1,10 @@
 """Bootstrap resampling and confidence intervals.
 
-Units of a group are hashed to blocks of bounded size.  A group of one block is
-resampled with replacement exactly; larger groups use independent Poisson(1)
-weights per unit, whose sums add up over blocks.  Streams are seeded by group and
-block, units are sorted, so a repeated task draws the same numbers.
+A group of n units is resampled by n draws with replacement, whatever its size.  Units are dealt to blocks by the
+leading bits of their hash; how many of a resample's draws fall on a block is settled by halving: at each prefix of
+those bits a binomial number, seeded by group and prefix, goes to the lower half.  Every block walks from the whole
+group down to itself and so agrees with all others without an exchange: block counts are multinomial and add up to n.
+Inside a block, draws are numbers of a counter-based generator, so a repeated task draws the same ones.
 """
 
 from __future__ import annotations
@@ -23,6 +24,29 @@ from ..registry import operator
 
 BLOCK_UNITS = 4096
 _CHUNK = 4_000_000
+# fixed values: increment and factors of the splitmix64 generator
+GOLDEN, MIX = 0x9E3779B97F4A7C15, ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))
+
+
+def numbers(seed: int, begin: int, end: int) -> np.ndarray:
+    """64-bit numbers begin .. end - 1 of the stream of a seed."""
+    z = np.arange(begin + 1, end + 1, dtype=np.uint64) * np.uint64(GOLDEN) + np.uint64(seed % (1 << 64))
+    for shift, factor in MIX:
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    return z ^ (z >> np.uint64(31))
+
+
+def block_draws(n_boot: int, seed: int, leaf: int, sizes: Sequence[int]) -> np.ndarray:
+    """Draws of each resample that fall on a block; ``sizes`` are the units below each prefix of its number."""
+    depth = len(sizes) - 1
+    draws = np.full(n_boot, sizes[0], dtype=np.int64)
+    for k in range(depth):
+        high = (leaf >> (depth - k - 1)) & 1
+        low = sizes[k] - sizes[k + 1] if high else sizes[k + 1]
+        rng = np.random.default_rng([seed, k, leaf >> (depth - k)])
+        lower = rng.binomial(draws, low / sizes[k])
+        draws = draws - lower if high else lower
+    return draws
 
 
 def resample(
@@ -34,48 +58,67 @@ def resample(
     seed: int = 42,
     block_units: int = BLOCK_UNITS,
 ) -> DataFrame:
-    """Per group: ``n``, ``mean``, ``skew`` and arrays over the draws of sum w, w x and w x^2.
+    """Per group: ``n``, ``mean``, ``skew`` and arrays over the resamples of sum w, w x and w x^2.
 
-    x is centred on the group mean.  ``obs`` has one row per unit.
+    x is centred on the group mean.  ``obs`` has one row per unit.  Blocks have about ``block_units`` units.
     """
     group, unit = list(group), list(unit)
-    data = obs.select(*group, F.xxhash64(*unit).alias("__u"), F.col(value).cast("double").alias("__x")).where("__x is not null")
+    data = obs.select(*group, *unit, F.xxhash64(*unit).alias("__u"), F.col(value).cast("double").alias("__x")).where("__x is not null")
     stats = data.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"), F.avg("__x").alias("mean"), F.skewness("__x").alias("skew")
     )
+    most = stats.agg(F.max("n")).first()[0] or 0
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(g).cast("string"), F.lit("")) for g in group], F.lit(str(seed))))
+    stats = stats.withColumns({
+        "__depth": F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / block_units))).cast("int"),
+        "__seed": F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"),
+    })
     rows = attach(data, stats, group, "inner")
-    blocks = F.ceil(F.col("n") / block_units)
-    rows = rows.withColumn("__blocks", blocks).withColumn("__b", F.pmod(F.col("__u"), F.col("__blocks")))
-    rows = rows.withColumn("__seed", F.xxhash64(*group, F.col("__b"), F.lit(seed)))
+    rows = rows.withColumn("__leaf", F.expr("case when __depth = 0 then 0 else shiftrightunsigned(__u, 64 - __depth) end").cast("long"))
+    if most <= block_units:
+        rows = rows.withColumn("__sizes", F.array("n"))
+    else:
+        leaves = rows.groupBy(*group, "__leaf", "__depth").agg(F.count(F.lit(1)).alias("__n"))
+        # a row for each block and prefix: blocks times their logarithm
+        up = leaves.withColumn("__k", F.explode(F.expr("sequence(0, __depth)"))).withColumn("__prefix", F.expr("shiftright(__leaf, __depth - __k)"))
+        below = up.groupBy(*group, "__k", "__prefix").agg(F.sum("__n").alias("__below"))
+        ways = attach(up, below, [*group, "__k", "__prefix"], "inner").groupBy(*group, "__leaf").agg(
+            F.sort_array(F.collect_list(F.struct("__k", "__below"))).alias("__way")
+        )
+        rows = attach(rows, ways.select(*group, "__leaf", field("__way", "__below").alias("__sizes")), [*group, "__leaf"], "inner")
 
     def draw(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["__u", "__x"], kind="stable")
+        pdf = pdf.sort_values([*unit, "__x"], kind="stable", na_position="first")
         first = pdf.iloc[0]
         x = pdf["__x"].to_numpy() - first["mean"]
-        m = len(x)
-        rng = np.random.default_rng(int(first["__seed"]) & 0xFFFFFFFFFFFFFFFF)
-        sw, swx, swxx = (np.empty(n_boot) for _ in range(3))
-        step = max(1, _CHUNK // m)
-        for a in range(0, n_boot, step):
-            b = min(n_boot, a + step)
-            if first["__blocks"] == 1:
-                picked = x[rng.integers(0, m, size=(b - a, m))]
-                sw[a:b], swx[a:b], swxx[a:b] = m, picked.sum(axis=1), (picked**2).sum(axis=1)
-            else:
-                w = rng.poisson(1.0, size=(b - a, m))
-                sw[a:b], swx[a:b], swxx[a:b] = w.sum(axis=1), w @ x, w @ (x * x)
-        out = {k: [first[k]] for k in [*group, "n", "mean", "skew", "__blocks"]}
-        return pd.DataFrame({**out, "sw": [sw], "swx": [swx], "swxx": [swxx]})
+        leaf, own = int(first["__leaf"]), int(first["__seed"])
+        draws = block_draws(n_boot, own, leaf, [int(v) for v in first["__sizes"]])
+        ends = np.cumsum(draws)
+        swx, swxx = np.zeros(n_boot), np.zeros(n_boot)
+        a = 0
+        while a < n_boot:
+            begin = int(ends[a] - draws[a])
+            b = max(a + 1, int(np.searchsorted(ends, begin + _CHUNK, "right")))
+            picked = x[(numbers(own + leaf * MIX[0][1], begin, int(ends[b - 1])) % np.uint64(len(x))).astype(np.int64)]
+            some = a + np.flatnonzero(draws[a:b])
+            if len(some):
+                starts = ends[some] - draws[some] - begin
+                swx[some], swxx[some] = np.add.reduceat(picked, starts), np.add.reduceat(picked * picked, starts)
+            a = b
+        out = {k: [first[k]] for k in [*group, "n", "mean", "skew", "__depth"]}
+        return pd.DataFrame({**out, "sw": [draws.astype(float)], "swx": [swx], "swxx": [swxx]})
 
     fields = [rows.schema[g] for g in group]
     fields += [T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()), T.StructField("skew", T.DoubleType()),
-               T.StructField("__blocks", T.LongType())]
+               T.StructField("__depth", T.IntegerType())]
     fields += [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("sw", "swx", "swxx")]
-    drawn = rows.groupBy(*group, "__b").applyInPandas(draw, T.StructType(fields))
+    drawn = rows.groupBy(*group, "__leaf").applyInPandas(draw, T.StructType(fields))
 
     keep = [*group, "n", "mean", "skew"]
-    single = drawn.where("__blocks = 1").select(*keep, "sw", "swx", "swxx")
-    many = drawn.where("__blocks > 1").select(
+    if most <= block_units:
+        return drawn.select(*keep, "sw", "swx", "swxx")
+    single = drawn.where("__depth = 0").select(*keep, "sw", "swx", "swxx")
+    many = drawn.where("__depth > 0").select(
         *keep, F.posexplode(F.arrays_zip("sw", "swx", "swxx")).alias("__r", "__s")
     )
     many = many.groupBy(*group, "__r").agg(

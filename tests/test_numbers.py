@@ -17,7 +17,7 @@ from sigstat.operators.inference import _inversions, anova_oneway, correlation_m
 from sigstat.operators.mixed import mixed_model
 from sigstat.operators.models import contrasts, linreg_wide, ols_cell_means
 from sigstat.operators.reshape import bin_by_labels, pivot_long_to_wide
-from sigstat.operators.resample import bootstrap_ci, resample
+from sigstat.operators.resample import block_draws, bootstrap_ci, resample
 from sigstat.operators.segment import epoch_by_events, sliding_epochs
 from sigstat.operators.select import flatten_lists, reject_samples, resolve_selector, row_filter, strict_guard
 from sigstat.operators.summary import asymmetry, interval_metrics
@@ -229,6 +229,26 @@ def test_bootstrap(spark):
     assert r["ci_lower"] < r["mean"] < r["ci_upper"] and r["ci_upper"] - r["ci_lower"] == pytest.approx(3.92 * se, rel=0.1)
 
 
+def test_bootstrap_blocks(spark):
+    """Blocks agree on their draws without an exchange: each resample has exactly n, and every unit its even share."""
+    sizes = {0: 70, 1: 30, 2: 55, 3: 0, 4: 1, 5: 90, 6: 40, 7: 14}
+
+    def path(leaf):
+        return [sum(n for k, n in sizes.items() if k >> (3 - d) == leaf >> (3 - d)) for d in range(4)]
+
+    draws = {leaf: block_draws(4000, 7, leaf, path(leaf)) for leaf, n in sizes.items() if n}
+    assert (sum(draws.values()) == 300).all()
+    for leaf, d in draws.items():
+        p = sizes[leaf] / 300
+        assert d.mean() == pytest.approx(300 * p, abs=5 * math.sqrt(300 * p * (1 - p) / 4000))
+        assert d.var() == pytest.approx(300 * p * (1 - p), rel=0.15)
+    rows = [(g, i, float(i % 7)) for g, n in (("A", 500), ("B", 20), (None, 130)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, i int, v double")
+    for r in resample(df, ["g"], ["i"], "v", 50, block_units=32).collect():
+        assert r["sw"] == [float(r["n"])] * 50 and len(r["swx"]) == 50
+    assert resample(df, ["g"], ["i"], "v", 50, block_units=32).count() == 3
+
+
 def test_sliding_windows(spark):
     def epoch(n):
         return spark.range(n + 1).select(F.lit("p").alias("k"), F.lit("c").alias("condition"), F.lit("c_0").alias("epoch_id"), F.col("id").cast("double").alias("time"))
