@@ -137,15 +137,35 @@ def peaks(spark, folder):
     return rounded(detect_peaks(s, K, "level", 250.0, height=2.0, order=["seq"]))
 
 
-@query("detect_peaks_distance")
+def _apart(distance: int) -> str:
+    """kept: of the peaks ``c`` (k, i, h) those at least ``distance`` apart, one after the other from the highest."""
+    return f"""o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY h DESC, i DESC) AS place FROM c),
+st AS (SELECT k, 0::BIGINT AS place, []::BIGINT[] AS own FROM (SELECT DISTINCT k FROM o)
+  UNION ALL SELECT o.k, o.place, CASE WHEN len(list_filter(st.own, lambda x: abs(x - o.i) < {distance})) = 0 THEN list_append(st.own, o.i) ELSE st.own END
+  FROM st JOIN o ON o.k = st.k AND o.place = st.place + 1),
+kept AS (SELECT k, unnest(own) AS i FROM (SELECT k, arg_max(own, place) AS own FROM st GROUP BY k))"""
+
+
+@query("detect_peaks_distance", rsql(f"""
+WITH RECURSIVE src AS (SELECT user_id AS k, event_id AS o, value AS v, epoch_us(ts) / 1e6 AS time FROM events), {_RUNS.format(h=0).replace("AND v >= 0", "").replace("SELECT k, (i", "SELECT k, v, (i").replace("r AS", "r1 AS").replace("FROM r ", "FROM r1 ")},
+c AS (SELECT k, peak_sample::BIGINT AS i, v AS h FROM t), {_apart(5)}
+SELECT kept.k AS participant_id, 'value' AS channel, kept.i AS peak_sample, time, 1e0 AS sfreq FROM kept JOIN r1 ON r1.k = kept.k AND r1.i = kept.i""", "time"))
 def peaks_apart(spark, folder):
-    """No SQL twin: highest-first suppression is sequential; checked by brute force in the tests."""
-    return detect_peaks(signal(spark, folder), K, "value", 1.0, distance=5.0, order=["seq"])
-
-
-@query("detect_r_peaks")
+    return rounded(detect_peaks(signal(spark, folder), K, "value", 1.0, distance=5.0, order=["seq"]))
+
+
+@query("detect_r_peaks", rsql(f"""
+WITH RECURSIVE src AS (SELECT user_id AS k, row_number() OVER w - 1 AS i, value AS x, epoch_us(ts) / 1e6 AS time, coalesce((lead(value) OVER w - lag(value) OVER w) / 2, lead(value) OVER w - value, value - lag(value) OVER w) AS g
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+a AS (SELECT *, avg(abs(g)) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS s FROM src),
+b AS (SELECT *, s > 1.5 * avg(s) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS up FROM a),
+m AS (SELECT *, up AND NOT coalesce(lag(up) OVER (PARTITION BY k ORDER BY i), false) AS first FROM b),
+n AS (SELECT *, count(*) FILTER (first) OVER (PARTITION BY k ORDER BY i) AS beat FROM m),
+e AS (SELECT k, beat, count(*) AS len, arg_min(i, (-x, i)) AS i, max(x) AS h FROM n WHERE up GROUP BY k, beat),
+c AS (SELECT * FROM e QUALIFY len >= 0.4 * avg(len) OVER (PARTITION BY k)), {_apart(6)}
+SELECT kept.k AS participant_id, 'value' AS channel, kept.i AS peak_sample, time, 20e0 AS sfreq FROM kept JOIN src ON src.k = kept.k AND src.i = kept.i""", "time"))
 def r_peaks(spark, folder):
-    return detect_r_peaks(signal(spark, folder), K, "value", 20.0, order=["seq"])
+    return rounded(detect_r_peaks(signal(spark, folder), K, "value", 20.0, order=["seq"]))
 
 
 @query("plv")

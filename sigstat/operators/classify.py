@@ -101,7 +101,7 @@ def permute_labels(
     rows = rows.withColumn("__h", F.xxhash64(F.lit(seed), "perm", *ids))
     place = ordered_scan(rows.drop("__y"), key, [*ids], index="__k", hot=hot).drop("__h")
     label = ordered_scan(rows.select(*key, "__h", *[i for i in ids if i not in key], "__y"), key, ["__h", *ids], index="__k", hot=hot)
-    return place.join(label.select(*key, "__k", F.col("__y").alias(target)), [*key, "__k"]).drop("__k")
+    return attach(place, label.select(*key, "__k", F.col("__y").alias(target)), [*key, "__k"], "inner").drop("__k")
 
 
 @operator("permutation_p", inputs=("observed", "permuted"))

@@ -119,13 +119,14 @@ def align_events(pairs: DataFrame, triggers: DataFrame, keys: Sequence[str], str
     )).alias("__r")).select(*keys, "ordinal", "condition", "__r.*")
     lead = pairs.groupBy(*keys).agg(F.min_by("start_onset", "ordinal").alias("__ref"))
     wanted = need.select(*keys, "trigger").distinct()
-    rec = triggers.select(*keys, F.col("time").cast("double").alias("time"), trig.alias("trigger")).join(wanted, [*keys, "trigger"], "left_semi")
+    rec = triggers.select(*keys, F.col("time").cast("double").alias("time"), trig.alias("trigger"))
+    rec = attach(rec, wanted, [*keys, "trigger"], "left_semi")
     per = rec.groupBy(*keys, "trigger").agg(F.max("time").alias("__max"), F.min("time").alias("__min"))
     scale = attach(per, lead, keys, "inner").select(
         *keys, "trigger", "__min", F.when(F.col("__ref") / F.greatest("__max", F.lit(1.0)) > 100, 1000.0).otherwise(1.0).alias("__scale")
     )
     rec = attach(rec, scale.drop("__min"), [*keys, "trigger"], "inner").select(*keys, "trigger", (F.col("time") * F.col("__scale")).alias("time"))
-    starts = need.where("side = 0").join(scale, [*keys, "trigger"])
+    starts = attach(need.where("side = 0"), scale, [*keys, "trigger"], "inner")
     offset = starts.groupBy(*keys).agg(F.min_by(F.col("onset") - F.col("__min") * F.col("__scale"), "ordinal").alias("__off"))
     need = attach(need, offset, keys).withColumn("__want", F.col("onset") - F.coalesce("__off", F.lit(0.0)))
 
@@ -150,9 +151,9 @@ def align_events(pairs: DataFrame, triggers: DataFrame, keys: Sequence[str], str
 
 def _settle(near: DataFrame, rec: DataFrame, clash: DataFrame, unit: Sequence[str]) -> DataFrame:
     """Resolve the triggers whose onsets want the same time, in the order of the events."""
-    clear = near.join(clash, unit, "left_anti")
-    tangled = near.join(clash, unit, "left_semi").drop("__t")
-    pool = rec.join(clash, unit, "left_semi")
+    clear = attach(near, clash, unit, "left_anti")
+    tangled = attach(near, clash, unit, "left_semi").drop("__t")
+    pool = attach(rec, clash, unit, "left_semi")
     names = [f for f in tangled.schema.fields]
 
     def settle(want: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
@@ -177,7 +178,7 @@ def _place(found: DataFrame, need: DataFrame, rec: DataFrame, keys: Sequence[str
             F.min_by("onset", F.when(F.col("side") == 0, F.col("ordinal"))), F.min_by("onset", F.when(F.col("side") == 1, F.col("ordinal")))
         ).alias("__tree")
     )
-    anchors = rec.join(onsets, unit).select(*keys, "time", "trigger", "__tree")
+    anchors = attach(rec, onsets, unit, "inner").select(*keys, "time", "trigger", "__tree")
     placed = asof_join(lost, anchors, keys, "__want", "time", ["time", "trigger", "__tree"], "__lo", "__hi", hot)
     lo, hi = F.col("__lo"), F.col("__hi")
     nearest = F.when(lo.isNotNull() & (hi.isNull() | (w - lo["time"] <= hi["time"] - w)), lo).otherwise(hi)

@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 
 from ..functions.filters import butterworth, settling, zero_phase
 from ..plans.halo import BLK, CORE, halo_blocks
-from ..plans.ordered import AUTO, attach, once, ordered_scan
+from ..plans.ordered import AUTO, attach, largest_group, once, ordered_scan
 from ..registry import operator
+from ..session import materialise
 from .segment import indexed
 
 BLOCK = 65_536
@@ -106,20 +107,24 @@ def _maxima(df: DataFrame, keys: Sequence[str], signal: str, order: Sequence[str
     return runs.where(top).select(*keys, mid.alias("peak_sample"), F.col("__x").alias("__height"))
 
 
-def _keep_by_distance(pos: np.ndarray, height: np.ndarray, distance: int, open_left: bool, open_right: bool):
-    """Highest first, drop peaks nearer than ``distance`` to a kept one.
+def _keep_by_distance(pos: np.ndarray, height: np.ndarray, distance: int, open_left: bool, open_right: bool, fixed: np.ndarray | None = None):
+    """Highest first, drop peaks nearer than ``distance`` to a kept one; ``fixed`` ones are kept already.
 
     The second result tells which decisions do not depend on peaks beyond an open
     border of the block.
     """
     n = len(pos)
-    state = np.zeros(n, dtype=int)  # 0 open, 1 kept, -1 dropped
+    fixed = np.zeros(n, dtype=bool) if fixed is None else fixed
+    state = fixed.astype(int)  # 0 open, 1 kept, -1 dropped
     sure = np.ones(n, dtype=bool)
     if open_left:
         sure &= pos - pos[0] >= distance
     if open_right:
         sure &= pos[-1] - pos >= distance
+    sure |= fixed
     for i in np.lexsort((pos, height))[::-1]:
+        if fixed[i]:
+            continue
         a, b = np.searchsorted(pos, pos[i] - distance, "right"), np.searchsorted(pos, pos[i] + distance, "left")
         near = [j for j in range(a, b) if j != i and state[j] != 0]
         if any(state[j] == 1 and sure[j] for j in near):
@@ -131,35 +136,43 @@ def _keep_by_distance(pos: np.ndarray, height: np.ndarray, distance: int, open_l
     return state == 1, sure
 
 
-def suppress_near(peaks: DataFrame, keys: Sequence[str], distance: int, halo: int | None = None, hot=AUTO) -> DataFrame:
+def suppress_near(peaks: DataFrame, keys: Sequence[str], distance: int, halo: int | None = None, hot=AUTO, block: int | None = None) -> DataFrame:
     """Peaks at least ``distance`` samples apart, higher ones first.
 
-    Runs in blocks of the peak list with an overlap; a decision that could depend on
-    peaks beyond the overlap is found, and the pass is repeated with a larger overlap.
+    Runs in blocks of the peak list with a fixed overlap.  Decisions that could depend on peaks beyond it stay open:
+    they alone, with the peaks kept beside them, are numbered and cut anew in a further round of a written table.
+    The highest open peak of a series is settled in each round, and a whole block's dependencies at best.
     """
     keys = list(keys)
-    numbered = indexed(peaks, keys, ["peak_sample"], hot)
-    halo = halo or 4096
+    halo = max(halo or 4096, distance)
+    block = max(block or BLOCK, halo)
     names = [f.name for f in peaks.schema.fields]
-    schema = T.StructType([*peaks.schema.fields, T.StructField("__sure", T.BooleanType())])
+    flags = ("__keep", "__sure", "__fixed")
+    schema = T.StructType([*peaks.schema.fields, *(T.StructField(c, T.BooleanType()) for c in flags)])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__i", kind="stable")
+        keep, sure = _keep_by_distance(
+            pdf["peak_sample"].to_numpy(), pdf["__height"].to_numpy(), distance,
+            pdf["__i"].iloc[0] > 0, pdf["__i"].iloc[-1] < pdf["__n"].iloc[0] - 1, pdf["__fixed"].to_numpy(bool),
+        )
+        out = pdf.assign(__keep=keep, __sure=sure)
+        return out.loc[pdf[CORE].to_numpy() & ~pdf["__fixed"].to_numpy(bool) & (keep | ~sure), [*names, *flags]]
+
+    def settled(rows: DataFrame) -> DataFrame:
+        cut = halo_blocks(indexed(rows, keys, ["peak_sample"], hot), "__i", "__n", block, halo)
+        return cut.groupBy(*keys, BLK).applyInPandas(run, schema)
+
+    left, done = peaks.withColumn("__fixed", F.lit(False)), None
+    if largest_group(peaks, keys) <= block:  # a series of one block has no open border
+        return settled(left).select(*names)
     while True:
-        rows = halo_blocks(numbered, "__i", "__n", max(BLOCK, halo), halo)
-
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("__i", kind="stable")
-            keep, sure = _keep_by_distance(
-                pdf["peak_sample"].to_numpy(), pdf["__height"].to_numpy(), distance,
-                pdf["__i"].iloc[0] > 0, pdf["__i"].iloc[-1] < pdf["__n"].iloc[0] - 1,
-            )
-            out = pdf.assign(__sure=sure)
-            return out.loc[pdf[CORE].to_numpy() & (keep | ~sure), [*names, "__sure"]]
-
-        got = rows.groupBy(*keys, BLK).applyInPandas(run, schema)
-        largest = peaks.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        # a series of one block has no open border
-        if largest <= max(BLOCK, halo) or got.where(~F.col("__sure")).isEmpty():
-            return got.drop("__sure")
-        halo *= 8
+        got = materialise(settled(left), "peaks")
+        new = got.where("__sure").select(*names)
+        done = new if done is None else done.unionByName(new)
+        if got.where("not __sure").isEmpty():
+            return done
+        left = got.select(*names, F.col("__sure").alias("__fixed"))
 
 
 @operator("detect_peaks")
@@ -187,7 +200,7 @@ def detect_peaks(
     if distance is not None and int(distance * sfreq) > 1:
         peaks = suppress_near(peaks, keys, int(distance * sfreq), hot=hot)
     at = ordered_scan(df.select(*dict.fromkeys([*keys, *order, time])), keys, order, index="peak_sample", hot=hot)
-    return peaks.join(at.select(*keys, "peak_sample", F.col(time).cast("double").alias("time")), [*keys, "peak_sample"]).select(
+    return attach(peaks, at.select(*keys, "peak_sample", F.col(time).cast("double").alias("time")), [*keys, "peak_sample"], "inner").select(
         *keys, F.lit(signal).alias("channel"), "peak_sample", "time", F.lit(float(sfreq)).alias("sfreq")
     )
 

@@ -280,7 +280,7 @@ def fdr_bh(df: DataFrame, p_col: str = "p", by: Sequence[str] = (), out: str | N
     adj = ordered_scan(scaled, by, ["__p"], cummin_back={"__adj": "__q"}, hot=hot).select(
         *by, "__p", F.least(F.col("__adj"), F.lit(1.0)).alias("__adj")
     )
-    joined = df.withColumn("__p", F.col(p_col)).join(adj, [*by, "__p"], "left")
+    joined = attach(df.withColumn("__p", F.col(p_col)), adj, [*by, "__p"])
     name = out or p_col
     cols = [F.col("__adj").alias(c) if c == name else F.col(c) for c in df.columns]
     return joined.select(*cols, *([] if name in df.columns else [F.col("__adj").alias(name)]))

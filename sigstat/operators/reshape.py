@@ -75,7 +75,7 @@ def bin_by_labels(
             _bin("valence", "valence", val_thr, neutral_band), _bin("arousal", "arousal", aro_thr, neutral_band)
         ).alias("__bins"),
     )
-    out = left.join(bins, [*keys, "trial_id"], "inner").select(
+    out = attach(left, bins, [*keys, "trial_id"], "inner").select(
         *keys, F.explode("__bins").alias("condition"), F.col("trial_id").alias("epoch_id"), *values.values()
     )
     if strict and out.isEmpty():

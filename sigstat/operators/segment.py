@@ -35,7 +35,7 @@ def _scales(signal: DataFrame, events: DataFrame, keys: list[str], time: str) ->
     """Unit guess per key: (1, 1000), (1000, 1) or (1, 1) for sample and event times."""
     s = signal.groupBy(*keys).agg(F.max(time).alias("__smax"))
     e = events.groupBy(*keys).agg(F.greatest(F.max("start"), F.max("stop")).alias("__emax"))
-    both = s.join(e, keys, "inner")
+    both = attach(s, e, keys, "inner")
     hi, lo = F.col("__smax") * 10 < F.col("__emax"), F.col("__emax") * 10 < F.col("__smax")
     return both.select(
         *keys,

@@ -254,7 +254,7 @@ def apply_corrections(base: DataFrame, corrections: DataFrame, keys: Sequence[st
     """Corrected rows replace all rows of the same keys; other keys stay as they are."""
     keys = list(keys)
     named = corrections.select(*keys).distinct()
-    return base.join(named, keys, "left_anti").unionByName(corrections)
+    return attach(base, named, keys, "left_anti").unionByName(corrections)
 
 
 @operator("flatten_lists")
