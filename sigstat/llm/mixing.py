@@ -6,7 +6,8 @@ driver and goes back by broadcast. Fitting rakes the cells' token sums to the th
 times; targets of values without tokens are shared out among the others. A rest that has tokens but no positive target keeps
 its measured share, the named targets share what is left: no row is lost for an unknown or null value. A cell's weight is its fitted share over its own
 share; a row is kept with probability weight / largest weight, by a number drawn from its doc_id, so that the expected tokens
-of the sample have the fitted margins. Repeated rows share one draw; a row without tokens goes by its cell's probability, or
+of the sample have the fitted margins. Repeated rows share one draw, rows without an id draw by their source, language
+and text; a row without tokens goes by its cell's probability, or
 1 if no row of the cell has tokens. ``ROUNDS`` is fixed so that every engine makes the same steps.
 """
 
@@ -70,9 +71,9 @@ def aims(found: np.ndarray, targets: Mapping[str, Mapping[str, float]], names: M
     return out
 
 
-def draw(doc_id: Column, seed: int = 0) -> Column:
-    """A number from 0 to 1 that depends on the id and the seed alone."""
-    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+def draw(doc_id: Column, seed: int = 0, other: Column | None = None) -> Column:
+    """A number from 0 to 1 that depends on the id and the seed alone; for a null id, on ``other``."""
+    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("") if other is None else other), F.lit(f":{seed}")).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
@@ -104,9 +105,10 @@ def mixed(
     rate = np.where(own > 0, weight / (top if top > 0 else 1.0), 1.0)
     table = [(*(names[s][k] for s, k in zip(SIDES, at, strict=True)), float(weight[at]), float(rate[at])) for at in np.ndindex(*found.shape)]
     rates = spark.createDataFrame(table, ", ".join(f"{c} string" for c in cell) + ", mix_weight double, mix_probability double")
+    words = F.concat_ws("\x1f", *(F.coalesce(F.col(c), F.lit("")) for c in ("source", "lang", "text") if c in docs.columns))
     return (
         rows.join(F.broadcast(rates), list(cell), "left")
-        .withColumn("mix_kept", draw(F.col(doc_id), seed) < F.col("mix_probability"))
+        .withColumn("mix_kept", draw(F.col(doc_id), seed, F.concat(F.lit("~"), F.md5(words.cast("binary")))) < F.col("mix_probability"))
         .select(*(c for c in docs.columns if c not in added), *added)
     )
 
@@ -145,13 +147,18 @@ WITH RECURSIVE d AS (
     CASE WHEN lang IN ({_listed('lang')}) THEN lang ELSE '*' END AS lang,
     CASE WHEN length(regexp_replace(body, '[^0-9]', '', 'g')) > 0 THEN 'figures'
       WHEN length(regexp_replace(body, '[^\\n]', '', 'g')) * 250 > length(body) THEN 'lines' ELSE 'prose' END AS topic,
-    len(regexp_extract_all(body, '{WORD}')) AS tokens
+    len(regexp_extract_all(body, '{WORD}')) AS tokens, source AS raw_source, lang AS raw_lang, body
   FROM (SELECT *, coalesce(text, '') AS body FROM documents)
 ), c AS (
   SELECT source, lang, topic, sum(tokens)::DOUBLE / (SELECT sum(tokens) FROM d) AS own FROM d GROUP BY ALL HAVING sum(tokens) > 0
+), margin AS (
+  {" UNION ALL ".join(f"SELECT '{s}' AS side, {s} AS value, sum(own) AS m FROM c GROUP BY {s}" for s in SIDES)}
+), given AS (
+  SELECT side, value, t, m, sum(t) FILTER (value <> '*') OVER w AS named, sum(m) FILTER (value <> '*') OVER w AS others FROM {_aims()} JOIN margin USING (side, value) WINDOW w AS (PARTITION BY side)
+), rest AS (
+  SELECT side, value, CASE WHEN value = '*' AND t <= 0 AND named > 0 THEN named * m / others ELSE t END AS t FROM given
 ), seen AS (
-  SELECT side, value, t / sum(t) OVER (PARTITION BY side) AS t FROM {_aims()}
-  WHERE (side = 'source' AND value IN (SELECT source FROM c)) OR (side = 'lang' AND value IN (SELECT lang FROM c)) OR (side = 'topic' AND value IN (SELECT topic FROM c))
+  SELECT side, value, CASE WHEN sum(t) OVER w > 0 THEN t / sum(t) OVER w ELSE 1.0 / count(*) OVER w END AS t FROM rest WINDOW w AS (PARTITION BY side)
 ), r AS (
   SELECT c.source, c.lang, c.topic, own, 0 AS k, own AS w, x.t AS a_source, y.t AS a_lang, z.t AS a_topic FROM c
   JOIN seen x ON x.side = 'source' AND x.value = c.source JOIN seen y ON y.side = 'lang' AND y.value = c.lang
@@ -163,6 +170,6 @@ WITH RECURSIVE d AS (
 )
 SELECT doc_id, source AS mix_source, lang AS mix_lang, topic AS mix_topic, tokens AS mix_tokens, round(coalesce(weight, 1.0), 6) AS mix_weight,
   round(coalesce(rate, 1.0), 6) AS mix_probability,
-  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':0'), 1, 13))::BIGINT / 4503599627370496.0 < coalesce(rate, 1.0) AS mix_kept
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '~' || md5(coalesce(raw_source, '') || chr(31) || coalesce(raw_lang, '') || chr(31) || body)) || ':0'), 1, 13))::BIGINT / 4503599627370496.0 < coalesce(rate, 1.0) AS mix_kept
 FROM d LEFT JOIN f USING (source, lang, topic)
 """

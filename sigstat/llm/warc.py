@@ -75,7 +75,7 @@ def resolved(records: DataFrame) -> DataFrame:
     Digest and merged headers are null where the verdict is not "same" or "unvalidated".
     """
     none = F.from_json(F.lit("{}"), HEADERS)
-    rows = records.select("record_id", canonical(F.col("url")).alias("site"), F.col("ts").cast("long").alias("ts"), "status", F.coalesce("headers", none).alias("headers"), "body")
+    rows = records.select("record_id", canonical(F.col("url")).alias("site"), F.col("ts").cast("long").alias("ts"), "status", F.map_filter(F.coalesce("headers", none), lambda _, v: v.isNotNull()).alias("headers"), "body")
     known = F.col("site").isNotNull() & F.col("ts").isNotNull()
     full = rows.filter((F.col("status") == 200) & known)
     item = F.struct("record_id", "ts", "headers", F.sha2("body", 256).alias("digest"))
@@ -88,7 +88,7 @@ def resolved(records: DataFrame) -> DataFrame:
     said = verdict(F.col("headers"), response["headers"], response.isNotNull())
     good = said.isin("same", "unvalidated")
     update = F.map_filter("headers", lambda k, _: ~k.isin(HELD_BACK))
-    merged = F.map_concat(F.map_filter(response["headers"], lambda k, _: F.get(F.map_values(F.map_filter(update, lambda n, __: n == k)), F.lit(0)).isNull()), update)
+    merged = F.map_concat(F.map_filter(response["headers"], lambda k, _: ~F.map_contains_key(update, k)), update)
     return joined.select(
         "record_id", "site", "ts", said.alias("verdict"), response["record_id"].alias("target_id"), response["ts"].alias("target_ts"),
         F.when(good, response["digest"]).alias("digest"), F.when(good, merged).alias("headers"),

@@ -336,3 +336,37 @@ def test_conversations_empty(spark):
     gone = next(k for k in range(1000) if zlib.crc32(f"{k}:0".encode()) % 20 == 0)
     one = spark.createDataFrame([(gone, 0, "user", "Hi.")], empty.schema)
     assert [tuple(r) for r in conversations.repaired(one).collect()] == [(gone, 0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())]
+
+
+# --- odd input of older operators
+
+
+def test_null_header_values(spark):
+    from sigstat.llm import warc
+
+    kind = "record_id long, url string, ts long, status int, headers map<string,string>, body string"
+    rows = [
+        (1, "http://a/x", 10, 200, {"etag": "t", "last-modified": "d", "server": None}, "body"),
+        (2, "http://a/x", 20, 304, {"etag": None, "last-modified": "d", "server": "s"}, None),
+        (3, "http://a/x", 30, 304, {"etag": "t", "server": None}, None),
+    ]
+    got = {r["record_id"]: r for r in warc.resolved(spark.createDataFrame(rows, kind)).collect()}
+    assert got[2]["verdict"] == "same" and got[2]["headers"] == {"etag": "t", "last-modified": "d", "server": "s"}
+    assert got[3]["verdict"] == "same" and got[3]["headers"] == {"etag": "t", "last-modified": "d"}
+
+
+def test_mixing_without_ids(spark):
+    from sigstat.llm import mixing
+
+    rows = [(None if k % 3 else k, f"some words {k} of a text\n" if k % 2 else f"other words {k}", [None, "en", "de", "xx"][k % 4], f"src{k % 2}") for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    made = mixing.mixed(docs)
+    none = made.filter("doc_id IS NULL").collect()
+    share = np.mean([r.mix_kept for r in none])
+    assert share == pytest.approx(np.mean([r.mix_probability for r in none]), abs=0.08)
+    con = con_of("given", rows, ["doc_id", "text", "lang", "source"])
+    con.execute("CREATE VIEW documents AS SELECT doc_id::BIGINT AS doc_id, text, lang, source FROM given")
+    import pyspark.sql.functions as F
+
+    shown = made.select("doc_id", "mix_source", "mix_lang", "mix_topic", "mix_tokens", F.round("mix_weight", 6).alias("mix_weight"), F.round("mix_probability", 6).alias("mix_probability"), "mix_kept")
+    assert oracle.compare(shown, con, mixing.SQL) is None
