@@ -198,7 +198,8 @@ def links(docs: DataFrame, text: str = "text", threshold: float = LIKE) -> DataF
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = LIKE) -> DataFrame:
     """Every unit of a passage that two or more documents have.
 
-    doc_id, start, length, words; class_doc_id and class_start of the first occurrence; copies; removed.
+    doc_id, start, length, words; class_doc_id and class_start of the first occurrence; copies; removed. Rows that repeat
+    an id and its text give their units once.
     """
     all_ = written(occurrences(docs, doc_id, text))
     label = components(links(docs, text, threshold)).withColumnRenamed("node", "id")
@@ -210,10 +211,12 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     named = cut(linked.select("id", "label").join(across, "label").select("id", "label").unionByName(alone))
     bits = filter_bits(named.count())
     near = probed(all_, "id", cut(present(named, "id", bits)), bits, "may").filter("may").drop("may")
-    order = W.partitionBy("doc_id").orderBy("start", "length")
+    order = W.partitionBy("doc_id").orderBy("start", "length", "id")
     joined = F.col("start") - F.lag(F.col("start") + F.col("length")).over(order) <= GAP
-    runs = near.join(named, "id").drop("id").withColumn("run", F.when(joined, 0).otherwise(1)).withColumn("run", F.sum("run").over(order))
-    found = written(runs.withColumn("all", F.sum("words").over(W.partitionBy("doc_id", "run"))).filter(F.col("all") >= PASSAGE).drop("run", "all"))
+    unit = F.struct("start", "length", "id")
+    once = near.join(named, "id").withColumn("again", unit.eqNullSafe(F.lag(unit).over(order))).filter("NOT again")  # a repeated row has its units twice
+    runs = once.withColumn("run", F.when(joined, 0).otherwise(1)).withColumn("run", F.sum("run").over(order))
+    found = written(runs.withColumn("all", F.sum("words").over(W.partitionBy("doc_id", "run"))).filter(F.col("all") >= PASSAGE).drop("run", "all", "again", "id"))
     item = F.struct("doc_id", "start")
     firsts = found.groupBy("label").agg(F.min(item).alias("first"), F.max(doc).alias("last"), F.count("*").alias("copies"))
     firsts = firsts.filter(~F.struct("first.doc_id").eqNullSafe(F.col("last")))

@@ -370,3 +370,21 @@ def test_mixing_without_ids(spark):
 
     shown = made.select("doc_id", "mix_source", "mix_lang", "mix_topic", "mix_tokens", F.round("mix_weight", 6).alias("mix_weight"), F.round("mix_probability", 6).alias("mix_probability"), "mix_kept")
     assert oracle.compare(shown, con, mixing.SQL) is None
+
+
+def test_substrings_of_repeated_rows(spark):
+    from sigstat.llm import substring_dedup
+
+    draw = random.Random(8)
+    prose = lambda n: " ".join("".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(n)) + "."
+    line, long = "licensed under the terms that stand in the file beside this one", prose(90)
+    texts = [f"{prose(40)}\n{line}\n{prose(30)}", f"{prose(35)}\n{line}\n{prose(20)}", f"{prose(30)}\n{long}\n{prose(9)}", f"{prose(25)}\n{long}\n{prose(8)}"]
+    rows = list(enumerate(texts))
+
+    def found(some):
+        docs = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+        return sorted(tuple(r) for r in substring_dedup.repeated(docs).collect())
+
+    assert found(rows[:2] * 2) == []
+    once = found(rows)
+    assert {r[0] for r in once} == {2, 3} and found(rows * 2) == once
