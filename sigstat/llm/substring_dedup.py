@@ -4,7 +4,8 @@ A paragraph ends at a line end, and at those sentence ends whose last ``BEFORE``
 second one: the cut
 depends on the text around it alone, so a passage falls into the same paragraphs wherever it stands. Paragraphs of fewer than
 ``LEAST`` words don't count. A paragraph is known by the XXH64 of its words (A-Z in lower case); its five-word shingles
-have ``HASHES`` MinHash values in the bands that reach ``RECALL`` at the threshold.
+have ``HASHES`` MinHash values in the bands that reach ``RECALL`` at the threshold. One pass over the texts writes units, band
+keys and the words of new paragraphs; all later steps read that table.
 
 A passage may also stand inside a paragraph, next to other text. So windows of ``PASSAGE`` words begin at anchors: in every
 ``STEP`` word pairs that follow each other, the last one with the smallest hash. Both depend on the words alone, so any
@@ -39,7 +40,6 @@ from sigstat.llm.batches import column, cut, pieces, ragged, texts, written
 from sigstat.llm.components import blocks, components
 from sigstat.llm.exact_dedup import filter_bits, present, probed
 from sigstat.llm.fingerprints import LIKE, bands, factors, verified
-from sigstat.llm.simhash import word_hashes
 
 LEAST, WORDS, HASHES = 6, 5, 10
 PASSAGE, GAP = 20, 200
@@ -116,83 +116,100 @@ def node(words: bytes) -> int:
     return xxhash.xxh64_intdigest(words)
 
 
-def band_keys(shingles: list[list[int]], threshold: float = LIKE) -> np.ndarray:
+def shingle_hashes(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the five-word shingles of all paragraphs, one after the other, and how many each has.
+
+    A shingle is a polynomial over the XXH64 of its words, in numpy over all words at once. Each paragraph needs
+    ``WORDS`` words or more.
+    """
+    import xxhash
+
+    words = b" ".join(bodies).split()
+    counts = np.fromiter((x.count(b" ") + 1 for x in bodies), np.int64, len(bodies))
+    own = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    out = np.zeros(max(len(words) - WORDS + 1, 0), np.uint64)
+    for k in range(WORDS):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + own[k : k + len(out)]
+    out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD1B54A32D192ED03)
+    out ^= out >> np.uint64(29)
+    inside = np.ones(len(words), bool)  # a shingle that begins here ends in the same paragraph
+    inside[(np.cumsum(counts)[:, None] - np.arange(1, WORDS)).ravel()] = False
+    return out[inside[: len(out)]], counts - WORDS + 1
+
+
+def band_keys(hashes: np.ndarray, counts: np.ndarray, threshold: float = LIKE) -> np.ndarray:
     """A key for each paragraph and band."""
     count, r = bands(threshold, n=HASHES)
-    counts = np.fromiter(map(len, shingles), np.int64, len(shingles))
-    flat = np.fromiter((h & 0xFFFFFFFF for x in shingles for h in x), np.uint64, int(counts.sum()))
-    begin = np.cumsum(counts) - counts
-    out = np.zeros((len(shingles), count), np.uint64)
+    flat, begin = hashes & np.uint64(0xFFFFFFFF), np.cumsum(counts) - counts
+    out = np.zeros((len(counts), count), np.uint64)
     for k, (a, b) in enumerate(zip(*factors(count * r, 3), strict=True)):
         low = np.minimum.reduceat(flat * a + b, begin) >> np.uint64(32)
         out[:, k // r] = out[:, k // r] * np.uint64(0x9E3779B97F4A7C15) + low + np.uint64(k + 1)
     return (out ^ (out >> np.uint64(29))).view(np.int64)
 
 
-def _keyed(docs: DataFrame, text: str, threshold: float) -> DataFrame:
-    """(key, id) of every paragraph and band; a task sends each node once, as far as it remembers."""
+def occurrences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = LIKE) -> DataFrame:
+    """doc_id, start, length, words and id of every unit, in one pass over the texts.
+
+    The first occurrence of a paragraph in a task, as far as the task remembers, also carries its band keys and its
+    words (body), from which ``links`` works; elsewhere, and for windows, which match by their node alone, both are null.
+    """
+    count = bands(threshold, n=HASHES)[0]
 
     def run(batches):
         seen: set[int] = set()
         for part in pieces(batches, text):
             if len(seen) > SEEN:
                 seen = set()
-            ids, lists = [], []
-            for x in texts(part, text):
-                for _, _, words in whole(x):  # windows match by their node alone
-                    one = node(words)
-                    if one not in seen:
-                        seen.add(one), ids.append(one), lists.append(word_hashes(words.split(), WORDS))
-            if ids:
-                keys = band_keys(lists, threshold)
-                own = np.repeat(np.array(ids, np.uint64).view(np.int64), keys.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(own)], ["key", "id"])
-
-    return docs.select(text).mapInArrow(run, "key long, id long")
-
-
-def occurrences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, start, length, words and id of every unit."""
-
-    def run(batches):
-        for part in pieces(batches, text):
-            found = [[(a, n, w.count(b" ") + 1, node(w)) for a, n, w in paragraphs(x)] for x in texts(part, text)]
-            rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            flat = [x for f in found for x in f]
-            numbers = [pa.array([x[k] for x in flat], pa.int64()) for k in range(3)]
-            ids = pa.array(np.array([x[3] for x in flat], np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([column(part, doc_id).take(pa.array(rows)), *numbers, ids], ["doc_id", "start", "length", "words", "id"])
-
-    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc_id]}, start long, length long, words long, id long")
-
-
-def _sets(docs: DataFrame, text: str, bitmap: DataFrame, bits: int) -> DataFrame:
-    """Shingle sets of the paragraphs that the bitmap may have."""
-
-    def words(batches):
-        for part in pieces(batches, text):
-            own = [w for x in texts(part, text) for _, _, w in whole(x)]
-            ids = np.array([node(w) for w in own], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(own, pa.binary())], ["id", "words"])
+            rows, starts, lengths, sizes, ids, bodies = [], [], [], [], [], []
+            for row, x in enumerate(texts(part, text)):
+                for found, alone in ((whole(x), False), (windows(x), True)):
+                    for start, length, words in found:
+                        one = node(words)
+                        rows.append(row), starts.append(start), lengths.append(length), sizes.append(words.count(b" ") + 1), ids.append(one)
+                        if alone or one in seen:
+                            bodies.append(None)
+                        else:
+                            seen.add(one), bodies.append(words)
+            new = [x for x in bodies if x is not None]
+            keys = band_keys(*shingle_hashes(new), threshold).ravel() if new else np.zeros(0, np.int64)
+            numbers = [pa.array(x, pa.int64()) for x in (starts, lengths, sizes)]
+            body = pa.array(bodies, pa.binary())
+            filled = np.where(np.array(body.is_valid()), count, 0) if rows else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [column(part, doc_id).take(pa.array(rows, pa.int64())), *numbers, pa.array(np.array(ids, np.uint64).view(np.int64)), ragged(keys, filled, pa.int64()), body],
+                ["doc_id", "start", "length", "words", "id", "keys", "body"],
+            )
+
+    kind = dict(docs.dtypes)[doc_id]
+    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, start long, length long, words long, id long, keys array<long>, body binary")
+
+
+def _sets(near: DataFrame) -> DataFrame:
+    """(id, hashes): the shingle set of each paragraph of (id, body)."""
 
     def hashed(batches):
-        for part in pieces(batches, "words"):
-            sets = [np.unique(np.array(word_hashes(w.split(), WORDS), np.uint64)).view(np.int64) for w in column(part, "words").to_pylist()]
-            yield pa.RecordBatch.from_arrays([column(part, "id"), ragged(np.concatenate(sets), np.array([len(s) for s in sets]), pa.int64())], ["id", "hashes"])
+        for part in pieces(batches, "body"):
+            flat, counts = shingle_hashes(column(part, "body").to_pylist())
+            sets = [np.unique(x).view(np.int64) for x in np.split(flat, np.cumsum(counts)[:-1])]
+            yield pa.RecordBatch.from_arrays([column(part, "id"), ragged(np.concatenate(sets), np.array([len(x) for x in sets]), pa.int64())], ["id", "hashes"])
 
-    near = probed(docs.select(text).mapInArrow(words, "id long, words binary"), "id", bitmap, bits, "may").filter("may")
-    return near.groupBy("id").agg(F.first("words").alias("words")).mapInArrow(hashed, "id long, hashes array<long>")
+    return near.groupBy("id").agg(F.first("body").alias("body")).mapInArrow(hashed, "id long, hashes array<long>")
 
 
-def links(docs: DataFrame, text: str = "text", threshold: float = LIKE) -> DataFrame:
-    """(a, b): links that connect different paragraphs with a Jaccard of ``threshold`` or more."""
-    keyed = _keyed(docs, text, threshold).repartition("key")
+def links(units: DataFrame, threshold: float = LIKE) -> DataFrame:
+    """(a, b): links that connect different paragraphs with a Jaccard of ``threshold`` or more.
+
+    ``units`` is a written table of ``occurrences``; the texts are not read again.
+    """
+    first = units.filter("body IS NOT NULL")
+    keyed = first.select(F.explode("keys").alias("key"), "id").repartition("key")
     shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high").select("key")
     colliding = cut(keyed.join(shared, "key").distinct())
     ids = colliding.select("id").distinct()
     bits = filter_bits(ids.count())
-    sets = _sets(docs, text, cut(present(ids, "id", bits)), bits)
-    return verified(blocks(colliding.join(sets, "id"), ["key"], "id", ["hashes"]), threshold)
+    near = probed(first.select("id", "body"), "id", cut(present(ids, "id", bits)), bits, "may").filter("may")
+    return verified(blocks(colliding.join(_sets(near), "id"), ["key"], "id", ["hashes"]), threshold)
 
 
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = LIKE) -> DataFrame:
@@ -201,8 +218,9 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     doc_id, start, length, words; class_doc_id and class_start of the first occurrence; copies; removed. Rows that repeat
     an id and its text give their units once.
     """
-    all_ = written(occurrences(docs, doc_id, text))
-    label = components(links(docs, text, threshold)).withColumnRenamed("node", "id")
+    units = written(occurrences(docs, doc_id, text, threshold))
+    label = components(links(units, threshold)).withColumnRenamed("node", "id")
+    all_ = units.drop("keys", "body")
     doc = F.struct("doc_id")
     spread = all_.groupBy("id").agg(F.min(doc).alias("low"), F.max(doc).alias("high"))
     linked = spread.join(label, "id").select("id", "label", "low", "high")

@@ -206,7 +206,7 @@ def brute_passages(texts, sets):
     found = [(d, a, n, w) for d, x in texts.items() for a, n, w in substring_dedup.paragraphs(x or "")]
     words = sorted({f[3] for f in found})
     union = sets(range(len(words)))
-    jaccard_classes(sets, {k: set(substring_dedup.word_hashes(w.split(), 5)) for k, w in enumerate(words)}, 0.8, union)
+    jaccard_classes(sets, {k: set(simhash.word_hashes(w.split(), 5)) for k, w in enumerate(words)}, 0.8, union)
     number = {w: k for k, w in enumerate(words)}
     classes = collections.defaultdict(list)
     for d, a, n, w in found:
