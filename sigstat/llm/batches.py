@@ -83,9 +83,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """The same rows as a Parquet table in the shared folder."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

@@ -218,7 +218,7 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     doc_id, start, length, words; class_doc_id and class_start of the first occurrence; copies; removed. Rows that repeat
     an id and its text give their units once.
     """
-    units = written(occurrences(docs, doc_id, text, threshold))
+    units = written(occurrences(docs, doc_id, text, threshold), "zstd")
     label = components(links(units, threshold)).withColumnRenamed("node", "id")
     all_ = units.drop("keys", "body")
     doc = F.struct("doc_id")
