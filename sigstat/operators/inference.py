@@ -11,6 +11,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -429,18 +430,18 @@ def kendall(df: DataFrame, x: str, y: str, strip: int = STRIP) -> DataFrame:
     total = cut.where(~F.col("bx").isin(one_x)).groupBy("bx").applyInPandas(inside, "s double")
     if parts > 1:
         total = total.unionByName(cut.where(~F.col("by").isin(one_y)).groupBy("by").applyInPandas(across, "s double"))
-        # a count for each pair of strips, at most (2 MAX_STRIPS)^2 whatever the data
-        grid = cut.groupBy("bx", "by").agg(F.sum("w").alias("c")).toPandas()
-        m = np.zeros((len(bx) + 1, len(by) + 1))
-        m[grid["bx"], grid["by"]] = grid["c"]
-        below = np.cumsum(np.cumsum(m, axis=0), axis=1)
-        lo_lo = np.pad(below, ((1, 0), (1, 0)))[:-1, :-1]
-        col = np.cumsum(m, axis=0)
-        lower_rows = np.pad(col, ((1, 0), (0, 0)))[:-1]
-        lo_hi = lower_rows.sum(axis=1, keepdims=True) - np.cumsum(lower_rows, axis=1)
-        s_cells = float(np.sum(m * (lo_lo - lo_hi)))
-    else:
-        s_cells = 0.0
+        # a row for each pair of strips, at most (2 MAX_STRIPS)^2 whatever the data
+        wide = len(by) + 1
+        cells = df.sparkSession.range((len(bx) + 1) * wide).select(F.expr(f"int(id div {wide})").alias("bx"), F.expr(f"int(id % {wide})").alias("by"))
+        grid = cut.groupBy("bx", "by").agg(F.sum("w").cast("double").alias("c"))
+        cells = cells.join(grid, ["bx", "by"], "left").fillna(0.0, ["c"])
+        zero, past = F.lit(0.0), (W.unboundedPreceding, -1)
+        # weight of the lower x strips in the same y strip, then of those in lower and in higher y strips
+        cells = cells.withColumn("__same", F.coalesce(F.sum("c").over(W.partitionBy("by").orderBy("bx").rowsBetween(*past)), zero))
+        row = W.partitionBy("bx")
+        cells = cells.withColumn("__low", F.coalesce(F.sum("__same").over(row.orderBy("by").rowsBetween(*past)), zero))
+        high = F.sum("__same").over(row) - F.col("__low") - F.col("__same")
+        total = total.unionByName(cells.select((F.col("c") * (F.col("__low") - high)).alias("s")))
 
     def tie(*cols):
         return pts.groupBy(*cols).agg(F.sum("w").cast("double").alias("c")).agg(
@@ -451,7 +452,7 @@ def kendall(df: DataFrame, x: str, y: str, strip: int = STRIP) -> DataFrame:
     one = attach(attach(one, tie("x"), []), tie("y"), [])
     n0 = n * (n - 1) / 2.0
     den = F.sqrt((F.lit(n0) - F.col("tx")) * (F.lit(n0) - F.col("ty")))
-    return one.select(ratio(F.col("s") + s_cells, den).alias("tau"))
+    return one.select(ratio(F.col("s"), den).alias("tau"))
 
 
 def spearman(df: DataFrame, x: str, y: str, hot=AUTO) -> DataFrame:
