@@ -148,3 +148,38 @@ def means_sql(condition: str = "l_returnflag") -> str:
     SELECT condition, epoch_id, avg(quantity) AS quantity, avg(price) AS price, avg(discount) AS discount
     FROM trials GROUP BY condition, epoch_id)
   UNPIVOT (value FOR channel IN (quantity, price, discount)))"""
+
+
+STEPS = 4000
+
+
+def simpson_sql(f: str, low: str, high: str) -> str:
+    """Integral of ``f``, an expression of ``$x``, from low to high by Simpson's rule."""
+    at = f"(({low}) + (({high}) - ({low})) * i_ / {STEPS}e0)"
+    weight = f"CASE WHEN i_ % {STEPS} = 0 THEN 1e0 WHEN i_ % 2 = 1 THEN 4e0 ELSE 2e0 END"
+    return f"(({high}) - ({low})) / {3 * STEPS}e0 * list_sum([({weight}) * ({f.replace('$x', at)}) FOR i_ IN range({STEPS + 1})])"
+
+
+def fisher_sql(f: str, d1: str, d2: str) -> str:
+    """P(F > f) as the share of an integral: F = d2 / d1 tan^2(u), where u has density cos^(d2 - 1) sin^(d1 - 1)."""
+    density = f"pow(cos($x), ({d2}) - 1) * pow(sin($x), ({d1}) - 1)"
+    angle, wide = f"atan(sqrt(({d1}) * ({f}) / ({d2})))", f"(15 + sqrt({d1})) / sqrt({d2})"
+    part = simpson_sql(density, angle, f"least(pi() / 2, {angle} + {wide})")
+    return f"least(1e0, ({part}) / ({simpson_sql(density, '0e0', f'least(pi() / 2, {wide})')}))"
+
+
+def student_sql(t: str, df: str) -> str:
+    """Two-sided p of t: t^2 has an F distribution."""
+    return fisher_sql(f"({t}) * ({t})", "1e0", df)
+
+
+def chi2_sql(x: str, k: str) -> str:
+    """P(chi^2 > x) as the share of an integral over the root, with density u^(k - 1) exp(-u^2 / 2)."""
+    density, wide = f"pow($x, ({k}) - 1) * exp(-($x) * ($x) / 2)", f"(15 + sqrt({k}))"
+    part = simpson_sql(density, f"sqrt({x})", f"sqrt({x}) + {wide}")
+    return f"({part}) / ({simpson_sql(density, '0e0', wide)})"
+
+
+def normal_sql(z: str) -> str:
+    """Two-sided p of a normal deviate."""
+    return chi2_sql(f"({z}) * ({z})", "1e0")

@@ -9,15 +9,15 @@ from ..operators.classify import (
 )
 from ..operators.mixed import mixed_model
 from ..operators.models import contrasts, is_ordinal, linreg_grouped, linreg_wide, ols_cell_means, ridge
-from .base import WAVES, means_sql, query, rounded, rsql, table, trials, waves
+from .base import WAVES, means_sql, query, rounded, rsql, student_sql, table, trials, waves
 
 _OLS = f"""{means_sql()}, c AS (SELECT channel, condition, count(*)::DOUBLE AS n, avg(value) AS beta, var_pop(value) * count(*) AS ss FROM obs GROUP BY ALL),
 f AS (SELECT channel, sum(n) - count(*) AS df, sum(ss) AS ssr FROM c GROUP BY channel), ols AS (SELECT channel, condition, beta, beta / sqrt(ssr / df / n) AS tvalue, sqrt(ssr / df / n) AS se, df FROM c JOIN f USING (channel))"""
 
 
-@query("ols_cell_means", rsql(f"WITH {_OLS} SELECT * FROM ols", "beta, tvalue, se, df", 4))
+@query("ols_cell_means", rsql(f"WITH {_OLS} SELECT *, {student_sql('tvalue', 'df')} AS pvalue FROM ols", "beta, tvalue, pvalue, se, df", 4))
 def cell_means(spark, folder):
-    return rounded(ols_cell_means(trials(spark, folder)).drop("pvalue"), 4)
+    return rounded(ols_cell_means(trials(spark, folder)), 4)
 
 
 @query("ols_cell_means_dims", rsql("""
@@ -37,11 +37,19 @@ def contrasted(spark, folder):
 
 _LINE = """SELECT {g}, regr_slope(y, x) AS slope, sqrt((1 - regr_r2(y, x)) * regr_syy(y, x) / regr_sxx(y, x) / (count(y) - 2)) AS slope_se, regr_r2(y, x) AS r_squared, arg_min(y, x) AS value_first, arg_max(y, x) AS value_last,
   {m} (arg_max(y, x) - arg_min(y, x)) / (abs(arg_min(y, x)) + 1e-9) * 100 AS total_change_pct, {e} count(y) AS n_observations FROM ({t}) WHERE y IS NOT NULL GROUP BY ALL HAVING count(y) >= 3"""
+
+
+def _line_sql(**parts) -> str:
+    """The line with its p value (0 where the points lie on it) and whether it is below 0.05."""
+    p = f"CASE WHEN slope_se = 0 THEN 0e0 ELSE {student_sql('slope / slope_se', 'n_observations - 2')} END"
+    return f"SELECT *, p_value < 0.05 AS significant FROM (SELECT *, {p} AS p_value FROM ({_LINE.format(**parts)}))"
+
+
 _YEARS = """SELECT year(l_shipdate) AS x, avg(l_quantity) AS q, avg(CASE WHEN l_returnflag = 'A' THEN l_extendedprice END) AS p, CASE WHEN year(l_shipdate) < 1996 THEN 1e0 END AS few FROM lineitem GROUP BY ALL"""
 
 
-@query("linreg_wide", rsql(_LINE.format(g='"column"', m="avg(y) AS value_mean,", e="min(x)::DOUBLE AS x_start, max(x)::DOUBLE AS x_end,",
-       t=f'SELECT * FROM ({_YEARS}) UNPIVOT (y FOR "column" IN (q, p))'), "slope, slope_se, r_squared, value_first, value_last, value_mean, total_change_pct, x_start, x_end", 5))
+@query("linreg_wide", rsql(_line_sql(g='"column"', m="avg(y) AS value_mean,", e="min(x)::DOUBLE AS x_start, max(x)::DOUBLE AS x_end,",
+       t=f'SELECT * FROM ({_YEARS}) UNPIVOT (y FOR "column" IN (q, p))'), "slope, slope_se, p_value, r_squared, value_first, value_last, value_mean, total_change_pct, x_start, x_end", 5))
 def lines_wide(spark, folder):
     li = table(spark, folder, "lineitem")
     y = F.year("l_shipdate")
@@ -49,15 +57,15 @@ def lines_wide(spark, folder):
         F.avg("l_quantity").alias("q"), F.avg(F.when(F.col("l_returnflag") == "A", F.col("l_extendedprice"))).alias("p"),
         F.max(F.when(y < 1992, F.lit(1.0))).alias("few"),
     )
-    return rounded(linreg_wide(wide, "year", ["q", "p", "few"], rounded=False).drop("p_value", "significant"), 5)
+    return rounded(linreg_wide(wide, "year", ["q", "p", "few"], rounded=False), 5)
 
 
-@query("linreg_grouped", rsql(_LINE.format(g='l_returnflag, l_linestatus, "group_label"', m="", e="", t="""SELECT l_returnflag, l_linestatus, 'flag ' || l_returnflag AS group_label, year(l_shipdate) AS x, avg(l_extendedprice) AS y FROM lineitem GROUP BY ALL"""),
-       "slope, slope_se, r_squared, value_first, value_last, total_change_pct", 4))
+@query("linreg_grouped", rsql(_line_sql(g='l_returnflag, l_linestatus, "group_label"', m="", e="", t="""SELECT l_returnflag, l_linestatus, 'flag ' || l_returnflag AS group_label, year(l_shipdate) AS x, avg(l_extendedprice) AS y FROM lineitem GROUP BY ALL"""),
+       "slope, slope_se, p_value, r_squared, value_first, value_last, total_change_pct", 4))
 def lines_grouped(spark, folder):
     s = table(spark, folder, "lineitem").groupBy("l_returnflag", "l_linestatus", F.year("l_shipdate").alias("year")).agg(F.avg("l_extendedprice").alias("value"))
     s = s.withColumn("country", F.concat(F.lit("flag "), "l_returnflag"))
-    return rounded(linreg_grouped(s, "l_returnflag", "l_linestatus", label="country", rounded=False).drop("p_value", "significant"), 4)
+    return rounded(linreg_grouped(s, "l_returnflag", "l_linestatus", label="country", rounded=False), 4)
 
 
 @query("ridge", rsql("""

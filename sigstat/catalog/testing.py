@@ -1,7 +1,7 @@
 """Queries over tests, effect sizes, resampling and correlation.
 
-p values are left out of the compared columns: SQL has no tail probabilities.  They
-are checked against published values in the tests.
+The twins of p values integrate the densities numerically, or count rank sums; the operators use
+continued fractions and series.
 """
 
 from __future__ import annotations
@@ -12,24 +12,30 @@ from ..operators.inference import (
     anova_oneway, correlation_matrix, effect_size, fdr_bh, kruskal, mann_whitney, significance_stars, ttest, wilcoxon,
 )
 from ..operators.resample import GOLDEN, MIX, bootstrap_ci
-from .base import means_sql, query, rounded, rsql, table, trials
+from .base import chi2_sql, fisher_sql, means_sql, normal_sql, query, rounded, rsql, student_sql, table, trials
 
 AB = "l_linestatus"
 _S = """s AS (SELECT channel, count(*) FILTER (condition = 'F')::DOUBLE AS na, count(*) FILTER (condition = 'O')::DOUBLE AS nb, avg(value) FILTER (condition = 'F') AS ma, avg(value) FILTER (condition = 'O') AS mb,
   var_samp(value) FILTER (condition = 'F') AS va, var_samp(value) FILTER (condition = 'O') AS vb FROM obs GROUP BY channel)"""
-_T = "SELECT channel, 'F' AS condition_a, 'O' AS condition_b, '{kind}' AS test_type, {t} AS t, (ma - mb) / sqrt((va + vb) / 2) AS cohens_d FROM s"
+
+
+def _t_sql(kind: str, t: str, df: str, source: str = "s", ctes: str = "") -> str:
+    body = f"SELECT channel, ma, mb, va, vb, {t} AS t, {df} AS df FROM {source}"
+    p = f"SELECT *, {student_sql('t', 'df')} AS p FROM ({body})"
+    out = f"SELECT channel, 'F' AS condition_a, 'O' AS condition_b, '{kind}' AS test_type, t, p, (ma - mb) / sqrt((va + vb) / 2) AS cohens_d, p < 0.05 AS significant FROM ({p})"
+    return rsql(f"WITH {means_sql(AB)}, {_S}{ctes} {out}", "t, p, cohens_d", 5)
 
 
 def _t(spark, folder, **kw):
-    return rounded(ttest(trials(spark, folder, AB), digits=False, **kw).drop("p", "significant"), 5)
+    return rounded(ttest(trials(spark, folder, AB), digits=False, **kw), 5)
 
 
-@query("ttest_independent", rsql(f"WITH {means_sql(AB)}, {_S} " + _T.format(kind="independent", t="(ma - mb) / sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2) * (1 / na + 1 / nb))"), "t, cohens_d", 5))
+@query("ttest_independent", _t_sql("independent", "(ma - mb) / sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2) * (1 / na + 1 / nb))", "na + nb - 2"))
 def t_independent(spark, folder):
     return _t(spark, folder)
 
 
-@query("ttest_welch", rsql(f"WITH {means_sql(AB)}, {_S} " + _T.format(kind="welch", t="(ma - mb) / sqrt(va / na + vb / nb)"), "t, cohens_d", 5))
+@query("ttest_welch", _t_sql("welch", "(ma - mb) / sqrt(va / na + vb / nb)", "pow(va / na + vb / nb, 2) / (pow(va / na, 2) / (na - 1) + pow(vb / nb, 2) / (nb - 1))"))
 def t_welch(spark, folder):
     return _t(spark, folder, kind="welch")
 
@@ -38,8 +44,8 @@ _PAIRED = """r AS (SELECT *, row_number() OVER (PARTITION BY channel, condition
 pr AS (SELECT a.channel, a.value - b.value AS d FROM r a JOIN r b ON a.channel = b.channel AND a.rk = b.rk AND a.condition = 'F' AND b.condition = 'O')"""
 
 
-@query("ttest_paired", rsql(f"WITH {means_sql(AB)}, {_S}, {_PAIRED}, q AS (SELECT channel, avg(d) / (stddev_samp(d) / sqrt(count(d))) AS tt FROM pr GROUP BY channel) "
-                            "SELECT channel, 'F' AS condition_a, 'O' AS condition_b, 'paired' AS test_type, tt AS t, (ma - mb) / sqrt((va + vb) / 2) AS cohens_d FROM s JOIN q USING (channel)", "t, cohens_d", 5))
+@query("ttest_paired", _t_sql("paired", "tt", "pairs - 1e0", "s JOIN q USING (channel)",
+       f", {_PAIRED}, q AS (SELECT channel, count(d) AS pairs, avg(d) / (stddev_samp(d) / sqrt(count(d))) AS tt FROM pr GROUP BY channel)"))
 def t_paired(spark, folder):
     return _t(spark, folder, kind="paired")
 
@@ -47,34 +53,65 @@ def t_paired(spark, folder):
 _RANK = "rk AS (SELECT *, rank() OVER (PARTITION BY channel ORDER BY value) + (count(*) OVER (PARTITION BY channel, value) - 1) / 2.0 AS r FROM obs)"
 
 
-@query("mann_whitney", rsql(f"""WITH {means_sql(AB)}, {_RANK} SELECT channel, 'Mann-Whitney U' AS test, 'F' AS condition_a, 'O' AS condition_b,
-  (sum(r) FILTER (condition = 'F') - count(*) FILTER (condition = 'F') * (count(*) FILTER (condition = 'F') + 1) / 2)::DOUBLE AS statistic FROM rk GROUP BY channel""", "statistic", 4))
+@query("mann_whitney", rsql(f"""WITH {means_sql(AB)}, {_RANK},
+u AS (SELECT channel, count(*) FILTER (condition = 'F')::DOUBLE AS n1, count(*) FILTER (condition = 'O')::DOUBLE AS n2, (sum(r) FILTER (condition = 'F'))::DOUBLE - n1 * (n1 + 1) / 2 AS statistic FROM rk GROUP BY channel),
+ties AS (SELECT channel, sum(t * t * t - t) AS ties FROM (SELECT channel, value, count(*)::DOUBLE AS t FROM obs GROUP BY ALL) GROUP BY channel),
+z AS (SELECT *, greatest(0e0, (greatest(statistic, n1 * n2 - statistic) - n1 * n2 / 2 - 0.5e0) / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1))))) AS z FROM u JOIN ties USING (channel)),
+p AS (SELECT *, {normal_sql("z")} AS p FROM z)
+SELECT channel, 'Mann-Whitney U' AS test, 'F' AS condition_a, 'O' AS condition_b, statistic, p, p < 0.05 AS significant FROM p""", "statistic, p", 4))
 def u_test(spark, folder):
-    return rounded(mann_whitney(trials(spark, folder, AB)).drop("p", "significant"), 4)
-
-
-@query("wilcoxon", rsql(f"""WITH {means_sql(AB)}, {_PAIRED}, w AS (SELECT channel, d, rank() OVER (PARTITION BY channel ORDER BY abs(d)) + (count(*) OVER (PARTITION BY channel, abs(d)) - 1) / 2.0 AS r FROM pr WHERE d <> 0)
-SELECT channel, 'Wilcoxon Signed-Rank' AS test, 'F' AS condition_a, 'O' AS condition_b, least(sum(r) FILTER (d > 0), sum(r) FILTER (d < 0))::DOUBLE AS statistic FROM w GROUP BY channel""", "statistic", 4))
+    """Samples of more than eight suppliers: the normal form."""
+    return rounded(mann_whitney(trials(spark, folder, AB), digits=False), 4)
+
+
+@query("mann_whitney_exact", rsql("""
+WITH obs AS (SELECT l_linenumber, l_linestatus AS condition, year(l_shipdate) AS y, avg(l_extendedprice) AS value FROM lineitem GROUP BY ALL),
+rk AS (SELECT *, rank() OVER (PARTITION BY l_linenumber ORDER BY value) AS r FROM obs),
+u AS (SELECT l_linenumber, count(*) FILTER (condition = 'F') AS n1, count(*) FILTER (condition = 'O') AS n2, (sum(r) FILTER (condition = 'F'))::BIGINT - n1 * (n1 + 1) // 2 AS u FROM rk GROUP BY ALL),
+picks AS (SELECT l_linenumber, n1, n2, u, list_sum([((m >> i_) & 1) * (i_ + 1) FOR i_ IN range(n1 + n2)])::BIGINT - n1 * (n1 + 1) // 2 AS any_u FROM u, LATERAL (SELECT unnest(range(1::BIGINT << (n1 + n2))) AS m) WHERE bit_count(m) = n1),
+p AS (SELECT l_linenumber, u, least(1e0, 2e0 * count(*) FILTER (any_u >= greatest(u, n1 * n2 - u)) / count(*)) AS p FROM picks GROUP BY ALL)
+SELECT l_linenumber, 'price' AS channel, 'Mann-Whitney U' AS test, 'F' AS condition_a, 'O' AS condition_b, u::DOUBLE AS statistic, p, p < 0.05 AS significant FROM p""", "statistic, p"))
+def u_exact(spark, folder):
+    """A few years a side and line number; the twin counts all ways to choose the ranks."""
+    years = table(spark, folder, "lineitem").select(
+        "l_linenumber", F.col("l_linestatus").alias("condition"), F.year("l_shipdate").alias("epoch_id"), F.col("l_extendedprice").alias("price")
+    )
+    return rounded(mann_whitney(years, ["l_linenumber"], ["price"], by=["l_linenumber"], digits=False))
+
+
+@query("wilcoxon", rsql(f"""WITH RECURSIVE {means_sql(AB)}, {_PAIRED}, w AS (SELECT channel, d, rank() OVER (PARTITION BY channel ORDER BY abs(d)) + (count(*) OVER (PARTITION BY channel, abs(d)) - 1) / 2.0 AS r FROM pr WHERE d <> 0),
+s AS (SELECT channel, count(*)::DOUBLE AS n, least(sum(r) FILTER (d > 0), sum(r) FILTER (d < 0))::DOUBLE AS statistic FROM w GROUP BY channel),
+tied AS (SELECT channel, sum(t * t * t - t) AS ties FROM (SELECT channel, abs(d) AS m, count(*)::DOUBLE AS t FROM w GROUP BY ALL) GROUP BY channel),
+zero AS (SELECT channel, count(*) FILTER (d = 0) AS zeros FROM pr GROUP BY channel),
+ways AS (SELECT 0 AS k, [CASE WHEN i_ = 1 THEN 1e0 ELSE 0e0 END FOR i_ IN range(1, 1277)] AS c
+  UNION ALL SELECT k + 1, [c[i_] + CASE WHEN i_ > k + 1 THEN c[i_ - k - 1] ELSE 0e0 END FOR i_ IN range(1, 1277)] FROM ways WHERE k < 50),
+j AS (SELECT s.*, ties, least(1e0, 2e0 * list_sum(c[1:floor(statistic + 1e-9)::INTEGER + 1]) / pow(2e0, n)) AS exact_p, zeros,
+  (statistic - n * (n + 1) / 4) / sqrt((n * (n + 1) * (2 * n + 1) - ties / 2) / 24) AS z FROM s JOIN tied USING (channel) JOIN zero USING (channel) LEFT JOIN ways ON k = n),
+p AS (SELECT *, CASE WHEN n <= 50 AND ties = 0 AND zeros = 0 THEN exact_p ELSE {normal_sql("z")} END AS p FROM j)
+SELECT channel, 'Wilcoxon Signed-Rank' AS test, 'F' AS condition_a, 'O' AS condition_b, statistic, p, p < 0.05 AS significant FROM p""", "statistic, p", 4))
 def signed_rank(spark, folder):
-    return rounded(wilcoxon(trials(spark, folder, AB)).drop("p", "significant"), 4)
+    return rounded(wilcoxon(trials(spark, folder, AB), digits=False), 4)
 
 
 @query("kruskal", rsql(f"""WITH {means_sql()}, {_RANK}, g AS (SELECT channel, condition, sum(r) AS r, count(*)::DOUBLE AS m FROM rk GROUP BY ALL),
-n AS (SELECT channel, sum(t)::DOUBLE AS n, sum(t * t * t - t)::DOUBLE AS ties FROM (SELECT channel, value, count(*)::DOUBLE AS t FROM obs GROUP BY ALL) GROUP BY channel)
-SELECT channel, 'Kruskal-Wallis H' AS test, 'all' AS condition_a, 'all' AS condition_b, (12 / (n * (n + 1)) * sum(r * r / m) - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS statistic
-FROM g JOIN n USING (channel) GROUP BY channel, n, ties""", "statistic", 3))
+n AS (SELECT channel, sum(t)::DOUBLE AS n, sum(t * t * t - t)::DOUBLE AS ties FROM (SELECT channel, value, count(*)::DOUBLE AS t FROM obs GROUP BY ALL) GROUP BY channel),
+h AS (SELECT channel, count(*) - 1 AS df, (12 / (n * (n + 1)) * sum(r * r / m) - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS statistic FROM g JOIN n USING (channel) GROUP BY channel, n, ties),
+p AS (SELECT *, {chi2_sql("statistic", "df")} AS p FROM h)
+SELECT channel, 'Kruskal-Wallis H' AS test, 'all' AS condition_a, 'all' AS condition_b, statistic, p, p < 0.05 AS significant FROM p""", "statistic, p", 3))
 def h_test(spark, folder):
-    return rounded(kruskal(trials(spark, folder)).drop("p", "significant"), 3)
+    return rounded(kruskal(trials(spark, folder), digits=False), 3)
 
 
-@query("anova_oneway", rsql("""
+@query("anova_oneway", rsql(f"""
 WITH l AS (SELECT * FROM (SELECT l_returnflag, l_quantity, l_extendedprice FROM lineitem) UNPIVOT (v FOR dv IN (l_quantity, l_extendedprice))),
 c AS (SELECT dv, l_returnflag, count(*)::DOUBLE AS n, avg(v) AS m, var_pop(v) * count(*) AS ss FROM l GROUP BY ALL), g AS (SELECT dv, avg(v) AS g, count(*) AS nn FROM l GROUP BY dv),
-t AS (SELECT dv, sum(n * pow(m - g, 2)) AS b, sum(ss) AS w, count(*) AS k, max(nn) AS nn FROM c JOIN g USING (dv) GROUP BY dv)
-SELECT dv, 'l_returnflag' AS factor, (b / (k - 1)) / (w / (nn - k)) AS F, k - 1 AS df1, nn - k AS df2, b / (b + w) AS eta_sq FROM t""", "F, eta_sq", 5))
+t AS (SELECT dv, sum(n * pow(m - g, 2)) AS b, sum(ss) AS w, count(*) AS k, max(nn) AS nn FROM c JOIN g USING (dv) GROUP BY dv),
+f AS (SELECT dv, (b / (k - 1)) / (w / (nn - k)) AS F, k - 1 AS df1, nn - k AS df2, b / (b + w) AS eta_sq FROM t),
+p AS (SELECT *, {fisher_sql("F", "df1", "df2")} AS raw FROM f),
+a AS (SELECT *, least(1e0, min(raw * m / r) OVER (ORDER BY raw ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS p FROM (SELECT *, count(*) OVER (ORDER BY raw) AS r, count(*) OVER () AS m FROM p))
+SELECT dv, 'l_returnflag' AS factor, F, df1, df2, eta_sq, p, CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE 'ns' END AS sig FROM a""", "F, eta_sq, p", 5))
 def anova(spark, folder):
-    out = anova_oneway(table(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice"], "l_returnflag", apply_fdr=True)
-    return rounded(out.drop("p", "sig"), 5)
+    return rounded(anova_oneway(table(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice"], "l_returnflag", apply_fdr=True), 5)
 
 
 @query("fdr_bh", rsql("""

@@ -225,7 +225,7 @@ def mixed_model(df: DataFrame, dep: str, predictors: str, group: str, slopes: bo
     rows = []
     for t, b, s in zip(names, beta, se):
         z = b / s
-        pv = normal_two_sided(z)
+        pv = float(normal_two_sided(z)[0])
         stars = "***" if pv < 0.001 else "**" if pv < 0.01 else "*" if pv < 0.05 else "ns"
         rows.append((t, *(round(float(v), 4) for v in (b, s, z, pv)), stars))
     tags = ["Group", *names[1:q]]

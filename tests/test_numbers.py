@@ -454,3 +454,26 @@ def test_is_ordinal_edges(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0 + 1e-12)], "a double, b double")
     assert is_ordinal(df, "a").first()["is_ordinal"] is False
     assert is_ordinal(df, "b").first()["is_ordinal"] is True
+
+
+def test_tail_probabilities_of_batches(spark):
+    """Whole batches against numeric integration; null, nan, zero and infinite statistics have a defined p."""
+    rng = np.random.default_rng(3)
+    f, d1, d2 = 10 ** rng.uniform(-2, 1.5, 40), rng.integers(1, 30, 40).astype(float), rng.integers(2, 4000, 40).astype(float)
+    for p, x, a, b in zip(dist.f_upper(f, d1, d2), f, d1, d2):
+        u = np.linspace(0, np.pi / 2, 400_001)[1:-1]
+        logs = (b - 1) * np.log(np.cos(u)) + (a - 1) * np.log(np.sin(u))
+        w = np.exp(logs - logs.max())
+        assert p == pytest.approx(w[u > np.arctan(np.sqrt(a * x / b))].sum() / w.sum(), abs=2e-4)
+    assert dist.student_two_sided([0.0, np.inf, -2.0], 7.0).tolist() == pytest.approx([1.0, 0.0, 0.0856194], abs=1e-6)
+    assert dist.chi2_upper([0.0, np.inf], 3.0).tolist() == [1.0, 0.0]
+    rows = spark.createDataFrame([(1.0, 5.0), (None, 5.0), (float("nan"), 5.0), (1.0, None)], "t double, df double")
+    got = [r.p for r in rows.select(dist.p_student(F.col("t"), F.col("df")).alias("p")).collect()]
+    assert got[0] == pytest.approx(0.36321746) and got[1:] == [None, None, None]
+
+
+def test_exact_rank_distribution_is_symmetric_and_whole():
+    for n1, n2 in ((1, 1), (2, 5), (8, 40)):
+        shares = dist.mann_whitney_shares(n1, n2)
+        middle = 1.0 if n1 * n2 % 2 else 1.0 + shares[-1] - (shares[-2] if len(shares) > 1 else 0.0)
+        assert 2 * shares[-1] == pytest.approx(middle)
