@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from ..operators.coupling import plv, plv_events, plv_from_phases, plv_summary, plv_table
+from ..functions.filters import butterworth
+from ..operators.coupling import Stream, plv, plv_events, plv_from_phases, plv_streams, plv_summary, plv_table
 from ..operators.filters import detect_peaks, detect_r_peaks, filter_signal
 from ..operators.spectral import band_power, band_power_summary, channel_covariance, coherence, mean_spectrum, pca_variance, welch_spectrum
 from .base import EPOCHS, WAVES, epochs, lines, query, rounded, rsql, signal, table, waves
@@ -112,10 +114,49 @@ def pca(spark, folder):
     return rounded(pca_variance(li, ["l_suppkey"], ["l_quantity", "tax", "l_discount"], 0.99, ["l_discount"]), 5)
 
 
-@query("filter_signal")
+def _zero_phase_sql(order: int, low: float, high: float, rate: float, pad: int, n: int, source: str, name: str, lists: str) -> str:
+    """``name``: the lists of ``source`` (n samples each) filtered forward and backward, as convolutions with the impulse response.
+
+    The response follows from the difference equation; a pass starts in the steady state of its first value.
+    """
+    zeros, poles, gain = butterworth(order, low, high, rate)
+    b, a = np.real(np.poly(zeros)) * gain, np.real(np.poly(poles))
+    size = n + 2 * pad
+    at_zero = float(b.sum() / a.sum())
+    text = lambda v: "[" + ", ".join(f"{x:.17e}" for x in v) + "]"
+
+    def run(column, made):
+        return f"[list_dot_product([{column}[k_] - {column}[1] FOR k_ IN range(1, i_ + 1)], hr[{size} - i_ + 1:{size}]) + {column}[1] * {at_zero:.17e} FOR i_ IN range(1, {size + 1})] AS {made}"
+
+    out = [f"""co AS (SELECT {text(b)} AS b, {text(a)} AS a),
+im AS (SELECT 1 AS m, [b[1]] AS h FROM co UNION ALL SELECT m + 1, h || [coalesce(b[m + 1], 0e0) - list_sum([a[k_ + 1] * h[m + 1 - k_] FOR k_ IN range(1, least({len(a) - 1}, m) + 1)])] FROM im, co WHERE m < {size}),
+hr AS (SELECT list_reverse(h) AS hr FROM im WHERE m = {size})"""]
+    columns = lists.split(", ")
+    for c in columns:
+        long = f"[2 * {c}[1] - {c}[{pad + 1} - i_] FOR i_ IN range({pad})] || {c} || [2 * {c}[{n}] - {c}[{n - 1} - i_] FOR i_ IN range({pad})]"
+        out.append(f"""{name}_{c}0 AS (SELECT * EXCLUDE ({lists}), {long} AS v0 FROM {source}),
+{name}_{c}1 AS (SELECT * EXCLUDE (hr, v0), list_reverse({run('v0', 'v1').removesuffix(' AS v1')}) AS v1 FROM {name}_{c}0, hr),
+{name}_{c} AS (SELECT * EXCLUDE (hr, v1), list_reverse({run('v1', 'v2').removesuffix(' AS v2')})[{pad + 1}:{pad + n}] AS {c} FROM {name}_{c}1, hr)""")
+    return ", ".join(out)
+
+
+def _phase_sql(column: str, n: int) -> str:
+    """Angles of the analytic signal of an even number of samples; its imaginary part is a circular convolution."""
+    kernel = f"CASE WHEN (i_ - j_) % 2 = 0 THEN 0e0 ELSE 2e0 / {n} / tan(pi() * (i_ - j_) / {n}) END"
+    return f"[atan2(list_dot_product({column}, [{kernel} FOR j_ IN range({n})]), {column}[i_ + 1]) FOR i_ IN range({n})]"
+
+
+def _locked_sql(a: str, b: str, n: int) -> str:
+    d = f"[{a}[i_] - {b}[i_] FOR i_ IN range(1, {n + 1})]"
+    return f"sqrt(pow(list_avg([cos(d_) FOR d_ IN {d}]), 2) + pow(list_avg([sin(d_) FOR d_ IN {d}]), 2))"
+
+
+@query("filter_signal", rsql(f"""WITH RECURSIVE {WAVES}, src AS (SELECT epoch_id, list(time ORDER BY seq) AS t, list(x ORDER BY seq) AS x FROM waves GROUP BY epoch_id),
+{_zero_phase_sql(2, 4.0, 12.0, 64.0, 15, 64, "src", "flt", "x")}
+SELECT epoch_id, unnest(t) AS time, unnest(x) AS x, 64e0 AS sfreq FROM flt_x""", "time, x"))
 def bandpassed(spark, folder):
-    """No SQL twin: a zero-phase recursive filter; checked against closed forms in the tests."""
-    return filter_signal(waves(spark, folder), ["epoch_id"], "x", 4.0, 12.0, 64.0)
+    """The twin convolves with the impulse response of the difference equation."""
+    return rounded(filter_signal(waves(spark, folder), ["epoch_id"], "x", 4.0, 12.0, 64.0))
 
 
 @query("filter_signal_unchanged", rsql(f"WITH {WAVES} SELECT epoch_id, time, x, 64e0 AS sfreq FROM waves", "time, x"))
@@ -168,11 +209,28 @@ def r_peaks(spark, folder):
     return rounded(detect_r_peaks(signal(spark, folder), K, "value", 20.0, order=["seq"]))
 
 
-@query("plv")
+@query("plv", rsql(f"""WITH RECURSIVE {WAVES}, src AS (SELECT participant_id, condition, epoch_id, list(x ORDER BY seq) AS x, list(y ORDER BY seq) AS y FROM waves GROUP BY ALL),
+{_zero_phase_sql(4, 4.0, 12.0, 64.0, 27, 64, "src", "flt", "x, y")},
+ph AS (SELECT participant_id, condition, epoch_id, {_phase_sql("x", 64)} AS pa, {_phase_sql("y", 64)} AS pb FROM flt_x JOIN flt_y USING (participant_id, condition, epoch_id))
+SELECT participant_id, condition, epoch_id, 'x-y' AS pair, {_locked_sql("pa", "pb", 64)} AS value FROM ph""", "value"))
 def locking(spark, folder):
-    """No SQL twin for the filter and the Hilbert phase; the relational half has one below."""
     w = waves(spark, folder)
-    return plv(w, w, K, ["x"], ["y"], (4.0, 12.0), (4.0, 12.0), 64.0, 64.0)
+    return rounded(plv(w, w, K, ["x"], ["y"], (4.0, 12.0), (4.0, 12.0), 64.0, 64.0))
+
+
+_EVERY = "[half[1 + least(30, i_ * 31 // 63)] + (i_ * 31 / 63e0 - least(30, i_ * 31 // 63)) * (half[2 + least(30, i_ * 31 // 63)] - half[1 + least(30, i_ * 31 // 63)]) FOR i_ IN range(64)]"
+
+
+@query("plv_streams", rsql(f"""WITH {WAVES}, src AS (SELECT participant_id, condition, epoch_id, list(x ORDER BY seq) AS x, list(y ORDER BY seq) AS y, list(x * x + y ORDER BY seq) FILTER (seq % 2 = 0) AS half FROM waves GROUP BY ALL),
+ph AS (SELECT participant_id, condition, epoch_id, {_phase_sql("x", 64)} AS x, {_phase_sql("y", 64)} AS y, {_phase_sql("half", 32)} AS half FROM src), g AS (SELECT * REPLACE ({_EVERY} AS half) FROM ph)
+SELECT participant_id, condition, epoch_id, 0 AS stream_a, 1 AS stream_b, 'x-y' AS pair, {_locked_sql("x", "y", 64)} AS value FROM g
+UNION ALL SELECT participant_id, condition, epoch_id, 0, 2, 'x-half', {_locked_sql("x", "half", 64)} FROM g WHERE condition = 'A'
+UNION ALL SELECT participant_id, condition, epoch_id, 1, 2, 'y-half', {_locked_sql("y", "half", 64)} FROM g WHERE condition = 'A'""", "value"))
+def many_streams(spark, folder):
+    """Three streams; the third has half the rate and only epochs of one condition."""
+    w = waves(spark, folder)
+    half = w.where("seq % 2 = 0 AND condition = 'A'").withColumn("half", F.col("x") * F.col("x") + F.col("y"))
+    return rounded(plv_streams([Stream(w, ["x"], 64.0), Stream(w, ["y"], 64.0), Stream(half, ["half"], 32.0)], K))
 
 
 def _phase_table(spark, folder, channel, name, every=1):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,25 +17,25 @@ from ..functions.filters import analytic_phase, butterworth, zero_phase
 from ..plans.asof import asof_join
 from ..plans.ordered import AUTO, attach, once, ordered_scan
 from ..registry import operator
-from ..session import materialise
 from .spectral import gather
 
 
-@operator("analytic_phases")
-def analytic_phases(
-    epochs: DataFrame,
-    keys: Sequence[str],
-    channels: Sequence[str],
-    band: tuple[float, float] | None,
-    sfreq: float,
-    time: str = "time",
-) -> DataFrame:
-    """Band-pass (order 4, zero phase) and Hilbert phase: ``channel, idx, n, time, phase, next``.
+@dataclass(frozen=True)
+class Stream:
+    """An input of ``plv_streams``: channels of a continuous signal, or events where ``event`` names them."""
 
-    The Hilbert transform needs an epoch as a whole; groups are single channels of
-    single epochs, whose length is the epoch's duration times the rate.
-    """
-    group = [*keys, *EPOCH]
+    table: DataFrame
+    channels: Sequence[str] = ()
+    sfreq: float = 1.0
+    band: tuple[float, float] | None = None
+    time: str = "time"
+    event: str | None = None
+
+
+def phase_arrays(
+    epochs: DataFrame, group: Sequence[str], channels: Sequence[str], band: tuple[float, float] | None, sfreq: float, time: str = "time"
+) -> DataFrame:
+    """Band-pass (order 4, zero phase) and Hilbert phase: ``group, channel, __time, __phase`` with an array per channel and epoch."""
     rows = epochs.select(*group, F.col(time), *channels)
     zpk = butterworth(4, band[0], band[1], sfreq) if band else None
     # fixed value: the usual padding of a forward-backward pass, three times the nine coefficients
@@ -48,7 +50,25 @@ def analytic_phases(
         return pd.Series(out)
 
     arrays = gather(rows, group, time, channels, position="__time")
-    arrays = arrays.select(*group, "channel", "__time", phase("samples").alias("__phase"))
+    return arrays.select(*group, "channel", "__time", phase("samples").alias("__phase"))
+
+
+@operator("analytic_phases")
+def analytic_phases(
+    epochs: DataFrame,
+    keys: Sequence[str],
+    channels: Sequence[str],
+    band: tuple[float, float] | None,
+    sfreq: float,
+    time: str = "time",
+) -> DataFrame:
+    """Phases of ``phase_arrays`` sample by sample: ``channel, idx, n, time, phase, next``.
+
+    The Hilbert transform needs an epoch as a whole; groups are single channels of
+    single epochs, whose length is the epoch's duration times the rate.
+    """
+    group = [*keys, *EPOCH]
+    arrays = phase_arrays(epochs, group, channels, band, sfreq, time)
     n = F.size("__phase").cast("long")
     after = F.concat(F.slice("__phase", F.lit(2), F.greatest(F.size("__phase") - 1, F.lit(0))), F.slice("__phase", -1, 1))
     cells = F.arrays_zip(F.col("__time").alias("t"), F.col("__phase").alias("p"), after.alias("q"))
@@ -102,15 +122,69 @@ def plv_from_phases(a: DataFrame, b: DataFrame, keys: Sequence[str], hot=AUTO) -
     )
 
 
-@operator("plv", inputs=("a", "b"))
-def plv(a, b, keys, channels_a, channels_b, band_a, band_b, sfreq_a: float, sfreq_b: float, time: str = "time", hot=AUTO) -> DataFrame:
-    """Phase-locking value of the channels of two continuous streams per epoch.
+def _stretched(phases: np.ndarray, n: int) -> np.ndarray:
+    """Rows of phases interpolated linearly to n samples; a single sample stays constant."""
+    m = phases.shape[1]
+    if m == n:
+        return phases
+    at = np.arange(n) * ((m - 1) / (n - 1))
+    left = np.minimum(at.astype(int), max(m - 2, 0))
+    part, right = at - left, np.minimum(left + 1, m - 1)
+    return phases[:, left] + part * (phases[:, right] - phases[:, left])
+
+
+@operator("plv_streams")
+def plv_streams(streams: Sequence[Stream], keys: Sequence[str], hot=AUTO) -> DataFrame:
+    """Phase-locking value per epoch for every pair of streams: ``keys, condition, epoch_id, stream_a, stream_b, pair, value``.
 
-    Phases are written once to the shared folder, as the join reads them twice.
+    Each channel of a continuous stream meets those of every later continuous stream and every event stream;
+    ``stream_a`` and ``stream_b`` are positions in ``streams``.  Phases are made once per stream and move once, as one
+    array per epoch and channel; of different lengths the shorter is interpolated to the longer one's samples.  Only
+    epochs that both streams have give rows; null keys are keys; a null sample makes its channel's values nan.
+    A task holds the phases of one epoch.
     """
-    pa = materialise(analytic_phases(a, keys, channels_a, band_a, sfreq_a, time), "phases")
-    pb = materialise(analytic_phases(b, keys, channels_b, band_b, sfreq_b, time), "phases")
-    return plv_from_phases(pa, pb, keys, hot)
+    group = [*keys, *EPOCH]
+    waves = [(i, s) for i, s in enumerate(streams) if s.event is None]
+    if not waves or len(streams) < 2:
+        raise ValueError("two streams needed, one of them continuous")
+    out = []
+    if len(waves) > 1:
+        tables = [
+            phase_arrays(s.table, group, s.channels, s.band, s.sfreq, s.time).select(*group, F.lit(i).alias("stream"), "channel", "__phase")
+            for i, s in waves
+        ]
+        table = reduce(DataFrame.unionByName, tables)
+        fields = [table.schema[k] for k in group]
+        more = [("stream_a", T.IntegerType()), ("stream_b", T.IntegerType()), ("pair", T.StringType()), ("value", T.DoubleType())]
+        result = T.StructType([*fields, *[T.StructField(*m) for m in more]])
+
+        def locked(key, pdf):
+            have = {i: (rows["channel"].to_numpy(), np.stack(rows["__phase"].to_list())) for i, rows in pdf.groupby("stream")}
+            rows = []
+            for i, (names_a, a) in have.items():
+                for j, (names_b, b) in have.items():
+                    if i < j:
+                        n = max(a.shape[1], b.shape[1])
+                        value = np.abs(np.exp(1j * _stretched(a, n)) @ np.exp(-1j * _stretched(b, n)).T) / n
+                        rows += [(*key, i, j, f"{x}-{y}", v) for x, line in zip(names_a, value) for y, v in zip(names_b, line)]
+            return pd.DataFrame(rows, columns=result.names)
+
+        out.append(table.groupBy(*group).applyInPandas(locked, result))
+    for i, s in waves:
+        phases = None
+        for j, e in enumerate(streams):
+            if e.event is not None:
+                phases = analytic_phases(s.table, keys, s.channels, s.band, s.sfreq, s.time) if phases is None else phases
+                hits = plv_events(phases, e.table, keys, e.time, e.event, s.time, hot)
+                out.append(hits.select(*group, F.lit(i).alias("stream_a"), F.lit(j).alias("stream_b"), "pair", "value"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@operator("plv", inputs=("a", "b"))
+def plv(a, b, keys, channels_a, channels_b, band_a, band_b, sfreq_a: float, sfreq_b: float, time: str = "time", hot=AUTO) -> DataFrame:
+    """Phase-locking value of the channels of two continuous streams per epoch."""
+    both = [Stream(a, channels_a, sfreq_a, band_a, time), Stream(b, channels_b, sfreq_b, band_b, time)]
+    return plv_streams(both, keys, hot).drop("stream_a", "stream_b")
 
 
 @operator("plv_events", inputs=("phases", "events"))

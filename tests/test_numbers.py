@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sigstat.functions import dist
 from sigstat.functions.filters import analytic_phase, butterworth, zero_phase
 from sigstat.functions.patterns import glob_to_regex
+from sigstat.operators.coupling import Stream, plv_streams
 from sigstat.operators.filters import _keep_by_distance, detect_peaks, detect_r_peaks
 from sigstat.operators.inference import _inversions, anova_oneway, correlation_matrix, effect_size, fdr_bh, kendall, mann_whitney, ttest, wilcoxon
 from sigstat.operators.mixed import mixed_model
@@ -477,3 +478,27 @@ def test_exact_rank_distribution_is_symmetric_and_whole():
         shares = dist.mann_whitney_shares(n1, n2)
         middle = 1.0 if n1 * n2 % 2 else 1.0 + shares[-1] - (shares[-2] if len(shares) > 1 else 0.0)
         assert 2 * shares[-1] == pytest.approx(middle)
+
+
+def test_locking_of_many_streams(spark):
+    """Three signals, two of one rate, and beats; a null key is a key, an epoch that one stream lacks has no pair with it."""
+    n, rate = 40, 40.0
+    t = np.arange(n) / rate
+
+    def table(rows, *names):
+        return spark.createDataFrame(rows, "pid string, condition string, epoch_id string, time double, " + ", ".join(f"{c} double" for c in names))
+
+    phase = {None: 0.3, "p": 1.1}
+    a = table([(p, "c", "c_0", float(x), float(np.cos(10 * np.pi * x)), float(np.sin(10 * np.pi * x))) for p in phase for x in t], "a", "b")
+    c = table([("p", "c", "c_0", float(x), float(np.cos(10 * np.pi * x + phase["p"]))) for x in t], "c")
+    slow = table([(None, "c", "c_0", 0.0, 1.0)], "s")
+    beats = spark.createDataFrame([("p", "c", "c_0", 0.2 * k) for k in range(5)], "pid string, condition string, epoch_id string, time double")
+    out = plv_streams([Stream(a, ["a", "b"], rate), Stream(c, ["c"], rate), Stream(slow, ["s"], 1.0), Stream(beats, event="beats")], ["pid"])
+    got = {(r.pid, r.stream_a, r.stream_b, r.pair): r.value for r in out.collect()}
+    assert {k[1:] for k in got if k[0] == "p" and k[2] < 3} == {(0, 1, "a-c"), (0, 1, "b-c")}
+    assert got["p", 0, 1, "a-c"] == pytest.approx(1.0) and got["p", 0, 1, "b-c"] == pytest.approx(1.0)
+    # a single sample is a constant phase: five whole turns against it cancel out
+    assert got[None, 0, 2, "a-s"] == pytest.approx(0.0, abs=1e-9)
+    assert {k for k in got if k[2] == 3} == {(p, i, 3, f"{ch}-beats") for p, i, ch in ((None, 0, "a"), (None, 0, "b"), ("p", 0, "a"), ("p", 0, "b"), ("p", 1, "c"), (None, 2, "s"))}
+    with pytest.raises(ValueError):
+        plv_streams([Stream(a, ["a"], rate)], ["pid"])
