@@ -9,10 +9,11 @@ made order by order by joins of the n-grams with their contexts and with the nex
 Which documents are trusted is settled by two Bloom bitmaps of fixed size, so that their texts need not move to be counted.
 For scoring, documents are dealt to chunks by their id and move once, packed. Each chunk lists its distinct n-grams, these
 join with the model on the n-gram (backing off by joins where one is unseen), and the values go back to the chunk, where the
-perplexity of every whole text is summed up. A document is kept if its perplexity is at most its language's limit: median +
-``REACH`` times the distance from the median to the upper quantile ``UPPER``, of the held-out trusted documents of that
-language, or of all such documents for a language that has none (in logarithms; n characters add ``SLACK`` / sqrt(n), as the
-mean over few varies more). Without trusted documents all texts are kept.
+perplexity of every whole text is summed up. A document is kept if its perplexity is at most its language's limit: the
+quantile ``UPPER`` of the held-out trusted documents of that language, or of all such documents for a language that has none
+(in logarithms; n characters add ``SLACK`` / sqrt(n), as the mean over few varies more). Without trusted documents all texts
+are kept. Chunks are cut by bytes of text, so that a task's share doesn't grow with the input or with the length of texts; a
+single longer text makes its chunk longer.
 
 Null and empty texts have no perplexity and are not kept. Rows without an id go to chunks by their text and are never
 trusted. Of repeated labels of an id the lowest counts.
@@ -35,9 +36,9 @@ from sigstat.llm.toxicity import held_out
 
 ORDER, BITS = 5, 12
 OWN, SHARED = 0x600, 4095 - 0x601
-UPPER, REACH, SLACK = 0.95, 4.0, 1.5
-#: Documents of a chunk; at least so many chunks; distinct n-grams that a task holds before it sends them.
-ROWS, CHUNKS, HELD = 12_000, 24, 1 << 20
+UPPER, SLACK = 0.97, 0.5
+#: Bytes of text of a chunk; at least so many chunks; distinct n-grams that a task holds before it sends them.
+BYTES, CHUNKS, HELD = 24 << 20, 24, 1 << 20
 
 
 def grams(texts_: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -201,7 +202,8 @@ def unpacked(blobs: pa.ChunkedArray):
 
 def perplexities(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """doc_id, lang, n_symbols and mean log probability of every row (null for texts without characters)."""
-    dealt = packed(docs, max(CHUNKS, docs.count() // ROWS), doc_id, text, lang).repartition("chunk")
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    dealt = packed(docs, max(CHUNKS, size // BYTES), doc_id, text, lang).repartition("chunk")
 
     def listed(table: pa.Table) -> pa.Table:
         own = np.zeros(0, np.int64)
@@ -244,18 +246,17 @@ def perplexities(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: st
 
 
 def judged(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", lang: str = "lang", upper: float = UPPER, reach: float = REACH
+    docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", lang: str = "lang", upper: float = UPPER
 ) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, limit and kept of every row."""
     model = Model(counted(trusted(docs, labels, label, doc_id, text), "text"))
     scored = cut(perplexities(docs, model, doc_id, text, lang))
     known = _good(labels, label).filter(held_out(F.col("doc_id")))
     base = scored.join(known, "doc_id", "left_semi").filter("mean_lp IS NOT NULL")
-    points = F.percentile_approx(-F.col("mean_lp"), F.array(F.lit(0.5), F.lit(upper)), 10_000)
-    fence = lambda q: q[0] + reach * (q[1] - q[0])
-    limits = base.groupBy("lang").agg(points.alias("q")).select(F.col("lang").alias("__lang"), fence(F.col("q")).alias("__limit"))
-    pooled = base.agg(points.alias("q")).first().q  # two numbers
-    other = float(fence(pooled)) if pooled else float("inf")
+    point = F.percentile_approx(-F.col("mean_lp"), F.lit(upper), 10_000)
+    limits = base.groupBy("lang").agg(point.alias("__limit")).withColumnRenamed("lang", "__lang")
+    pooled = base.agg(point).first()[0]  # one number
+    other = float("inf") if pooled is None else float(pooled)
     limit = F.coalesce("__limit", F.lit(other)) + SLACK / F.sqrt(F.greatest("n_symbols", F.lit(1)))
     return scored.join(limits, F.col("lang").eqNullSafe(F.col("__lang")), "left").select(
         "doc_id", "lang", "n_symbols", F.exp(-F.col("mean_lp")).alias("perplexity"), F.exp(limit).alias("limit"),

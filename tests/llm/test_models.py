@@ -3,6 +3,7 @@
 import collections
 import itertools
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -135,7 +136,39 @@ def test_quality_keeps_clean(spark):
     folder = "/root/testdata/sf0.01"
     rows = quality.op7_quality(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
     assert np.mean([r.kept for r in rows if r.quality == 1]) > 0.97
-    assert np.mean([r.kept for r in rows if r.quality == 0]) < 0.3
+    assert np.mean([r.kept for r in rows if r.quality == 0]) < 0.05
+
+
+def test_quality_limits(spark):
+    """Limit and decision of every row from its perplexity: the quantile of the language's held-out good rows, else of all."""
+    texts = [f"the {w} {k} of the long {w} story" for k in range(40) for w in ("river", "house")]
+    rows = [(k, t, "en" if k % 3 else "de") for k, t in enumerate(texts)] + [(900, "the house of the river", "fr"), (901, "zzqx", None), (902, "", "en"), (903, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 7 != 0)) for k, *_ in rows[:80]], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.judged(docs, labels, upper=0.9).collect()}
+    assert set(got) == {r[0] for r in rows}
+    cost = {k: math.log(r.perplexity) for k, r in got.items() if r.n_symbols}
+    base = [k for k in range(80) if k % 7 and zlib.crc32(str(k).encode()) % 3 == 1]
+
+    def quantile(values):
+        return sorted(values)[math.ceil(0.9 * len(values)) - 1]
+
+    of = {lang: quantile([cost[k] for k in base if rows[k][2] == lang]) for lang in ("en", "de")}
+    pooled = quantile([cost[k] for k in base])
+    for k, text, lang in rows:
+        limit = of.get(lang, pooled) + quality.SLACK / math.sqrt(max(len(text or ""), 1))
+        assert got[k].limit == pytest.approx(math.exp(limit))
+        assert got[k].kept == (k in cost and cost[k] <= limit)
+
+
+def test_quality_chunks_by_bytes(spark, monkeypatch):
+    """Chunks of few bytes give the same perplexities as one chunk."""
+    docs = spark.createDataFrame([(k, "ab cd " * (k + 1), "en") for k in range(30)], "doc_id long, text string, lang string")
+    model = quality.Model(quality.counted(docs))
+    want = {r.doc_id: r.mean_lp for r in quality.perplexities(docs, model).collect()}
+    monkeypatch.setattr(quality, "CHUNKS", 1)
+    monkeypatch.setattr(quality, "BYTES", 64)
+    assert {r.doc_id: r.mean_lp for r in quality.perplexities(docs, model).collect()} == pytest.approx(want)
 
 
 def test_quality_odd(spark, odd, odd_rows, empty):
