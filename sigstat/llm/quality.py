@@ -237,8 +237,10 @@ def perplexities(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: st
             {"doc_id": pa.array(ids, id_type), "lang": pa.array(langs, pa.string()), "n_symbols": pa.array(size), "mean_lp": pa.array(mean, mask=size == 0)}
         )
 
-    keys = dealt.groupBy("chunk").applyInArrow(listed, "chunk int, key long").repartition("key")
-    # the first chunk of a key goes along, and is asked for, so that both reads of ``keys`` have the same columns and exchange
+    # the first chunk of a key goes along, and is asked for, and nulls are ruled out before the exchange (there are none), so that
+    # both reads of ``keys`` have the same columns and filters and share one exchange
+    listed_keys = dealt.groupBy("chunk").applyInArrow(listed, "chunk int, key long").filter("chunk IS NOT NULL AND key IS NOT NULL")
+    keys = listed_keys.repartition("key")
     distinct = keys.groupBy("key").agg(F.min("chunk").alias("first"))
     values = keys.join(model.probability(distinct), "key").filter("first <= chunk")
     both = dealt.groupBy("chunk").cogroup(values.select("chunk", "key", "lp").groupBy("chunk"))
