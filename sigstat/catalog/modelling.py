@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.classify import (
-    classification_report, forest, logo_classify, loso_window_dataset, permutation_p, permutation_test, permute_labels, window_covariance,
+    classification_report, forest, logo_classify, logo_gaussian, loso_window_dataset, permutation_p, permutation_test, permute_labels, window_covariance,
 )
 from ..operators.mixed import mixed_model
 from ..operators.models import contrasts, is_ordinal, linreg_grouped, linreg_wide, ols_cell_means, ridge
@@ -113,6 +113,27 @@ def logo(spark, folder):
     return pred.groupBy("c_mktsegment", "y").agg(F.count_distinct("c_custkey").alias("n"), F.bool_and(F.col("pred").isin("0", "1")).alias("known"))
 
 
+_GAUSSIAN = """c AS (SELECT c_custkey, c_mktsegment, c_acctbal / 1000 + c_nationkey / 10 AS f1, c_nationkey::DOUBLE AS f2, CAST(c_acctbal > 4500 AS INTEGER)::VARCHAR AS rich, (c_custkey % 3)::VARCHAR AS third FROM customer),
+l AS (SELECT * FROM c UNPIVOT (y FOR target IN (rich, third))), w AS (SELECT greatest(var_pop(f1), var_pop(f2)) * 1e-9 AS low FROM c),
+m AS (SELECT g.c_mktsegment, target, y, count(*) AS n, avg(f1) AS a1, avg(f2) AS a2, var_pop(f1) + any_value(low) AS v1, var_pop(f2) + any_value(low) AS v2 FROM l, w, (SELECT DISTINCT c_mktsegment FROM c) g WHERE l.c_mktsegment <> g.c_mktsegment GROUP BY ALL),
+s AS (SELECT l.c_custkey, l.c_mktsegment, l.target, l.y, m.y AS class, ln(n) - (ln(v1) + pow(f1 - a1, 2) / v1 + ln(v2) + pow(f2 - a2, 2) / v2) / 2 AS p FROM l JOIN m ON l.c_mktsegment = m.c_mktsegment AND l.target = m.target)"""
+
+
+@query("logo_gaussian", f"WITH {_GAUSSIAN} SELECT c_custkey, c_mktsegment, target, y, class AS pred FROM s QUALIFY row_number() OVER (PARTITION BY c_custkey, target ORDER BY p DESC, class) = 1")
+def gaussian(spark, folder):
+    """Every prediction of two targets; the twin trains each fold on the other groups' rows."""
+    df = _customers(spark, folder).withColumn("third", (F.col("c_custkey") % 3).cast("string"))
+    return logo_gaussian(df, ["rich", "third"], "c_mktsegment", ["f1", "f2"], ["c_custkey"])
+
+
+@query("classification_report_targets", rsql(f"""WITH {_GAUSSIAN}, p AS (SELECT c_mktsegment, target, y, class AS p FROM s QUALIFY row_number() OVER (PARTITION BY c_custkey, target ORDER BY s.p DESC, class) = 1),
+k AS (SELECT DISTINCT target, y AS class_label FROM p), t AS (SELECT k.target, class_label, count(*) FILTER (y = class_label) AS n_samples, count(*) FILTER (y = class_label AND p = class_label)::DOUBLE AS tp, count(*) FILTER (p = class_label) AS said, count(DISTINCT c_mktsegment) AS n_subjects FROM p JOIN k USING (target) GROUP BY ALL),
+r AS (SELECT target, class_label, n_samples, CASE WHEN said > 0 THEN tp / said ELSE 0 END AS precision, tp / n_samples AS recall, n_subjects FROM t)
+SELECT target, class_label, n_samples, precision, recall, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1_score, avg(recall) OVER (PARTITION BY target) AS balanced_accuracy, n_subjects FROM r""", "precision, recall, f1_score, balanced_accuracy"))
+def target_reports(spark, folder):
+    return rounded(classification_report(gaussian(spark, folder), "c_mktsegment", by=["target"]))
+
+
 @query("classification_report", rsql("""
 WITH p AS (SELECT lang, CAST(quality AS VARCHAR) AS y, CAST(toxic AS VARCHAR) AS p FROM labels JOIN documents USING (doc_id)), c AS (SELECT DISTINCT y AS class_label FROM p),
 m AS (SELECT class_label, count(*) FILTER (y = class_label) AS n_samples, count(*) FILTER (y = class_label AND p = class_label)::DOUBLE AS tp, count(*) FILTER (p = class_label) AS said FROM p, c GROUP BY ALL),

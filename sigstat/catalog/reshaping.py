@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.reshape import (
-    bin_by_labels, files_to_participant_table, map_join, overlay_series, pivot_long_to_wide, relative_long,
+    bin_by_labels, files_to_participant_table, map_join, overlay_long, overlay_series, pivot_long_to_wide, relative_long,
     relative_to_baseline, stack_conditions, unpivot_wide_to_long,
 )
 from .base import query, rounded, rsql, table
@@ -111,6 +111,16 @@ def overlay(spark, folder):
     return overlay_series(s, "g")
 
 
+@query("overlay_long", """
+SELECT l_linestatus AS indicator, l_returnflag AS "group", 'flag ' || l_returnflag AS label, row_number() OVER (PARTITION BY l_linestatus, l_returnflag ORDER BY x, y) - 1 AS idx, x, y
+FROM (SELECT l_linestatus, l_returnflag, date_diff('day', DATE '1990-01-01', l_shipdate::DATE)::DOUBLE AS x, l_extendedprice AS y FROM lineitem)""")
+def overlaid_rows(spark, folder):
+    """Every line as a point of its series."""
+    day = F.datediff(F.to_date("l_shipdate"), F.lit("1990-01-01").cast("date"))
+    s = table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", day.alias("x"), "l_extendedprice", F.concat(F.lit("flag "), "l_returnflag").alias("name"))
+    return overlay_long(s, "l_returnflag", "x", "l_linestatus", "l_extendedprice", "name").withColumnRenamed("l_linestatus", "indicator")
+
+
 _STACK = """s AS (SELECT l_returnflag AS pid, l_linestatus AS c, year(l_shipdate) AS x, round(avg(l_quantity), 4) AS y, round(stddev_samp(l_quantity), 4) AS e FROM lineitem GROUP BY ALL),
 st AS (SELECT pid, c, list(y ORDER BY x) AS y, list(e ORDER BY x) AS e FROM s GROUP BY ALL)"""
 

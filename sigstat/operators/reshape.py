@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import field, is_numeric
-from ..plans.ordered import attach
+from ..plans.ordered import AUTO, attach, ordered_scan
 from ..registry import operator
 
 
@@ -195,6 +195,25 @@ def overlay_series(
     )
 
 
+@operator("overlay_long")
+def overlay_long(
+    df: DataFrame, group: str, x: str = "year", indicator: str = "indicator", value: str = "value", label: str | None = None, hot=AUTO
+) -> DataFrame:
+    """The series of ``overlay_series`` as rows: ``indicator, group, label, idx, x, y``, one per point, numbered by x and value.
+
+    No list is made, so a series may have any length; groups without a point have no row, null groups and indicators
+    are series of their own.
+    """
+    g = F.col(group).cast("string")
+    keyed = df.select(F.col(indicator).alias(indicator), g.alias("__g"), (F.col(label).cast("string") if label else g).alias("__label"),
+                      F.col(x).cast("double").alias("__x"), F.col(value).cast("double").alias("__y"))
+    names = keyed.groupBy("__g").agg(F.min("__label").alias("__label"))
+    points = ordered_scan(keyed.drop("__label").where("__x IS NOT NULL AND __y IS NOT NULL"), [indicator, "__g"], ["__x", "__y"], index="__idx", hot=hot)
+    return attach(points, names, ["__g"]).select(
+        indicator, F.col("__g").alias("group"), F.col("__label").alias("label"), F.col("__idx").alias("idx"), F.col("__x").alias("x"), F.col("__y").alias("y")
+    )
+
+
 @operator("relative_to_baseline")
 def relative_to_baseline(df: DataFrame, baseline: str | None = None) -> DataFrame:
     """Stacked rows relative to one of their conditions, which then leaves.

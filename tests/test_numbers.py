@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from sigstat.functions import dist
 from sigstat.functions.filters import analytic_phase, butterworth, zero_phase
 from sigstat.functions.patterns import glob_to_regex
+from sigstat.operators.classify import logo_gaussian
 from sigstat.operators.coupling import Stream, plv_streams
 from sigstat.operators.filters import _keep_by_distance, detect_peaks, detect_r_peaks
 from sigstat.operators.inference import _inversions, anova_oneway, correlation_matrix, effect_size, fdr_bh, kendall, mann_whitney, ttest, wilcoxon
 from sigstat.operators.mixed import mixed_model
 from sigstat.operators.models import contrasts, linreg_wide, ols_cell_means
-from sigstat.operators.reshape import bin_by_labels, pivot_long_to_wide
+from sigstat.operators.reshape import bin_by_labels, overlay_long, pivot_long_to_wide
 from sigstat.operators.resample import block_draws, bootstrap_ci, resample
 from sigstat.operators.segment import epoch_by_events, sliding_epochs
 from sigstat.operators.select import flatten_lists, reject_samples, resolve_selector, row_filter, strict_guard
@@ -502,3 +503,33 @@ def test_locking_of_many_streams(spark):
     assert {k for k in got if k[2] == 3} == {(p, i, 3, f"{ch}-beats") for p, i, ch in ((None, 0, "a"), (None, 0, "b"), ("p", 0, "a"), ("p", 0, "b"), ("p", 1, "c"), (None, 2, "s"))}
     with pytest.raises(ValueError):
         plv_streams([Stream(a, ["a"], rate)], ["pid"])
+
+
+def test_gaussian_folds(spark):
+    """Against a fit of every fold; null labels leave one target, a group with all rows of a target has no model."""
+    rng = random.Random(5)
+    rows = [(k, "abcd"[min(k % 7, 3)], rng.gauss(k % 2, 0.7), rng.gauss(5.0, 0.0) + 1e6, str(k % 2), None if k % 5 == 0 else "hi" if k % 3 else "lo", "all" if k % 7 == 1 else None) for k in range(80)]
+    rows += [(100, None, 1.0, 1.0, "0", "hi", None), (101, "a", None, 1.0, "0", "hi", None)]
+    df = spark.createDataFrame(rows, "id long, g string, f1 double, f2 double, t1 string, t2 string, t3 string")
+    got = {(r.id, r.target): r for r in logo_gaussian(df, ["t1", "t2", "t3"], "g", ["f1", "f2"], ["id"]).collect()}
+    used = [r for r in rows if r[1] is not None and r[2] is not None]
+    low = max(np.var([r[2] for r in used]), np.var([r[3] for r in used])) * 1e-9
+    for at, name in ((4, "t1"), (5, "t2"), (6, "t3")):
+        own = [r for r in used if r[at] is not None]
+        assert {k[0] for k in got if k[1] == name} == {r[0] for r in own}
+        for r in own:
+            best = None
+            for y in sorted({o[at] for o in own if o[1] != r[1]}):
+                fit = np.array([o[2:4] for o in own if o[1] != r[1] and o[at] == y])
+                var = fit.var(axis=0) + low
+                p = math.log(len(fit)) - ((np.log(var) + (np.array(r[2:4]) - fit.mean(axis=0)) ** 2 / var) / 2).sum()
+                best = max(best, (p, y), key=lambda v: v[0]) if best else (p, y)
+            assert got[r[0], name].pred == (best[1] if best else None)
+
+
+def test_overlay_in_rows(spark):
+    rows = [("i", "a", 2.0, 1.0), ("i", "a", 1.0, 3.0), ("i", None, 1.0, 5.0), (None, "a", 1.0, 7.0), ("i", "b", None, 1.0), ("i", "b", 1.0, None)]
+    df = spark.createDataFrame(rows, "indicator string, g string, year double, value double")
+    got = {tuple(r) for r in overlay_long(df, "g").collect()}
+    assert got == {("i", "a", "a", 0, 1.0, 3.0), ("i", "a", "a", 1, 2.0, 1.0), ("i", None, None, 0, 1.0, 5.0), (None, "a", "a", 0, 1.0, 7.0)}
+    assert overlay_long(df.limit(0), "g").count() == 0
