@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.patterns import glob_to_regex
 from ..plans.asof import asof_join
-from ..plans.ordered import AUTO, attach, once, ordered_scan
+from ..plans.ordered import AUTO, LARGE, STORED, attach, once, ordered_scan, stored
+from ..plans.skew import BLOCK, TIE, find_hot_keys, with_blocks
 from ..registry import operator
 from ..session import materialise
 
@@ -53,7 +55,8 @@ def _nested(marks: DataFrame, hot, parents: bool = True) -> DataFrame:
     events = marks.select("doc_id", F.col("node").alias("__t"), F.explode(events).alias("__e")).select("doc_id", "__t", "__e.*")
     scan = ordered_scan(
         events, ["doc_id", "__l"], ["__t", "__kind"],
-        ffill={"__up": F.when(F.col("__kind") == 2, F.col("__t"))}, bfill={"__shut": F.when(F.col("__kind") == 0, F.col("__t"))}, hot=hot,
+        ffill={"__up": F.when(F.col("__kind") == 2, F.col("__t"))}, bfill={"__shut": F.when(F.col("__kind") == 0, F.col("__t"))},
+        hot=AUTO if hot == STORED else hot,
     )
     if not parents:
         return scan.where("__kind = 2").select("doc_id", F.col("__t").alias("node"), F.col("__shut").alias("end"))
@@ -64,6 +67,83 @@ def _nested(marks: DataFrame, hot, parents: bool = True) -> DataFrame:
     )
 
 
+def _open_nodes(entries: DataFrame, depth_key: str, order: list[str], hot) -> DataFrame:
+    """Entries with their number, the node that each opens and the open node and its depth; markers that jump are left out.
+
+    One pass over blocks in order, written once.  What a block takes from those before it (the last level, the height, its
+    minimum, the open node) decides the step of the block's first marker and shifts the rest, so that inside blocks the
+    first marker counts 0 and a row per block carries the rest.  The height is a sum of steps that never falls below 0:
+    the running sum less its running minimum.
+    """
+    marker = F.col("key").eqNullSafe(F.lit(depth_key)) & F.col("value").rlike(r"^\d+$")
+    base = entries.select("doc_id", *order, "key", "value", F.when(marker, F.col("value").try_cast("long")).alias("__level"))
+    if hot in (AUTO, STORED):
+        hot = find_hot_keys(base, ["doc_id"], order, counted=True)
+    blocked = base.withColumns({TIE: F.lit(0), BLOCK: F.lit(-1)}) if hot is None else with_blocks(base, hot, order)
+    w = W.partitionBy("doc_id", BLOCK).orderBy(*order, *([] if hot is None else [TIE]))
+    run = w.rowsBetween(W.unboundedPreceding, 0)
+    level, was, rn, rf = F.col("__level"), F.col("__was"), F.col("__rn"), F.col("__rf")
+    local = blocked.withColumns({"__rn": F.row_number().over(w), "__was": F.last("__level", True).over(w.rowsBetween(W.unboundedPreceding, -1))})
+    local = local.withColumn("__rf", F.min(F.when(level.isNotNull(), rn)).over(run))
+    later = level.isNotNull() & was.isNotNull()
+    jump = later & (level > was + 1)
+    step = F.when(later & ~jump, F.when(level > was, 1).otherwise(level - was)).otherwise(0)
+    local = local.withColumn("__kind", F.when(jump, 2).when(later, 1).otherwise(0))
+    kinds = {f"__{n}": F.sum((F.col("__kind") == k).cast("int")).over(run).cast("int") for n, k in (("c", 1), ("x", 2))}
+    local = local.withColumns({"__s": F.sum(step.cast("long")).over(run), **kinds})
+    place = (rn - 1 - F.col("__x") + F.col("__c")).cast("int")  # of a node in its block, one less than its number there
+    local = local.withColumns({
+        "__low": F.min(F.when(level.isNotNull(), F.col("__s"))).over(run), "__open": F.last(F.when(F.col("__kind") == 1, place), True).over(run),
+    })
+    local = materialise(local.drop(*order, TIE, "__was"), "local")
+
+    end = lambda c: F.max_by(c, "__rn")
+    blocks = local.where(F.col(BLOCK) >= 0).groupBy("doc_id", BLOCK).agg(
+        F.max("__rn").cast("long").alias("n"), F.min("__rf").alias("rf"), F.min(F.when(rn == rf, level)).alias("first"),
+        F.max_by("__level", F.when(level.isNotNull(), rn)).alias("last"), end("__s").alias("s"), end("__c").alias("c"), end("__x").alias("x"),
+        F.min("__low").alias("low"), end("__open").alias("open"),
+    )
+    before = W.partitionBy("doc_id").orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    blocks = blocks.withColumn("in", F.last("last", True).over(before))
+    first, last = F.col("first"), F.col("in")
+    leap = F.coalesce(first > last + 1, F.lit(False))
+    blocks = blocks.withColumns({
+        "__dx": leap.cast("int"), "__dc": (first.isNotNull() & ~leap).cast("int"),
+        "__ds": F.when(first.isNull() | leap, 0).when(last.isNull() | (first > last), 1).otherwise(first - last).cast("long"),
+    })
+    total = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    blocks = blocks.withColumns({
+        "__on": total("n"), "__os": total(F.col("s") + F.col("__ds")), "__oc": total(F.col("c") + F.col("__dc")), "__ox": total(F.col("x") + F.col("__dx")),
+    })
+    shift = F.col("__on") - F.col("__ox") - F.col("__dx") + F.col("__oc") + F.col("__dc") + 1
+    left = shift + F.coalesce("open", F.when(F.col("__dc") == 1, F.col("rf") - 1))
+    blocks = blocks.withColumns({
+        "__il": F.min(F.col("__os") + F.col("__ds") + F.col("low")).over(before), "__io": F.last(left, True).over(before),
+    })
+    keep = ["__dx", "__dc", "__ds", "__on", "__os", "__oc", "__ox", "__il", "__io"]
+    carry = materialise(blocks.select("doc_id", BLOCK, *keep), "carry")
+
+    rows = attach(local, carry, ["doc_id", BLOCK])
+    zero = F.lit(0)
+    seen = rf.isNotNull()
+    of = lambda c, other: F.when(seen, F.coalesce(c, F.lit(other))).otherwise(zero)
+    dx, dc, ds = of("__dx", 0), of("__dc", 1), of("__ds", 1)
+    was_s, head = F.coalesce("__os", zero), F.coalesce(rn == rf, F.lit(False))
+    x, c = F.coalesce("__ox", zero) + dx + F.col("__x"), F.coalesce("__oc", zero) + dc + F.col("__c")
+    # numbers: 0 the first node, 1 its level leaf, then entries with a node before each marker; a detached marker takes its leaf with it
+    seq = F.coalesce("__on", zero) + rn - 1 - x + c + 2
+    low = F.least("__il", F.when(seen, was_s + ds + F.col("__low")))
+    height = was_s + ds + F.col("__s") - F.least(low, zero)
+    base_ = F.coalesce("__on", zero) - F.coalesce("__ox", zero) - dx + F.coalesce("__oc", zero) + dc + 1
+    opened = F.coalesce(base_ + F.col("__open"), F.when(seen & (dc == 1), base_ + rf - 1), F.col("__io"))
+    detached = (F.col("__kind") == 2) | (head & (dx == 1))
+    kept = (F.col("__kind") == 1) | (head & (dx == 0))
+    return rows.where(~detached).select(
+        "doc_id", "key", "value", seq.cast("long").alias("seq"), F.when(kept, seq - 1).cast("long").alias("__node"),
+        opened.cast("long").alias("__open"), height.cast("int").alias("__depth"),
+    )
+
+
 @operator("build_tree")
 def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line_no", "pos"), hot=AUTO) -> DataFrame:
     """Node table of the entries of each document.
@@ -76,39 +156,24 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
     and what follows goes to the node that was open.
     """
     hot = once(entries, ["doc_id"], hot)
-    marker = F.col("key").eqNullSafe(F.lit(depth_key)) & F.col("value").rlike(r"^\d+$")
-    base = entries.select("doc_id", *order, "key", "value", F.when(marker, F.col("value").try_cast("long")).alias("__level"))
-    scan = ordered_scan(base, ["doc_id"], list(order), index="__i", prior={"__was": "__level"}, hot=hot).drop(*order)
-    # the open height is a sum of steps that never falls below 0: the running sum less its running minimum
-    level, was = F.col("__level"), F.col("__was")
-    jump = level.isNotNull() & F.coalesce(level > was + 1, F.lit(False))
-    step = F.when(level.isNull() | jump, 0).when(was.isNull() | (level > was), 1).otherwise(level - was)
-    kept = level.isNotNull() & ~jump
-    scan = scan.withColumns({"__kept": kept, "__jump": jump})
-    scan = ordered_scan(
-        scan, ["doc_id"], ["__i"], cumsum={"__s": step.cast("long"), "__c": F.col("__kept").cast("long"), "__x": F.col("__jump").cast("long")}, hot=hot
-    )
-    # numbers: 0 the first node, 1 its level leaf, then entries with a node before each marker; a detached marker takes its leaf with it
-    seq = F.col("__i") - F.col("__x") + F.col("__c") + 2
-    scan = scan.withColumns({"seq": seq, "__node": F.when(F.col("__kept"), seq - 1)})
-    scan = ordered_scan(scan, ["doc_id"], ["__i"], cummin={"__low": "__s"}, ffill={"__open": "__node"}, hot=hot)
-    height = (F.col("__s") - F.least("__low", F.lit(0))).cast("int")
-    scan = materialise(scan.where("not __jump").select("doc_id", "key", "value", "seq", "__node", "__open", height.alias("__depth")), "marked")
-
+    scan = _open_nodes(entries, depth_key, list(order), hot)
+    hot = stored(hot)
     nested = _nested(scan.where("__node is not null").select("doc_id", F.col("__node").alias("node"), F.col("__depth").alias("depth")), hot)
+    if hot is not None:
+        nested = materialise(nested, "nested")
     last = scan.groupBy("doc_id").agg(
         F.max("seq").alias("__last"), F.min(F.when(F.col("__depth") == 0, F.col("__node"))).alias("__top"),
         F.bool_or(F.col("__open").isNull() & F.col("key").eqNullSafe(F.lit(depth_key))).alias("__has"),
     )
+    last = materialise(last, "last")
     none, zero, one = F.lit(None).cast("string"), F.lit(0).cast("long"), F.lit(1).cast("long")
     # top nodes stand beside the first node (number 0); depth 1 hangs on it unless a top node is open
     up = F.when(F.col("depth") == 0, F.lit(None).cast("long")).otherwise(F.coalesce("parent", F.lit(0)))
     inner = attach(nested.withColumn("parent_id", up), last, ["doc_id"], "inner")
     # leaves follow their node at once, so the first inner child tells how many there are
-    inner = materialise(ordered_scan(inner, ["doc_id", "parent_id"], ["node"], index="__k", hot=hot), "inner")
-    before = inner.groupBy("doc_id", "parent_id").agg(F.min("node").alias("__head"))
+    inner = ordered_scan(inner, ["doc_id", "parent_id"], ["node"], index="__k", cummin={"__head": "node"}, hot=hot)
     head = F.col("__head") - F.when(F.col("parent_id") > 0, F.col("parent_id") + 1).otherwise(1 + F.col("__has").cast("long"))
-    structural = attach(inner, before, ["doc_id", "parent_id"]).select(
+    structural = inner.select(
         "doc_id", F.col("node").alias("node_id"), "parent_id", F.col("depth").alias("level"), F.col("node").alias("seq"),
         (F.col("__k") + F.when(F.col("parent_id").isNull(), 1).otherwise(head)).alias("ordinal"),
         none.alias("entry"), none.alias("value"), F.lit(True).alias("is_structural"), F.coalesce(F.col("end") - 1, F.col("__last")).alias("subtree_end"),
@@ -148,7 +213,10 @@ def node_onsets(nodes: DataFrame, hot=AUTO) -> DataFrame:
     leaf = nodes.where(~F.col("is_structural") & _is_onset(True) & (F.col("value") != ""))
     own = leaf.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.min_by("value", "seq").try_cast("double").alias("__v"))
     own = own.select("doc_id", "node_id", F.when(F.col("__v") != 0, F.col("__v")).alias("__own"))
-    rows = attach(nodes.where("is_structural"), own, ["doc_id", "node_id"])
+    inner = nodes.where("is_structural")
+    hot = once(inner, ["doc_id"], hot)
+    hot = LARGE if hot == AUTO else hot
+    rows = attach(inner, own, ["doc_id", "node_id"])
     hit = F.when(F.col("__own").isNotNull(), F.struct("seq", F.col("__own").alias("onset")))
     scan = ordered_scan(rows, ["doc_id"], ["seq"], bfill={"__nx": hit}, hot=hot)
     below = F.when(F.col("__nx.seq") <= F.col("subtree_end"), F.col("__nx.onset"))
@@ -162,7 +230,6 @@ def renumber(inner: DataFrame, leaves: DataFrame, deepest: int, hot=AUTO) -> Dat
     with the logarithm of the depth.  In the order of paths a node's number is the running sum of what comes before,
     its leaves counted; leaves are numbered below their parent and join once.
     """
-    leaves = ordered_scan(leaves, ["doc_id", "parent_id"], ["seq"], index="ordinal", hot=hot)
     counts = leaves.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.count(F.lit(1)).alias("__leaves"))
     inner = materialise(attach(inner, counts, ["doc_id", "node_id"]).na.fill(0, ["__leaves"]), "inner")
     ways = inner.select("doc_id", "node_id", F.col("parent_id").alias("__up"), F.array("__k").alias("__path"))
@@ -177,17 +244,21 @@ def renumber(inner: DataFrame, leaves: DataFrame, deepest: int, hot=AUTO) -> Dat
         if 2 * reach <= deepest:  # the last two rounds repeat a small join instead
             ways = materialise(ways, "paths")
     rows = attach(inner, ways.select("doc_id", "node_id", "__path"), ["doc_id", "node_id"])
-    rows = ordered_scan(rows, ["doc_id"], ["__path"], cumsum={"__upto": F.col("__leaves") + 1}, hot=hot)
+    whole = once(inner, ["doc_id"], AUTO if hot == STORED else hot)
+    rows = ordered_scan(rows, ["doc_id"], ["__path"], cumsum={"__upto": F.col("__leaves") + 1}, hot=LARGE if whole == AUTO else whole)
     seq = F.col("__upto") - F.col("__leaves") - 1
     rows = materialise(rows.withColumn("seq", seq).drop("__path"), "numbered")
     ends = _nested(rows.select("doc_id", F.col("seq").alias("node"), F.col("level").cast("int").alias("depth")), hot, parents=False)
-    last = rows.groupBy("doc_id").agg((F.max("__upto") - 1).alias("__last"))
+    last = materialise(rows.groupBy("doc_id").agg((F.max("__upto") - 1).alias("__last")), "last")
     place = rows.select("doc_id", F.col("node_id").alias("parent_id"), F.col("seq").alias("__ps"), F.col("__leaves").alias("__pl"))
     out = attach(attach(rows, ends.select("doc_id", F.col("node").alias("seq"), "end"), ["doc_id", "seq"]), last, ["doc_id"])
     out = attach(out, place.drop("__ps"), ["doc_id", "parent_id"])
     out = out.withColumns({"ordinal": F.col("__k") + F.coalesce("__pl", F.lit(0)), "subtree_end": F.coalesce(F.col("end") - 1, F.col("__last"))})
-    low = attach(leaves.drop("seq"), place.drop("__pl"), ["doc_id", "parent_id"]).withColumn("seq", F.col("__ps") + 1 + F.col("ordinal"))
-    return out.select(*NODE).unionByName(low.withColumn("subtree_end", F.col("seq")).select(*NODE))
+    # numbering and join take the same key, so that the leaves move once; a struct's nulls are equal
+    key = F.struct("doc_id", "parent_id").alias("__key")
+    leaves = ordered_scan(leaves.select(key, "node_id", "level", "seq", "entry", "value"), ["__key"], ["seq"], index="ordinal", hot=hot)
+    low = leaves.drop("seq").join(place.select(key, "__ps"), "__key", "left").select("*", "__key.*").withColumn("seq", F.col("__ps") + 1 + F.col("ordinal"))
+    return out.select(*NODE).unionByName(low.withColumns({"subtree_end": F.col("seq"), "is_structural": F.lit(False)}).select(*NODE))
 
 
 @operator("reparent_by_onset")
@@ -201,23 +272,27 @@ def reparent_by_onset(nodes: DataFrame, deepest: int | None = None, hot=AUTO) ->
     """
     hot = once(nodes, ["doc_id"], hot)
     deepest = deepest if deepest is not None else nodes.where("is_structural").agg(F.max("level")).first()[0] or 0
-    on = node_onsets(nodes, hot)
-    flags = on.groupBy("doc_id", "level").agg(F.count_if(F.col("onset").isNull()).alias("__bad"))
+    # written once; what is joined by level has a row per document and level
+    on = materialise(node_onsets(nodes, hot), "onsets")
+    hot = stored(hot)
+    flags = materialise(on.groupBy("doc_id", "level").agg(F.count_if(F.col("onset").isNull()).alias("__bad")), "flags")
     parents = flags.select("doc_id", (F.col("level") + 1).alias("level"), F.col("__bad").alias("__pbad"))
     rows = attach(attach(on, flags, ["doc_id", "level"]), parents, ["doc_id", "level"])
     move = (F.col("level") >= 2) & (F.col("__bad") == 0) & (F.col("__pbad") == 0)
-    rows = materialise(rows.withColumn("__move", F.coalesce(move, F.lit(False))), "onsets")
-    on = rows.select("doc_id", "node_id", "level", "seq", "onset")
+    rows = rows.withColumn("__move", F.coalesce(move, F.lit(False)))
     targets = on.where("onset is not null").select(
         "doc_id", (F.col("level") + 1).alias("level"), F.col("onset").alias("__pt"), F.col("seq").alias("__ps"), F.col("node_id").alias("__pid")
     )
     first = targets.groupBy("doc_id", "level").agg(F.min_by("__pid", F.struct("__pt", "__ps")).alias("__first"))
+    first = materialise(first, "first")
     moved = asof_join(rows.where("__move"), targets, ["doc_id", "level"], "onset", "__pt", ["__ps", "__pid"], "__hit", hot=hot)
     moved = attach(moved, first, ["doc_id", "level"]).withColumn("parent_id", F.coalesce("__hit.__pid", "__first"))
     stay = rows.where(~F.col("__move"))
     sort_key = F.when(F.col("__bad") == 0, F.col("onset"))
     cols = ["doc_id", "node_id", "parent_id", "level", "seq", "entry", "value", "is_structural"]
     placed = moved.select(*cols, sort_key.alias("__k")).unionByName(stay.select(*cols, sort_key.alias("__k")))
+    if hot is not None:
+        placed = materialise(placed, "placed")
     inner = ordered_scan(placed, ["doc_id", "parent_id"], ["__k", "seq"], index="__rank", hot=hot)
     inner = inner.drop("__k", "seq").withColumnRenamed("__rank", "__k")
     return renumber(inner, nodes.where(~F.col("is_structural")).select(*cols), deepest, hot)
@@ -230,7 +305,8 @@ def node_property(nodes: DataFrame, keys: Sequence[str] | str, hot=AUTO) -> Data
     hits = {
         f"__nx{i}": F.when(~F.col("is_structural") & (F.col("entry") == k), F.struct("seq", "value")) for i, k in enumerate(keys)
     }
-    scan = ordered_scan(nodes, ["doc_id"], ["seq"], bfill=hits, hot=hot).where("is_structural")
+    rows = nodes.where(F.col("is_structural") | F.col("entry").isin(keys))  # others neither ask nor answer
+    scan = ordered_scan(rows, ["doc_id"], ["seq"], bfill=hits, hot=stored(hot)).where("is_structural")
     props = {k: F.when(F.col(f"__nx{i}.seq") <= F.col("subtree_end"), F.col(f"__nx{i}.value")) for i, k in enumerate(keys)}
     return scan.withColumns({f"prop_{k}": c for k, c in props.items()}).drop(*hits)
 

@@ -18,11 +18,16 @@ from . import skew
 from ..session import materialise
 from .skew import BLOCK, TIE, HotKeys, attach, find_hot_keys, largest_group, with_blocks
 
-AUTO = "auto"
+AUTO, STORED, LARGE = "auto", "stored", "large"  # STORED: a scan of stored tables gives the rows; LARGE: some group is known to be large
 
 
 def resolve_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str, hot) -> HotKeys | None:
-    return find_hot_keys(df, keys, order) if hot == AUTO else hot
+    return find_hot_keys(df, keys, order) if hot in (AUTO, STORED, LARGE) else hot
+
+
+def stored(hot):
+    """For rows that a scan of stored tables gives: large groups need no copy of them before their passes."""
+    return STORED if hot == AUTO else hot
 
 
 def once(df: DataFrame, keys: Sequence[str], hot):
@@ -64,7 +69,16 @@ def ordered_scan(
     lag, lead, cumsum = dict(lag or {}), dict(lead or {}), dict(cumsum or {})
     ffill, bfill, cummin_back = dict(ffill or {}), dict(bfill or {}), dict(cummin_back or {})
     prior, cummin = dict(prior or {}), dict(cummin or {})
-    hot = resolve_hot(df, keys, order, hot)
+    names = df.columns
+    if hot in (AUTO, STORED, LARGE):
+        if hot != LARGE and largest_group(df, keys) <= skew.BLOCK_ROWS:
+            hot = None
+        else:
+            # written once: cuts, windows and carry read it and don't repeat what made it
+            df = df if hot == STORED else materialise(df, "rows")
+            hot = find_hot_keys(df, keys, order, counted=True)
+    elif hot is not None:
+        df = materialise(df, "rows")
 
     def as_col(c):
         return F.col(c) if isinstance(c, str) else c
@@ -88,8 +102,7 @@ def ordered_scan(
             added[size] = F.count(F.lit(1)).over(W.partitionBy(*keys))
         return df.withColumns(added)
 
-    # written once: the windows and the carry both read it, and later passes don't repeat what made it
-    blocked = materialise(with_blocks(df, hot, order), "blocks")
+    blocked = with_blocks(df, hot, order)
     order, group = [*order, TIE], [*keys, BLOCK]
     w = W.partitionBy(*group).orderBy(*order)
     run = w.rowsBetween(W.unboundedPreceding, 0)
@@ -116,7 +129,8 @@ def ordered_scan(
     wk = W.partitionBy(*keys).orderBy(BLOCK)
     after = W.partitionBy(*keys).orderBy(F.desc(BLOCK)).rowsBetween(W.unboundedPreceding, -1)
     before = wk.rowsBetween(W.unboundedPreceding, -1)
-    carry = blocked.groupBy(*group).agg(*aggs).select(
+    # a row for each block of the hot keys; written, so that its size is known and a small one does not move the rows
+    carry = blocked.where(F.col(BLOCK) >= 0).groupBy(*group).agg(*aggs).select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(group)],
         "__cnt",
         F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"),
@@ -129,11 +143,14 @@ def ordered_scan(
         *[F.min(f"__low_{n}").over(after).alias(f"__cmb_{n}") for n in cummin_back],
         *[F.min(f"__low_{n}").over(before).alias(f"__cmf_{n}") for n in cummin],
     )
+    carry = materialise(carry, "carry")
+    if size:
+        local["__own"] = F.count(F.lit(1)).over(W.partitionBy(*group))
     main = blocked.withColumns(local)
     cond = F.lit(True)
     for i, k in enumerate(group):
         cond = cond & main[k].eqNullSafe(carry[f"__k{i}"])
-    out = main.join(carry, cond, "inner")
+    out = main.join(carry, cond, "left")
     final = {n: F.when(F.col("__rn") == 1, F.col(f"__cl_{n}")).otherwise(F.col(f"__lag_{n}")) for n in lag}
     final |= {
         n: F.when(F.col("__rn") == F.col("__cnt"), F.col(f"__cf_{n}")).otherwise(F.col(f"__lead_{n}"))
@@ -152,10 +169,10 @@ def ordered_scan(
     final |= {n: F.coalesce(f"__bf_{n}", f"__cbf_{n}") for n in bfill}
     final |= {n: F.least(f"__mb_{n}", f"__cmb_{n}") for n in cummin_back}
     if index:
-        final[index] = F.col("__rn") - 1 + F.col("__off")
+        final[index] = F.col("__rn") - 1 + F.coalesce("__off", F.lit(0))
     if size:
-        final[size] = F.col("__all")
-    return out.withColumns(final).select(*df.columns, *final)
+        final[size] = F.coalesce("__all", "__own")
+    return out.withColumns(final).select(*names, *final)
 
 
 GROUP_LIMIT = 1000  # Spark prunes row_number() <= n before the shuffle up to this n

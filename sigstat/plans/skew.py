@@ -72,30 +72,34 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if plain(f.dataType)], F.lit(0))
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str, rows: int | None = None) -> HotKeys | None:
-    """The keys that need cutting, or None where no group has more than ``rows`` rows."""
+def find_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str, rows: int | None = None, counted: bool = False) -> HotKeys | None:
+    """The keys that need cutting, or None where no group has more than ``rows`` rows.
+
+    Where the caller has ``counted`` a large group, one more pass takes the sample of all keys; the number of sampled
+    rows tells which are large.
+    """
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
     rows = rows or BLOCK_ROWS
-    if largest_group(df, keys) <= rows:
+    if not counted and largest_group(df, keys) <= rows:
         return None
-    big = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows)
+    step = max(1, rows // PER_CUT)
     tied = df.select(*dict.fromkeys([*keys, *order]), row_hash(df).alias(TIE))
-    few = tied.where(F.pmod(F.xxhash64(TIE), F.lit(max(1, rows // PER_CUT))) == 0)
-    few = attach(few, big, keys, "inner") if keys else few
+    few = tied.where(F.pmod(F.xxhash64(TIE), F.lit(step)) == 0)
     found = few.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, TIE))).alias("__all"))
+    found = found.where(F.size("__all") > rows // step)
     every = F.transform(F.sequence(F.lit(PER_CUT), F.size("__all"), F.lit(PER_CUT)), lambda i: F.element_at("__all", i))
-    cuts = found.where(F.size("__all") >= PER_CUT).select(*keys, every.alias("__cuts"))
+    cuts = found.select(*keys, every.alias("__cuts"))
     wide = F.greatest(F.lit(1), F.sqrt(F.size("__cuts").cast("double")).cast("int"))
     runs = F.transform(F.sequence(F.lit(1), F.size("__cuts"), wide), lambda i: F.slice("__cuts", i, wide))
     return HotKeys(tuple(keys), materialise(cuts.select(*keys, runs.alias("__runs")), "cuts"))
 
 
 def with_blocks(df: DataFrame, hot: HotKeys, order: Sequence[str]) -> DataFrame:
-    """Add the row hash and the block number: 0 for ordinary keys, the cut interval for hot ones."""
+    """Add the row hash and the block number: -1 for ordinary keys, the cut interval for hot ones."""
     place = F.struct(*order, TIE)
     tied = attach(df.withColumn(TIE, row_hash(df)), hot.table, list(hot.keys))
     # two-level search: about twice the square root of the cuts in comparisons
     run = F.size(F.filter("__runs", lambda r: r[0] <= place))
     within = F.size(F.filter(F.element_at("__runs", F.greatest(run, F.lit(1))), lambda b: b <= place))
-    number = F.when(F.col("__runs").isNull() | (run == 0), 0).otherwise((run - 1) * F.size(F.col("__runs")[0]) + within)
+    number = F.when(F.col("__runs").isNull(), -1).when(run == 0, 0).otherwise((run - 1) * F.size(F.col("__runs")[0]) + within)
     return tied.withColumn(BLOCK, number).drop("__runs")
