@@ -9,6 +9,7 @@ from ..operators.classify import (
 )
 from ..operators.mixed import mixed_model
 from ..operators.models import contrasts, is_ordinal, linreg_grouped, linreg_wide, ols_cell_means, ridge
+from ..session import materialise
 from .base import WAVES, means_sql, query, rounded, rsql, student_sql, table, trials, waves
 
 _OLS = f"""{means_sql()}, c AS (SELECT channel, condition, count(*)::DOUBLE AS n, avg(value) AS beta, var_pop(value) * count(*) AS ss FROM obs GROUP BY ALL),
@@ -152,7 +153,7 @@ def permuted(spark, folder):
     li = table(spark, folder, "lineitem").select(
         F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice").alias("id"), "l_returnflag", "l_linestatus"
     )
-    out = permute_labels(li, "l_linestatus", "l_returnflag", ["id"], 3)
+    out = materialise(permute_labels(li, "l_linestatus", "l_returnflag", ["id"], 3), "permuted")
     was = li.groupBy("id").agg(F.min("l_linestatus").alias("was"))
     both = out.join(was, "id")
     moved = both.groupBy("perm").agg((F.count_if(F.col("l_linestatus") != F.col("was")) > 0).alias("shuffled"))

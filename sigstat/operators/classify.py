@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import EPOCH
-from ..plans.ordered import AUTO, attach, ordered_scan
+from ..plans.ordered import AUTO, STORED, attach, once, ordered_scan
 from ..registry import operator
 from ..session import materialise
 from .filters import apply_zero_phase, band_design
@@ -144,11 +144,16 @@ def permute_labels(
     a repeated task gives the same shuffle.
     """
     rows = df.select(*dict.fromkeys([*ids, group, *features]), F.col(target).alias("__y"))
-    rows = rows.withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_perms - 1))))
+    hot = once(rows, [group], hot)
+    if hot == AUTO:  # written once, before the copies
+        rows, hot = materialise(rows, "rows"), STORED
+    perm = F.explode(F.sequence(F.lit(0), F.lit(n_perms - 1)))
     key = ["perm", group]
-    rows = rows.withColumn("__h", F.xxhash64(F.lit(seed), "perm", *ids))
-    place = ordered_scan(rows.drop("__y"), key, [*ids], index="__k", hot=hot).drop("__h")
-    label = ordered_scan(rows.select(*key, "__h", *[i for i in ids if i not in key], "__y"), key, ["__h", *ids], index="__k", hot=hot)
+    # places are the same in every permutation
+    place = ordered_scan(rows.drop("__y"), [group], [*ids], index="__k", hot=hot).withColumn("perm", perm)
+    place = place.select(*[c for c in place.columns if c not in ("perm", "__k")], "perm", "__k")
+    copies = rows.select(group, *[i for i in ids if i != group], "__y").withColumn("perm", perm).withColumn("__h", F.xxhash64(F.lit(seed), "perm", *ids))
+    label = ordered_scan(copies, key, ["__h", *ids], index="__k", hot=hot)
     return attach(place, label.select(*key, "__k", F.col("__y").alias(target)), [*key, "__k"], "inner").drop("__k")
 
 
