@@ -23,7 +23,7 @@ from ..plans.ordered import attach
 from ..registry import operator
 
 BLOCK_UNITS = 4096
-_CHUNK = 4_000_000
+_CHUNK = 250_000  # draws at a time: about 2 MB an array, some seven arrays
 # fixed values: increment and factors of the splitmix64 generator
 GOLDEN, MIX = 0x9E3779B97F4A7C15, ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))
 
@@ -49,6 +49,23 @@ def block_draws(n_boot: int, seed: int, leaf: int, sizes: Sequence[int]) -> np.n
     return draws
 
 
+def block_sums(x: np.ndarray, draws: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of x and x^2 over each resample's draws of a block, whole resamples of about ``_CHUNK`` draws at a time."""
+    n_boot, ends = len(draws), np.cumsum(draws)
+    swx, swxx = np.zeros(n_boot), np.zeros(n_boot)
+    a = 0
+    while a < n_boot:
+        begin = int(ends[a] - draws[a])
+        b = max(a + 1, int(np.searchsorted(ends, begin + _CHUNK, "right")))
+        picked = x[(numbers(seed, begin, int(ends[b - 1])) % np.uint64(len(x))).astype(np.int64)]
+        some = a + np.flatnonzero(draws[a:b])
+        if len(some):
+            starts = ends[some] - draws[some] - begin
+            swx[some], swxx[some] = np.add.reduceat(picked, starts), np.add.reduceat(picked * picked, starts)
+        a = b
+    return swx, swxx
+
+
 def resample(
     obs: DataFrame,
     group: Sequence[str],
@@ -93,18 +110,7 @@ def resample(
         x = pdf["__x"].to_numpy() - first["mean"]
         leaf, own = int(first["__leaf"]), int(first["__seed"])
         draws = block_draws(n_boot, own, leaf, [int(v) for v in first["__sizes"]])
-        ends = np.cumsum(draws)
-        swx, swxx = np.zeros(n_boot), np.zeros(n_boot)
-        a = 0
-        while a < n_boot:
-            begin = int(ends[a] - draws[a])
-            b = max(a + 1, int(np.searchsorted(ends, begin + _CHUNK, "right")))
-            picked = x[(numbers(own + leaf * MIX[0][1], begin, int(ends[b - 1])) % np.uint64(len(x))).astype(np.int64)]
-            some = a + np.flatnonzero(draws[a:b])
-            if len(some):
-                starts = ends[some] - draws[some] - begin
-                swx[some], swxx[some] = np.add.reduceat(picked, starts), np.add.reduceat(picked * picked, starts)
-            a = b
+        swx, swxx = block_sums(x, draws, own + leaf * MIX[0][1])
         out = {k: [first[k]] for k in [*group, "n", "mean", "skew", "__depth"]}
         return pd.DataFrame({**out, "sw": [draws.astype(float)], "swx": [swx], "swxx": [swxx]})
 

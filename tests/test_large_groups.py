@@ -89,3 +89,21 @@ def test_scan_of_stored_rows(spark, small_groups, written):
     got = ordered.ordered_scan(df, ["k"], ["id"], hot=ordered.STORED, **kw)
     assert tidy(got) == tidy(ordered.ordered_scan(df, ["k"], ["id"], hot=None, **kw))
     assert max(written) < 100
+
+
+def test_memory_of_a_block_of_draws():
+    """A block's draws in little memory, each resample summed as a whole."""
+    import tracemalloc
+
+    from sigstat.operators.resample import block_sums, numbers
+
+    x, draws = np.random.default_rng(2).normal(size=4096), np.random.default_rng(3).integers(0, 8192, 3000)
+    tracemalloc.start()
+    swx, swxx = block_sums(x, draws, 77)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32e6
+    ends = np.cumsum(draws)
+    for i in (0, 1, 1500, 2999):
+        picked = x[(numbers(77, int(ends[i] - draws[i]), int(ends[i])) % np.uint64(len(x))).astype(np.int64)]
+        assert swx[i] == pytest.approx(picked.sum()) and swxx[i] == pytest.approx((picked * picked).sum())
