@@ -15,13 +15,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.patterns import glob_to_regex
+from ..plans import skew
 from ..plans.asof import asof_join
 from ..plans.ordered import AUTO, LARGE, STORED, attach, once, ordered_scan, stored
-from ..plans.skew import BLOCK, TIE, find_hot_keys, with_blocks
+from ..plans.skew import BLOCK, TIE, find_hot_keys, row_hash, with_blocks
 from ..registry import operator
 from ..session import materialise
 
 NODE = ("doc_id", "node_id", "parent_id", "level", "seq", "ordinal", "entry", "value", "is_structural", "subtree_end")
+BLOCK_ROWS = 400_000  # windows in a chain each hold a block of wide rows: 2 million of them spill in a task of 1 GB
+
+
+def block_rows() -> int:
+    return min(BLOCK_ROWS, skew.BLOCK_ROWS)
 
 
 def _quoted(text: str) -> str:
@@ -46,25 +52,29 @@ def _nested(marks: DataFrame, hot, parents: bool = True) -> DataFrame:
     once; so openings, closings and children, keyed by the level that they concern, meet in one ordered pass, whatever
     the depth.  ``end`` is the number of the node that closes, null at the end of the document.
     """
-    marks = ordered_scan(marks, ["doc_id"], ["node"], lag={"__last": "depth"}, hot=hot)
+    marks = ordered_scan(marks, ["doc_id"], ["node"], lag={"__last": "depth"}, hot=hot, rows=block_rows(), numbered=True)
     event = lambda level, kind: F.struct(level.cast("int").alias("__l"), F.lit(kind).alias("__kind"))
     last, depth = F.col("__last"), F.col("depth")
     shut = F.transform(F.sequence(F.when(last >= depth, depth), last), lambda level: event(level, 0))
     own = F.array(*([event(depth - 1, 1)] if parents else []), event(depth, 2))
     events = F.concat(F.coalesce(shut, F.array().cast("array<struct<__l:int,__kind:int>>")), own)
     events = marks.select("doc_id", F.col("node").alias("__t"), F.explode(events).alias("__e")).select("doc_id", "__t", "__e.*")
+    # node and kind in one number, the order: few bytes to move
+    events = events.select("doc_id", "__l", (F.col("__t") * 4 + F.col("__kind")).alias("__at"))
+    node, kind = F.shiftright("__at", 2), F.pmod("__at", F.lit(4))
     scan = ordered_scan(
-        events, ["doc_id", "__l"], ["__t", "__kind"],
-        ffill={"__up": F.when(F.col("__kind") == 2, F.col("__t"))}, bfill={"__shut": F.when(F.col("__kind") == 0, F.col("__t"))},
-        hot=AUTO if hot == STORED else hot,
+        events, ["doc_id", "__l"], ["__at"],
+        ffill={"__up": F.when(kind == 2, node)}, bfill={"__shut": F.when(kind == 0, node)},
+        hot=AUTO if hot == STORED else hot, rows=block_rows(), numbered=True,
     )
     if not parents:
-        return scan.where("__kind = 2").select("doc_id", F.col("__t").alias("node"), F.col("__shut").alias("end"))
-    return scan.where("__kind > 0").groupBy("doc_id", F.col("__t").alias("node")).agg(
-        F.max(F.when(F.col("__kind") == 1, F.col("__up"))).alias("parent"),
-        F.max(F.when(F.col("__kind") == 2, F.col("__shut"))).alias("end"),
-        F.max(F.when(F.col("__kind") == 2, F.col("__l"))).alias("depth"),
+        return scan.where(kind == 2).select("doc_id", node.alias("node"), F.col("__shut").alias("end"))
+    both = scan.where(kind > 0).select(
+        "doc_id", node.alias("node"), F.when(kind == 1, F.col("__up")).alias("parent"),
+        F.when(kind == 2, F.col("__shut")).alias("end"), F.when(kind == 2, F.col("__l")).alias("depth"),
     )
+    # a node's two rows never meet in a task before the exchange: no table of sums beside the sorts there
+    return both.repartition("doc_id", "node").groupBy("doc_id", "node").agg(*[F.max(c).alias(c) for c in ("parent", "end", "depth")])
 
 
 def _open_nodes(entries: DataFrame, depth_key: str, order: list[str], hot) -> DataFrame:
@@ -78,8 +88,12 @@ def _open_nodes(entries: DataFrame, depth_key: str, order: list[str], hot) -> Da
     marker = F.col("key").eqNullSafe(F.lit(depth_key)) & F.col("value").rlike(r"^\d+$")
     base = entries.select("doc_id", *order, "key", "value", F.when(marker, F.col("value").try_cast("long")).alias("__level"))
     if hot in (AUTO, STORED):
-        hot = find_hot_keys(base, ["doc_id"], order, counted=True)
-    blocked = base.withColumns({TIE: F.lit(0), BLOCK: F.lit(-1)}) if hot is None else with_blocks(base, hot, order)
+        hot = find_hot_keys(base, ["doc_id"], order, block_rows(), counted=True)
+    if hot is None:
+        blocked = base.withColumns({TIE: F.lit(0), BLOCK: F.lit(-1)})
+    else:  # the hash is taken again behind the exchange and doesn't move
+        blocked = hot.dealt(with_blocks(base, hot, order).drop(TIE), F.size(F.flatten("__runs")) + 1)
+        blocked = blocked.withColumn(TIE, row_hash(blocked.drop(BLOCK)))
     w = W.partitionBy("doc_id", BLOCK).orderBy(*order, *([] if hot is None else [TIE]))
     run = w.rowsBetween(W.unboundedPreceding, 0)
     level, was, rn, rf = F.col("__level"), F.col("__was"), F.col("__rn"), F.col("__rf")
@@ -155,7 +169,7 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
     that jumps by more than one leaves its node detached: it is not in the result,
     and what follows goes to the node that was open.
     """
-    hot = once(entries, ["doc_id"], hot)
+    hot = once(entries, ["doc_id"], hot, block_rows())
     scan = _open_nodes(entries, depth_key, list(order), hot)
     hot = stored(hot)
     nested = _nested(scan.where("__node is not null").select("doc_id", F.col("__node").alias("node"), F.col("__depth").alias("depth")), hot)
@@ -171,7 +185,7 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
     up = F.when(F.col("depth") == 0, F.lit(None).cast("long")).otherwise(F.coalesce("parent", F.lit(0)))
     inner = attach(nested.withColumn("parent_id", up), last, ["doc_id"], "inner")
     # leaves follow their node at once, so the first inner child tells how many there are
-    inner = ordered_scan(inner, ["doc_id", "parent_id"], ["node"], index="__k", cummin={"__head": "node"}, hot=hot)
+    inner = ordered_scan(inner, ["doc_id", "parent_id"], ["node"], index="__k", cummin={"__head": "node"}, hot=hot, rows=block_rows(), numbered=True)
     head = F.col("__head") - F.when(F.col("parent_id") > 0, F.col("parent_id") + 1).otherwise(1 + F.col("__has").cast("long"))
     structural = inner.select(
         "doc_id", F.col("node").alias("node_id"), "parent_id", F.col("depth").alias("level"), F.col("node").alias("seq"),
@@ -214,11 +228,11 @@ def node_onsets(nodes: DataFrame, hot=AUTO) -> DataFrame:
     own = leaf.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.min_by("value", "seq").try_cast("double").alias("__v"))
     own = own.select("doc_id", "node_id", F.when(F.col("__v") != 0, F.col("__v")).alias("__own"))
     inner = nodes.where("is_structural")
-    hot = once(inner, ["doc_id"], hot)
+    hot = once(inner, ["doc_id"], hot, block_rows())
     hot = LARGE if hot == AUTO else hot
     rows = attach(inner, own, ["doc_id", "node_id"])
     hit = F.when(F.col("__own").isNotNull(), F.struct("seq", F.col("__own").alias("onset")))
-    scan = ordered_scan(rows, ["doc_id"], ["seq"], bfill={"__nx": hit}, hot=hot)
+    scan = ordered_scan(rows, ["doc_id"], ["seq"], bfill={"__nx": hit}, hot=hot, rows=block_rows(), numbered=True)
     below = F.when(F.col("__nx.seq") <= F.col("subtree_end"), F.col("__nx.onset"))
     return scan.withColumn("onset", F.coalesce("__own", below)).drop("__own", "__nx")
 
@@ -244,8 +258,8 @@ def renumber(inner: DataFrame, leaves: DataFrame, deepest: int, hot=AUTO) -> Dat
         if 2 * reach <= deepest:  # the last two rounds repeat a small join instead
             ways = materialise(ways, "paths")
     rows = attach(inner, ways.select("doc_id", "node_id", "__path"), ["doc_id", "node_id"])
-    whole = once(inner, ["doc_id"], AUTO if hot == STORED else hot)
-    rows = ordered_scan(rows, ["doc_id"], ["__path"], cumsum={"__upto": F.col("__leaves") + 1}, hot=LARGE if whole == AUTO else whole)
+    whole = once(inner, ["doc_id"], AUTO if hot == STORED else hot, block_rows())
+    rows = ordered_scan(rows, ["doc_id"], ["__path"], cumsum={"__upto": F.col("__leaves") + 1}, hot=LARGE if whole == AUTO else whole, rows=block_rows())
     seq = F.col("__upto") - F.col("__leaves") - 1
     rows = materialise(rows.withColumn("seq", seq).drop("__path"), "numbered")
     ends = _nested(rows.select("doc_id", F.col("seq").alias("node"), F.col("level").cast("int").alias("depth")), hot, parents=False)
@@ -256,7 +270,7 @@ def renumber(inner: DataFrame, leaves: DataFrame, deepest: int, hot=AUTO) -> Dat
     out = out.withColumns({"ordinal": F.col("__k") + F.coalesce("__pl", F.lit(0)), "subtree_end": F.coalesce(F.col("end") - 1, F.col("__last"))})
     # numbering and join take the same key, so that the leaves move once; a struct's nulls are equal
     key = F.struct("doc_id", "parent_id").alias("__key")
-    leaves = ordered_scan(leaves.select(key, "node_id", "level", "seq", "entry", "value"), ["__key"], ["seq"], index="ordinal", hot=hot)
+    leaves = ordered_scan(leaves.select(key, "node_id", "level", "seq", "entry", "value"), ["__key"], ["seq"], index="ordinal", hot=hot, rows=block_rows(), numbered=True)
     low = leaves.drop("seq").join(place.select(key, "__ps"), "__key", "left").select("*", "__key.*").withColumn("seq", F.col("__ps") + 1 + F.col("ordinal"))
     return out.select(*NODE).unionByName(low.withColumns({"subtree_end": F.col("seq"), "is_structural": F.lit(False)}).select(*NODE))
 
@@ -270,7 +284,7 @@ def reparent_by_onset(nodes: DataFrame, deepest: int | None = None, hot=AUTO) ->
     before its own, or to the first parent.  Leaves come first.  All levels are joined in
     one as-of pass, keyed by level.
     """
-    hot = once(nodes, ["doc_id"], hot)
+    hot = once(nodes, ["doc_id"], hot, block_rows())
     deepest = deepest if deepest is not None else nodes.where("is_structural").agg(F.max("level")).first()[0] or 0
     # written once; what is joined by level has a row per document and level
     on = materialise(node_onsets(nodes, hot), "onsets")
@@ -285,7 +299,7 @@ def reparent_by_onset(nodes: DataFrame, deepest: int | None = None, hot=AUTO) ->
     )
     first = targets.groupBy("doc_id", "level").agg(F.min_by("__pid", F.struct("__pt", "__ps")).alias("__first"))
     first = materialise(first, "first")
-    moved = asof_join(rows.where("__move"), targets, ["doc_id", "level"], "onset", "__pt", ["__ps", "__pid"], "__hit", hot=hot)
+    moved = asof_join(rows.where("__move"), targets, ["doc_id", "level"], "onset", "__pt", ["__ps", "__pid"], "__hit", hot=hot, rows=block_rows())
     moved = attach(moved, first, ["doc_id", "level"]).withColumn("parent_id", F.coalesce("__hit.__pid", "__first"))
     stay = rows.where(~F.col("__move"))
     sort_key = F.when(F.col("__bad") == 0, F.col("onset"))
@@ -293,7 +307,7 @@ def reparent_by_onset(nodes: DataFrame, deepest: int | None = None, hot=AUTO) ->
     placed = moved.select(*cols, sort_key.alias("__k")).unionByName(stay.select(*cols, sort_key.alias("__k")))
     if hot is not None:
         placed = materialise(placed, "placed")
-    inner = ordered_scan(placed, ["doc_id", "parent_id"], ["__k", "seq"], index="__rank", hot=hot)
+    inner = ordered_scan(placed, ["doc_id", "parent_id"], ["__k", "seq"], index="__rank", hot=hot, rows=block_rows())
     inner = inner.drop("__k", "seq").withColumnRenamed("__rank", "__k")
     return renumber(inner, nodes.where(~F.col("is_structural")).select(*cols), deepest, hot)
 
@@ -306,7 +320,7 @@ def node_property(nodes: DataFrame, keys: Sequence[str] | str, hot=AUTO) -> Data
         f"__nx{i}": F.when(~F.col("is_structural") & (F.col("entry") == k), F.struct("seq", "value")) for i, k in enumerate(keys)
     }
     rows = nodes.where(F.col("is_structural") | F.col("entry").isin(keys))  # others neither ask nor answer
-    scan = ordered_scan(rows, ["doc_id"], ["seq"], bfill=hits, hot=stored(hot)).where("is_structural")
+    scan = ordered_scan(rows, ["doc_id"], ["seq"], bfill=hits, hot=stored(hot), rows=block_rows(), numbered=True).where("is_structural")
     props = {k: F.when(F.col(f"__nx{i}.seq") <= F.col("subtree_end"), F.col(f"__nx{i}.value")) for i, k in enumerate(keys)}
     return scan.withColumns({f"prop_{k}": c for k, c in props.items()}).drop(*hits)
 
@@ -320,7 +334,7 @@ def structural_children(nodes: DataFrame, of: DataFrame) -> DataFrame:
 @operator("select_branches")
 def select_branches(nodes: DataFrame, selectors: Sequence[str], hot=AUTO) -> DataFrame:
     """Branches by ``key: glob``; each further selector looks at the children of what matched."""
-    hot = once(nodes, ["doc_id"], hot)
+    hot = once(nodes, ["doc_id"], hot, block_rows())
     current = nodes.where("is_structural").select(*NODE)
     for i, text in enumerate(selectors):
         key, glob = (s.strip() for s in text.split(":", 1))
@@ -342,7 +356,7 @@ def below(rows: DataFrame, tops: DataFrame, hot=AUTO) -> DataFrame:
     )
     body = rows.select("*", at.alias("__at"), F.lit(1).alias("__kind"), F.lit(0).alias("__delta"))
     both = body.unionByName(marks, allowMissingColumns=True)
-    scan = ordered_scan(both, ["doc_id"], ["__at", "__kind"], cumsum={"__cover": "__delta"}, hot=hot)
+    scan = ordered_scan(both, ["doc_id"], ["__at", "__kind"], cumsum={"__cover": "__delta"}, hot=LARGE if hot == AUTO else hot, rows=block_rows(), numbered=True)
     hit = scan.where((F.col("__kind") == 1) & (F.col("__cover") > 0))
     return hit.withColumn("__again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__cover")))).select(*rows.columns)
 
@@ -368,7 +382,7 @@ def questionnaire(
     nodes below the selection that have the value.  Empty values count but do not enter
     the mean; one value has no deviation.  ``across`` pools the documents.
     """
-    hot = once(nodes, ["doc_id"], hot)
+    hot = once(nodes, ["doc_id"], hot, block_rows())
     picked = select_branches(nodes, selectors, hot) if selectors else nodes.where("is_structural").select(*NODE)
     want = [k for k in (data, position, label_field, x) if k]
     props = node_property(nodes, list(dict.fromkeys(want)), hot)
@@ -382,7 +396,8 @@ def questionnaire(
         par = attach(par, picked.select("doc_id", "node_id"), ["doc_id", "node_id"], "left_semi")
         target = attach(props, par.withColumnRenamed("node_id", "parent_id"), ["doc_id", "parent_id"], "inner")
     else:
-        target = below(props, picked, hot) if selectors else props
+        kept = props.select("doc_id", "node_id", "seq", *[f"prop_{k}" for k in dict.fromkeys(want)])
+        target = below(kept, picked, hot) if selectors else kept
         if x and not position:
             direct = nodes.where(~F.col("is_structural") & F.col("entry").isin([x, data])).groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(
                 F.max_by(F.when(F.col("entry") == x, F.col("value")), F.when(F.col("entry") == x, F.col("seq"))).alias("__px"),

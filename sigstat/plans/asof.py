@@ -20,12 +20,13 @@ def asof_join(
     before: str = "before",
     after: str | None = None,
     hot=AUTO,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add to each left row the last right row at or before it, and the next one after.
 
     Both come as structs of the ``take`` columns (null where there is none); the
     next row is only computed when ``after`` is named.  Right rows with equal
-    times are taken in the order of the ``take`` columns.
+    times are taken in the order of the ``take`` columns.  ``rows`` is the size of blocks, as in ``ordered_scan``.
     """
     keys, take = list(keys), list(take)
     l = left.select(
@@ -46,6 +47,7 @@ def asof_join(
         ffill={"__before": "__hit"},
         bfill={"__after": "__hit"} if after else None,
         hot=hot,
+        rows=rows,
     ).where("__side = 1")
     cols = [F.col("__row")[c].alias(c) for c in left.columns]
     cols.append(F.col("__before").alias(before))

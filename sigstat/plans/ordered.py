@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import skew
 from ..session import materialise
-from .skew import BLOCK, TIE, HotKeys, attach, find_hot_keys, largest_group, with_blocks
+from .skew import BLOCK, TIE, HotKeys, attach, find_hot_keys, large_keys, largest_group, numbered_blocks, with_blocks
 
 AUTO, STORED, LARGE = "auto", "stored", "large"  # STORED: a scan of stored tables gives the rows; LARGE: some group is known to be large
 
@@ -30,7 +30,7 @@ def stored(hot):
     return STORED if hot == AUTO else hot
 
 
-def once(df: DataFrame, keys: Sequence[str], hot):
+def once(df: DataFrame, keys: Sequence[str], hot, rows: int | None = None):
     """One check for operators of several passes: None where no group is large.
 
     Passes over rows derived from ``df``, by the same or finer keys, then need no
@@ -38,7 +38,7 @@ def once(df: DataFrame, keys: Sequence[str], hot):
     """
     if hot != AUTO:
         return hot
-    return None if largest_group(df, keys) <= skew.BLOCK_ROWS else AUTO
+    return None if largest_group(df, keys) <= (rows or skew.BLOCK_ROWS) else AUTO
 
 
 def ordered_scan(
@@ -57,13 +57,17 @@ def ordered_scan(
     prior: Mapping[str, str | Column] | None = None,
     cummin: Mapping[str, str | Column] | None = None,
     hot: HotKeys | None | str = AUTO,
+    rows: int | None = None,
+    numbered: bool = False,
 ) -> DataFrame:
     """Add ordered columns: ``index`` is 0-based, ``size`` the rows of the key; the mappings are new name -> source.
 
     ``ffill`` is the last non-null value up to and including the row, ``bfill``
     the next non-null value after it (taken in reverse order, so that it too is
     one running pass).  ``cummin_back`` is the minimum from the row to the end, ``cummin`` that up to the row, ``prior``
-    the last non-null value before the row.
+    the last non-null value before the row.  ``rows`` is the size of blocks, for rows too wide for that of ``skew``;
+    ``numbered`` says that the first column of the order numbers the rows of a key or of a series that they come from,
+    so that a block is a range of numbers and needs no cuts.
     """
     keys, order = list(keys), list(order)
     lag, lead, cumsum = dict(lag or {}), dict(lead or {}), dict(cumsum or {})
@@ -71,13 +75,14 @@ def ordered_scan(
     prior, cummin = dict(prior or {}), dict(cummin or {})
     names = df.columns
     if hot in (AUTO, STORED, LARGE):
-        if hot != LARGE and largest_group(df, keys) <= skew.BLOCK_ROWS:
+        if hot != LARGE and largest_group(df, keys) <= (rows or skew.BLOCK_ROWS):
             hot = None
         else:
             # written once: cuts, windows and carry read it and don't repeat what made it
             df = df if hot == STORED else materialise(df, "rows")
-            hot = find_hot_keys(df, keys, order, counted=True)
+            hot = large_keys(df, keys, rows or skew.BLOCK_ROWS) if numbered else find_hot_keys(df, keys, order, rows, counted=True)
     elif hot is not None:
+        numbered = False
         df = materialise(df, "rows")
 
     def as_col(c):
@@ -102,8 +107,12 @@ def ordered_scan(
             added[size] = F.count(F.lit(1)).over(W.partitionBy(*keys))
         return df.withColumns(added)
 
-    blocked = with_blocks(df, hot, order)
-    order, group = [*order, TIE], [*keys, BLOCK]
+    if numbered:
+        blocked = numbered_blocks(df, hot, order[0], rows or skew.BLOCK_ROWS)
+    else:
+        blocked, order = with_blocks(df, hot, order), [*order, TIE]
+    group = [*keys, BLOCK]
+    rowed = hot.dealt(blocked, F.ceil(F.col("__runs") / (rows or skew.BLOCK_ROWS))) if numbered else blocked
     w = W.partitionBy(*group).orderBy(*order)
     run = w.rowsBetween(W.unboundedPreceding, 0)
     local = {"__rn": F.row_number().over(w).cast("long")}
@@ -118,7 +127,7 @@ def ordered_scan(
     tail = W.partitionBy(*group).orderBy(*[F.desc(o) for o in order]).rowsBetween(W.unboundedPreceding, 0)
     local |= {f"__mb_{n}": F.min(as_col(c)).over(tail) for n, c in cummin_back.items()}
 
-    by = F.struct(*order)
+    by = F.struct(*order) if len(order) > 1 else F.col(order[0])
     aggs = [F.count(F.lit(1)).alias("__cnt")]
     aggs += [F.max_by(F.struct(as_col(c).alias("v")), by).alias(f"__last_{n}") for n, c in lag.items()]
     aggs += [F.min_by(F.struct(as_col(c).alias("v")), by).alias(f"__first_{n}") for n, c in lead.items()]
@@ -146,7 +155,7 @@ def ordered_scan(
     carry = materialise(carry, "carry")
     if size:
         local["__own"] = F.count(F.lit(1)).over(W.partitionBy(*group))
-    main = blocked.withColumns(local)
+    main = rowed.withColumns(local)
     cond = F.lit(True)
     for i, k in enumerate(group):
         cond = cond & main[k].eqNullSafe(carry[f"__k{i}"])

@@ -26,6 +26,7 @@ from ..session import materialise
 BLOCK, TIE = "__block", "__tie"
 BLOCK_ROWS = 2_000_000
 PER_CUT = 16  # sampled rows of a block
+MOST_TASKS = 20_000
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -51,6 +52,15 @@ class HotKeys:
     keys: tuple[str, ...]
     table: DataFrame
 
+    def dealt(self, blocked: DataFrame, pieces: Column) -> DataFrame:
+        """The rows by key and block, in as many tasks as there are blocks of large keys: ``pieces`` sums to their number.
+
+        Adaptive execution goes by bytes written, and rows that compress well would come millions to a task.
+        """
+        n = int(self.table.agg(F.sum(pieces)).first()[0] or 0)
+        n = min(max(n, int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))), MOST_TASKS)
+        return blocked.repartition(n, *[F.col(f"`{k}`") for k in self.keys], F.col(BLOCK))
+
     @property
     def rows(self) -> list[tuple]:
         return [tuple(r) for r in self.table.select(*self.keys).collect()]
@@ -94,6 +104,18 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str
     return HotKeys(tuple(keys), materialise(cuts.select(*keys, runs.alias("__runs")), "cuts"))
 
 
+def large_keys(df: DataFrame, keys: Sequence[str], rows: int) -> HotKeys:
+    """The keys of more than ``rows`` rows, for series whose own numbers say where blocks end."""
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__runs")).where(F.col("__runs") > rows)
+    return HotKeys(tuple(keys), materialise(found, "large"))
+
+
+def numbered_blocks(df: DataFrame, hot: HotKeys, at: str, rows: int) -> DataFrame:
+    """Add the block number, as ``with_blocks`` does, from numbers that run along each key: no cuts, nothing to compare."""
+    number = F.greatest(F.coalesce(F.floor(F.col(at) / rows), F.lit(0)), F.lit(0)).cast("int")
+    return attach(df, hot.table, list(hot.keys)).withColumn(BLOCK, F.when(F.col("__runs").isNull(), -1).otherwise(number)).drop("__runs")
+
+
 def with_blocks(df: DataFrame, hot: HotKeys, order: Sequence[str]) -> DataFrame:
     """Add the row hash and the block number: -1 for ordinary keys, the cut interval for hot ones."""
     place = F.struct(*order, TIE)
