@@ -112,7 +112,11 @@ def ordered_scan(
     else:
         blocked, order = with_blocks(df, hot, order), [*order, TIE]
     group = [*keys, BLOCK]
-    rowed = hot.dealt(blocked, F.ceil(F.col("__runs") / (rows or skew.BLOCK_ROWS))) if numbered else blocked
+    rowed = blocked
+    if numbered:
+        rowed = hot.dealt(blocked, F.ceil(F.col("__runs") / (rows or skew.BLOCK_ROWS)))
+    elif rows:
+        rowed = hot.dealt(blocked, F.size(F.flatten("__runs")) + 1)
     w = W.partitionBy(*group).orderBy(*order)
     run = w.rowsBetween(W.unboundedPreceding, 0)
     local = {"__rn": F.row_number().over(w).cast("long")}
