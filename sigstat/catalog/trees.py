@@ -41,7 +41,7 @@ def _entries(spark, folder):
 
 
 def nodes(spark, folder):
-    return materialise(build_tree(_entries(spark, folder), "Level", ["cust", "ord", "k"]), "nodes")
+    return materialise(build_tree(_entries(spark, folder), "Level", ["cust", "ord", "k"]), "nodes", "zstd")
 
 
 NODES = """ent AS (

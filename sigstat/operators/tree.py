@@ -48,13 +48,19 @@ def split_entries(lines: DataFrame, entry_delim: str, kv_delim: str, keep: Seque
 def _nested(marks: DataFrame, hot, parents: bool = True) -> DataFrame:
     """``end``, and ``parent`` if asked for, of nodes in pre-order, from ``doc_id, node, depth`` where no depth exceeds the last by more than one.
 
+    ``last``, the depth of the node before, is found by a pass of its own unless ``marks``, a scan of stored tables then, has it.
+
     A node closes what is open from the depth of the node before down to its own, and each node is closed at most
     once; so openings, closings and children, keyed by the level that they concern, meet in one ordered pass, whatever
     the depth.  ``end`` is the number of the node that closes, null at the end of the document.
     """
-    marks = ordered_scan(marks, ["doc_id"], ["node"], lag={"__last": "depth"}, hot=hot, rows=block_rows(), numbered=True)
+    if "last" not in marks.columns:
+        marks = ordered_scan(marks, ["doc_id"], ["node"], lag={"last": "depth"}, hot=hot, rows=block_rows(), numbered=True)
+        hot = AUTO if hot == STORED else hot
+    elif hot is None:  # small documents: the exchange by document serves the levels too, and nodes are fewer than events
+        marks = marks.repartition("doc_id")
     event = lambda level, kind: F.struct(level.cast("int").alias("__l"), F.lit(kind).alias("__kind"))
-    last, depth = F.col("__last"), F.col("depth")
+    last, depth = F.col("last"), F.col("depth")
     shut = F.transform(F.sequence(F.when(last >= depth, depth), last), lambda level: event(level, 0))
     own = F.array(*([event(depth - 1, 1)] if parents else []), event(depth, 2))
     events = F.concat(F.coalesce(shut, F.array().cast("array<struct<__l:int,__kind:int>>")), own)
@@ -65,7 +71,7 @@ def _nested(marks: DataFrame, hot, parents: bool = True) -> DataFrame:
     scan = ordered_scan(
         events, ["doc_id", "__l"], ["__at"],
         ffill={"__up": F.when(kind == 2, node)}, bfill={"__shut": F.when(kind == 0, node)},
-        hot=AUTO if hot == STORED else hot, rows=block_rows(), numbered=True,
+        hot=hot, rows=block_rows(), numbered=True,
     )
     if not parents:
         return scan.where(kind == 2).select("doc_id", node.alias("node"), F.col("__shut").alias("end"))
@@ -78,7 +84,7 @@ def _nested(marks: DataFrame, hot, parents: bool = True) -> DataFrame:
 
 
 def _open_nodes(entries: DataFrame, depth_key: str, order: list[str], hot) -> DataFrame:
-    """Entries with their number, the node that each opens and the open node and its depth; markers that jump are left out.
+    """Entries with their number, the node that each opens, the open node, its depth and that of the node before; markers that jump are left out.
 
     One pass over blocks in order, written once.  What a block takes from those before it (the last level, the height, its
     minimum, the open node) decides the step of the block's first marker and shifts the rest, so that inside blocks the
@@ -95,9 +101,9 @@ def _open_nodes(entries: DataFrame, depth_key: str, order: list[str], hot) -> Da
         blocked = hot.dealt(with_blocks(base, hot, order).drop(TIE), F.size(F.flatten("__runs")) + 1)
         blocked = blocked.withColumn(TIE, row_hash(blocked.drop(BLOCK)))
     w = W.partitionBy("doc_id", BLOCK).orderBy(*order, *([] if hot is None else [TIE]))
-    run = w.rowsBetween(W.unboundedPreceding, 0)
+    run, past = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(W.unboundedPreceding, -1)
     level, was, rn, rf = F.col("__level"), F.col("__was"), F.col("__rn"), F.col("__rf")
-    local = blocked.withColumns({"__rn": F.row_number().over(w), "__was": F.last("__level", True).over(w.rowsBetween(W.unboundedPreceding, -1))})
+    local = blocked.withColumns({"__rn": F.row_number().over(w), "__was": F.last("__level", True).over(past)})
     local = local.withColumn("__rf", F.min(F.when(level.isNotNull(), rn)).over(run))
     later = level.isNotNull() & was.isNotNull()
     jump = later & (level > was + 1)
@@ -106,8 +112,10 @@ def _open_nodes(entries: DataFrame, depth_key: str, order: list[str], hot) -> Da
     kinds = {f"__{n}": F.sum((F.col("__kind") == k).cast("int")).over(run).cast("int") for n, k in (("c", 1), ("x", 2))}
     local = local.withColumns({"__s": F.sum(step.cast("long")).over(run), **kinds})
     place = (rn - 1 - F.col("__x") + F.col("__c")).cast("int")  # of a node in its block, one less than its number there
+    sums = F.when(level.isNotNull(), F.col("__s"))
     local = local.withColumns({
-        "__low": F.min(F.when(level.isNotNull(), F.col("__s"))).over(run), "__open": F.last(F.when(F.col("__kind") == 1, place), True).over(run),
+        "__low": F.min(sums).over(run), "__ps": F.when(F.col("__kind") == 1, F.col("__s") - step), "__pl": F.when(F.col("__kind") == 1, F.min(sums).over(past)),
+        "__open": F.last(F.when(F.col("__kind") == 1, place), True).over(run),
     })
     local = materialise(local.drop(*order, TIE, "__was"), "local")
 
@@ -148,13 +156,16 @@ def _open_nodes(entries: DataFrame, depth_key: str, order: list[str], hot) -> Da
     seq = F.coalesce("__on", zero) + rn - 1 - x + c + 2
     low = F.least("__il", F.when(seen, was_s + ds + F.col("__low")))
     height = was_s + ds + F.col("__s") - F.least(low, zero)
+    # the height before a marker: that of the row before in its block, or at the end of the blocks before
+    inside = was_s + ds + F.col("__ps") - F.least("__il", was_s + ds + F.col("__pl"), zero)
+    last = F.when(head, F.when(F.col("__io").isNotNull(), was_s - F.least("__il", zero))).otherwise(inside)
     base_ = F.coalesce("__on", zero) - F.coalesce("__ox", zero) - dx + F.coalesce("__oc", zero) + dc + 1
     opened = F.coalesce(base_ + F.col("__open"), F.when(seen & (dc == 1), base_ + rf - 1), F.col("__io"))
     detached = (F.col("__kind") == 2) | (head & (dx == 1))
     kept = (F.col("__kind") == 1) | (head & (dx == 0))
     return rows.where(~detached).select(
         "doc_id", "key", "value", seq.cast("long").alias("seq"), F.when(kept, seq - 1).cast("long").alias("__node"),
-        opened.cast("long").alias("__open"), height.cast("int").alias("__depth"),
+        opened.cast("long").alias("__open"), height.cast("int").alias("__depth"), F.when(kept, last).cast("int").alias("__last"),
     )
 
 
@@ -172,7 +183,7 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
     hot = once(entries, ["doc_id"], hot, block_rows())
     scan = _open_nodes(entries, depth_key, list(order), hot)
     hot = stored(hot)
-    nested = _nested(scan.where("__node is not null").select("doc_id", F.col("__node").alias("node"), F.col("__depth").alias("depth")), hot)
+    nested = _nested(scan.where("__node is not null").select("doc_id", *[F.col(f"__{c}").alias(c) for c in ("node", "depth", "last")]), hot)
     if hot is not None:
         nested = materialise(nested, "nested")
     last = scan.groupBy("doc_id").agg(

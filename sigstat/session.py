@@ -41,11 +41,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def materialise(df, name: str = "stage"):
-    """Cut lineage by writing to the shared folder and reading back."""
+def materialise(df, name: str = "stage", codec: str | None = None):
+    """Cut lineage by writing to the shared folder and reading back; ``codec`` where the session's own is not to be used."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}-{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
