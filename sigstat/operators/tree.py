@@ -331,6 +331,9 @@ def node_property(nodes: DataFrame, keys: Sequence[str] | str, hot=AUTO) -> Data
         f"__nx{i}": F.when(~F.col("is_structural") & (F.col("entry") == k), F.struct("seq", "value")) for i, k in enumerate(keys)
     }
     rows = nodes.where(F.col("is_structural") | F.col("entry").isin(keys))  # others neither ask nor answer
+    # a leaf answers with its value alone; the rest of it doesn't move
+    asked = ("doc_id", "seq", "entry", "value", "is_structural")
+    rows = rows.select(*[c if c in asked else F.when(F.col("is_structural"), F.col(c)).alias(c) for c in rows.columns])
     scan = ordered_scan(rows, ["doc_id"], ["seq"], bfill=hits, hot=stored(hot), rows=block_rows(), numbered=True).where("is_structural")
     props = {k: F.when(F.col(f"__nx{i}.seq") <= F.col("subtree_end"), F.col(f"__nx{i}.value")) for i, k in enumerate(keys)}
     return scan.withColumns({f"prop_{k}": c for k, c in props.items()}).drop(*hits)
