@@ -45,11 +45,14 @@ LEAST, WORDS, HASHES = 6, 5, 10
 PASSAGE, GAP = 20, 200
 #: Word pairs of which one is an anchor.
 STEP = 16
-END = re.compile(r"[^\s.!?][.!?](?=\s)|\n")
+#: Line ends, and marks between a character of a sentence and white space; begins with a set, which ``re`` scans for fastest.
+END = re.compile(r"[.!?\n](?:(?<=\n)|(?<=[^\s.!?][.!?])(?=\s))")
 #: Characters before a sentence end that decide whether it is cut there.
 BEFORE = 6
 #: Paragraphs whose keys a task remembers to have sent.
 SEEN = 1 << 19
+#: Whether the documents from ``low`` to ``high``, and the one without doc_id if it is among them (``bare``), are two or more.
+SEVERAL = "(low <> high OR bare AND low IS NOT NULL)"
 
 
 def whole(text: str) -> Iterator[tuple[int, int, bytes]]:
@@ -222,10 +225,12 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     label = components(links(units, threshold)).withColumnRenamed("node", "id")
     all_ = units.drop("keys", "body")
     doc = F.struct("doc_id")
-    spread = all_.groupBy("id").agg(F.min(doc).alias("low"), F.max(doc).alias("high"))
-    linked = spread.join(label, "id").select("id", "label", "low", "high")
-    alone = spread.filter("NOT low <=> high").join(label, "id", "left_anti").select("id", F.col("id").alias("label"))
-    across = linked.groupBy("label").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("NOT low <=> high").select("label")
+    spread = all_.groupBy("id").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max(F.isnull("doc_id")).alias("bare"))
+    # the only shuffle of all units; what may matter is a table, so that nothing below repeats it
+    known = written(spread.join(label, "id", "left").filter(f"label IS NOT NULL OR {SEVERAL}"), "zstd")
+    linked = known.filter("label IS NOT NULL")
+    alone = known.filter("label IS NULL").select("id", F.col("id").alias("label"))
+    across = linked.groupBy("label").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("bare").alias("bare")).filter(SEVERAL).select("label")
     named = cut(linked.select("id", "label").join(across, "label").select("id", "label").unionByName(alone))
     bits = filter_bits(named.count())
     near = probed(all_, "id", cut(present(named, "id", bits)), bits, "may").filter("may").drop("may")

@@ -349,3 +349,53 @@ def test_windows_of_repeating_text():
     text = "世界 \U0001f600 " + " \t\n".join(f"W\xc9{k}" for k in range(90)) + "\x1c\x85 odd"
     for start, size, words in substring_dedup.windows(text):
         assert text[start : start + size].encode().lower().split() == words.rstrip().split(b"\xff") and words.count(b" ") == 19
+
+
+def test_units_are_shuffled_once_by_id(spark, monkeypatch):
+    """Spans of all units come from one read of their table, however many steps use them."""
+    reads = []
+
+    def spied(step):
+        def run(df, *rest):
+            reads.append(len(re.findall(r"Relation \[[^\]]*\bkeys#", df._jdf.queryExecution().optimizedPlan().toString())))
+            return step(df, *rest)
+
+        return run
+
+    monkeypatch.setattr(substring_dedup, "written", spied(substring_dedup.written))
+    monkeypatch.setattr(substring_dedup, "cut", spied(substring_dedup.cut))
+    passage = " ".join(prose_of(np.random.default_rng(1), 60))
+    docs = spark.createDataFrame([(k, f"{passage}\n" + " ".join(prose_of(np.random.default_rng(k), 60))) for k in (2, 3)], "doc_id long, text string")
+    rows = substring_dedup.repeated(docs)
+    assert {r.doc_id for r in rows.collect()} == {2, 3}
+    # band keys (one exchange, used twice), then spans and kept occurrences
+    assert max(reads) == 2 and sum(reads) == 4, reads
+
+
+def test_passages_of_rows_without_id(spark):
+    """Rows without doc_id are one document: what they alone have is no repeat, what another document has too is one, equal or near."""
+    rng = np.random.default_rng(5)
+    own, both, near, far = (" ".join(prose_of(rng, n)).replace(".", "") for n in (50, 60, 70, 80))
+    changed = near.split(" ")
+    changed[-1] = "altered"
+    far_changed = far.split(" ")
+    far_changed[-1] = "altered"
+    rows = [(None, f"{own}\n{far}"), (None, f"{own}\n{both}\n{' '.join(far_changed)}"), (4, f"{both}\n{near}"), (None, " ".join(changed))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.defaultdict(set)
+    for r in substring_dedup.repeated(docs).collect():
+        got[r.doc_id].add((r.start, r.length, r.removed))
+    assert set(got) == {None, 4}
+    assert {(0, len(both), True), (len(both) + 1, len(near), True)} <= got[4]
+    assert {(len(own) + 1, len(both), False), (0, len(" ".join(changed)), False)} <= got[None]
+    # nothing of the passages that only rows without doc_id have
+    assert not any(size in (len(own), len(far), len(" ".join(far_changed))) for _, size, _ in got[None])
+
+
+def test_sentence_ends():
+    """The pattern that scans fast ends sentences where the plain one does."""
+    plain = re.compile(r"[^\s.!?][.!?](?=\s)|\n")
+    rng = np.random.default_rng(3)
+    for _ in range(3000):
+        text = "".join(rng.choice(list("ab.!?\n \t\x85\x1c\xe9\r"), rng.integers(0, 14)))
+        assert [m.end() for m in substring_dedup.END.finditer(text)] == [m.end() for m in plain.finditer(text)], text
