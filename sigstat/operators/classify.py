@@ -7,10 +7,13 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import EPOCH
-from ..plans.ordered import AUTO, STORED, attach, once, ordered_scan
+from ..plans import skew
+from ..plans.ordered import AUTO, attach, ordered_scan
+from ..plans.skew import tasks
 from ..registry import operator
 from ..session import materialise
 from .filters import apply_zero_phase, band_design
@@ -19,6 +22,9 @@ from .segment import segment_windows_samples
 from .spectral import channel_covariance
 
 
+LABEL_BLOCKS = 4  # blocks of labels to a block of rows
+
+
 def forest(trees: int = 100, seed: int = 42):
     """The default classifier; any estimator with the same columns may replace it."""
     from pyspark.ml.classification import RandomForestClassifier
@@ -144,17 +150,74 @@ def permute_labels(
     a repeated task gives the same shuffle.
     """
     rows = df.select(*dict.fromkeys([*ids, group, *features]), F.col(target).alias("__y"))
-    hot = once(rows, [group], hot)
-    if hot == AUTO:  # written once, before the copies
-        rows, hot = materialise(rows, "rows"), STORED
     perm = F.explode(F.sequence(F.lit(0), F.lit(n_perms - 1)))
-    key = ["perm", group]
-    # places are the same in every permutation
-    place = ordered_scan(rows.drop("__y"), [group], [*ids], index="__k", hot=hot).withColumn("perm", perm)
-    place = place.select(*[c for c in place.columns if c not in ("perm", "__k")], "perm", "__k")
-    copies = rows.select(group, *[i for i in ids if i != group], "__y").withColumn("perm", perm).withColumn("__h", F.xxhash64(F.lit(seed), "perm", *ids))
-    label = ordered_scan(copies, key, ["__h", *ids], index="__k", hot=hot)
-    return attach(place, label.select(*key, "__k", F.col("__y").alias(target)), [*key, "__k"], "inner").drop("__k")
+    key, by_hash = ["perm", group], F.xxhash64(F.lit(seed), "perm", *ids)
+    total, small = 0, True
+    if hot is not None:
+        counted = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).agg(F.sum("__n"), F.max("__n"), F.min("__n")).first()
+        total, most, small = counted[0] or 0, counted[1] or 0, (counted[2] or 0) <= skew.BLOCK_ROWS
+        hot = None if most <= skew.BLOCK_ROWS else hot
+    if hot is None:
+        # places are the same in every permutation
+        place = ordered_scan(rows.drop("__y"), [group], [*ids], index="__k", hot=None).withColumn("perm", perm)
+        place = place.select(*[c for c in place.columns if c not in ("perm", "__k")], "perm", "__k")
+        copies = rows.select(group, *[i for i in ids if i != group], "__y").withColumn("perm", perm).withColumn("__h", by_hash)
+        label = ordered_scan(copies, key, ["__h", *ids], index="__k", hot=None)
+        return attach(place, label.select(*key, "__k", F.col("__y").alias(target)), [*key, "__k"], "inner").drop("__k")
+
+    ranked = _ranked(rows, group, list(ids), total)
+    large = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > skew.BLOCK_ROWS)
+    wide = F.ceil(F.col("__n") / max(1, skew.BLOCK_ROWS // LABEL_BLOCKS))
+    base = F.sum(wide).over(W.orderBy(group).rowsBetween(W.unboundedPreceding, 0)) - wide
+    large = materialise(large.select(group, wide.alias("__wide"), base.alias("__base")), "large")
+    label = attach(ranked.select(*dict.fromkeys([*ids, group]), "__y", "__k"), large, [group]).withColumn("perm", perm).withColumn("__h", by_hash)
+    label = label.select("perm", F.col(group).alias("__g"), "__h", "__k", "__y", "__wide", "__base")
+    moved = _by_hash(label.where("__wide is not null"), large.agg(F.sum("__wide")).first()[0], n_perms)
+    if small:
+        at = F.row_number().over(W.partitionBy("perm", "__g").orderBy("__h", "__k")) - 1
+        moved = moved.unionByName(label.where("__wide is null").select("perm", "__g", at.cast("long").alias("__k"), "__y"))
+    # a struct's nulls are equal; a place meets its labels of all permutations, so that it moves once
+    moved = moved.withColumn("__g", F.struct(F.col("__g").alias("g")))
+    place = ranked.drop("__y").withColumn("__g", F.struct(F.col(group).alias("g")))
+    n = tasks(rows, total * n_perms)
+    both = place.repartition(n, "__k", "__g").join(moved.repartition(n, "__k", "__g"), ["__k", "__g"])
+    return both.select(*[c for c in rows.columns if c != "__y"], "perm", F.col("__y").alias(target))
+
+
+def _ranked(rows: DataFrame, group: str, ids: list[str], total: int) -> DataFrame:
+    """Rows of large groups with ``__k``, their place in their group by id: sorted in ranges of group and ids and written once.
+
+    A range is a task of the sort; its rows are counted along, and a row per group and range carries the count across the borders.
+    """
+    order = list(dict.fromkeys([group, *ids]))
+    ranked = rows.repartitionByRange(tasks(rows, total), *order).sortWithinPartitions(*order)
+    ranked = materialise(ranked.withColumn("__k", F.monotonically_increasing_id()), "ranked").withColumn("__part", F.shiftright("__k", 33))
+    ends = ranked.groupBy(group, "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__k").alias("__first"))
+    before = W.partitionBy(group).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")
+    carry = materialise(ends.select(group, "__part", shift.alias("__shift")), "places")
+    return attach(ranked, carry, [group, "__part"]).withColumn("__k", F.col("__k") + F.col("__shift")).drop("__part", "__shift")
+
+
+def _by_hash(label: DataFrame, wide: int, n_perms: int) -> DataFrame:
+    """Labels of large groups with ``__k``, their place in their group and permutation by ``__h`` (ids, here places by id, decide between equal hashes).
+
+    A hash is spread evenly, so that equal ranges of it are the blocks of a group: no cuts to find and to search.  Each task
+    sorts a block, or a run of them, by one number and counts along; a row per block carries the count across the borders.
+    """
+    run = -(-n_perms * wide // skew.MOST_TASKS)
+    within = F.shiftright((F.shiftright("__h", 33) + F.lit(1 << 30)) * F.col("__wide"), 31)
+    label = label.withColumn("__block", F.col("perm").cast("long") * wide + F.col("__base") + within)
+    task = F.floor(F.col("__block") / run).cast("int")
+    blocks = label.groupBy("perm", "__base", "__block").agg(F.count(F.lit(1)).alias("__n"))
+    before = lambda *keys: F.coalesce(F.sum("__n").over(W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    carry = materialise(blocks.select("__block", (before("perm", "__base") - before(task)).alias("__shift")), "carry")
+    # the sort compares this number alone, but for equal hashes
+    number = F.shiftleft(F.pmod("__block", F.lit(run)), 40) + F.shiftright("__h", 24) + F.lit(1 << 39)
+    label = label.select("perm", "__g", "__h", "__k", "__y", "__block", number.alias("__number")).repartitionById(-(-n_perms * wide // run), task)
+    label = label.sortWithinPartitions("__number", "__h", "__k")
+    label = label.select("perm", "__g", "__y", "__block", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__at"))
+    return attach(label, carry, ["__block"]).select("perm", "__g", (F.col("__at") + F.col("__shift")).alias("__k"), "__y")
 
 
 @operator("permutation_p", inputs=("observed", "permuted"))

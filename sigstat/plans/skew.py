@@ -71,6 +71,11 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0
 
 
+def tasks(df: DataFrame, rows: int) -> int:
+    """Tasks for a number of rows, a block to a task."""
+    return min(max(-(-rows // BLOCK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), MOST_TASKS)
+
+
 def row_hash(df: DataFrame) -> Column:
     """A hash of the whole row, to go through ties."""
 
