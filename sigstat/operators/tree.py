@@ -104,13 +104,12 @@ def _open_nodes(entries: DataFrame, depth_key: str, order: list[str], hot) -> Da
     run, past = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(W.unboundedPreceding, -1)
     level, was, rn, rf = F.col("__level"), F.col("__was"), F.col("__rn"), F.col("__rf")
     local = blocked.withColumns({"__rn": F.row_number().over(w), "__was": F.last("__level", True).over(past)})
-    local = local.withColumn("__rf", F.min(F.when(level.isNotNull(), rn)).over(run))
     later = level.isNotNull() & was.isNotNull()
     jump = later & (level > was + 1)
     step = F.when(later & ~jump, F.when(level > was, 1).otherwise(level - was)).otherwise(0)
     local = local.withColumn("__kind", F.when(jump, 2).when(later, 1).otherwise(0))
     kinds = {f"__{n}": F.sum((F.col("__kind") == k).cast("int")).over(run).cast("int") for n, k in (("c", 1), ("x", 2))}
-    local = local.withColumns({"__s": F.sum(step.cast("long")).over(run), **kinds})
+    local = local.withColumns({"__rf": F.min(F.when(level.isNotNull(), rn)).over(run), "__s": F.sum(step.cast("long")).over(run), **kinds})
     place = (rn - 1 - F.col("__x") + F.col("__c")).cast("int")  # of a node in its block, one less than its number there
     sums = F.when(level.isNotNull(), F.col("__s"))
     local = local.withColumns({
@@ -183,9 +182,11 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
     hot = once(entries, ["doc_id"], hot, block_rows())
     scan = _open_nodes(entries, depth_key, list(order), hot)
     hot = stored(hot)
-    nested = _nested(scan.where("__node is not null").select("doc_id", *[F.col(f"__{c}").alias(c) for c in ("node", "depth", "last")]), hot)
-    if hot is not None:
-        nested = materialise(nested, "nested")
+    marks = scan.where("__node is not null").select("doc_id", *[F.col(f"__{c}").alias(c) for c in ("node", "depth", "last")])
+    if hot is None:
+        nested = _nested(marks, hot)
+    else:  # a few numbers of each marker, so that passes over levels don't read all entries again
+        nested = materialise(_nested(materialise(marks, "marks"), hot), "nested")
     last = scan.groupBy("doc_id").agg(
         F.max("seq").alias("__last"), F.min(F.when(F.col("__depth") == 0, F.col("__node"))).alias("__top"),
         F.bool_or(F.col("__open").isNull() & F.col("key").eqNullSafe(F.lit(depth_key))).alias("__has"),
@@ -210,9 +211,8 @@ def build_tree(entries: DataFrame, depth_key: str, order: Sequence[str] = ("line
             F.col("key").alias("entry"), "value", F.lit(False).alias("is_structural"), F.col("seq").alias("subtree_end"),
         )
 
-    leaves = leaf(scan.where("__open is not null"), F.col("__open"), F.col("seq") - F.col("__open") - 1)
-    early = attach(scan.where("__open is null"), last.select("doc_id", "__has"), ["doc_id"])
-    leaves = leaves.unionByName(leaf(early, zero, F.col("seq") - 1 - F.col("__has").cast("long")))
+    lead = F.coalesce("__open", F.col("__has").cast("long"))  # entries before the first marker belong to the first node
+    leaves = leaf(attach(scan, last.select("doc_id", "__has"), ["doc_id"]), F.coalesce("__open", zero), F.col("seq") - lead - 1)
     first = last.select(
         "doc_id", zero.alias("node_id"), F.lit(None).cast("long").alias("parent_id"), F.lit(0).alias("level"), zero.alias("seq"), zero.alias("ordinal"),
         none.alias("entry"), none.alias("value"), F.lit(True).alias("is_structural"), F.coalesce(F.col("__top") - 1, F.col("__last")).alias("subtree_end"),
@@ -236,7 +236,7 @@ def _is_onset(time_word: bool):
 def node_onsets(nodes: DataFrame, hot=AUTO) -> DataFrame:
     """Structural nodes with ``onset``: their first onset leaf, else the first one below; 0 counts as missing."""
     leaf = nodes.where(~F.col("is_structural") & _is_onset(True) & (F.col("value") != ""))
-    own = leaf.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.min_by("value", "seq").try_cast("double").alias("__v"))
+    own = leaf.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.min_by(F.col("value").try_cast("double"), "seq").alias("__v"))
     own = own.select("doc_id", "node_id", F.when(F.col("__v") != 0, F.col("__v")).alias("__own"))
     inner = nodes.where("is_structural")
     hot = once(inner, ["doc_id"], hot, block_rows())
@@ -248,41 +248,62 @@ def node_onsets(nodes: DataFrame, hot=AUTO) -> DataFrame:
     return scan.withColumn("onset", F.coalesce("__own", below)).drop("__own", "__nx")
 
 
+def _sizes(inner: DataFrame, deepest: int) -> DataFrame:
+    """``__size`` of each structural node, itself, its leaves and all below it.
+
+    A node passes on what it has gathered, twice as far at each round, so joins grow with the logarithm of the depth.
+    """
+    ways = inner.select("doc_id", "node_id", F.col("parent_id").alias("__up"), (F.col("__leaves") + 1).alias("__size"))
+    reach = 1
+    while reach <= deepest:
+        live = ways.where("__up is not null")
+        below = live.groupBy("doc_id", F.col("__up").alias("node_id")).agg(F.sum("__size").alias("__below"))
+        reach *= 2
+        if reach <= deepest:
+            above = ways.select("doc_id", F.col("node_id").alias("__up"), F.col("__up").alias("__next"))
+            further = attach(live, above, ["doc_id", "__up"], "inner").select("doc_id", "node_id", F.col("__next").alias("__up"), "__size")
+            ways = further.unionByName(ways.where("__up is null"))
+        ways = attach(ways, below, ["doc_id", "node_id"]).withColumn("__size", F.col("__size") + F.coalesce("__below", F.lit(0))).drop("__below")
+        if reach <= deepest:
+            ways = materialise(ways, "sizes")
+    return ways.select("doc_id", "node_id", "__size")
+
+
 def renumber(inner: DataFrame, leaves: DataFrame, deepest: int, hot=AUTO) -> DataFrame:
-    """The node table of structural nodes with their parents and order among their siblings (``__k``), leaves first below each.
+    """The node table of structural nodes with their parents, in the order of ``__k, seq`` among their siblings, leaves first below each.
 
-    Each structural node's path of sibling numbers grows by its ancestor's, twice as far at each join, so joins grow
-    with the logarithm of the depth.  In the order of paths a node's number is the running sum of what comes before,
-    its leaves counted; leaves are numbered below their parent and join once.
+    A node's number is that of its parent, the parent's leaves and the sizes of the siblings before it on top; these
+    steps add up along the way to the root, twice as far at each join, so joins grow with the logarithm of the depth and
+    nothing is ordered but siblings.  Leaves are numbered below their parent and join once.
     """
     counts = leaves.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.count(F.lit(1)).alias("__leaves"))
     inner = materialise(attach(inner, counts, ["doc_id", "node_id"]).na.fill(0, ["__leaves"]), "inner")
-    ways = inner.select("doc_id", "node_id", F.col("parent_id").alias("__up"), F.array("__k").alias("__path"))
+    wide = once(inner, ["doc_id", "parent_id"], AUTO if hot == STORED else hot, block_rows())
+    rows = attach(inner, _sizes(inner, deepest), ["doc_id", "node_id"])
+    rows = ordered_scan(
+        rows, ["doc_id", "parent_id"], ["__k", "seq"], index="__rank", cumsum={"__upto": "__size"}, hot=LARGE if wide == AUTO else wide, rows=block_rows()
+    )
+    rows = attach(rows, inner.select("doc_id", F.col("node_id").alias("parent_id"), F.col("__leaves").alias("__pl")), ["doc_id", "parent_id"])
+    step = F.col("__upto") - F.col("__size") + F.coalesce(F.col("__pl") + 1, F.lit(0))
+    kept = ["doc_id", "node_id", "parent_id", "level", "entry", "value", "is_structural", "__size"]
+    rows = rows.select(*kept, (F.col("__rank") + F.coalesce("__pl", F.lit(0))).alias("ordinal"), F.col("parent_id").alias("__up"), step.alias("seq"))
+    rows = materialise(rows, "steps")
     reach = 1
     while reach <= deepest:
-        above = ways.select("doc_id", F.col("node_id").alias("__up"), F.col("__up").alias("__next"), F.col("__path").alias("__more"))
-        longer = attach(ways.where("__up is not null"), above, ["doc_id", "__up"], "inner").select(
-            "doc_id", "node_id", F.col("__next").alias("__up"), F.concat("__more", "__path").alias("__path")
-        )
-        ways = longer.unionByName(ways.where("__up is null"))
+        above = rows.select("doc_id", F.col("node_id").alias("__up"), F.col("__up").alias("__next"), F.col("seq").alias("__more"))
+        longer = attach(rows.where("__up is not null"), above, ["doc_id", "__up"], "inner")
+        longer = longer.withColumns({"__up": F.col("__next"), "seq": F.col("seq") + F.col("__more")}).drop("__next", "__more")
+        rows = longer.unionByName(rows.where("__up is null"))
         reach *= 2
-        if 2 * reach <= deepest:  # the last two rounds repeat a small join instead
-            ways = materialise(ways, "paths")
-    rows = attach(inner, ways.select("doc_id", "node_id", "__path"), ["doc_id", "node_id"])
-    whole = once(inner, ["doc_id"], AUTO if hot == STORED else hot, block_rows())
-    rows = ordered_scan(rows, ["doc_id"], ["__path"], cumsum={"__upto": F.col("__leaves") + 1}, hot=LARGE if whole == AUTO else whole, rows=block_rows())
-    seq = F.col("__upto") - F.col("__leaves") - 1
-    rows = materialise(rows.withColumn("seq", seq).drop("__path"), "numbered")
-    ends = _nested(rows.select("doc_id", F.col("seq").alias("node"), F.col("level").cast("int").alias("depth")), hot, parents=False)
-    last = materialise(rows.groupBy("doc_id").agg((F.max("__upto") - 1).alias("__last")), "last")
-    place = rows.select("doc_id", F.col("node_id").alias("parent_id"), F.col("seq").alias("__ps"), F.col("__leaves").alias("__pl"))
-    out = attach(attach(rows, ends.select("doc_id", F.col("node").alias("seq"), "end"), ["doc_id", "seq"]), last, ["doc_id"])
-    out = attach(out, place.drop("__ps"), ["doc_id", "parent_id"])
-    out = out.withColumns({"ordinal": F.col("__k") + F.coalesce("__pl", F.lit(0)), "subtree_end": F.coalesce(F.col("end") - 1, F.col("__last"))})
+        if reach <= deepest:
+            rows = materialise(rows, "steps")
+    rows = materialise(rows.drop("__up"), "numbered")
+    out = rows.withColumn("subtree_end", F.col("seq") + F.col("__size") - 1)
     # numbering and join take the same key, so that the leaves move once; a struct's nulls are equal
     key = F.struct("doc_id", "parent_id").alias("__key")
+    place = rows.select(F.struct("doc_id", F.col("node_id").alias("parent_id")).alias("__key"), F.col("seq").alias("__ps"))
     leaves = ordered_scan(leaves.select(key, "node_id", "level", "seq", "entry", "value"), ["__key"], ["seq"], index="ordinal", hot=hot, rows=block_rows(), numbered=True)
-    low = leaves.drop("seq").join(place.select(key, "__ps"), "__key", "left").select("*", "__key.*").withColumn("seq", F.col("__ps") + 1 + F.col("ordinal"))
+    low = leaves.drop("seq").join(place, "__key", "left").select("*", "__key.*").withColumn("seq", F.col("__ps") + 1 + F.col("ordinal"))
     return out.select(*NODE).unionByName(low.withColumns({"subtree_end": F.col("seq"), "is_structural": F.lit(False)}).select(*NODE))
 
 
@@ -300,27 +321,24 @@ def reparent_by_onset(nodes: DataFrame, deepest: int | None = None, hot=AUTO) ->
     # written once; what is joined by level has a row per document and level
     on = materialise(node_onsets(nodes, hot), "onsets")
     hot = stored(hot)
-    flags = materialise(on.groupBy("doc_id", "level").agg(F.count_if(F.col("onset").isNull()).alias("__bad")), "flags")
-    parents = flags.select("doc_id", (F.col("level") + 1).alias("level"), F.col("__bad").alias("__pbad"))
-    rows = attach(attach(on, flags, ["doc_id", "level"]), parents, ["doc_id", "level"])
-    move = (F.col("level") >= 2) & (F.col("__bad") == 0) & (F.col("__pbad") == 0)
-    rows = rows.withColumn("__move", F.coalesce(move, F.lit(False)))
+    known = F.when(F.col("onset").isNotNull(), F.struct("onset", "seq", "node_id"))
+    flags = on.groupBy("doc_id", "level").agg(F.count_if(F.col("onset").isNull()).alias("__bad"), F.min(known)["node_id"].alias("__pid"))
+    flags = materialise(flags, "flags")
+    parents = flags.select("doc_id", (F.col("level") + 1).alias("level"), F.col("__bad").alias("__pbad"), F.col("__pid").alias("__first"))
+    move = F.coalesce((F.col("level") >= 2) & (F.col("__bad") == 0) & (F.col("__pbad") == 0), F.lit(False))
+    flags = materialise(attach(flags.drop("__pid"), parents, ["doc_id", "level"]).withColumn("__move", move).drop("__pbad"), "moves")
+    rows = attach(on, flags, ["doc_id", "level"])
+    # only levels below which nodes move
     targets = on.where("onset is not null").select(
         "doc_id", (F.col("level") + 1).alias("level"), F.col("onset").alias("__pt"), F.col("seq").alias("__ps"), F.col("node_id").alias("__pid")
     )
-    first = targets.groupBy("doc_id", "level").agg(F.min_by("__pid", F.struct("__pt", "__ps")).alias("__first"))
-    first = materialise(first, "first")
-    moved = asof_join(rows.where("__move"), targets, ["doc_id", "level"], "onset", "__pt", ["__ps", "__pid"], "__hit", hot=hot, rows=block_rows())
-    moved = attach(moved, first, ["doc_id", "level"]).withColumn("parent_id", F.coalesce("__hit.__pid", "__first"))
-    stay = rows.where(~F.col("__move"))
-    sort_key = F.when(F.col("__bad") == 0, F.col("onset"))
+    targets = attach(targets, flags.where("__move").select("doc_id", "level"), ["doc_id", "level"], "left_semi")
     cols = ["doc_id", "node_id", "parent_id", "level", "seq", "entry", "value", "is_structural"]
-    placed = moved.select(*cols, sort_key.alias("__k")).unionByName(stay.select(*cols, sort_key.alias("__k")))
-    if hot is not None:
-        placed = materialise(placed, "placed")
-    inner = ordered_scan(placed, ["doc_id", "parent_id"], ["__k", "seq"], index="__rank", hot=hot, rows=block_rows())
-    inner = inner.drop("__k", "seq").withColumnRenamed("__rank", "__k")
-    return renumber(inner, nodes.where(~F.col("is_structural")).select(*cols), deepest, hot)
+    moved = rows.where("__move").select(*cols, "onset", "__first")
+    moved = asof_join(moved, targets, ["doc_id", "level"], "onset", "__pt", ["__ps", "__pid"], "__hit", hot=hot, rows=block_rows())
+    moved = moved.withColumn("parent_id", F.coalesce("__hit.__pid", "__first")).select(*cols, F.col("onset").alias("__k"))
+    stay = rows.where(~F.col("__move")).select(*cols, F.when(F.col("__bad") == 0, F.col("onset")).alias("__k"))
+    return renumber(moved.unionByName(stay), nodes.where(~F.col("is_structural")).select(*cols), deepest, hot)
 
 
 @operator("node_property")

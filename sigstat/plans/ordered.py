@@ -74,7 +74,10 @@ def ordered_scan(
     ffill, bfill, cummin_back = dict(ffill or {}), dict(bfill or {}), dict(cummin_back or {})
     prior, cummin = dict(prior or {}), dict(cummin or {})
     names = df.columns
-    if hot in (AUTO, STORED, LARGE):
+    if numbered and hot == STORED:  # one pass counts and finds them
+        hot = large_keys(df, keys, rows or skew.BLOCK_ROWS)
+        hot = None if hot.table.isEmpty() else hot
+    elif hot in (AUTO, STORED, LARGE):
         if hot != LARGE and largest_group(df, keys) <= (rows or skew.BLOCK_ROWS):
             hot = None
         else:
